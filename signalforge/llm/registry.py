@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .attribution import op9_token_attribution
+from .chat import op5_chat_windows
 from .mixing import OP2_SQL, op2_mixing_curriculum
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_mixing_curriculum": op2_mixing_curriculum,
+        "op5_chat_windows": op5_chat_windows,
+        "op9_token_attribution": op9_token_attribution,
     }
 
 
