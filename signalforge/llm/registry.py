@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .attribution import op9_token_attribution
 from .chat import op5_chat_windows
+from .language import op8_language_id
 from .mixing import OP2_SQL, op2_mixing_curriculum
 
 
@@ -15,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_mixing_curriculum": op2_mixing_curriculum,
         "op5_chat_windows": op5_chat_windows,
+        "op8_language_id": op8_language_id,
         "op9_token_attribution": op9_token_attribution,
     }
 
