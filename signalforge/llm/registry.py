@@ -10,11 +10,13 @@ from .attribution import op9_token_attribution
 from .chat import op5_chat_windows
 from .language import op8_language_id
 from .mixing import OP2_SQL, op2_mixing_curriculum
+from .quality import op3_quality_outliers
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_mixing_curriculum": op2_mixing_curriculum,
+        "op3_quality_outliers": op3_quality_outliers,
         "op5_chat_windows": op5_chat_windows,
         "op8_language_id": op8_language_id,
         "op9_token_attribution": op9_token_attribution,
