@@ -52,7 +52,9 @@ def slices(batch: pa.RecordBatch, column: str = "text", max_bytes: int = 4 << 20
 
 def text_array(column: pa.Array) -> pa.Array:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return pc.fill_null(column.cast(pa.large_string()), "")
+    column = pc.fill_null(column.cast(pa.large_string()), "")
+    # A slice, also after cast(), keeps its parent's buffers, whose offsets ascii_lower of pyarrow 23 misreads; take() copies.
+    return column.take(pa.array(np.arange(len(column))))
 
 
 def words(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray, np.ndarray]:

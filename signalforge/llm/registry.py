@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .attribution import op9_token_attribution
 from .chat import op5_chat_windows
+from .contamination import op7_benchmark_contamination
 from .language import op8_language_id
 from .mixing import OP2_SQL, op2_mixing_curriculum
 from .quality import op3_quality_outliers
@@ -18,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_mixing_curriculum": op2_mixing_curriculum,
         "op3_quality_outliers": op3_quality_outliers,
         "op5_chat_windows": op5_chat_windows,
+        "op7_benchmark_contamination": op7_benchmark_contamination,
         "op8_language_id": op8_language_id,
         "op9_token_attribution": op9_token_attribution,
     }
