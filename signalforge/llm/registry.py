@@ -12,12 +12,14 @@ from .contamination import op7_benchmark_contamination
 from .language import op8_language_id
 from .mixing import OP2_SQL, op2_mixing_curriculum
 from .quality import op3_quality_outliers
+from .secrets import op4_secret_scan
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_mixing_curriculum": op2_mixing_curriculum,
         "op3_quality_outliers": op3_quality_outliers,
+        "op4_secret_scan": op4_secret_scan,
         "op5_chat_windows": op5_chat_windows,
         "op7_benchmark_contamination": op7_benchmark_contamination,
         "op8_language_id": op8_language_id,
