@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .attribution import op9_token_attribution
 from .chat import op5_chat_windows
 from .contamination import op7_benchmark_contamination
+from .jaccard_join import op1_ngram_jaccard_join
 from .language import op8_language_id
 from .mixing import OP2_SQL, op2_mixing_curriculum
 from .quality import op3_quality_outliers
@@ -17,6 +18,7 @@ from .secrets import op4_secret_scan
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
         "op2_mixing_curriculum": op2_mixing_curriculum,
         "op3_quality_outliers": op3_quality_outliers,
         "op4_secret_scan": op4_secret_scan,
