@@ -14,6 +14,7 @@ from .language import op8_language_id
 from .mixing import OP2_SQL, op2_mixing_curriculum
 from .quality import op3_quality_outliers
 from .secrets import op4_secret_scan
+from .suffix_dedup import op6_suffix_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality_outliers": op3_quality_outliers,
         "op4_secret_scan": op4_secret_scan,
         "op5_chat_windows": op5_chat_windows,
+        "op6_suffix_dedup": op6_suffix_dedup,
         "op7_benchmark_contamination": op7_benchmark_contamination,
         "op8_language_id": op8_language_id,
         "op9_token_attribution": op9_token_attribution,
