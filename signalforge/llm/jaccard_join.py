@@ -241,17 +241,17 @@ class SignatureTree:
 
 
 def block_candidates(members: DataFrame, percent: int) -> DataFrame:
-    """members (block, side, cls, n, comp, data), side 0 and 1 (or only 0: the block with itself): candidate pairs (a, b)."""
+    """members (block, side, cls, n, comp, data), side 0 for a block with itself, 1 and 2 for two parts of one: candidate pairs (a, b)."""
 
     def emit(rows: list) -> Iterator[pa.RecordBatch]:
         trees = []
-        for side in (0, 1):
+        for side in (0, 2) if rows and rows[0][0] == 0 else (1, 2):
             own = [r for r in rows if r[0] == side]
             trees.append((own, SignatureTree(np.frombuffer(b"".join(r[4] for r in own), "uint8").reshape(len(own), BITS // 8), np.array([r[2] for r in own], "int64"), np.array([r[3] for r in own], "int64")) if own else None))
         (own, tree), (others, with_tree) = trees
-        if tree is None:
+        itself = bool(own) and own[0][0] == 0
+        if tree is None or (with_tree is None and not itself):
             return
-        itself = with_tree is None
         ids, ids2 = np.array([r[1] for r in own], "int64"), np.array([r[1] for r in (own if itself else others)], "int64")
         comps, comps2 = np.array([r[3] for r in own], "int64"), np.array([r[3] for r in (own if itself else others)], "int64")
         for i, j in tree.join(tree if itself else with_tree, percent, itself):
@@ -281,7 +281,7 @@ def across_components(docs: DataFrame, names: DataFrame, blocks: DataFrame, comp
     rows = rows.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     lo, hi = F.least("part", "other"), F.greatest("part", "other")
-    rows = rows.select("cls", "n", "comp", F.xxhash64("shingle", lo, hi).alias("block"), F.when((F.col("part") == lo), 0).otherwise(1).alias("side"))
+    rows = rows.select("cls", "n", "comp", F.xxhash64("shingle", lo, hi).alias("block"), F.when(lo == hi, 0).when(F.col("part") == lo, 1).otherwise(2).alias("side"))
     maps = sets_of(docs, rows.select("cls").distinct(), names, bitmaps=True).select("cls", "data")
     return block_candidates(rows.join(maps, "cls"), percent)
 

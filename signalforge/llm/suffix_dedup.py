@@ -301,7 +301,7 @@ def _window_rows(sa: SuffixArray, rids: list[int], hit: np.ndarray) -> Iterator[
 
 
 def repeated_parts(wide: DataFrame) -> DataFrame:
-    """wide (block, side, rid, data): (rid, a, z), the bytes of regions covered by windows that other regions hold, or themselves twice."""
+    """wide (block, side, rid, data), side 0 for a block within itself, 1 and 2 for the two of a pair of parts: (rid, a, z), the bytes of regions covered by windows that other regions hold, or themselves twice."""
 
     def emit(groups: list[list]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple[int, int, int]] = []
@@ -311,7 +311,7 @@ def repeated_parts(wide: DataFrame) -> DataFrame:
             rows += _window_rows(sa, rids, sa.repeated())
         for g in groups:
             if any(x[0] for x in g):
-                one, two = ([r for r in g if r[0] == side] for side in (0, 1))
+                one, two = ([r for r in g if r[0] == side] for side in (1, 2))
                 if one and two:
                     a, b = SuffixArray([r[2] for r in one]), SuffixArray([r[2] for r in two])
                     rows += _window_rows(a, [r[1] for r in one], a.found_in(b))
@@ -350,7 +350,7 @@ def repeated_spans(docs: DataFrame, scanned: DataFrame) -> DataFrame:
     wide = wide.withColumn("parts", F.ceil(F.col("regions") / F.lit(BLOCK)).cast("int")).withColumn("part", F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int"))
     wide = wide.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     lo, hi = F.least("part", "other"), F.greatest("part", "other")
-    wide = wide.select(F.when(F.col("parts") == 1, F.col("gram")).otherwise(F.xxhash64("gram", lo, hi)).alias("block"), F.when(F.col("part") == lo, 0).otherwise(1).alias("side"), "rid", "data")
+    wide = wide.select(F.when(F.col("parts") == 1, F.col("gram")).otherwise(F.xxhash64("gram", lo, hi)).alias("block"), F.when(lo == hi, 0).when(F.col("part") == lo, 1).otherwise(2).alias("side"), "rid", "data")
     whole = times.filter("times > 1").select("rid", F.lit(0).cast("long").alias("a"), F.col("size").alias("z"))
     parts = cut(repeated_parts(wide).unionByName(whole).distinct())
     places = found.select("cls", "start", "rid")
