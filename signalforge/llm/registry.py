@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .attribution import op9_token_attribution
 from .chat import op5_chat_windows
 from .contamination import op7_benchmark_contamination
+from .fuzzy_passages import op10_fuzzy_passages
 from .jaccard_join import op1_ngram_jaccard_join
 from .language import op8_language_id
 from .mixing import OP2_SQL, op2_mixing_curriculum
@@ -28,6 +29,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_benchmark_contamination": op7_benchmark_contamination,
         "op8_language_id": op8_language_id,
         "op9_token_attribution": op9_token_attribution,
+        "op10_fuzzy_passages": op10_fuzzy_passages,
     }
 
 
