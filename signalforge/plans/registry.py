@@ -1,4 +1,4 @@
-"""All queries of the engine's own operators, each with equivalent SQL where SQL can express it."""
+"""All queries of the engine's own operators, each with equivalent SQL for a second engine where SQL can express it."""
 
 from __future__ import annotations
 
@@ -6,18 +6,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from signalforge.functions.dialect import TABLES, Checker, Dialect
+from signalforge.operators import frames
+from signalforge.operators.catalog import CATALOG
+from signalforge.operators.relations import assemble
+from signalforge.streaming import incremental
+
 Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_SQL: dict[str, str] = {}
+
+
+def sql_query(name: str) -> Query:
+    needs, body = CATALOG[name]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        text = assemble(Dialect(), body(Dialect()), needs)
+        for t in TABLES:
+            if t in text:
+                spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+        return spark.sql(text)
+
+    return run
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return {name: sql_query(name) for name in CATALOG} | frames.queries() | incremental.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    check = Checker()
+    return {name: assemble(check, body(check), needs) for name, (needs, body) in CATALOG.items()} | frames.oracle_sql() | incremental.oracle_sql()
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return sql_query("agg_funnel")(spark, sf_dir)
