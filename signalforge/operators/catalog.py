@@ -173,7 +173,7 @@ _W = [("company_name <> 'Unclear'", 20), ("exact_role <> 'Unclear'", 20), ("cold
 column("scr_enrichment", "fields", "CAST(least(100, " + " + ".join(f"CASE WHEN {c} THEN {w} ELSE 0 END" for c, w in _W) + ") AS DOUBLE) / 100")
 column("scr_data_quality", "fields", "round(CAST(" + " + ".join(f"CASE WHEN {c} THEN 10 ELSE 0 END" for c, _ in _W) + " AS DOUBLE) / 90, 2)")
 column("scr_evidence_complete", "fields", "round(CAST(" + " + ".join(f"CASE WHEN {c} THEN 1 ELSE 0 END" for c, _ in _W) + " AS DOUBLE) / 9, 3)")
-column("scr_state_conf", "fields", "CASE WHEN job_card_company <> 'Unclear' THEN 0.95 WHEN company_name <> 'Unclear' THEN 0.8 ELSE 0.0 END")
+column("scr_state_conf", "fields", "CASE WHEN job_card_company <> 'Unclear' THEN CAST(0.95 AS DOUBLE) WHEN company_name <> 'Unclear' THEN CAST(0.8 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END")
 add("gte_verdict", "decided", "SELECT ingest_seq, gate, reasons FROM decided")
 add("gte_status", "decided", "SELECT ingest_seq, CASE gate WHEN 'ACCEPT' THEN 'New' WHEN 'REVIEW' THEN 'Review' ELSE '' END AS status, llm_status FROM decided")
 add("mrg_enriched_post", "merged", "SELECT ingest_seq, final_category, final_company, final_employment FROM merged")
@@ -206,7 +206,7 @@ column("ext_hm_context", "fields", "manager_name")
 column("ext_named_founder", "posts", lambda d: d.extract("text", r"(?i:our|my) (?:founder|CEO),? ([A-Z][a-z]+)", 1))
 column("ext_linkedin", "fields", "manager_link")
 add("ext_hm_cascade", "posters", "SELECT ingest_seq, CASE WHEN manager_name <> '' THEN manager_name WHEN person_profile AND poster_type = 'EMPLOYEE' THEN author_name ELSE 'Unclear' END AS manager FROM posters")
-add("ext_hm_resolve", "posters", "SELECT ingest_seq, CASE WHEN manager_name <> '' AND manager_link <> '' THEN 0.9 WHEN manager_name <> '' THEN 0.8 WHEN person_profile THEN 0.75 ELSE 0.0 END AS confidence FROM posters")
+add("ext_hm_resolve", "posters", "SELECT ingest_seq, CASE WHEN manager_name <> '' AND manager_link <> '' THEN CAST(0.9 AS DOUBLE) WHEN manager_name <> '' THEN CAST(0.8 AS DOUBLE) WHEN person_profile THEN CAST(0.75 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS confidence FROM posters")
 column("ext_email_resolve", "fields", "CASE WHEN cold_email = 'Not Available' THEN 'NOT_FOUND' ELSE 'FOUND' END")
 column("ext_role_resolve", "fields", "CASE WHEN exact_role <> 'Unclear' THEN exact_role WHEN role_keyword <> '' THEN role_keyword ELSE 'Unclear' END")
 add("html_text", "", lambda d: f"SELECT page_id, trim({d.replace(d.replace(d.replace('html', '(?is)<(script|style|noscript|template)[^>]*>.*?</(script|style|noscript|template)>', ' '), '(?s)<[^>]*>', ' '), '[ \\t\\r\\n]+', ' ')}) AS visible FROM pages")

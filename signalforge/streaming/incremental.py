@@ -7,7 +7,6 @@ replayed batch writes nothing twice; the stored batch number guards against a ba
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -52,8 +51,11 @@ def run_available(stream: DataFrame, write: Callable[[DataFrame, int], None], ch
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{sf_dir}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(os.path.dirname(path) + "/events.parquet")
+    batch = spark.read.parquet(path)
+    reader = spark.readStream.schema(batch.schema).option("maxFilesPerTrigger", 1)
+    if batch.inputFiles()[0].endswith("/events.parquet"):  # one file, not a folder of them: a stream reads folders
+        return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return reader.parquet(path)
 
 
 def inc_idempotent_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
