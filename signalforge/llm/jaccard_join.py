@@ -7,7 +7,8 @@
 3. Of each block the class of least id is linked to the others as candidates; verified links make first components.
 4. What a block still holds of several components is joined by signature trees: leaves are bitmaps of the classes' sets,
    nodes hold the OR of their bitmaps and the range of their sizes, and a dual traversal drops pairs of nodes whose greatest
-   possible overlap is too small, or which lie in one component. Surviving pairs are verified on whole sets.
+   possible overlap is too small, or which lie in one component. Blocks of up to SMALL members need no tree: the count of
+   shared prefix shingles bounds a pair's overlap. Surviving pairs are verified on whole sets.
 5. Components are joined up. A pair that was never verified is either in one component already or cannot be a link, so no
    link that matters is lost and no group of near copies is expanded into all pairs.
 
@@ -32,10 +33,14 @@ from .common import cut, maybe_broadcast, shingle_sets, slices, table
 from .components import connected
 
 PERCENT = 80
-BITS = 1024
+#: A bitmap has at least LEAST_BITS bits and at least BITS_EACH for each shingle, a power of two.
+LEAST_BITS, BITS_EACH = 1024, 2
 BLOCK = 2048
-#: Shingles held by this share of a scanned slice's sets count as frequent; at most MAX_FREQUENT of them, the most frequent, are put last.
-FREQUENT_SHARE, FREQUENT_LEAST, MAX_FREQUENT = 0.005, 6, 1_000_000
+#: A shingle is frequent if slices (of SLICE shingles) that hold it at least twice hold it FREQUENT times together; at most
+#: MAX_FREQUENT, the most frequent, are put last.
+FREQUENT, MAX_FREQUENT, SLICE = 8, 1_000_000, 4_000_000
+#: Blocks of up to SMALL members are leaves without a tree: how many prefix shingles a pair shares bounds its overlap.
+SMALL = 32
 
 
 def _digest(s: np.ndarray) -> int:
@@ -49,22 +54,33 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
 
 
 def classes_and_frequent(docs: DataFrame) -> DataFrame:
-    """kind 0: (id = doc_id, cls, n) of each row; kind 1: (cls = a shingle, n = how often a slice saw it) of frequent ones."""
+    """kind 0: (id = doc_id, cls, n, bits = its bitmap) of each row; kind 1: (cls = a shingle, n = how many sets of a slice hold it) where two or more do."""
+
+    names = ["kind", "id", "cls", "n", "bits"]
+
+    def often(held: list[np.ndarray]) -> pa.RecordBatch:
+        values, counts = np.unique(np.concatenate(held), return_counts=True)
+        values, counts = values[counts >= 2], counts[counts >= 2]
+        k = len(values)
+        return pa.RecordBatch.from_arrays([pa.array([1] * k, pa.int32()), pa.nulls(k, pa.int64()), pa.array(values.view("int64")), pa.array(counts), pa.nulls(k, pa.binary())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, seen = [], 0, set()
         for part, sets in _texts(batches):
-            ids, seen, own = part.column("doc_id").to_pylist(), set(), []
             cls = [_digest(s) for s in sets]
             for c, s in zip(cls, sets):
-                if c not in seen:
+                if len(s) and c not in seen:
                     seen.add(c)
-                    own.append(s)
-            values, counts = np.unique(np.concatenate(own) if own else np.zeros(0, "uint64"), return_counts=True)
-            often = counts >= max(FREQUENT_LEAST, FREQUENT_SHARE * len(own))
-            k = int(often.sum())
-            yield pa.RecordBatch.from_arrays([pa.array([0] * len(ids) + [1] * k, pa.int32()), pa.array(ids + [None] * k, pa.int64()), pa.array(np.r_[np.array(cls, "int64"), values[often].view("int64")]), pa.array(np.r_[np.array([len(s) for s in sets], "int64"), counts[often]])], ["kind", "id", "cls", "n"])
+                    held.append(s)
+                    size += len(s)
+            yield pa.RecordBatch.from_arrays([pa.array([0] * len(sets), pa.int32()), part.column("doc_id"), pa.array(cls, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([bitmap(s).tobytes() for s in sets], pa.binary())], names)
+            if size > SLICE:
+                yield often(held)
+                held, size, seen = [], 0, set()
+        if held:
+            yield often(held)
 
-    return docs.mapInArrow(run, "kind int, id long, cls long, n long")
+    return docs.mapInArrow(run, "kind int, id long, cls long, n long, bits binary")
 
 
 def _need(n: np.ndarray | int, percent: int) -> np.ndarray | int:
@@ -137,32 +153,61 @@ def shared_blocks(posted: DataFrame) -> DataFrame:
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
-    out = np.zeros(BITS, bool)
-    out[(s >> np.uint64(13)) % np.uint64(BITS)] = True
+    bits = max(LEAST_BITS, 1 << (BITS_EACH * max(1, len(s)) - 1).bit_length())
+    out = np.zeros(bits, bool)
+    out[(s >> np.uint64(13)) % np.uint64(bits)] = True
     return np.packbits(out)
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, names: DataFrame, bitmaps: bool = False) -> DataFrame:
-    """(cls, n, data) of the wanted classes: their sets, or bitmaps of these, made anew from one text of each class.
+def folded(maps: list[bytes], width: int) -> np.ndarray:
+    """Bitmaps as rows of `width` bytes; wider ones are folded onto themselves, which only adds bits."""
+    return np.array([np.bitwise_or.reduce(np.frombuffer(m, "uint8").reshape(-1, width), axis=0) for m in maps], "uint8").reshape(-1, width)
 
-    names: (cls, id), one document of each class.
-    """
-    ids = cut(wanted.join(names, "cls").select("cls", "id").distinct())
+
+def sets_of(docs: DataFrame, wanted: DataFrame, names: DataFrame) -> DataFrame:
+    """(cls, data) of the wanted classes: their sets, made anew from one text of each class."""
+    ids = cut(wanted.join(names.select("cls", "id"), "cls"))
     texts = docs.join(maybe_broadcast(ids), docs["doc_id"] == ids["id"]).select("cls", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, sets in _texts(batches):
-            got = [(c, len(s), (bitmap(s) if bitmaps else s).tobytes()) for c, s in zip(part.column("cls").to_pylist(), sets) if _digest(s) == c]
-            yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int32()), pa.array([g[2] for g in got], pa.binary())], ["cls", "n", "data"])
+            got = [(c, s.tobytes()) for c, s in zip(part.column("cls").to_pylist(), sets) if _digest(s) == c]
+            yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.binary())], ["cls", "data"])
+
+    return texts.mapInArrow(run, "cls long, data binary").dropDuplicates(["cls"])
+
 
-    return texts.mapInArrow(run, "cls long, n int, data binary").dropDuplicates(["cls"])
+def most_shared(bits: np.ndarray, n: np.ndarray, bits2: np.ndarray, n2: np.ndarray) -> np.ndarray:
+    """The greatest overlap that sets of these bitmaps and sizes can have: a bit of one that the other lacks is a shingle that is not shared."""
+    return np.minimum(n - np.bitwise_count(bits & ~bits2).sum(axis=1, dtype="int64"), n2 - np.bitwise_count(bits2 & ~bits).sum(axis=1, dtype="int64"))
+
+
+def possible(pairs: DataFrame, names: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose sizes and bitmaps allow a link."""
+    own = names.select("cls", "n", "bits")
+    sized = pairs.join(own.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a")), "a")
+    sized = sized.join(own.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b")), "b")
+    sized = sized.filter((100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a"))).select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = (b.column(c).to_pylist() for c in ("bits_a", "bits_b"))
+            n, m = (b.column(c).to_numpy(zero_copy_only=False).astype("int64") for c in ("n_a", "n_b"))
+            widths, good = np.array([min(len(s), len(t)) for s, t in zip(x, y)], "int64"), np.zeros(len(x), bool)
+            for w in np.unique(widths).tolist():
+                at = np.flatnonzero(widths == w)
+                most = most_shared(folded([x[i] for i in at], w), n[at], folded([y[i] for i in at], w), m[at])
+                good[at] = (100 + percent) * most >= percent * (n[at] + m[at])
+            yield b.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return sized.mapInArrow(run, "a long, b long")
 
 
 def verified(docs: DataFrame, names: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes that are links."""
     pairs = cut(pairs)
     wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
-    sets = cut(sets_of(docs, wanted, names).select("cls", "data"))
+    sets = cut(sets_of(docs, wanted, names))
     left = pairs.join(sets.withColumnsRenamed({"cls": "b", "data": "set_b"}), "b")
     both = left.join(sets.withColumnsRenamed({"cls": "a", "data": "set_a"}), "a").select("a", "b", "set_a", "set_b")
 
@@ -234,7 +279,8 @@ class SignatureTree:
         if len(i):
             # Every x of the node has the bits of its AND; those that the other node's OR lacks are shingles that x shares
             # with no y. So x and y share at most hi - that many, which must reach what the least sizes ask for.
-            most = np.minimum(hi[i] - np.bitwise_count(every[i] & ~b2[j]).sum(axis=1, dtype="int64"), hi2[j] - np.bitwise_count(every2[j] & ~b[i]).sum(axis=1, dtype="int64"))
+            lacks = lambda x, y: np.bitwise_count(x & ~y).sum(axis=1, dtype="int64")
+            most = np.minimum(hi[i] - lacks(every[i], b2[j]), hi2[j] - lacks(every2[j], b[i]))
             keep = (100 + percent) * most >= percent * (lo[i] + lo2[j])
             i, j = i[keep], j[keep]
         return i, j
@@ -244,17 +290,24 @@ def block_candidates(members: DataFrame, percent: int) -> DataFrame:
     """members (block, side, cls, n, comp, data), side 0 for a block with itself, 1 and 2 for two parts of one: candidate pairs (a, b)."""
 
     def emit(rows: list) -> Iterator[pa.RecordBatch]:
-        trees = []
-        for side in (0, 2) if rows and rows[0][0] == 0 else (1, 2):
-            own = [r for r in rows if r[0] == side]
-            trees.append((own, SignatureTree(np.frombuffer(b"".join(r[4] for r in own), "uint8").reshape(len(own), BITS // 8), np.array([r[2] for r in own], "int64"), np.array([r[3] for r in own], "int64")) if own else None))
-        (own, tree), (others, with_tree) = trees
-        itself = bool(own) and own[0][0] == 0
-        if tree is None or (with_tree is None and not itself):
+        itself = bool(rows) and rows[0][0] == 0
+        one, two = ([r for r in rows if r[0] == side] for side in ((0, 0) if itself else (1, 2)))
+        # Sets that link differ by a factor under two in size, so their bitmaps are as wide, or one is twice as wide.
+        for w in sorted({len(r[4]) for r in rows}):
+            own, wider = ([[r for r in side if len(r[4]) == k] for side in (one, two)] for k in (w, 2 * w))
+            yield from pairs(own[0], own[1], w, itself)
+            yield from pairs(own[0], wider[1], w, False)
+            if not itself:
+                yield from pairs(wider[0], own[1], w, False)
+
+    def pairs(left: list, right: list, width: int, itself: bool) -> Iterator[pa.RecordBatch]:
+        if not left or not right:
             return
-        ids, ids2 = np.array([r[1] for r in own], "int64"), np.array([r[1] for r in (own if itself else others)], "int64")
-        comps, comps2 = np.array([r[3] for r in own], "int64"), np.array([r[3] for r in (own if itself else others)], "int64")
-        for i, j in tree.join(tree if itself else with_tree, percent, itself):
+        ids, n, comps = (np.array([r[k] for r in left], "int64") for k in (1, 2, 3))
+        ids2, n2, comps2 = (np.array([r[k] for r in right], "int64") for k in (1, 2, 3))
+        tree = SignatureTree(folded([r[4] for r in left], width), n, comps)
+        other = tree if itself else SignatureTree(folded([r[4] for r in right], width), n2, comps2)
+        for i, j in tree.join(other, percent, itself):
             keep = comps[i] != comps2[j]
             x, y = ids[i[keep]], ids2[j[keep]]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
@@ -272,37 +325,85 @@ def block_candidates(members: DataFrame, percent: int) -> DataFrame:
     return members.repartition("block").sortWithinPartitions("block", "side").select("block", "side", "cls", "n", "comp", "data").mapInArrow(run, "a long, b long").distinct()
 
 
-def across_components(docs: DataFrame, names: DataFrame, blocks: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+def counted_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) of small blocks (shingle, cls, n, comp): those that share enough prefix shingles.
+
+    Sets of n and m that link share o = percent * (n + m) / (100 + percent) shingles or more; then their prefixes, of length
+    p and q, share at least min(p - n, q - m) + o. A pair that also meets in a larger block is found there.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, own = None, []
+        out: list[list[np.ndarray]] = [[] for _ in range(4)]
+
+        def close() -> None:
+            c, n, g = (np.array([r[k] for r in own], "int64") for k in range(3))
+            i, j = np.triu_indices(len(own), 1)
+            keep = (g[i] != g[j]) & (100 * n[i] >= percent * n[j]) & (100 * n[j] >= percent * n[i])
+            i, j = i[keep], j[keep]
+            swap = c[i] > c[j]
+            i, j = np.where(swap, j, i), np.where(swap, i, j)
+            for column, x in zip(out, (c[i], c[j], n[i], n[j])):
+                column.append(x)
+
+        def flush() -> pa.RecordBatch:
+            done = pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, "int64")) for x in out], ["a", "b", "n_a", "n_b"])
+            for column in out:
+                column.clear()
+            return done
+
+        for b in batches:
+            for k, *r in zip(*(b.column(c).to_pylist() for c in ("shingle", "cls", "n", "comp"))):
+                if k != block:
+                    if len(own) > 1:
+                        close()
+                    block, own = k, []
+                own.append(r)
+            yield flush()
+        if len(own) > 1:
+            close()
+        yield flush()
+
+    pairs = members.select("shingle", "cls", "n", "comp").repartition("shingle").sortWithinPartitions("shingle").mapInArrow(run, "a long, b long, n_a long, n_b long")
+    counted = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("shared"))
+    spare = lambda n: F.lit(1) - F.ceil(F.lit(percent) * F.col(n) / 100)  # noqa: E731  # prefix length less set size
+    least = F.least(spare("n_a"), spare("n_b")) + F.ceil(F.lit(percent) * (F.col("n_a") + F.col("n_b")) / (100 + percent) - F.lit(1e-9))
+    return counted.filter(F.col("shared") >= least).select("a", "b")
+
+
+def across_components(names: DataFrame, blocks: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs between different components from blocks (shingle, cls, n)."""
     labelled = blocks.join(maybe_broadcast(comps), blocks["cls"] == comps["node"], "left").withColumn("comp", F.coalesce("component", "cls")).select("shingle", "cls", "n", "comp")
     mixed = labelled.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).filter("lo <> hi").select("shingle", "size")
     rows = cut(labelled.join(mixed, "shingle"))
+    few = possible(counted_pairs(rows.filter(F.col("size") <= SMALL), percent), names, percent)
     parts = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
-    rows = rows.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
+    rows = rows.filter(F.col("size") > SMALL).withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     lo, hi = F.least("part", "other"), F.greatest("part", "other")
     rows = rows.select("cls", "n", "comp", F.xxhash64("shingle", lo, hi).alias("block"), F.when(lo == hi, 0).when(F.col("part") == lo, 1).otherwise(2).alias("side"))
-    maps = sets_of(docs, rows.select("cls").distinct(), names, bitmaps=True).select("cls", "data")
-    return block_candidates(rows.join(maps, "cls"), percent)
+    return block_candidates(rows.join(names.select("cls", F.col("bits").alias("data")), "cls"), percent).unionByName(few).distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of docs (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     scanned = cut(classes_and_frequent(docs))
-    rows = scanned.filter("kind = 0").select(F.col("id").alias("doc_id"), "cls", F.col("n").alias("n_shingles"))
-    often = scanned.filter("kind = 1").groupBy("cls").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "cls").limit(MAX_FREQUENT)
+    rows = scanned.filter("kind = 0").select(F.col("id").alias("doc_id"), "cls", F.col("n").alias("n_shingles"), "bits")
+    often = scanned.filter("kind = 1").groupBy("cls").agg(F.sum("n").alias("n")).filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "cls").limit(MAX_FREQUENT)
     frequent = np.sort(often.toPandas()["cls"].to_numpy("int64").view("uint64"))
-    names = cut(rows.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("id")))
+    known = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+    names = known.groupBy("cls").agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("n"))
+    names = cut(names.join(known.select(F.col("doc_id").alias("id"), "cls", "bits"), ["id", "cls"]).dropDuplicates(["cls"]))
     blocks = cut(shared_blocks(postings(docs, frequent, percent)))
     first = blocks.filter("cls <> head").select(F.col("head").alias("a"), F.col("cls").alias("b")).distinct()
-    links = cut(verified(docs, names, first, percent))
+    links = cut(verified(docs, names, possible(first, names, percent), percent))
     comps = cut(connected(links))
-    more = cut(verified(docs, names, across_components(docs, names, blocks.select("shingle", "cls", "n"), comps, percent), percent))
+    more = cut(verified(docs, names, across_components(names, blocks.select("shingle", "cls", "n"), comps, percent), percent))
     # Classes are joined to documents: every document is linked to the least document of its class.
-    named = names.withColumnRenamed("id", "rep")
+    named = names.select("cls", F.col("id").alias("rep"))
     edges = links.unionByName(more).join(named.withColumnsRenamed({"cls": "a", "rep": "ra"}), "a").join(named.withColumnsRenamed({"cls": "b", "rep": "rb"}), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-    repeated = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(named, "cls").filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    repeated = known.join(named, "cls").filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     final = cut(connected(edges.unionByName(repeated)))
     return rows.join(maybe_broadcast(final), rows["doc_id"] == final["node"], "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
