@@ -41,6 +41,7 @@ BLOCK = 2048
 FREQUENT, MAX_FREQUENT, SLICE = 8, 1_000_000, 4_000_000
 #: Blocks of up to SMALL members are leaves without a tree: how many prefix shingles a pair shares bounds its overlap.
 SMALL = 32
+SEEN = 500_000
 
 
 def _digest(s: np.ndarray) -> int:
@@ -287,7 +288,7 @@ class SignatureTree:
 
 
 def block_candidates(members: DataFrame, percent: int) -> DataFrame:
-    """members (block, side, cls, n, comp, data), side 0 for a block with itself, 1 and 2 for two parts of one: candidate pairs (a, b)."""
+    """members (home, block, side, cls, n, comp, data), side 0 for a block with itself, 1 and 2 for two parts of one: candidate pairs (a, b)."""
 
     def emit(rows: list) -> Iterator[pa.RecordBatch]:
         itself = bool(rows) and rows[0][0] == 0
@@ -312,17 +313,31 @@ def block_candidates(members: DataFrame, percent: int) -> DataFrame:
             x, y = ids[i[keep]], ids2[j[keep]]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
+    def fresh(found: Iterator[pa.RecordBatch], seen: set) -> Iterator[pa.RecordBatch]:
+        for b in found:
+            new = []
+            for pair in zip(b.column("a").to_pylist(), b.column("b").to_pylist()):
+                new.append(pair not in seen)
+                seen.add(pair)
+            yield b.filter(pa.array(new, pa.bool_()))
+            if len(seen) > SEEN:  # only saves rows: repeats are removed later too
+                seen.clear()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, rows = None, []
+        # Blocks of the same texts have the same home, so that a pair which meets in many of them is given out once.
+        key, rows, seen = None, [], set()
         for b in batches:
-            for k, *r in zip(*(b.column(c).to_pylist() for c in ("block", "side", "cls", "n", "comp", "data"))):
-                if k != block:
-                    yield from emit(rows)
-                    block, rows = k, []
+            for home, block, *r in zip(*(b.column(c).to_pylist() for c in ("home", "block", "side", "cls", "n", "comp", "data"))):
+                if (home, block) != key:
+                    yield from fresh(emit(rows), seen)
+                    if key is None or home != key[0]:
+                        seen = set()
+                    key, rows = (home, block), []
                 rows.append(r)
-        yield from emit(rows)
+        yield from fresh(emit(rows), seen)
 
-    return members.repartition("block").sortWithinPartitions("block", "side").select("block", "side", "cls", "n", "comp", "data").mapInArrow(run, "a long, b long").distinct()
+    ordered = members.repartition("home").sortWithinPartitions("home", "block", "side").select("home", "block", "side", "cls", "n", "comp", "data")
+    return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
 def counted_pairs(members: DataFrame, percent: int) -> DataFrame:
@@ -374,14 +389,14 @@ def counted_pairs(members: DataFrame, percent: int) -> DataFrame:
 def across_components(names: DataFrame, blocks: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs between different components from blocks (shingle, cls, n)."""
     labelled = blocks.join(maybe_broadcast(comps), blocks["cls"] == comps["node"], "left").withColumn("comp", F.coalesce("component", "cls")).select("shingle", "cls", "n", "comp")
-    mixed = labelled.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).filter("lo <> hi").select("shingle", "size")
+    mixed = labelled.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"), F.min("cls").alias("home")).filter("lo <> hi").select("shingle", "size", "home")
     rows = cut(labelled.join(mixed, "shingle"))
     few = possible(counted_pairs(rows.filter(F.col("size") <= SMALL), percent), names, percent)
     parts = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
     rows = rows.filter(F.col("size") > SMALL).withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     lo, hi = F.least("part", "other"), F.greatest("part", "other")
-    rows = rows.select("cls", "n", "comp", F.xxhash64("shingle", lo, hi).alias("block"), F.when(lo == hi, 0).when(F.col("part") == lo, 1).otherwise(2).alias("side"))
+    rows = rows.select(F.when(F.col("parts") == 1, F.col("home")).otherwise(F.xxhash64("shingle", lo, hi)).alias("home"), "cls", "n", "comp", F.xxhash64("shingle", lo, hi).alias("block"), F.when(lo == hi, 0).when(F.col("part") == lo, 1).otherwise(2).alias("side"))
     return block_candidates(rows.join(names.select("cls", F.col("bits").alias("data")), "cls"), percent).unionByName(few).distinct()
 
 

@@ -46,7 +46,10 @@ def empty(spark):
     return spark.createDataFrame([], DOCS)
 
 
-def test_jaccard_join_is_exact(docs, corpus):
+@pytest.mark.parametrize("block, small", [(2048, 32), (3, 1)])
+def test_jaccard_join_is_exact(docs, corpus, block, small, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "SMALL", small)
     got = collections.defaultdict(set)
     for r in jaccard_join.near_duplicates(docs).collect():
         got[r["doc_id"]].add((r["n_shingles"], r["component_id"]))
