@@ -1,14 +1,9 @@
-"""Operator 7: benchmark decontamination by size-partitioned MinHash containment search.
+"""Operator 7: benchmark decontamination by an inverted index of the suite and exact containment.
 
-Test items are split by the size of their shingle sets into classes (8 to 15, 16 to 31, ...). For each class a document is
-seen through windows of shingles twice the class's largest size, half overlapping, so that every stretch as long as an
-item lies whole in some window, and item and window are of like size: an item with containment c has a similarity of at
-least c / 4 to 5 with its window. Windows and items get MinHash values; an equal value in any of the `PERMUTATIONS` places
-makes a candidate, which is verified by exact containment of the item's shingle set in the whole document.
-
-A window whose shingles hit the items' shingles less often than any verified item could is dropped before hashing. With 64
-places the chance that a true case of containment 0.8 (similarity 0.16 or more in its window) is missed is 1 - (1 - 0.16)^64,
-under 2 in 100,000; items under LEAST shingles skip the sketch and are verified directly.
+A document that holds 0.8 of an item's n shingles lacks at most a fifth of them, so of any n - ceil(0.8 n) + 1 of them it
+holds one. Each item is indexed under that many of its shingles, those rarest in the suite, so that words which many items
+share make few candidates. Every shingle of the whole document is looked up, and each item found is verified by counting the
+distinct shingles of its set that the whole document holds. No true case is missed, in however many pieces it is quoted.
 
 The items are a test suite: their hashes go to every worker while they are at most `max_item_shingles`; beyond that the suite
 is searched in several passes of that size, so no broadcast grows with it.
@@ -27,43 +22,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix, shingle_sets, slices, table, word_hashes, combine, words
+from .common import shingle_sets, slices, table, word_hashes, combine, words
 
-PERMUTATIONS, THRESHOLD, LEAST, MAX_ITEM_SHINGLES = 64, 0.8, 8, 2_000_000
+THRESHOLD, MAX_ITEM_SHINGLES = 0.8, 2_000_000
 K = 5
 PAIRS = "doc_id long, item_id long, n_item_shingles long, n_shared long"
-_SEEDS = mix(np.arange(1, PERMUTATIONS + 1, dtype="uint64") * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
-
-
-def signature(hashes: np.ndarray) -> np.ndarray:
-    """The least value of each of the permutations over a set of hashes."""
-    return np.array([mix(hashes * s).min() for s in _SEEDS], "uint64")
 
 
 class Suite:
-    """The items of one pass: the shingles they hold, and sketches by size class."""
+    """The items of one pass: the shingles they hold, and an index of the rarest of each."""
 
     def __init__(self, ids: list, sets: list[np.ndarray]) -> None:
         self.ids, self.sets = ids, sets
-        self.all = np.unique(np.concatenate(sets)) if sets else np.zeros(0, "uint64")
+        self.all, counts = np.unique(np.concatenate(sets) if sets else np.zeros(0, "uint64"), return_counts=True)
         bits = 1 << max(16, (8 * len(self.all) - 1).bit_length())
         self.mask = np.uint64(bits - 1)
         self.bits = np.zeros(bits, bool)
         self.bits[self.all & self.mask] = True
-        self.small, self.classes = [], {}
-        for i, s in enumerate(sets):
-            if len(s) < LEAST:
-                self.small.append(i)
-            else:
-                self.classes.setdefault(len(s).bit_length(), []).append(i)
-        self.tables = {}
-        for c, members in self.classes.items():
-            sigs = np.array([signature(sets[i]) for i in members])
-            self.tables[c] = [dict(zip(*_grouped(sigs[:, p], members))) for p in range(PERMUTATIONS)]
-        self.holders: dict[int, list[int]] = {}
-        for i in self.small:
-            for h in sets[i].tolist():
-                self.holders.setdefault(h, []).append(i)
+        rarest = []
+        for own in sets:
+            spare = len(own) - int(np.ceil(THRESHOLD * len(own) - 1e-9))
+            rarest.append(own[np.argsort(counts[np.searchsorted(self.all, own)], kind="stable")[: spare + 1]])
+        keys = np.concatenate(rarest) if sets else self.all
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.owners = keys[order], np.repeat(np.arange(len(sets)), [len(r) for r in rarest])[order]
 
     def known(self, hashes: np.ndarray) -> np.ndarray:
         """Which hashes some item holds."""
@@ -73,27 +55,10 @@ class Suite:
         out[maybe] = self.all[at] == hashes[maybe]
         return out
 
-    def candidates(self, shingles: np.ndarray, hits: np.ndarray) -> set[int]:
-        """Items that may be contained in a document with these shingles, hits marking those that some item holds."""
-        found = {i for h in shingles[hits].tolist() for i in self.holders.get(h, ())} if self.small else set()
-        sums = np.r_[0, np.cumsum(hits)]
-        for c, tables in self.tables.items():
-            least = min(len(self.sets[i]) for i in self.classes[c]) * THRESHOLD
-            half = (1 << c) - 1
-            starts = np.arange(0, max(1, len(shingles) - half), half)
-            ends = np.minimum(starts + 2 * half, len(shingles))
-            for a, b in zip(starts, ends):
-                if sums[b] - sums[a] >= least - 1e-9:
-                    for value, owners in zip(signature(shingles[a:b]).tolist(), tables):
-                        found.update(owners.get(value, ()))
-        return found
-
-
-def _grouped(values: np.ndarray, members: list[int]) -> tuple[list[int], list[list[int]]]:
-    out: dict[int, list[int]] = {}
-    for v, m in zip(values.tolist(), members):
-        out.setdefault(v, []).append(m)
-    return list(out), list(out.values())
+    def candidates(self, held: np.ndarray) -> np.ndarray:
+        """Items that may be contained in a document that holds these shingles, in order."""
+        at, to = np.searchsorted(self.keys, held), np.searchsorted(self.keys, held, "right")
+        return np.unique(np.concatenate([self.owners[a:z] for a, z in zip(at, to)]))
 
 
 def search(suite: Suite, texts: pa.Array) -> Iterator[tuple[int, int, int, int]]:
@@ -111,9 +76,9 @@ def search(suite: Suite, texts: pa.Array) -> Iterator[tuple[int, int, int, int]]
             own, marks = rolled[a : b - K + 1], hits[a : b - K + 1]
         else:
             continue
-        if marks.any() and (found := suite.candidates(own, marks)):
+        if marks.any():
             held = np.unique(own[marks])
-            for i in sorted(found):
+            for i in suite.candidates(held).tolist():
                 shared = int(np.isin(suite.sets[i], held, assume_unique=True).sum())
                 if shared >= THRESHOLD * len(suite.sets[i]) - 1e-9:
                     yield row, i, len(suite.sets[i]), shared

@@ -137,6 +137,17 @@ def test_contamination_is_exact(spark, docs, corpus):
     assert got == want
 
 
+def test_contamination_finds_items_in_pieces(spark):
+    rng = random.Random(9)
+    item, filler = _words(rng, 59, 10**6), _words(rng, 800, 10**6)
+    texts = {1: item[:20] + filler[:200] + item[16:40] + filler[200:400] + item[36:], 2: item[:20] + filler[400:600] + item[30:50]}
+    # Shared by many items, and so no help in telling them apart.
+    items = [(1, " ".join(item)), *((k, " ".join(item[:20] + _words(rng, 39, 10**6))) for k in range(2, 9))]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    got = contamination.contained_items(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert [tuple(r) for r in got] == [(1, 1, 55, 55)]
+
+
 def test_language_id(docs):
     pieces = language.load_pieces()
     out = language.identify(docs, language.learn(docs, pieces), pieces).collect()
