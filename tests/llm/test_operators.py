@@ -125,6 +125,27 @@ def test_fuzzy_passages_cover_shared_stretches(docs, corpus):
     assert spans[201] == spans[200] == spans[205] == []
 
 
+def _shared(spark, texts):
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    return {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"]] for r in fuzzy_passages.fuzzy_passages(docs).collect()}
+
+
+def test_fuzzy_passages_of_gapped_chains(spark):
+    rng = random.Random(21)
+    fresh = lambda n: _words(rng, n, 10**7)
+    one, parts = fresh(60), [fresh(52) for _ in range(4)]
+    texts = {
+        1: fresh(80) + one + fresh(80),
+        2: fresh(50) + one[:30] + fresh(12) + one[30:] + fresh(50),  # 60 of 72 words
+        3: [w for p in parts for w in p + fresh(28)],
+        4: fresh(9) + [w for p in parts for w in p + fresh(28)],  # 0.7 as a whole, each part exact
+    }
+    spans = _shared(spark, texts)
+    assert spans[1] == [(80, 140)] and spans[2] == [(50, 122)]
+    assert spans[3] == [(80 * k, 80 * k + 52) for k in range(4)]
+    assert spans[4] == [(80 * k + 9, 80 * k + 61) for k in range(4)]
+
+
 def test_contamination_is_exact(spark, docs, corpus):
     items = [(1, " ".join(corpus[3][1].split()[10:40])), (2, "not in any text at all I think"), (3, None), (4, ""), (5, "one two three four five six"), (6, "short one")]
     got = {(r["doc_id"], r["item_id"]) for r in contamination.contained_items(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
