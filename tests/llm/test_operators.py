@@ -146,6 +146,29 @@ def test_fuzzy_passages_of_gapped_chains(spark):
     assert spans[4] == [(80 * k + 9, 80 * k + 61) for k in range(4)]
 
 
+def test_fuzzy_passages_beyond_first_holders(spark):
+    from signalforge.llm.suffix_dedup import text_class
+
+    rng = random.Random(33)
+    fresh = lambda n: _words(rng, n, 10**7)
+    one, twice = fresh(60), fresh(60)
+
+    def classed(low, make):
+        while (text_class(" ".join(w := make()).encode()) < 0) != low:
+            pass
+        return w
+
+    texts = {
+        1: classed(True, lambda: fresh(70) + one[:34] + fresh(70)),
+        2: classed(True, lambda: fresh(70) + one[26:] + fresh(70)),
+        3: classed(False, lambda: fresh(50) + one + fresh(90)),
+        4: classed(False, lambda: fresh(90) + one + fresh(50)),
+        5: classed(True, lambda: fresh(50) + twice + fresh(80) + twice + fresh(50)),
+        6: classed(False, lambda: fresh(70) + twice + fresh(50)),
+    }
+    assert _shared(spark, texts) == {1: [], 2: [], 3: [(50, 110)], 4: [(90, 150)], 5: [(50, 110), (190, 250)], 6: [(70, 130)]}
+
+
 def test_contamination_is_exact(spark, docs, corpus):
     items = [(1, " ".join(corpus[3][1].split()[10:40])), (2, "not in any text at all I think"), (3, None), (4, ""), (5, "one two three four five six"), (6, "short one")]
     got = {(r["doc_id"], r["item_id"]) for r in contamination.contained_items(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
