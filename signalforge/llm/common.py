@@ -26,20 +26,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Materialise df in the checkpoint folder that all executors share; later reads survive lost executors.
 
-    The folder is spark.checkpoint.dir; a private one is only made where that is unset, as in local tests.
+    The folder is spark.checkpoint.dir. A session in one process, as in tests, may do without: a folder of its own is made.
     """
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ckpt-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder of the session, set where it is not yet."""
+    sc = spark.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        folder = sc.getConf().get("spark.checkpoint.dir", None)
+        if folder is None and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="ckpt-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
 def maybe_broadcast(small: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a materialised narrow table for broadcasting if it has at most `bound` rows, else leave the join to a shuffle."""
     return F.broadcast(small) if small.limit(bound + 1).count() <= bound else small
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str | int = "text", max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Split a batch into runs of whole rows of about max_bytes of text, so that vectorised work has bounded memory."""
     if not batch.num_rows:
         return
@@ -48,6 +57,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", max_bytes: int = 4 << 20
     starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     for a, b in zip(starts, np.r_[starts[1:], batch.num_rows]):
         yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()
 
 
 def text_array(column: pa.Array) -> pa.Array:
