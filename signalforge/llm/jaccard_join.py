@@ -4,19 +4,21 @@
 2. Every class is dealt to the blocks of its prefix shingles: under one total order of all shingles, two sets with
    100 * |both| >= 80 * |either| share one of their first n - ceil(0.8 n) + 1 shingles. Any fixed order will do; shingles
    seen to be frequent while scanning come last, so that passages which many texts share seldom make a block.
-3. Of each block the class of least id is linked to the others as candidates; verified links make first components.
-4. What a block still holds of several components is joined by signature trees: leaves are bitmaps of the classes' sets,
-   nodes hold the OR of their bitmaps and the range of their sizes, and a dual traversal drops pairs of nodes whose greatest
-   possible overlap is too small, or which lie in one component. Blocks of up to SMALL members need no tree: the count of
-   shared prefix shingles bounds a pair's overlap. Surviving pairs are verified on whole sets.
+3. Of each block the class of least id is compared with the others first, then, of blocks that still hold several
+   components, the class that meets most others: these verified links make first components.
+4. Every block that holds several components, of two members or of thousands, is joined by a signature tree: leaves are
+   bitmaps of the classes' sets, nodes hold the OR and AND of their bitmaps and the ranges of their sizes, and a dual
+   traversal drops pairs of nodes whose greatest possible overlap is too small, or which lie in one component. The trees
+   of many blocks are built and walked together, as a forest. Surviving pairs are verified on whole sets.
 5. Components are joined up. A pair that was never verified is either in one component already or cannot be a link, so no
    link that matters is lost and no group of near copies is expanded into all pairs.
 
-Blocks over BLOCK members are cut into parts, and every pair of parts is a task of its own.
+Blocks over BLOCK members are cut into parts, and every pair of parts is a tree of its own.
 
 Defined cases: null text or no words: empty set, linked with nothing, component its own id. Fewer than five words: one
-shingle. Rows with one doc_id are one node. Null doc_id: n_shingles and null component. Ties: the least id. Extra columns
-are ignored. Empty table: no rows.
+shingle. Rows with one doc_id are one node. Null doc_id: n_shingles and null component. Ties: the least id. Very long
+texts: whole; bitmaps of sets over MOST_BITS / BITS_EACH shingles only prune less. Extra columns are ignored. Empty table:
+no rows.
 """
 
 from __future__ import annotations
@@ -26,21 +28,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, maybe_broadcast, shingle_sets, slices, table
 from .components import connected
 
 PERCENT = 80
-#: A bitmap has at least LEAST_BITS bits and at least BITS_EACH for each shingle, a power of two.
-LEAST_BITS, BITS_EACH = 1024, 2
+#: A bitmap has BITS_EACH bits for each shingle, rounded up to a power of two, within LEAST_BITS and MOST_BITS.
+LEAST_BITS, BITS_EACH, MOST_BITS = 512, 4, 1 << 16
 BLOCK = 2048
 #: A shingle is frequent if slices (of SLICE shingles) that hold it at least twice hold it FREQUENT times together; at most
 #: MAX_FREQUENT, the most frequent, are put last.
-FREQUENT, MAX_FREQUENT, SLICE = 8, 1_000_000, 4_000_000
-#: Blocks of up to SMALL members are leaves without a tree: how many prefix shingles a pair shares bounds its overlap.
-SMALL = 32
+FREQUENT, MAX_FREQUENT, SLICE = 8, 1_000_000, 2_000_000
+#: Blocks are joined together up to FOREST bytes of bitmaps.
+FOREST = 4 << 20
 SEEN = 500_000
 
 
@@ -55,15 +57,15 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
 
 
 def classes_and_frequent(docs: DataFrame) -> DataFrame:
-    """kind 0: (id = doc_id, cls, n, bits = its bitmap) of each row; kind 1: (cls = a shingle, n = how many sets of a slice hold it) where two or more do."""
+    """kind 0: (id = doc_id, key = text key, cls, n, bits = its bitmap) of each row of docs (doc_id, key, text); kind 1: (cls = a shingle, n = how many sets of a slice hold it) where two or more do."""
 
-    names = ["kind", "id", "cls", "n", "bits"]
+    names = ["kind", "id", "key", "cls", "n", "bits"]
 
     def often(held: list[np.ndarray]) -> pa.RecordBatch:
         values, counts = np.unique(np.concatenate(held), return_counts=True)
         values, counts = values[counts >= 2], counts[counts >= 2]
         k = len(values)
-        return pa.RecordBatch.from_arrays([pa.array([1] * k, pa.int32()), pa.nulls(k, pa.int64()), pa.array(values.view("int64")), pa.array(counts), pa.nulls(k, pa.binary())], names)
+        return pa.RecordBatch.from_arrays([pa.array([1] * k, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(values.view("int64")), pa.array(counts), pa.nulls(k, pa.binary())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, seen = [], 0, set()
@@ -74,14 +76,14 @@ def classes_and_frequent(docs: DataFrame) -> DataFrame:
                     seen.add(c)
                     held.append(s)
                     size += len(s)
-            yield pa.RecordBatch.from_arrays([pa.array([0] * len(sets), pa.int32()), part.column("doc_id"), pa.array(cls, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([bitmap(s).tobytes() for s in sets], pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([pa.array([0] * len(sets), pa.int32()), part.column("doc_id"), part.column("key"), pa.array(cls, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([bitmap(s).tobytes() for s in sets], pa.binary())], names)
             if size > SLICE:
                 yield often(held)
                 held, size, seen = [], 0, set()
         if held:
             yield often(held)
 
-    return docs.mapInArrow(run, "kind int, id long, cls long, n long, bits binary")
+    return docs.mapInArrow(run, "kind int, id long, key long, cls long, n long, bits binary")
 
 
 def _need(n: np.ndarray | int, percent: int) -> np.ndarray | int:
@@ -123,38 +125,39 @@ def postings(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
 
 
 def shared_blocks(posted: DataFrame) -> DataFrame:
-    """Members of blocks of two or more classes: (shingle, cls, n, head), head being the block's least class, a first candidate."""
+    """Members of blocks of two or more classes: (shingle, cls, n, head, second), the block's two least classes."""
+    names = ("shingle", "cls", "n", "head", "second")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # (shingle, cls, n, already given out, head)
+        held = [np.zeros(0, k) for k in ("int64", "int64", "int32")]  # the first row of a block, until the second comes
+        last = None  # shingle, class, head, second
         for b in batches:
-            if not b.num_rows:
-                continue
-            s, c, n = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            fresh = np.r_[last is None or s[0] != last[0] or c[0] != last[1], (s[1:] != s[:-1]) | (c[1:] != c[:-1])]
+            s, c, n = (np.r_[h, b.column(i).to_numpy(zero_copy_only=False)] for i, h in enumerate(held))
+            if last is not None and len(s):
+                fresh = np.r_[s[0] != last[0] or c[0] != last[1], (s[1:] != s[:-1]) | (c[1:] != c[:-1])]
+            else:
+                fresh = np.r_[True, (s[1:] != s[:-1]) | (c[1:] != c[:-1])][: len(s)]
             s, c, n = s[fresh], c[fresh], n[fresh]
             if not len(s):
                 continue
-            first = np.r_[last is None or s[0] != last[0], s[1:] != s[:-1]]
-            block = np.cumsum(first) - 1
-            heads = c[first]
-            head = np.where(block >= 0, heads[np.maximum(block, 0)] if len(heads) else 0, 0)
-            if last is not None and not first[0]:
-                head[block < 0] = last[4]
-            with_next = np.r_[s[1:] == s[:-1], False]
-            keep = ~first | with_next
-            out = [[s[keep], c[keep], n[keep], head[keep]]]
-            if last is not None and not last[3] and s[0] == last[0]:
-                out.insert(0, [np.array([x]) for x in (last[0], last[1], last[2], last[4])])
-            last = (s[-1], c[-1], n[-1], bool(keep[-1]), head[-1])
-            cols = [np.concatenate(x) for x in zip(*out)]
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0].astype("int64")), pa.array(cols[1].astype("int64")), pa.array(cols[2].astype("int32")), pa.array(cols[3].astype("int64"))], ["shingle", "cls", "n", "head"])
-
-    return posted.repartition("shingle").sortWithinPartitions("shingle", "cls").mapInArrow(run, "shingle long, cls long, n int, head long")
+            old = last is not None and s[0] == last[0]
+            start = np.r_[not old, s[1:] != s[:-1]]
+            at = np.maximum.accumulate(np.where(start, np.arange(len(s)), -1))
+            after = np.minimum(at + 1, len(s) - 1)
+            second = np.where(at >= 0, c[after], last[3] if old else 0)
+            head = np.where(at >= 0, c[np.maximum(at, 0)], last[2] if old else 0)
+            alone = (at >= 0) & ((after == at) | (s[after] != s))  # the first row of a block, with none after it here
+            wait = alone & (np.arange(len(s)) == len(s) - 1)
+            held = [x[wait] for x in (s, c, n)]
+            last = None if wait.any() else (s[-1], c[-1], head[-1], second[-1])
+            keep = ~alone
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep].astype("int32" if k == "n" else "int64")) for k, x in zip(names, (s, c, n, head, second))], names)
+
+    return posted.repartition("shingle").sortWithinPartitions("shingle", "cls").mapInArrow(run, "shingle long, cls long, n int, head long, second long")
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
-    bits = max(LEAST_BITS, 1 << (BITS_EACH * max(1, len(s)) - 1).bit_length())
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_EACH * max(1, len(s)) - 1).bit_length()))
     out = np.zeros(bits, bool)
     out[(s >> np.uint64(13)) % np.uint64(bits)] = True
     return np.packbits(out)
@@ -167,13 +170,12 @@ def folded(maps: list[bytes], width: int) -> np.ndarray:
 
 def sets_of(docs: DataFrame, wanted: DataFrame, names: DataFrame) -> DataFrame:
     """(cls, data) of the wanted classes: their sets, made anew from one text of each class."""
-    ids = cut(wanted.join(names.select("cls", "id"), "cls"))
-    texts = docs.join(maybe_broadcast(ids), docs["doc_id"] == ids["id"]).select("cls", "text")
+    ids = cut(wanted.join(names.select("cls", "id", "key"), "cls"))
+    texts = docs.join(maybe_broadcast(ids), docs["doc_id"].eqNullSafe(ids["id"]) & (text_key(docs["text"]) == ids["key"])).select("cls", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, sets in _texts(batches):
-            got = [(c, s.tobytes()) for c, s in zip(part.column("cls").to_pylist(), sets) if _digest(s) == c]
-            yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.binary())], ["cls", "data"])
+            yield pa.RecordBatch.from_arrays([part.column("cls"), pa.array([s.tobytes() for s in sets], pa.binary())], ["cls", "data"])
 
     return texts.mapInArrow(run, "cls long, data binary").dropDuplicates(["cls"])
 
@@ -225,27 +227,34 @@ def verified(docs: DataFrame, names: DataFrame, pairs: DataFrame, percent: int)
     return both.mapInArrow(run, "a long, b long")
 
 
-class SignatureTree:
-    """A tree over bitmaps in the order of set size.
+class SignatureForest:
+    """A tree for each block over the bitmaps of its members, in the order of set size.
 
-    A node is a run of leaves: the OR and the AND of their bitmaps, and the ranges of their sizes and components.
+    A node is a run of leaves of one block: the OR and the AND of their bitmaps, and the ranges of their sizes and components.
     """
 
     FAN = 8
 
-    def __init__(self, bits: np.ndarray, n: np.ndarray, comp: np.ndarray) -> None:
-        order = np.lexsort((comp, n))
-        self.rows = order
-        self.levels = [(bits[order], bits[order], n[order], n[order], comp[order], comp[order])]
-        while len(self.levels[-1][2]) > 1:
+    def __init__(self, block: np.ndarray, bits: np.ndarray, n: np.ndarray, comp: np.ndarray) -> None:
+        order = np.lexsort((comp, n, block))
+        self.rows, own = order, block[order]
+        bits, n, comp = bits[order], n[order], comp[order]
+        self.levels, self.first = [(bits, bits, n, n, comp, comp)], [np.arange(len(own) + 1)]
+        while (own[1:] == own[:-1]).any():
+            start = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            within = np.arange(len(own)) - np.repeat(start, np.diff(np.r_[start, len(own)]))
+            at = np.flatnonzero(within % self.FAN == 0)
             b, every, lo, hi, c0, c1 = self.levels[-1]
-            at = np.arange(0, len(lo), self.FAN)
             self.levels.append((np.bitwise_or.reduceat(b, at, axis=0), np.bitwise_and.reduceat(every, at, axis=0), np.minimum.reduceat(lo, at), np.maximum.reduceat(hi, at), np.minimum.reduceat(c0, at), np.maximum.reduceat(c1, at)))
-
-    def join(self, other: SignatureTree, percent: int, itself: bool, step: int = 1 << 15) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of leaves, as row numbers of the two inputs, that no node could rule out."""
-        top = max(len(self.levels), len(other.levels)) - 1
-        stack = [(top, np.zeros(1, "int64"), np.zeros(1, "int64"))]
+            self.first.append(np.r_[at, len(own)])
+            own = own[at]
+        self.roots = own
+
+    def join(self, other: SignatureForest, percent: int, itself: bool, most_bytes: int = 8 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of leaves of the trees of one block, as row numbers of the two inputs, that no node could rule out."""
+        top, step = max(len(self.levels), len(other.levels)) - 1, max(64, most_bytes // self.levels[0][0].shape[1])
+        _, i, j = np.intersect1d(self.roots, other.roots, assume_unique=True, return_indices=True)
+        stack = [(top, i, j)]
         while stack:
             level, i, j = stack.pop()
             if len(i) > step:
@@ -257,25 +266,25 @@ class SignatureTree:
             if level == 0:
                 yield self.rows[i], other.rows[j]
                 continue
-            (i, down_i), (j, down_j) = self._children(level, i), other._children(level, j)
-            x = (i[:, :, None] + np.zeros_like(j[:, None, :])).ravel()
-            y = (j[:, None, :] + np.zeros_like(i[:, :, None])).ravel()
-            ok = (down_i[:, :, None] & down_j[:, None, :]).ravel()
-            stack.append((level - 1, x[ok], y[ok]))
+            (a, na), (b, nb) = self._children(level, i), other._children(level, j)
+            each = na * nb
+            pair = np.repeat(np.arange(len(i)), each)
+            k = np.arange(len(pair)) - np.repeat(np.cumsum(each) - each, each)
+            stack.append((level - 1, a[pair] + k // nb[pair], b[pair] + k % nb[pair]))
 
     def _children(self, level: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if level >= len(self.levels):
-            return at[:, None], np.ones((len(at), 1), bool)
-        kids = at[:, None] * self.FAN + np.arange(self.FAN)
-        return kids, kids < len(self.levels[level - 1][2])
+            return at, np.ones(len(at), "int64")
+        first = self.first[level]
+        return first[at], first[at + 1] - first[at]
 
     def _possible(self, other, level, i, j, percent, itself):
         b, every, lo, hi, c0, c1 = self.levels[min(level, len(self.levels) - 1)]
         b2, every2, lo2, hi2, d0, d1 = other.levels[min(level, len(other.levels) - 1)]
         if itself:
-            keep = i <= j
+            keep = i < j if level == 0 else i <= j
             i, j = i[keep], j[keep]
-        keep = ~((c0[i] == c1[i]) & (d0[j] == d1[j]) & (c0[i] == d0[j])) & (100 * lo2[j] <= 100 * hi[i] * 100 // percent) & (100 * lo[i] <= 100 * hi2[j] * 100 // percent)
+        keep = ~((c0[i] == c1[i]) & (d0[j] == d1[j]) & (c0[i] == d0[j])) & (percent * lo2[j] <= 100 * hi[i]) & (percent * lo[i] <= 100 * hi2[j])
         i, j = i[keep], j[keep]
         if len(i):
             # Every x of the node has the bits of its AND; those that the other node's OR lacks are shingles that x shares
@@ -288,139 +297,153 @@ class SignatureTree:
 
 
 def block_candidates(members: DataFrame, percent: int) -> DataFrame:
-    """members (home, block, side, cls, n, comp, data), side 0 for a block with itself, 1 and 2 for two parts of one: candidate pairs (a, b)."""
-
-    def emit(rows: list) -> Iterator[pa.RecordBatch]:
-        itself = bool(rows) and rows[0][0] == 0
-        one, two = ([r for r in rows if r[0] == side] for side in ((0, 0) if itself else (1, 2)))
+    """members (block, side, cls, n, comp, data), side 0 for a block with itself, 1 and 2 for two parts of one: candidate pairs (a, b)."""
+
+    def pairs(left: tuple, right: tuple, width: int, itself: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if len(left[0]) and len(right[0]):
+            one = SignatureForest(left[0], folded(left[4], width), left[2], left[3])
+            two = one if itself else SignatureForest(right[0], folded(right[4], width), right[2], right[3])
+            for i, j in one.join(two, percent, itself):
+                yield left[1][i], right[1][j]
+
+    def candidates(rows: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        block, side, cls, n, comp = (np.array([r[k] for r in rows], "int64") for k in range(5))
+        data = [r[5] for r in rows]
+        wide = np.array([len(d) for d in data])
+        take = lambda at: (block[at], cls[at], n[at], comp[at], [data[i] for i in at])
         # Sets that link differ by a factor under two in size, so their bitmaps are as wide, or one is twice as wide.
-        for w in sorted({len(r[4]) for r in rows}):
-            own, wider = ([[r for r in side if len(r[4]) == k] for side in (one, two)] for k in (w, 2 * w))
-            yield from pairs(own[0], own[1], w, itself)
-            yield from pairs(own[0], wider[1], w, False)
-            if not itself:
-                yield from pairs(wider[0], own[1], w, False)
-
-    def pairs(left: list, right: list, width: int, itself: bool) -> Iterator[pa.RecordBatch]:
-        if not left or not right:
-            return
-        ids, n, comps = (np.array([r[k] for r in left], "int64") for k in (1, 2, 3))
-        ids2, n2, comps2 = (np.array([r[k] for r in right], "int64") for k in (1, 2, 3))
-        tree = SignatureTree(folded([r[4] for r in left], width), n, comps)
-        other = tree if itself else SignatureTree(folded([r[4] for r in right], width), n2, comps2)
-        for i, j in tree.join(other, percent, itself):
-            keep = comps[i] != comps2[j]
-            x, y = ids[i[keep]], ids2[j[keep]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
-
-    def fresh(found: Iterator[pa.RecordBatch], seen: set) -> Iterator[pa.RecordBatch]:
-        for b in found:
+        for w in np.unique(wide).tolist():
+            own, wider = ([take(np.flatnonzero((wide == k) & (side == s))) for s in range(3)] for k in (w, 2 * w))
+            yield from pairs(own[0], own[0], w, True)
+            yield from pairs(own[0], wider[0], w, False)
+            yield from pairs(own[1], own[2], w, False)
+            yield from pairs(own[1], wider[2], w, False)
+            yield from pairs(wider[1], own[2], w, False)
+
+    def fresh(rows: list[tuple], seen: set) -> Iterator[pa.RecordBatch]:
+        for x, y in candidates(rows) if len(rows) > 1 else ():
+            x, y = np.minimum(x, y), np.maximum(x, y)
             new = []
-            for pair in zip(b.column("a").to_pylist(), b.column("b").to_pylist()):
+            for pair in zip(x.tolist(), y.tolist()):
                 new.append(pair not in seen)
                 seen.add(pair)
-            yield b.filter(pa.array(new, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"]).filter(pa.array(new, pa.bool_()))
             if len(seen) > SEEN:  # only saves rows: repeats are removed later too
                 seen.clear()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Blocks of the same texts have the same home, so that a pair which meets in many of them is given out once.
-        key, rows, seen = None, [], set()
+        rows, size, seen = [], 0, set()
         for b in batches:
-            for home, block, *r in zip(*(b.column(c).to_pylist() for c in ("home", "block", "side", "cls", "n", "comp", "data"))):
-                if (home, block) != key:
-                    yield from fresh(emit(rows), seen)
-                    if key is None or home != key[0]:
-                        seen = set()
-                    key, rows = (home, block), []
-                rows.append(r)
-        yield from fresh(emit(rows), seen)
-
-    ordered = members.repartition("home").sortWithinPartitions("home", "block", "side").select("home", "block", "side", "cls", "n", "comp", "data")
+            for row in zip(*(b.column(c).to_pylist() for c in ("block", "side", "cls", "n", "comp", "data"))):
+                if size > FOREST and row[0] != rows[-1][0]:
+                    yield from fresh(rows, seen)
+                    rows, size = [], 0
+                rows.append(row)
+                size += len(row[5]) + 200
+        yield from fresh(rows, seen)
+
+    ordered = members.repartition("block").sortWithinPartitions("block").select("block", "side", "cls", "n", "comp", "data")
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
-def counted_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (a, b) of small blocks (shingle, cls, n, comp): those that share enough prefix shingles.
+def mixed_groups(blocks: DataFrame, comps: DataFrame) -> DataFrame:
+    """(block, cls, n, comp, met) of blocks with several components; blocks with the same two least classes are one, and
+    met is the sum of their sizes.
 
-    Sets of n and m that link share o = percent * (n + m) / (100 + percent) shingles or more; then their prefixes, of length
-    p and q, share at least min(p - n, q - m) + o. A pair that also meets in a larger block is found there.
+    Texts that share a passage or most of a text meet in many blocks of nearly the same members; as one block they meet once.
     """
+    labelled = blocks.join(maybe_broadcast(comps), blocks["cls"] == comps["node"], "left").select("shingle", "cls", "n", F.coalesce("component", "cls").alias("comp"), F.xxhash64("head", "second").alias("block"))
+    mixed = labelled.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).filter("lo <> hi").select("shingle", "size")
+    return labelled.join(mixed, "shingle").groupBy("block", "cls", "n", "comp").agg(F.sum("size").alias("met"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, own = None, []
-        out: list[list[np.ndarray]] = [[] for _ in range(4)]
 
-        def close() -> None:
-            c, n, g = (np.array([r[k] for r in own], "int64") for k in range(3))
-            i, j = np.triu_indices(len(own), 1)
-            keep = (g[i] != g[j]) & (100 * n[i] >= percent * n[j]) & (100 * n[j] >= percent * n[i])
-            i, j = i[keep], j[keep]
-            swap = c[i] > c[j]
-            i, j = np.where(swap, j, i), np.where(swap, i, j)
-            for column, x in zip(out, (c[i], c[j], n[i], n[j])):
-                column.append(x)
+def hub_pairs(groups: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the member of each block that met most others, here and elsewhere, and members in other components.
 
-        def flush() -> pa.RecordBatch:
-            done = pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, "int64")) for x in out], ["a", "b", "n_a", "n_b"])
-            for column in out:
-                column.clear()
-            return done
+    Of many near copies of one text, the one with the fewest edits meets most and links with most.
+    """
+    weights = groups.groupBy("cls").agg(F.sum("met").alias("met"))
+    weighed = groups.drop("met").join(weights, "cls")
+    hubs = weighed.groupBy("block").agg(F.max(F.struct("met", "cls", "comp")).alias("hub")).select("block", F.col("hub.cls").alias("hub"), F.col("hub.comp").alias("hub_comp"))
+    return groups.join(hubs, "block").filter("comp <> hub_comp").select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
 
-        for b in batches:
-            for k, *r in zip(*(b.column(c).to_pylist() for c in ("shingle", "cls", "n", "comp"))):
-                if k != block:
-                    if len(own) > 1:
-                        close()
-                    block, own = k, []
-                own.append(r)
-            yield flush()
-        if len(own) > 1:
-            close()
-        yield flush()
-
-    pairs = members.select("shingle", "cls", "n", "comp").repartition("shingle").sortWithinPartitions("shingle").mapInArrow(run, "a long, b long, n_a long, n_b long")
-    counted = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("shared"))
-    spare = lambda n: F.lit(1) - F.ceil(F.lit(percent) * F.col(n) / 100)  # noqa: E731  # prefix length less set size
-    least = F.least(spare("n_a"), spare("n_b")) + F.ceil(F.lit(percent) * (F.col("n_a") + F.col("n_b")) / (100 + percent) - F.lit(1e-9))
-    return counted.filter(F.col("shared") >= least).select("a", "b")
-
-
-def across_components(names: DataFrame, blocks: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs between different components from blocks (shingle, cls, n)."""
-    labelled = blocks.join(maybe_broadcast(comps), blocks["cls"] == comps["node"], "left").withColumn("comp", F.coalesce("component", "cls")).select("shingle", "cls", "n", "comp")
-    mixed = labelled.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"), F.min("cls").alias("home")).filter("lo <> hi").select("shingle", "size", "home")
-    rows = cut(labelled.join(mixed, "shingle"))
-    few = possible(counted_pairs(rows.filter(F.col("size") <= SMALL), percent), names, percent)
-    parts = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
-    rows = rows.filter(F.col("size") > SMALL).withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
+
+def across_components(names: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs between different components from groups (block, cls, n, comp)."""
+    sizes = groups.groupBy("block").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("block", "size")
+    rows = groups.join(sizes, "block").withColumn("parts", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")).withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     lo, hi = F.least("part", "other"), F.greatest("part", "other")
-    rows = rows.select(F.when(F.col("parts") == 1, F.col("home")).otherwise(F.xxhash64("shingle", lo, hi)).alias("home"), "cls", "n", "comp", F.xxhash64("shingle", lo, hi).alias("block"), F.when(lo == hi, 0).when(F.col("part") == lo, 1).otherwise(2).alias("side"))
-    return block_candidates(rows.join(names.select("cls", F.col("bits").alias("data")), "cls"), percent).unionByName(few).distinct()
+    rows = rows.select(F.xxhash64("block", lo, hi).alias("block"), "cls", "n", "comp", F.when(lo == hi, 0).when(F.col("part") == lo, 1).otherwise(2).alias("side"))
+    return block_candidates(rows.join(names.select("cls", F.col("bits").alias("data")), "cls"), percent)
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row of docs (doc_id, text)."""
+def text_key(text: Column) -> Column:
+    return F.xxhash64(text)
+
+
+def linked_classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, key, cls, n_shingles) of each row of docs (doc_id, text); (cls, id, n, bits) of each class; links (a, b) of classes.
+
+    The links join every two classes that links join at all, but are not all links.
+    """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    scanned = cut(classes_and_frequent(docs))
-    rows = scanned.filter("kind = 0").select(F.col("id").alias("doc_id"), "cls", F.col("n").alias("n_shingles"), "bits")
+    scanned = cut(classes_and_frequent(docs.withColumn("key", text_key(F.col("text")))))
+    rows = scanned.filter("kind = 0").select(F.col("id").alias("doc_id"), "key", "cls", F.col("n").alias("n_shingles"), "bits")
     often = scanned.filter("kind = 1").groupBy("cls").agg(F.sum("n").alias("n")).filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "cls").limit(MAX_FREQUENT)
     frequent = np.sort(often.toPandas()["cls"].to_numpy("int64").view("uint64"))
-    known = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    names = known.groupBy("cls").agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("n"))
-    names = cut(names.join(known.select(F.col("doc_id").alias("id"), "cls", "bits"), ["id", "cls"]).dropDuplicates(["cls"]))
+    # One row stands for its class: the one of least doc_id (null last) and text key.
+    known = rows.filter("n_shingles > 0")
+    least = known.groupBy("cls").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("m"), F.max("n_shingles").alias("n"))
+    least = least.select("cls", F.col("m.doc_id").alias("id"), F.col("m.key").alias("key"), "n")
+    own = known.select(F.col("cls").alias("c"), F.col("doc_id").alias("d"), F.col("key").alias("k"), "bits")
+    names = cut(least.join(own, (F.col("cls") == F.col("c")) & F.col("id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k"))).select("cls", "id", "key", "n", "bits").dropDuplicates(["cls"]))
     blocks = cut(shared_blocks(postings(docs, frequent, percent)))
     first = blocks.filter("cls <> head").select(F.col("head").alias("a"), F.col("cls").alias("b")).distinct()
     links = cut(verified(docs, names, possible(first, names, percent), percent))
-    comps = cut(connected(links))
-    more = cut(verified(docs, names, across_components(names, blocks.select("shingle", "cls", "n"), comps, percent), percent))
+    groups = cut(mixed_groups(blocks, cut(connected(links))))
+    links = cut(links.unionByName(verified(docs, names, possible(hub_pairs(groups), names, percent), percent)))
+    comps = maybe_broadcast(cut(connected(links)))
+    groups = groups.join(comps, groups["cls"] == comps["node"], "left").select("block", "cls", "n", F.coalesce("component", "comp").alias("comp"))
+    return rows.drop("bits"), names, links.unionByName(verified(docs, names, across_components(names, groups, percent), percent))
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for each row of docs (doc_id, text)."""
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    rows, names, links = linked_classes(docs.filter("doc_id IS NOT NULL"), percent)
     # Classes are joined to documents: every document is linked to the least document of its class.
-    named = names.select("cls", F.col("id").alias("rep"))
-    edges = links.unionByName(more).join(named.withColumnsRenamed({"cls": "a", "rep": "ra"}), "a").join(named.withColumnsRenamed({"cls": "b", "rep": "rb"}), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    known, named = rows.filter("n_shingles > 0"), names.select("cls", F.col("id").alias("rep"))
+    edges = links.join(named.withColumnsRenamed({"cls": "a", "rep": "ra"}), "a").join(named.withColumnsRenamed({"cls": "b", "rep": "rb"}), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
     repeated = known.join(named, "cls").filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     final = cut(connected(edges.unionByName(repeated)))
-    return rows.join(maybe_broadcast(final), rows["doc_id"] == final["node"], "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    out = rows.join(maybe_broadcast(final), rows["doc_id"] == final["node"], "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    nameless = classes_and_frequent(docs.filter("doc_id IS NULL").withColumn("key", text_key(F.col("text")))).filter("kind = 0")
+    return out.unionByName(nameless.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id")))
+
+
+def one_of_each_group(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows of docs (doc_id, text, any others) without near duplicates.
+
+    Of the rows whose texts are joined by links one stays: that of least doc_id (null last) and text key, whole rows that
+    are repeated counting once. Rows of one doc_id with unlike texts are judged each by its own text. Rows without words stay.
+    """
+    rows, _, links = linked_classes(docs, percent)
+    comps = cut(connected(links))
+    grouped = rows.filter("n_shingles > 0").join(maybe_broadcast(comps), rows["cls"] == comps["node"], "left").select("doc_id", "key", F.coalesce("component", "cls").alias("g"))
+    keys = grouped.groupBy("g", "doc_id", "key").agg(F.count("*").alias("times"))
+    first = grouped.groupBy("g").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("m"))
+    judged = cut(keys.join(first, "g").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "times", (F.col("doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("key") == F.col("m.key"))).alias("stays")))
+
+    def meets(keys: DataFrame):
+        return docs["doc_id"].cast("long").eqNullSafe(keys["_id"]) & (text_key(docs["text"].cast("string")) == keys["_key"])
+
+    gone, twice = judged.filter("NOT stays").select("_id", "_key"), judged.filter("stays AND times > 1").select("_id", "_key")
+    plain = cut(gone.unionByName(twice))
+    once = docs.join(maybe_broadcast(plain), meets(plain), "left_anti")
+    several = maybe_broadcast(cut(twice))
+    again = docs.join(several, meets(several)).dropDuplicates(["_id", "_key"]).select(*[docs[c] for c in docs.columns])
+    return once.unionByName(again)
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

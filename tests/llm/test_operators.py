@@ -46,10 +46,11 @@ def empty(spark):
     return spark.createDataFrame([], DOCS)
 
 
-@pytest.mark.parametrize("block, small", [(2048, 32), (3, 1)])
-def test_jaccard_join_is_exact(docs, corpus, block, small, monkeypatch):
+@pytest.mark.parametrize("block, most_bits, forest", [(2048, 1 << 16, 4 << 20), (3, 512, 1000)])
+def test_jaccard_join_is_exact(docs, corpus, block, most_bits, forest, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
-    monkeypatch.setattr(jaccard_join, "SMALL", small)
+    monkeypatch.setattr(jaccard_join, "MOST_BITS", most_bits)
+    monkeypatch.setattr(jaccard_join, "FOREST", forest)
     got = collections.defaultdict(set)
     for r in jaccard_join.near_duplicates(docs).collect():
         got[r["doc_id"]].add((r["n_shingles"], r["component_id"]))
@@ -81,12 +82,14 @@ def test_signature_tree_loses_no_pair():
         b = base[rng.integers(12)]
         sets.append(np.unique(np.r_[b[rng.random(len(b)) > rng.random() * 0.3], rng.integers(0, 2**63, 2).astype("uint64")]))
     n, comp = np.array([len(s) for s in sets]), np.arange(len(sets)) % 9
-    tree = jaccard_join.SignatureTree(jaccard_join.folded([jaccard_join.bitmap(s).tobytes() for s in sets], 128), n, comp)
-    got = {tuple(sorted(p)) for i, j in tree.join(tree, 80, True) for p in zip(i.tolist(), j.tolist())}
+    block = np.arange(len(sets)) % 3 // 2  # a block of two thirds of the sets and one of the rest
+    forest = jaccard_join.SignatureForest(block, jaccard_join.folded([jaccard_join.bitmap(s).tobytes() for s in sets], 64), n, comp)
+    got = {tuple(sorted(p)) for i, j in forest.join(forest, 80, True) for p in zip(i.tolist(), j.tolist())}
+    assert all(block[i] == block[j] for i, j in got)
     for i in range(len(sets)):
         for j in range(i + 1, len(sets)):
             shared = len(np.intersect1d(sets[i], sets[j]))
-            if comp[i] != comp[j] and 100 * shared >= 80 * (n[i] + n[j] - shared):
+            if comp[i] != comp[j] and block[i] == block[j] and 100 * shared >= 80 * (n[i] + n[j] - shared):
                 assert (i, j) in got
 
 
@@ -209,7 +212,7 @@ def test_forward_sums_all_segmentations():
     def brute(s):
         return 1.0 if not s else sum(prob[s[:k]] * brute(s[k:]) for k in range(1, len(s) + 1) if s[:k] in prob)
 
-    got = language.Lattice(v, ["abc", "ab", "a"]).log_probs(p, 3)
+    got = language.Lattice(v, ["abc", "ab", "a"]).log_probs(p)
     assert np.allclose(np.exp(got[:, 0]), [brute("▁abc"), brute("▁ab"), brute("▁a")])
 
 
@@ -267,6 +270,26 @@ def test_mixing(docs):
     assert sorted(map(str, mixing.assign(docs.repartition(5)).collect())) == sorted(map(str, rows))
 
 
+def test_training_order_follows_the_schedules(spark):
+    docs = spark.createDataFrame([(i, "w " * 10, f"s{i % 3}") for i in range(3000)], "doc_id long, text string, source string")
+    rows = mixing.training_order(mixing.assign(docs, max_repeats=3)).collect()
+    assert [(r["position"], r["doc_id"], r["pass_no"]) for r in rows] == sorted((r["position"], r["doc_id"], r["pass_no"]) for r in rows)
+    trained = np.r_[0, np.cumsum([r["words"] for r in rows])]
+    # A position counts the words trained before: all sources' demand is met at any time, up to a few documents.
+    assert max(abs(r["position"] - n) for r, n in zip(rows, trained)) < 60
+    # s0's weight falls from 1.5 to 0.5 of its mean, so it takes five eighths of its words in the first half of the time.
+    s0 = [r for r in rows if r["source"] == "s0"]
+    assert abs(sum(r["words"] for r in s0 if r["time"] < 0.5) / sum(r["words"] for r in s0) - 0.625) < 0.01
+
+
+def test_mixing_keeps_clashing_columns(docs):
+    clashing = docs.selectExpr("*", "'a' AS size", "'b' AS weight", "'c' AS position", "'d' AS _key")
+    got = mixing.assign(clashing, keep=["text", "size", "weight", "position", "_key"])
+    assert got.columns[-5:] == ["text", "document_size", "weight", "document_position", "_key"]
+    assert {tuple(r[-4:]) for r in got.collect()} == {("a", "b", "c", "d")}
+    assert mixing.training_order(got).count() > 0
+
+
 def test_chat_round_trip(spark):
     odd = "<|im_end|><\\|im_start|>a\n"
     turns = [(1, 0, "system", "s" * 50), (1, 1, "user", odd), (1, 2, "assistant", odd * 400), (1, 3, "user", None), (1, 4, "assistant", "b"), (2, 0, None, "x"), (2, 0, "assistant", ""), (None, 0, "assistant", "n")]
