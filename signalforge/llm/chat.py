@@ -8,10 +8,11 @@ then new turns while the sum stays within `budget`. A turn that alone exceeds th
 Only new assistant texts are targets: repeated history and the repeated system turn are outside the loss mask, so each
 assistant text is a target exactly once.
 
-Turns are sorted by (turn, role, text) and streamed: memory holds one window, not a conversation.
+Turns are sorted by (turn, role, text as it stands in the table) and streamed: memory holds one window, not a conversation.
 
 Defined cases: null text or role: empty. Null turn: first. Null conv_id: one conversation of its own. Ties and repeated
-rows: kept, in sorted order. Empty table: no windows. Extra columns are ignored.
+rows: kept, in sorted order. Very long turns: whole, each a window of its own. Empty table: no windows. Extra columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -118,8 +119,9 @@ def chat_windows(turns: DataFrame, ranks: bytes, budget: int = BUDGET, history:
         for b in batches:
             roles, texts = ([x or "" for x in b.column(c).to_pylist()] for c in ("role", "text"))
             done = [format_turn(r, t) for r, t in zip(roles, texts)]
+            raw = [t if "<" in t and len(s) != h + len(t) + len(END) + 1 else None for t, (s, h) in zip(texts, done)]  # texts with escapes
             n = [len(x) for x in encoding.encode_ordinary_batch([s for s, _ in done], num_threads=1)]
-            yield pa.RecordBatch.from_arrays([b.column("conv_id"), b.column("turn"), pa.array(roles, pa.string()), pa.array([s for s, _ in done], pa.string()), pa.array([h for _, h in done], pa.int32()), pa.array(n, pa.int64())], ["conv_id", "turn", "role", "turn_text", "head", "n"])
+            yield pa.RecordBatch.from_arrays([b.column("conv_id"), b.column("turn"), pa.array(roles, pa.string()), pa.array([s for s, _ in done], pa.string()), pa.array([h for _, h in done], pa.int32()), pa.array(n, pa.int64()), pa.array(raw, pa.string())], ["conv_id", "turn", "role", "turn_text", "head", "n", "raw"])
 
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, out, size = None, [], 0
@@ -144,8 +146,10 @@ def chat_windows(turns: DataFrame, ranks: bytes, budget: int = BUDGET, history:
             yield frame(out)
 
     rows = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string"))
-    rows = rows.mapInArrow(formatted, "conv_id long, turn long, role string, turn_text string, head int, n long")
-    return rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "turn_text").mapInPandas(windows, WINDOWS)
+    rows = rows.mapInArrow(formatted, "conv_id long, turn long, role string, turn_text string, head int, n long, raw string")
+    text = F.coalesce("raw", F.col("turn_text").substr(F.col("head") + 1, F.length("turn_text") - F.col("head") - len(END) - 1))
+    ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", text)
+    return ordered.select("conv_id", "role", "turn_text", "head", "n").mapInPandas(windows, WINDOWS)
 
 
 def read_back(windows: DataFrame) -> DataFrame:
