@@ -4,16 +4,18 @@ Exact statistics of each whole text become a vector of five transformed values.
 covariance determinant estimate gives centre and scatter; a text whose squared Mahalanobis distance is over a chi-square
 quantile is rejected.
 
-The estimate starts from medians and quartile ranges and takes concentration steps: the share `CORE` of a group's rows
-nearest to the centre gives the next centre and scatter. A step is one scan: rows are summed into (group, distance bin)
-cells of counts and moments, and the cells up to the wanted count are the core (whole bins of 1/64 of a power of e). So no
-group, however large, meets in one task, and all rows take part. FLOORS are variances added to the scatter: a value that
-is the same in nearly all texts must not make the scatter singular.
+The estimate has several starts: medians with quartile ranges, and small sets of rows drawn by hash. From each it takes
+concentration steps: the share `CORE` of a group's rows nearest to the centre gives the next centre and scatter. Of each
+group the start that ends with the least determinant is kept. A step is one scan for all starts: rows are summed into
+(group, start, distance bin) cells of counts and moments, and the cells up to the wanted count are the core (whole bins of
+1/64 of a power of e). So no group, however large, meets in one task, and all rows take part. FLOORS are variances added to
+the scatter: a value that is the same in nearly all texts must not make the scatter singular.
 
-Groups under MIN_ROWS rows are judged together; if even these are too few, only the base rules decide.
+A group of fewer than FEWEST rows that pass the base rules has no estimate: for it the base rules alone decide.
 
 Defined cases: null or empty text: zeros, base_failed. Null lang or source: a value of its own. Null or repeated doc_id:
-each row is judged for itself. Extra columns are ignored. Empty table: no rows.
+each row is judged for itself. Ties of distance: in one bin, all of them in the core or none. Very long texts: whole, with
+exact counts. Extra columns are ignored. Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -33,7 +35,9 @@ from .common import cut, maybe_broadcast, slices, table, text_array, words
 VALUES = ("y0", "y1", "y2", "y3", "y4")
 #: Standard deviations at least: log word length, log symbols a word, log share of repeated lines, of repeated words, log length.
 FLOORS = (0.06, 0.15, 0.6, 0.5, 0.7)
-CORE, STEPS, MIN_ROWS, TAIL = 0.6, 4, 40, 1e-6
+CORE, STEPS, STARTS, TAIL = 0.6, 4, 4, 1e-6
+#: Rows of a drawn start, and the least that a group needs: twice what a scatter of five values needs.
+FEWEST = 2 * (len(VALUES) + 1)
 BIN, GRID = 64, 128
 BLANK = " \t\n\v\f\r"
 STATS = "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long"
@@ -44,6 +48,14 @@ def chi_square(p: float, k: int) -> float:
     return k * (1 - 2 / (9 * k) + NormalDist().inv_cdf(p) * (2 / (9 * k)) ** 0.5) ** 3
 
 
+def triples(idx: np.ndarray, n: int) -> np.ndarray:
+    """A number for each three neighbours of idx, whose values are under n: equal for equal threes alone."""
+    pair = idx[:-2] * np.int64(max(1, n)) + idx[1:-1]
+    if n >= 2_000_000:  # its third power is beyond 64 bits
+        pair = np.unique(pair, return_inverse=True)[1].astype("int64")
+    return pair * np.int64(max(1, n)) + idx[2:]
+
+
 def text_stats(texts: pa.Array) -> np.ndarray:
     """Rows of n_words, word_chars, n_symbols, n_lines (lines with a word), n_dup_lines, n_repeat_words."""
     texts = text_array(texts)
@@ -54,8 +66,7 @@ def text_stats(texts: pa.Array) -> np.ndarray:
     out[:, 0] = np.diff(ends)
     out[:, 1] = chars[ends[1:]] - chars[ends[:-1]]
     out[:, 2] = pc.count_substring_regex(texts, "[#*$%&|<>]").to_numpy(zero_copy_only=False)
-    n = np.int64(max(1, len(distinct)))
-    triple = (idx[:-2] * n + idx[1:-1]) * n + idx[2:]  # exact: a slice has under two million distinct words
+    triple = triples(idx, len(distinct))
     for i, (a, b) in enumerate(zip(ends[:-1], ends[1:])):
         if b - a > 3:
             own = triple[a : b - 2]
@@ -107,72 +118,99 @@ def _quartiles(rows: DataFrame) -> DataFrame:
     return got.groupBy("g").agg(F.array_sort(F.collect_list(F.struct("k", "q1", "q2", "q3"))).alias("q"))
 
 
-_PARAMS = "g string, mean array<double>, prec array<double>, scale double"
+_PARAMS = "g string, start int, mean array<double>, prec array<double>, scale double, logdet double"
+_NAMES = [c.split()[0] for c in _PARAMS.split(", ")]
 
 
-def _invert(centre: np.ndarray, cov: np.ndarray, g: str, scale: float) -> list:
-    return [g, centre.tolist(), np.linalg.inv(cov + np.diag(np.square(FLOORS))).ravel().tolist(), scale]
+def _fitted(g: str, start: int, centre: np.ndarray, cov: np.ndarray, scale: float) -> list:
+    cov = cov + np.diag(np.square(FLOORS))
+    return [g, start, centre.tolist(), np.linalg.inv(cov).ravel().tolist(), scale, float(np.linalg.slogdet(cov)[1])]
 
 
-def _start(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _medians(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         out = []
         for g, q in zip(b["g"], b["q"]):
             m = np.array([[r["q1"], r["q2"], r["q3"]] for r in q]) / GRID
-            out.append(_invert(m[:, 1] + 0.5 / GRID, np.diag(((m[:, 2] - m[:, 0]) / 1.349) ** 2), g, 1.0))
-        yield pd.DataFrame(out, columns=["g", "mean", "prec", "scale"])
+            out.append(_fitted(g, 0, m[:, 1] + 0.5 / GRID, np.diag(((m[:, 2] - m[:, 0]) / 1.349) ** 2), 1.0))
+        yield pd.DataFrame(out, columns=_NAMES)
+
+
+def _drawn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        out = []
+        for g, start, ys in zip(b["g"], b["start"], b["ys"]):
+            y = np.array([list(r) for r in ys])
+            out.append(_fitted(g, start, y.mean(axis=0), np.cov(y.T, bias=True), 1.0))
+        yield pd.DataFrame(out, columns=_NAMES)
+
+
+def _starts(fit: DataFrame, starts: int) -> DataFrame:
+    """The first parameters of each group: start 0 from medians, the others from FEWEST rows of least hash each."""
+    key = F.xxhash64("doc_id", *VALUES)
+    cells = fit.select("g", F.array(*VALUES).alias("y"), key.alias("h")).withColumn("cell", F.pmod("h", F.lit(FEWEST * max(1, starts - 1))))
+    rows = cells.groupBy("g", "cell").agg(F.min(F.struct("h", "y"))["y"].alias("y"))
+    drawn = rows.groupBy("g", (F.floor(F.col("cell") / FEWEST) + 1).cast("int").alias("start")).agg(F.array_sort(F.collect_list("y")).alias("ys"))
+    medians = _quartiles(fit).mapInPandas(_medians, _PARAMS)
+    return medians.unionByName(drawn.mapInPandas(_drawn, _PARAMS)) if starts > 1 else medians
 
 
 def _next(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     k = len(VALUES)
     for b in batches:
         out = []
-        for g, n, s, ss, middle in zip(b["g"], b["n"], b["s"], b["ss"], b["middle"]):
+        for g, start, n, s, ss, middle in zip(b["g"], b["start"], b["n"], b["s"], b["ss"], b["middle"]):
             mean = np.array(s) / n
             cov = np.array(ss).reshape(k, k) / n - np.outer(mean, mean)
-            out.append(_invert(mean, cov, g, max(1.0, float(np.exp(middle / BIN)) / chi_square(0.5, k))))
-        yield pd.DataFrame(out, columns=["g", "mean", "prec", "scale"])
+            out.append(_fitted(g, start, mean, cov, max(1.0, float(np.exp(middle / BIN)) / chi_square(0.5, k))))
+        yield pd.DataFrame(out, columns=_NAMES)
 
 
-def _distance(rows: DataFrame, params: DataFrame) -> DataFrame:
+def _distance(mean: Column, prec: Column) -> Column:
     k = len(VALUES)
-    off = [F.col(y) - F.element_at("mean", i + 1) for i, y in enumerate(VALUES)]
-    d2 = sum((F.element_at("prec", i * k + j + 1) * off[i] * off[j] * (1 if i == j else 2) for i in range(k) for j in range(i, k)), F.lit(0.0))
-    return rows.join(maybe_broadcast(params, 100_000), "g", "left").withColumn("d2", d2)
+    off = [F.col(y) - F.element_at(mean, i + 1) for i, y in enumerate(VALUES)]
+    return sum((F.element_at(prec, i * k + j + 1) * off[i] * off[j] * (1 if i == j else 2) for i in range(k) for j in range(i, k)), F.lit(0.0))
 
 
-def _step(rows: DataFrame, params: DataFrame) -> DataFrame:
-    cell = F.floor(F.log(F.greatest(F.col("d2"), F.lit(1e-4))) * BIN)
+def _step(rows: DataFrame, params: DataFrame, starts: int) -> DataFrame:
     k = len(VALUES)
+    one = lambda i: F.max(F.when(F.col("start") == i, F.struct("mean", "prec"))).alias(f"p{i}")
+    wide = cut(params.groupBy("g").agg(*[one(i) for i in range(starts)]))
+    at = [F.struct(F.lit(i).alias("start"), _distance(F.col(f"p{i}.mean"), F.col(f"p{i}.prec")).alias("d2")) for i in range(starts)]
+    spread = rows.join(maybe_broadcast(wide, 100_000), "g").select("g", *VALUES, F.inline(F.array(*at))).filter("d2 IS NOT NULL")
+    cell = F.floor(F.log(F.greatest(F.col("d2"), F.lit(1e-4))) * BIN)
     moments = [F.sum(F.col(a) * F.col(b)).alias(f"m{i}{j}") for i, a in enumerate(VALUES) for j, b in enumerate(VALUES) if i <= j]
-    cells = _distance(rows, params).withColumn("cell", cell).groupBy("g", "cell").agg(F.count("*").alias("n"), *[F.sum(y).alias(f"s{i}") for i, y in enumerate(VALUES)], *moments)
-    up = Window.partitionBy("g").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.withColumn("before", F.coalesce(F.sum("n").over(up), F.lit(0))).withColumn("all", F.sum("n").over(Window.partitionBy("g")))
+    cells = spread.withColumn("cell", cell).groupBy("g", "start", "cell").agg(F.count("*").alias("n"), *[F.sum(y).alias(f"s{i}") for i, y in enumerate(VALUES)], *moments)
+    up = Window.partitionBy("g", "start").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("before", F.coalesce(F.sum("n").over(up), F.lit(0))).withColumn("all", F.sum("n").over(Window.partitionBy("g", "start")))
     middle = F.max(F.when(F.col("before") < F.col("all") * 0.5, F.col("cell"))).alias("middle")
     core = F.col("before") < F.col("all") * CORE
     total = lambda c: F.sum(F.when(core, F.col(c)).otherwise(0.0))
-    got = cells.groupBy("g").agg(
+    got = cells.groupBy("g", "start").agg(
         F.sum(F.when(core, F.col("n")).otherwise(0)).cast("double").alias("n"),
         F.array(*[total(f"s{i}") for i in range(k)]).alias("s"),
         F.array(*[total(f"m{min(i, j)}{max(i, j)}") for i in range(k) for j in range(k)]).alias("ss"),
         middle,
-        F.max("all").alias("rows_in_group"),
     )
-    return got.filter(F.col("rows_in_group") >= MIN_ROWS).drop("rows_in_group").mapInPandas(_next, _PARAMS)
+    return got.mapInPandas(_next, _PARAMS)
 
 
-def robust_outliers(stats: DataFrame, steps: int = STEPS, tail: float = TAIL) -> DataFrame:
+def estimates(fit: DataFrame, steps: int = STEPS, starts: int = STARTS) -> DataFrame:
+    """The parameters of each group of fit (g, doc_id, VALUES): of all starts those of least determinant (ties: the first)."""
+    params = cut(_starts(fit, starts))
+    for _ in range(steps):
+        params = cut(_step(fit, params, starts))
+    return params.groupBy("g").agg(F.min(F.struct(F.round("logdet", 9).alias("least"), "start", "mean", "prec", "scale", "logdet")).alias("p")).select("g", "p.mean", "p.prec", "p.scale", "p.logdet")
+
+
+def robust_outliers(stats: DataFrame, steps: int = STEPS, tail: float = TAIL, starts: int = STARTS) -> DataFrame:
     """stats with distance (null where base rules alone decide), base_failed and kept."""
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    rows = cut(vector(stats).withColumn("base_failed", failed).withColumn("own", _group()))
-    fit = rows.filter(~F.col("base_failed"))
-    sizes = cut(fit.groupBy("own").agg(F.count("*").alias("rows_in_group")))
-    sized = rows.join(maybe_broadcast(sizes, 100_000), "own", "left").withColumn("g", F.when(F.col("rows_in_group") >= MIN_ROWS, F.col("own")).otherwise("*"))
-    fit = sized.filter(~F.col("base_failed"))
-    params = cut(_quartiles(fit).mapInPandas(_start, _PARAMS))
-    for _ in range(steps):
-        params = cut(_step(fit, params))
-    judged = _distance(sized, params).withColumn("distance", F.when(~F.col("base_failed"), F.col("d2") / F.col("scale")))
+    rows = cut(vector(stats).withColumn("base_failed", failed).withColumn("g", _group()))
+    sizes = cut(rows.filter(~F.col("base_failed")).groupBy("g").agg(F.count("*").alias("n")).filter(F.col("n") >= FEWEST).select("g"))
+    fit = rows.filter(~F.col("base_failed")).join(maybe_broadcast(sizes, 100_000), "g")
+    params = cut(estimates(fit, steps, starts))
+    judged = rows.join(maybe_broadcast(params, 100_000), "g", "left").withColumn("distance", F.when(~F.col("base_failed"), _distance(F.col("mean"), F.col("prec")) / F.col("scale")))
     return judged.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= chi_square(1 - tail, len(VALUES)), F.lit(True)))
 
 
