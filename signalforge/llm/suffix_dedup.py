@@ -5,7 +5,8 @@ A byte goes if a string of LENGTH bytes that covers it starts at another place t
 1. Equal texts form a class; of each class one text is searched. A class of several texts is wholly repeated.
 2. Every window of LENGTH bytes belongs to the leftmost least-hashed GRAM-byte string inside it (a minimiser). The choice
    depends on the window's bytes alone, so equal windows have equal minimisers at equal places. Runs of windows with one
-   minimiser make a region of some 275 bytes; regions whose minimiser occurs once cannot hold a repeated window.
+   minimiser make a region of some 275 bytes; regions whose minimiser occurs once cannot hold a repeated window. Of a
+   minimiser that a task meets several times, one run is sent to where all its runs are counted, and the others anywhere.
 3. Regions are dealt to shards by minimiser; equal regions count as one with a multiplicity. A shard's regions are
    concatenated, their suffixes sorted by Larsson-Sadakane doubling in numpy (only unsorted groups are refined), and Kasai's
    pass, in step over all regions, gives common prefixes; windows in a run of common prefixes of LENGTH or more repeat.
@@ -13,8 +14,11 @@ A byte goes if a string of LENGTH bytes that covers it starts at another place t
    one part are looked up in another's by binary search, one task for each pair of parts.
 5. Repeated windows go back to their documents as spans; the remaining bytes are cut out of each text.
 
-Defined cases: null text: empty. Texts under LENGTH bytes: kept whole. Null doc_id: a document like any other. Repeated
-rows are different documents with equal texts. Extra columns are ignored. Empty table: no rows.
+A class is known by a 64-bit hash of its text, a region by one of its bytes.
+
+Defined cases: null text: empty. Texts under LENGTH bytes: kept whole. Very long texts: whole, searched in overlapping
+parts. Null doc_id: a document like any other. Repeated rows are different documents with equal texts; rows of one doc_id
+with unlike texts are different documents. Extra columns are ignored. Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -32,24 +36,21 @@ from pyspark.sql import functions as F
 from .common import cut, maybe_broadcast, mix, slices, table
 
 LENGTH, GRAM = 200, 50
-BLOCK = 8192
+BLOCK = 4096
 SHARD_BYTES = 1 << 20
 _B = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_B), -1, 2**64))
 
 
-def text_class(data: bytes) -> int:
-    return int(np.array([xxhash.xxh3_64_intdigest(data, seed=len(data))], "uint64").view("int64")[0])
-
+def classed(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text) with null texts empty, and cls, the class of each text."""
+    return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("cls", F.xxhash64("text"))
 
-def scan(docs: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, max_bytes=16 << 20):
-                data = [(t or "").encode() for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([text_class(d) for d in data], pa.int64()), pa.array([len(d) for d in data], pa.int64())], ["doc_id", "cls", "n_bytes"])
 
-    return docs.mapInArrow(run, "doc_id long, cls long, n_bytes long")
+def of_class(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Rows of classed docs joined with chosen (id, cls, ...) on both; by both keys, so no class makes a large partition."""
+    chosen = chosen.withColumnRenamed("cls", "_cls")
+    return docs.join(chosen, (docs["cls"] == chosen["_cls"]) & docs["doc_id"].eqNullSafe(chosen["id"])).drop("_cls", "id")
 
 
 def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
@@ -95,18 +96,26 @@ def runs_of_windows(texts: list[bytes], length: int = LENGTH, gram: int = GRAM)
     return o, h[p], p - (ends - sizes)[o], p - starts[first], p - starts[last]
 
 
+RUNS = "gram long, cls long, place long, far short, near short, kind byte"
+FIRST_OF_MANY, ALONE, MORE = 0, 1, 2
+
+
 def window_runs(docs: DataFrame) -> DataFrame:
-    """(gram, cls, place, far, near) for each run of windows of each class; copies within a task count once."""
+    """A row for each run of windows of each class; copies within a task count once.
+
+    kind: MORE for runs whose minimiser another run of this slice has too, FIRST_OF_MANY for that other one, else ALONE.
+    """
+    names = [c.split()[0] for c in RUNS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             for part in slices(batch, max_bytes=2 << 20):
                 texts, cls = [], []
-                for t in part.column("text").to_pylist():
-                    data = (t or "").encode()
-                    if len(data) >= LENGTH and (c := text_class(data)) not in seen:
-                        if len(seen) < 1_000_000:  # only saves work: repeats are removed later too
+                for t, c in zip(part.column("text").to_pylist(), part.column("cls").to_pylist()):
+                    data = t.encode()
+                    if len(data) >= LENGTH and c not in seen:
+                        if len(seen) < 200_000:  # only saves work: repeats are removed later too
                             seen.add(c)
                         texts.append(data)
                         cls.append(c)
@@ -119,57 +128,61 @@ def window_runs(docs: DataFrame) -> DataFrame:
                         group, size = [], 0
 
     def _emit(texts: list[bytes], cls: list[int]) -> Iterator[pa.RecordBatch]:
-        step = 8 << 20
+        step = 4 << 20
         if len(texts) == 1 and len(texts[0]) > step:
             # A very long text goes in overlapping parts; each window starts in exactly one of them.
             for a in range(0, len(texts[0]) - LENGTH + 1, step):
-                yield from _rows([texts[0][a : a + step + LENGTH - 1]], cls, a)
+                yield _rows([texts[0][a : a + step + LENGTH - 1]], cls, a)
         else:
-            yield from _rows(texts, cls, 0)
+            yield _rows(texts, cls, 0)
 
-    def _rows(texts: list[bytes], cls: list[int], shift: int) -> Iterator[pa.RecordBatch]:
+    def _rows(texts: list[bytes], cls: list[int], shift: int) -> pa.RecordBatch:
         o, h, place, far, near = runs_of_windows(texts)
-        yield pa.RecordBatch.from_arrays([pa.array(h.view("int64")), pa.array(np.array(cls, "int64")[o]), pa.array(place + shift), pa.array(far.astype("int16")), pa.array(near.astype("int16"))], ["gram", "cls", "place", "far", "near"])
+        _, first, which, times = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+        kind = np.where(times[which] > 1, MORE, ALONE)
+        kind[first[times > 1]] = FIRST_OF_MANY
+        return pa.RecordBatch.from_arrays([pa.array(h.view("int64")), pa.array(np.array(cls, "int64")[o]), pa.array(place + shift), pa.array(far.astype("int16")), pa.array(near.astype("int16")), pa.array(kind.astype("int8"))], names)
 
-    return docs.select("text").mapInArrow(run, "gram long, cls long, place long, far short, near short")
+    return docs.select("text", "cls").mapInArrow(run, RUNS)
 
 
 def repeated_grams(runs: DataFrame) -> DataFrame:
     """The runs whose minimiser occurs at two or more different places."""
+    names = [c.split()[0] for c in RUNS.split(", ")]
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["gram", "cls", "place", "far", "near"]
-        last, given = None, True
+        last, given = None, True  # the last row, with the kind of its minimiser's first row, and whether it was given out
         for b in batches:
             if not b.num_rows:
                 continue
             cols = [b.column(n).to_numpy(zero_copy_only=False) for n in names]
             if last is not None:
                 cols = [np.r_[x, c].astype(c.dtype) for x, c in zip(last, cols)]
-            g, c, p, f, _ = cols
+            g, c, p, f = cols[:4]
             fresh = np.r_[True, (g[1:] != g[:-1]) | (c[1:] != c[:-1]) | (p[1:] != p[:-1]) | (f[1:] != f[:-1])]
             held = last is not None
             cols = [x[fresh] for x in cols]
-            g = cols[0]
+            g, kind = cols[0], cols[5].copy()
             same = g[1:] == g[:-1]
-            many = np.r_[False, same] | np.r_[same, False]
-            out = many.copy()
+            start = np.maximum.accumulate(np.where(np.r_[True, ~same], np.arange(len(g)), 0))
+            kind = np.minimum(kind, np.where(kind[start] == FIRST_OF_MANY, FIRST_OF_MANY, MORE))
+            out = np.r_[False, same] | np.r_[same, False] | (kind != ALONE)
             if held and given:
                 out[0] = False
             # The last row waits: the next batch may hold its partner.
-            given = bool(many[-1]) if not (held and len(g) == 1) else given
+            given = bool(out[-1]) or (held and len(g) == 1 and given)
+            cols[5] = kind.astype("int8")
             last = [x[-1:] for x in cols]
             yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in cols], names)
 
-    ordered = runs.repartition("gram").sortWithinPartitions("gram", "cls", "place", F.desc("far"))
-    return ordered.mapInArrow(keep, "gram long, cls long, place long, far short, near short")
+    ordered = runs.repartition(F.when(F.col("kind") == MORE, F.xxhash64("cls", "place")).otherwise(F.col("gram"))).sortWithinPartitions("gram", "kind", "cls", "place", F.desc("far"))
+    return ordered.mapInArrow(keep, RUNS).drop("kind")
 
 
 def regions(docs: DataFrame, names: DataFrame, runs: DataFrame) -> DataFrame:
     """(cls, start, gram, rid, size, data): the region of each run; data only where this task has not yet given the region rid."""
     by_text = runs.groupBy("cls").agg(F.collect_list(F.struct("gram", "place", "far", "near")).alias("runs"))
-    wanted = cut(by_text.join(names, "cls"))
-    texts = docs.join(maybe_broadcast(wanted, 200_000), docs["doc_id"].eqNullSafe(wanted["id"])).select("text", "cls", "runs")
+    texts = of_class(docs, by_text.join(names, "cls")).select("text", "cls", "runs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -177,17 +190,15 @@ def regions(docs: DataFrame, names: DataFrame, runs: DataFrame) -> DataFrame:
             for part in slices(batch, max_bytes=1 << 20):
                 out: list[list] = [[] for _ in range(6)]
                 for text, cls, own in zip(part.column("text").to_pylist(), part.column("cls").to_pylist(), part.column("runs").to_pylist()):
-                    data = (text or "").encode()
-                    if text_class(data) != cls:
-                        continue
-                    for r in own:
-                        a = r["place"] - r["far"]
-                        piece = data[a : r["place"] - r["near"] + LENGTH]
-                        rid = int(np.array([xxhash.xxh3_64_intdigest(piece, seed=r["far"])], "uint64").view("int64")[0])
+                    data = text.encode()
+                    for gram, place, far, near in sorted({tuple(r.values()) for r in own}):
+                        a = place - far
+                        piece = data[a : place - near + LENGTH]
+                        rid = int(np.array([xxhash.xxh3_64_intdigest(piece, seed=far)], "uint64").view("int64")[0])
                         new = rid not in seen
-                        if new and len(seen) < 2_000_000:
+                        if new and len(seen) < 500_000:
                             seen.add(rid)
-                        for column, value in zip(out, (cls, a, r["gram"], rid, len(piece), piece if new else None)):
+                        for column, value in zip(out, (cls, a, gram, rid, len(piece), piece if new else None)):
                             column.append(value)
                 yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in out[:5]), pa.array(out[5], pa.binary())], ["cls", "start", "gram", "rid", "size", "data"])
 
@@ -346,7 +357,7 @@ def repeated_spans(docs: DataFrame, scanned: DataFrame) -> DataFrame:
     found = cut(regions(docs, classes.select("cls", "id"), runs))
     times = found.groupBy("gram", "rid").agg(F.count("*").alias("times"), F.max("size").alias("size"))
     different = times.groupBy("gram").agg(F.count("*").alias("regions")).filter("regions > 1")
-    wide = found.filter("data IS NOT NULL").select("gram", "rid", "data").join(different, "gram").dropDuplicates(["rid"])
+    wide = found.filter("data IS NOT NULL").select("gram", "rid", "data").dropDuplicates(["rid"]).join(different, "gram")
     wide = wide.withColumn("parts", F.ceil(F.col("regions") / F.lit(BLOCK)).cast("int")).withColumn("part", F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int"))
     wide = wide.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     lo, hi = F.least("part", "other"), F.greatest("part", "other")
@@ -371,23 +382,19 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, kept binary, spans array<struct<a, z>>) for each row of docs (doc_id, text)."""
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    scanned = cut(scan(docs))
-    spans = repeated_spans(docs, scanned)
-    by_doc = scanned.join(spans, "cls").select("doc_id", "cls", "spans").dropDuplicates(["doc_id", "cls"])
-    by_doc = cut(by_doc.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("cls", "spans")).alias("known")))
-    joined = docs.join(maybe_broadcast(by_doc, 200_000), docs["doc_id"].eqNullSafe(by_doc["_id"]), "left").select("doc_id", "text", "known")
+    docs = classed(docs)
+    scanned = cut(docs.select("doc_id", "cls", F.octet_length("text").cast("long").alias("n_bytes")))
+    spans = cut(repeated_spans(docs, scanned))
+    known = scanned.select("doc_id", "cls").distinct().join(spans, "cls").select(F.col("doc_id").alias("id"), F.col("cls").alias("_cls"), "spans")
+    joined = docs.join(known, (docs["cls"] == known["_cls"]) & docs["doc_id"].eqNullSafe(known["id"]), "left").select("doc_id", "text", "spans")
     one = pa.list_(pa.struct([("a", pa.int64()), ("z", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, max_bytes=4 << 20):
                 sizes, kept, gone = [], [], []
-                for text, known in zip(part.column("text").to_pylist(), part.column("known").to_pylist()):
-                    data, spans = (text or "").encode(), []
-                    if known:
-                        cls = text_class(data)
-                        spans = merge_spans([(s["a"], s["z"]) for k in known if k["cls"] == cls for s in k["spans"]])
+                for text, known in zip(part.column("text").to_pylist(), part.column("spans").to_pylist()):
+                    data, spans = text.encode(), merge_spans([(s["a"], s["z"]) for s in known or ()])
                     at, left = 0, []
                     for a, z in spans:
                         left.append(data[at:a])
