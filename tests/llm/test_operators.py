@@ -97,7 +97,7 @@ def _windows(data):
     return [data[k : k + 200] for k in range(len(data) - 199)]
 
 
-@pytest.mark.parametrize("block", [8192, 2])
+@pytest.mark.parametrize("block", [4096, 2])
 def test_suffix_dedup_is_exact(docs, corpus, block, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "BLOCK", block)
     texts = [(c[0], (c[1] or "").encode()) for c in corpus]
@@ -150,24 +150,24 @@ def test_fuzzy_passages_of_gapped_chains(spark):
 
 
 def test_fuzzy_passages_beyond_first_holders(spark):
-    from signalforge.llm.suffix_dedup import text_class
+    from signalforge.llm.suffix_dedup import classed
 
     rng = random.Random(33)
     fresh = lambda n: _words(rng, n, 10**7)
     one, twice = fresh(60), fresh(60)
 
-    def classed(low, make):
-        while (text_class(" ".join(w := make()).encode()) < 0) != low:
-            pass
-        return w
+    def with_class(low, make):
+        tried = [make() for _ in range(20)]
+        rows = classed(spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(tried)], "doc_id long, text string")).collect()
+        return next(tried[r["doc_id"]] for r in rows if (r["cls"] < 0) == low)
 
     texts = {
-        1: classed(True, lambda: fresh(70) + one[:34] + fresh(70)),
-        2: classed(True, lambda: fresh(70) + one[26:] + fresh(70)),
-        3: classed(False, lambda: fresh(50) + one + fresh(90)),
-        4: classed(False, lambda: fresh(90) + one + fresh(50)),
-        5: classed(True, lambda: fresh(50) + twice + fresh(80) + twice + fresh(50)),
-        6: classed(False, lambda: fresh(70) + twice + fresh(50)),
+        1: with_class(True, lambda: fresh(70) + one[:34] + fresh(70)),
+        2: with_class(True, lambda: fresh(70) + one[26:] + fresh(70)),
+        3: with_class(False, lambda: fresh(50) + one + fresh(90)),
+        4: with_class(False, lambda: fresh(90) + one + fresh(50)),
+        5: with_class(True, lambda: fresh(50) + twice + fresh(80) + twice + fresh(50)),
+        6: with_class(False, lambda: fresh(70) + twice + fresh(50)),
     }
     assert _shared(spark, texts) == {1: [], 2: [], 3: [(50, 110)], 4: [(90, 150)], 5: [(50, 110), (190, 250)], 6: [(70, 130)]}
 
@@ -322,3 +322,187 @@ def test_empty_tables(empty, spark):
     pieces = language.load_pieces()
     assert language.identify(empty, language.learn(empty, pieces), pieces).count() == 0
     assert contamination.contained_items(empty, spark.createDataFrame([], "item_id long, text string")).count() == 0
+
+
+def test_chat_ties_are_ordered_by_raw_text(spark):
+    turns = [(1, 0, "assistant", "<ab"), (1, 0, "assistant", "<|x"), (1, 0, "assistant", "<|x"), (1, 0, "assistant", "<a")]
+    windows = chat.chat_windows(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"), load_ranks())
+    got = chat.read_back(windows).first()
+    said = "".join(sorted(t for *_, t in turns))
+    assert got["loss_sha256"] == hashlib.sha256(said.encode()).hexdigest() and got["n_turns"] == 4
+
+
+def test_chat_long_turns_and_empty_table(spark):
+    kind = "conv_id long, turn long, role string, text string, head string, n string"
+    long = "word <|im_end|> " * 60_000
+    turns = spark.createDataFrame([(1, 0, "system", "s", "a", "b"), (1, 1, "user", long, "a", "b"), (1, 2, "assistant", long, "a", "b")], kind)
+    got = chat.read_back(chat.chat_windows(turns, load_ranks())).first()
+    assert got["loss_chars"] == len(long) and got["loss_sha256"] == hashlib.sha256(long.encode()).hexdigest()
+    assert chat.chat_windows(turns.limit(0), load_ranks()).count() == 0
+
+
+def test_triples_are_exact_with_many_words():
+    rng = np.random.default_rng(1)
+    idx = rng.integers(0, 3, 500).astype("int64")
+    big = idx * 1_400_000 + 7
+    a, b = quality.triples(idx, 3), quality.triples(big, 3_000_000)
+    assert ((a[:, None] == a[None]) == (b[:, None] == b[None])).all()
+
+
+def _scatter(y, core):
+    return np.cov(y[core].T, bias=True) + np.diag(np.square(quality.FLOORS))
+
+
+def test_outliers_against_many_starts(spark):
+    """Groups with planted outliers: the least determinant that 300 random starts find, and all verdicts that are not close."""
+    rng = np.random.default_rng(8)
+    rows, truth = [], {}
+    for g, (n, bad) in enumerate(((400, 0.25), (150, 0.1), (60, 0.0))):
+        y = rng.normal(size=(n, 5)) @ (np.diag([0.2, 0.3, 0.8, 0.6, 1.0]) + 0.1 * np.triu(rng.normal(size=(5, 5)), 1))
+        out = int(bad * n)
+        y[:out] += 25
+        rows += [(f"g{g}", 1000 * g + i, *map(float, y[i])) for i in range(n)]
+        truth[f"g{g}"] = (y, out)
+    fit = spark.createDataFrame(rows, "g string, doc_id long, y0 double, y1 double, y2 double, y3 double, y4 double")
+    got = {r["g"]: r for r in quality.estimates(fit).collect()}
+    for g, (y, out) in truth.items():
+        h, best = int(np.ceil(quality.CORE * len(y))), np.inf
+        for _ in range(300):
+            core = rng.choice(len(y), quality.FEWEST, replace=False)
+            for _ in range(6):
+                d = y - y[core].mean(axis=0)
+                core = np.argsort(np.einsum("ij,jk,ik->i", d, np.linalg.inv(_scatter(y, core)), d))[:h]
+            best = min(best, np.linalg.slogdet(_scatter(y, core))[1])
+        # The core has whole bins, so it may be a little larger than h.
+        assert got[g]["logdet"] < best + 0.35, (g, got[g]["logdet"], best)
+        off = y - np.array(got[g]["mean"])
+        d2 = np.einsum("ij,jk,ik->i", off, np.array(got[g]["prec"]).reshape(5, 5), off) / got[g]["scale"]
+        cut = quality.chi_square(1 - quality.TAIL, 5)
+        assert (d2[:out] > cut).all() and (d2[out:] <= cut).mean() > 0.99
+
+
+def test_symbols_and_repeated_lines(docs, corpus, spark):
+    texts = [(1, "a #*b\n\n$ x\nq\n$ x\n \n$ x", "en", "s", 0), (2, None, None, None, 0), (2, "", None, None, 0)]
+    got = {(r["doc_id"], r["n_words"]): r for r in quality.robust_outliers(quality.quality_stats(spark.createDataFrame(texts, DOCS))).collect()}
+    r = got[1, 9]
+    assert (r["n_symbols"], r["n_dup_lines"], r["n_lines"], r["base_failed"], r["kept"]) == (5, 2, 5, True, False)
+    assert got[2, 0]["base_failed"]
+
+
+def test_long_words_are_scored_whole():
+    pieces = ["▁a", "▁", "a", "ab", "b", "bc", "c"]
+    v = language.Vocabulary(pieces)
+    rng = np.random.default_rng(2)
+    p = rng.random((8, 2)) / 4
+    for w in ("abcab", "abzcbca" * 4):
+        short = language.Lattice(v, [w]).log_probs(p)[0]
+        assert np.allclose(short, language.LongWord(v, w).log_probs(p))
+        assert np.allclose(language.Lattice(v, [w]).expected(p[:, :1], np.array([3.0])), language.LongWord(v, w).expected(p[:, :1], 3.0))
+    assert np.isfinite(language.word_logs(v, p, ["abc" * 20_000, "ab"])).all()
+
+
+def test_language_scores_do_not_depend_on_neighbours():
+    pieces, rng = ["▁a", "▁", "a", "ab", "b", "bc", "c"], np.random.default_rng(4)
+    import pyarrow as pa
+
+    model = {"langs": ["x", "y"], "probs": rng.random((8, 2)) / 4, "prior": np.log([0.5, 0.5])}
+    v, texts = language.Vocabulary(pieces), ["abc ab", "b", None, "\u0301", "abcabc " * 300, "b"]
+    langs, scores = language.score_texts(v, model, pa.array(texts))
+    for i, t in enumerate(texts):
+        one, score = language.score_texts(v, model, pa.array([t], pa.string()))
+        assert one[0] == langs[i] and score[0] == scores[i]
+    assert langs[2] == langs[3] == "und" and scores[1] == scores[5]
+
+
+def test_expectation_maximisation_against_brute_force(spark):
+    pieces = ["▁a", "▁", "a", "ab", "b"]
+    docs = spark.createDataFrame([(i, "ab a ab", "x", None, None) for i in range(30)] + [(i, "ba b", "y", None, None) for i in range(30, 60)], DOCS)
+    model = language.learn(docs, pieces, rounds=3)
+    taught = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+
+    def cuts(s):
+        return [[]] if not s else [[p, *rest] for p in pieces if s.startswith(p) for rest in cuts(s[len(p) :])]
+
+    for k, (lang, words, ids) in enumerate((("x", ["▁ab", "▁a", "▁ab"], [i for i in taught if i < 30]), ("y", ["▁ba", "▁b"], [i for i in taught if i >= 30]))):
+        p = dict.fromkeys(pieces, 1 / len(pieces))
+        for _ in range(3):
+            c = dict.fromkeys(pieces, 0.0)
+            for w in words:
+                ways = [(x, np.prod([p[y] for y in x])) for x in cuts(w)]
+                for x, q in ways:
+                    for y in x:
+                        c[y] += len(ids) * q / sum(q for _, q in ways)
+            total = sum(v + 0.01 for v in c.values())
+            p = {y: (v + 0.01) / total for y, v in c.items()}
+        assert model["langs"][k] == lang and np.allclose(model["probs"][:-1, k], [p[x] for x in pieces], atol=1e-5)
+
+
+def test_sections_against_brute_force(docs, corpus, spark):
+    e = build_encoding(load_ranks())
+    texts = {1: "Title here\n\n| a | b |\n- item one\nbody text runs\n\nmore 漢字 body", 2: "\n \n", 3: "x" * 30_000 + "\n- y"}
+    rows = attribution.attribute(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), load_ranks()).collect()
+    for r in rows:
+        data, at = texts[r["doc_id"]].encode(), 0
+        want = [0] * len(r["sections"])
+        for token in e.encode_ordinary(texts[r["doc_id"]]):
+            n = len(e.decode_single_token_bytes(token))
+            shares = [max(0, min(at + n, s["end"]) - max(at, s["start"])) for s in r["sections"]]
+            want[shares.index(max(shares))] += 1
+            at += n
+        assert at == len(data) and want == [s["n_tokens"] for s in r["sections"]]
+        assert "".join(data[s["start"] : s["end"]].decode() for s in r["sections"]) == texts[r["doc_id"]]
+    assert [s["kind"] for s in rows[0]["sections"]] == ["title", "blank", "table", "list", "body", "blank", "body"]
+
+
+def test_repeats_with_null_and_repeated_ids(spark):
+    rng = random.Random(6)
+    passage = " ".join(_words(rng, 80, 10**6))
+    texts = [(None, "a " + passage), (None, "b " + passage), (None, "c"), (7, "d " + passage + " e"), (7, passage), (8, passage), (8, passage)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    gone = collections.Counter((r["doc_id"], r["n_bytes"], r["n_bytes"] - len(r["kept"])) for r in suffix_dedup.remove_repeats(docs).collect())
+    data = [t.encode() for _, t in texts]
+    counts = collections.Counter(w for d in data for w in _windows(d))
+    want = collections.Counter()
+    for (i, _), d in zip(texts, data):
+        hit = [False] * len(d)
+        for k, w in enumerate(_windows(d)):
+            if counts[w] > 1:
+                hit[k : k + 200] = [True] * 200
+        want[i, len(d), sum(hit)] += 1
+    assert gone == want
+    words = fuzzy_passages.fuzzy_passages(docs).collect()
+    assert len(words) == len(texts) and sum(bool(r["spans"]) for r in words) == 6
+
+
+def test_recall_of_edited_passages(spark):
+    """Passages of 60 to 120 words with one word in twelve changed, in texts of their own: found in both, little else marked."""
+    rng = random.Random(44)
+    texts, truth = {}, {}
+    for k in range(60):
+        p = _words(rng, rng.randrange(60, 121), 10**7)
+        for side in (0, 1):
+            own = [f"z{rng.randrange(10**7)}" if side and rng.random() < 1 / 12 else w for w in p]
+            before = _words(rng, rng.randrange(50, 200), 10**7)
+            texts[2 * k + side] = before + own + _words(rng, rng.randrange(50, 200), 10**7)
+            truth[2 * k + side] = (len(before), len(before) + len(p))
+    spans = _shared(spark, texts)
+    found = sum(any(min(z, e) - max(a, b) > 0.8 * (z - a) for b, e in spans[i]) for i, (a, z) in truth.items())
+    marked = sum(e - b for s in spans.values() for b, e in s)
+    right = sum(max(0, min(z, e) - max(a, b)) for i, (a, z) in truth.items() for b, e in spans[i])
+    assert found >= 0.9 * len(truth), (found, len(truth))
+    assert right >= 0.97 * marked, (right, marked)
+
+
+def test_recall_and_precision_of_secrets():
+    """Findings that the model has not seen, with other words around them."""
+    model = secrets.default_model()
+    held_out = secrets.example_findings(n=1200, seed=99, pieces=language.load_pieces())
+    hit = {0: 0, 1: 0}
+    total = {0: 0, 1: 0}
+    for before, value, after, label in held_out:
+        text = before + value + after
+        a, z = len(before), len(before) + len(value)
+        total[label] += 1
+        hit[label] += any(s >= secrets.ACCEPT and x < z and y > a for x, y, s in secrets.find(model, [text])[0])
+    recall, precision = hit[1] / total[1], hit[1] / max(1, hit[0] + hit[1])
+    assert recall > 0.97 and precision > 0.97, (recall, precision)
