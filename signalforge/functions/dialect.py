@@ -6,6 +6,7 @@ built-in expressions: patterns are literals (compiled once a task), lists are on
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "conversations", "labels", "benchmark")
@@ -83,6 +84,26 @@ class Dialect:
     def sort(self, array: str) -> str:
         return f"array_sort({array})"
 
+    def struct(self, **fields: str) -> str:
+        return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + ")"
+
+    def indexed(self, array: str, var: str, index: str, value: str) -> str:
+        """Like transform, with the element's number from 0."""
+        return f"transform({array}, ({var}, {index}) -> {value})"
+
+    def head(self, array: str, n: int | str) -> str:
+        return f"slice({array}, 1, {n})"
+
+    def place_in(self, array: str, value: str) -> str:
+        """The number of a value in an array, from 1; 0 if it is not there."""
+        return f"CAST(array_position({array}, {value}) AS BIGINT)"
+
+    def places(self, col: str, word: str) -> str:
+        """Where the literal `word` (an expression, not empty) starts in col, from 0, without overlaps."""
+        x = f"split({col}, concat('\\\\Q', {word}, '\\\\E'), -1)"
+        before = f"aggregate(slice({x}, 1, i_ + 1), 0, (acc_, u_) -> acc_ + length(u_))"
+        return f"transform(slice({x}, 1, size({x}) - 1), (s_, i_) -> CAST({before} + i_ * length({word}) AS BIGINT))"
+
     def split(self, col: str, pattern: str) -> str:
         return f"split({col}, {self.lit(pattern)})"
 
@@ -153,6 +174,23 @@ class Checker(Dialect):
     def sort(self, array: str) -> str:
         return f"list_sort({array})"
 
+    def struct(self, **fields: str) -> str:
+        return "struct_pack(" + ", ".join(f"{k} := {v}" for k, v in fields.items()) + ")"
+
+    def indexed(self, array: str, var: str, index: str, value: str) -> str:
+        return f"list_transform({array}, lambda {var}, {index}_: {re.sub(rf'{chr(92)}b{index}{chr(92)}b', f'({index}_ - 1)', value)})"
+
+    def head(self, array: str, n: int | str) -> str:
+        return f"({array})[1:{n}]"
+
+    def place_in(self, array: str, value: str) -> str:
+        return f"CAST(coalesce(list_position({array}, {value}), 0) AS BIGINT)"
+
+    def places(self, col: str, word: str) -> str:
+        x = f"string_split({col}, {word})"
+        before = f"list_sum(list_transform({x}[1:i_], lambda u_: length(u_)))"
+        return f"list_transform({x}[1:len({x}) - 1], lambda s_, i_: CAST({before} + (i_ - 1) * length({word}) AS BIGINT))"
+
     def split(self, col: str, pattern: str) -> str:
         return f"regexp_split_to_array({col}, {self.lit(pattern)})"
 

@@ -7,7 +7,14 @@ DATA_SCIENTIST = ["data scientist", "applied data scientist", "product data scie
 APPLIED_SCIENTIST_EVIDENCE = ["machine learning", "deep learning", "data science", "statistical", "model development", "modeling", "modelling", "nlp", "natural language processing", "computer vision", "neural network", "ai/ml", "ml model"]
 BUSINESS_ANALYST_EVIDENCE = ["analytics", "sql", "power bi", "tableau", "looker", "dashboard", "business intelligence", "data analytics", "reporting"]
 BUSINESS_ANALYST_NEGATIVE = ["erp", " requirement gathering", "stakeholder management", "uat ", "brd", " srs"]
+STRONG_DATA_EVIDENCE = ["data analysis", "statistical analysis", "statistical modeling", "predictive modeling", "predictive analytics", "machine learning", "supervised learning", "unsupervised learning", "deep learning", "feature engineering", "model development", "model evaluation", "natural language processing", "computer vision", "recommendation system", "causal inference", "data mining", "analytical modeling", "business intelligence", "data science", "hypothesis testing", "time series", "time-series"]
 DATA_FIELDS = ["data analytics", "data science", "data & analytics", "data and analytics"]
+NON_DATA_TITLES = ["machine learning engineer", "ml engineer", "ai engineer", "software engineer", "backend engineer", "data engineer", "analytics engineer", "mlops engineer", "research engineer", "devops engineer", "research scientist", "data entry", "data entry operator", "data entry executive", "data processing executive", "mis executive", "mis coordinator", "content analyst"]
+FRAMED_OTHER_TITLE_RX = r"\b(?:hiring|recruiting|looking\s+for|searching\s+for|seeking|role|position|job\s+title|title|opening|vacancy|designation|join\s+as)\b[^.!?;\n]{0,40}?\b(?:" + "|".join(t.replace(" ", r"\s+") for t in NON_DATA_TITLES) + r")\b"
+DATA_ENTRY_RX = r"\b(?:hiring|recruiting|looking\s+for|searching\s+for|seeking|role|position|job\s+title|title|opening|vacancy|designation|join\s+as|operator|clerk|executive|associate)\b[^.!?;\n]{0,40}?\bdata\s*entry\b|\bdata\s*entry\b[^.!?;\n]{0,25}?\b(?:operator|clerk|executive|associate|role|position|opening|vacancy)\b"
+NOT_DATA_ENTRY_RX = r"\b(?:not|no|non|without)\s+data\s*entry\b"
+PROMO_RX = r"follow|subscrib|stay\s+tuned|join\s+(?:our\s+)?(?:channel|community)|hiring\s+updates|job\s+updates|daily\s+(?:hiring\s+|job\s+)?updates|industry\s+insights|regular\s+.*job\s+updates"
+EMPLOYER_SUBJECT_RX = r"\b([A-Z][A-Za-z0-9&.'’\-]*(?:\s+[A-Z][A-Za-z0-9&.'’\-]*){0,2})\s+(?:is|are)\s+(?:(?:also|now|currently|actively|recently|all)\s+)?(?:hiring|recruiting|looking\s+to\s+hire|looking\s+for)\b"
 HIRING_SIGNALS = ["hiring", "we're hiring", "we are hiring", "now hiring", "hiring for", "looking for", "we're looking for", "we are looking for", "looking to hire", "opening", "open role", "open position", "job opening", "join our team", "building our team", "team is hiring", "apply", "applications open", "send resume", "send your resume", "send cv", "send your cv", "dm to apply", "referrals", "referrals welcome", "seeking candidates", "seeking"]
 VACANCY_LABELS = ["role:", "position:", "job title:", "title:", "opening:", "vacancy:", "designation:", "join as"]
 JOB_SEEKER = ["open to work", "hire me", "seeking opportunities", "seeking a role", "seeking founder's office", "open to opportunities"]
@@ -55,8 +62,19 @@ ALWAYS_REJECT_RX = [
     r"\btalent\s+spotlight\b",
 ]
 INTERNSHIP_RX = r"\b(?:intern(?:ship|ing)?s?|campus\s+hiring)\b"
-INDIA_CITIES = ["bangalore", "bengaluru", "mumbai", "delhi", "delhi ncr", "gurgaon", "gurugram", "noida", "hyderabad", "pune", "chennai", "kolkata", "ahmedabad", "jaipur", "indore", "coimbatore", "chandigarh", "bhubaneswar", "visakhapatnam", "vizag", "nagpur", "surat", "vadodara", "lucknow", "kanpur", "bhopal", "thane", "mysuru", "mysore", "trivandrum", "thiruvananthapuram", "ranchi", "dehradun", "guwahati", "amritsar", "agra", "ghaziabad", "navi mumbai", "raipur"]
+INDIA_CITIES = [
+    "bangalore", "bengaluru", "mumbai", "delhi", "delhi ncr", "gurgaon", "gurugram", "noida", "hyderabad", "pune",
+    "chennai", "kolkata", "ahmedabad", "jaipur", "india", "remote - india", "remote india",
+    "indore", "coimbatore", "chandigarh", "bhubaneswar", "visakhapatnam", "vizag", "nagpur", "surat", "vadodara",
+    "lucknow", "kanpur", "bhopal", "thane", "mysuru", "mysore", "trivandrum", "thiruvananthapuram", "ranchi", "dehradun",
+    "guwahati", "amritsar", "agra", "ghaziabad", "navi mumbai", "raipur",
+    "karnataka", "maharashtra", "telangana", "tamil nadu", "kerala", "gujarat", "rajasthan", "haryana", "uttar pradesh",
+    "west bengal", "andhra pradesh", "madhya pradesh", "odisha", "assam", "chhattisgarh",
+]
+#: Those of INDIA_CITIES that are states.
 INDIA_STATES = ["karnataka", "maharashtra", "telangana", "tamil nadu", "kerala", "gujarat", "rajasthan", "haryana", "uttar pradesh", "west bengal", "andhra pradesh", "madhya pradesh", "odisha", "assam", "chhattisgarh"]
+#: Cities and states in the list's order, with one spelling of a city that has two.
+PLACE_NAMES = [c for c in INDIA_CITIES if "india" not in c and c != "bangalore"]
 NON_INDIA = ["london", "new york", "dubai", "singapore", "toronto", "san francisco", "seattle", "boston", "chicago", "los angeles", "berlin", "paris", "amsterdam", "tokyo", "sydney", "melbourne", "united states", "united kingdom", "canada", "australia", "germany", "france", "netherlands", "japan"]
 NON_INDIA_RX = [r"£\s*\d[\d,]*", r"[\w.\-]+\.co\.uk\b"]
 KNOWN_EMPLOYERS = ["indmoney", "zerodha", "groww", "flipkart", "phonepe", "paytm", "razorpay", "swiggy", "zomato", "oyo", "nykaa", "delhivery", "meesho", "lenskart", "mamaearth", "dream11", "freshworks", "zoho", "browserstack", "postman", "urban company", "infosys", "tcs", "wipro", "hcl", "hcltech", "tech mahindra", "tata", "reliance", "jio", "adani"]
@@ -154,7 +172,7 @@ DATA_WEAK_RX = [
 ]
 GEO_TRAPS_RX = r"(?i)\b(?:indian\s+ocean|british\s+indian\s+ocean\s+territory|west\s+indies|american\s+indian|native\s+indian|indian\s+wells|indian\s+river|indian\s+head|indian\s+trail|indian\s+springs|indian\s+hills)\b"
 GEO_DECISIVE_RX = r"(?i)(₹|\bINR\b|\bRs\.?\s*\d|\bLPA\b|\blakhs?\b|\bcrores?\b|\+91[\s-]?\d|\bPAN[\s-]India\b|\bIIT\b|\bIIM\b|\bBITS\s+Pilani\b)"
-GEO_PLACES_RX = r"(?i)\b(" + "|".join(x.replace(" ", r"\s+") for x in ["india", "indias", "indian", "bharat", "bombay", "new delhi", "ncr", "madras", "calcutta", *INDIA_CITIES, *INDIA_STATES]) + r")\b"
+GEO_PLACES_RX = r"(?i)\b(" + "|".join(x.replace(" ", r"\s+") for x in ["india", "indias", "indian", "bharat", "bombay", "new delhi", "ncr", "madras", "calcutta", *(c for c in INDIA_CITIES if "india" not in c)]) + r")\b"
 GEO_COMPANY_FORM_RX = r"(?i)\b(pvt\.?\s*ltd|private\s+limited)\b"
 GEO_NEIGHBOURS_RX = r"(?i)\b(?:pakistan|bangladesh|sri\s+lanka|nepal|bhutan|lahore|karachi|islamabad|rawalpindi|dhaka|chittagong|colombo|kathmandu)\b"
 GEO_FOREIGN_RX = r"(?i)\b(?:pakistan|bangladesh|sri\s+lanka|nepal|bhutan|maldives|afghanistan|united\s+states|u\.?s\.?a|usa|canada|mexico|brazil|argentina|colombia|chile|latin\s+america|united\s+kingdom|u\.?k\.?|england|scotland|ireland|germany|france|spain|italy|portugal|netherlands|belgium|switzerland|austria|poland|czech|hungary|romania|bulgaria|greece|sweden|norway|denmark|finland|t[üu]rkiye|turkey|israel|egypt|nigeria|kenya|south\s+africa|ghana|morocco|uae|united\s+arab\s+emirates|dubai|abu\s+dhabi|saudi|qatar|bahrain|kuwait|oman|china|japan|korea|vietnam|thailand|indonesia|malaysia|singapore|philippines|australia|new\s+zealand|liechtenstein|luxembourg|estonia|lithuania|latvia)\b"
@@ -172,6 +190,38 @@ RECRUITER_RX = r"(?i)\b(?:recruit(?:er|ing|ment)|talent\s+(?:acquisition|team|pa
 VAGUE_ROLE_RX = r"(?i)(multiple\s+(?:openings?|roles?|positions?|vacancies|jobs?)|various\s+(?:roles?|positions?|openings?|jobs?)|several\s+(?:roles?|positions?|openings?)|\bhiring\s+now\b|management\s+roles?|open\s+roles?|job\s+openings?)"
 MISSING_COMPANY = ["", "unclear", "n/a", "na", "none", "unknown", "undisclosed", "our client", "confidential client", "client undisclosed", "confidential", "stealth"]
 MISSING_ROLE = ["", "unclear", "n/a", "na", "none", "unknown"]
-PERSONAL_DOMAINS = ["gmail.com", "yahoo.com", "yahoo.co.in", "outlook.com", "hotmail.com", "live.com", "icloud.com", "rediffmail.com", "protonmail.com"]
+PERSONAL_DOMAINS = ["gmail.com", "googlemail.com", "yahoo.com", "ymail.com", "hotmail.com", "outlook.com", "live.com", "msn.com", "icloud.com", "me.com", "proton.me", "protonmail.com", "zoho.com", "aol.com", "gmx.com", "mail.com", "rediffmail.com", "rediff.com", "yandex.com", "inbox.com", "example.com", "email.com", "mailinator.com", "yopmail.com", "tempmail.com"]
+NON_CONTACT_LOCALS = ["noreply", "no-reply", "donotreply", "do-not-reply", "unsubscribe"]
+APPLICATION_PURPOSE_RX = r"(?i)\b(?:send|share|forward|drop|mail|email|submit)\s+(?:me\s+|us\s+)?(?:your|their|the|updated\s+)?\s*(?:resume|resumes|cv|profile|application|details)\b|\bapply\s+(?:at|to|via|on|here|now)?\s*:?|\binterested\s+(?:candidates?|applicants?)\b[^.\n]{0,60}\b(?:send|share|mail|email|resume|cv)\b|\bresume\s+(?:at|to)\b|\bcv\s+(?:at|to)\b|\bto\s+apply\b[^.\n]{0,40}\b(?:email|mail|send)\b"
+#: Public mailboxes and their ranks; any other has 99.
+MAILBOX_RANKS = {"careers": 1, "career": 1, "hiring": 2, "jobs": 3, "talent": 4, "recruit": 5, "recruiting": 5, "recruitment": 5, "recruiter": 5, "contact": 6, "hello": 6, "info": 6, "apply": 6, "hr": 6, "work": 6, "join": 6, "team": 6}
+ROLE_CUE_RX = r"(?i)founder'?s\s+office|founders?\s+office|chief\s+of\s+staff|founder'?s\s+associate|office\s+of\s+the\s+founder|ceo'?s?\s+office|data\s+scientist|data\s+science|applied\s+scientist|ml\s+scientist|machine\s+learning\s+scientist|data\s+analyst|analytics\s+analyst|business\s+data\s+analyst|bi\s+analyst|business\s+intelligence\s+analyst|reporting\s+analyst|product\s+(?:data\s+)?(?:analyst|scientist)|growth\s+data\s+analyst|marketing\s+data\s+analyst|operations\s+data\s+analyst|analytics\s+associate|business\s+analyst"
+HIRING_CUE_RX = r"(?i)\bhiring\b|\bapply\b|\bopening\b|\bjoin\b|\brole\b|\bposition\b"
+DETAIL_CUE_RX = r"(?i)\b\d+\s*(?:years?|yrs?|lpa|lakhs?|crore)|\bexperience\b|\bctc\b|\bcompensation\b|\bfull[\s‑\-–—]*time\b|\bhybrid\b|\bin[\s‑\-–—]*office\b|\bremote\b|\bdeadline\b|\bprobation\b|\bbengaluru\b|\bbangalore\b|\bmumbai\b|\bdelhi\b|\bgurgaon\b|\bgurugram\b|\bnoida\b|\bhyderabad\b|\bpune\b|\bchennai\b|\bkolkata\b|\bahmedabad\b|\bjaipur\b|\bindore\b|\bthane\b|\bindia\b"
 EMAIL_RX = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
-MAILBOX_RANK = ["careers", "hiring", "jobs", "talent", "recruit", "contact"]
+URL_RX = r"https?://[^\s<>\]\)\"']+"
+GOOGLE_FORM_RX = r"(?i)https?://(?:www\.)?(?:docs\.google\.com/forms/[^\s<>\]\)\"']+|forms\.gle/[^\s<>\]\)\"']+)"
+URL_TAIL = ".,;:!?*)]\"'"
+APPLY_CUE_RX = r"(?i)\b(?:apply|application|applications?|register(?:ing|ation)?|fill\s+(?:up\s+|out\s+)?(?:this\s+|the\s+)?form|submit\s+(?:your\s+)?(?:resume|cv|profile|application)|to\s+apply)\b"
+NON_COMPANY = ["we", "i", "it", "they", "you", "he", "she", "our", "my", "the", "a", "an", "this", "that", "re", "ve", "ll", "d", "s", "m", "at", "for", "in", "on", "to", "and", "or", "is", "are", "hiring", "jobs", "job", "who", "what", "which", "unclear", "n/a", "na", "none", "unknown"]
+NAME_CONNECTORS = ["of", "and", "the", "&", "de", "la", "van", "der", "al"]
+GENERIC_DESCRIPTORS = ["a", "an", "the", "fast", "growing", "leading", "top", "new", "well", "known", "reputed", "promising", "emerging", "scaling", "bootstrapped", "funded", "backed", "financing", "seeded", "venture", "ventures", "early", "stage", "fastest", "startup", "startups", "company", "companies", "brand", "brands", "ai", "business", "businesses", "firm", "firms", "studio", "studios", "agency", "agencies", "fintech", "medtech", "healthtech", "edtech", "insurtech", "clean", "deep", "saas", "tech", "technology", "technologies", "platform", "product", "products", "service", "services", "industry", "industries", "digital", "organisation", "organization", "team", "entity", "our", "my", "your", "their", "its", "his", "her", "pvt", "private", "limited", "ltd", "llp", "llc", "inc", "corp", "works", "labs", "group", "systems", "solutions"]
+PLACEHOLDER_COMPANIES = ["india", "indian", "bangalore", "bengaluru", "mumbai", "delhi", "new delhi", "hyderabad", "pune", "chennai", "kolkata", "ahmedabad", "jaipur", "gurgaon", "gurugram", "noida", "remote", "remote india", "remote - india", "india and global", "global", "worldwide"]
+JOIN_COMPANY_RX = r"\b[Jj]oin\s+([A-Za-z0-9&.'\-]+(?:[ \t]+[A-Za-z0-9&.'\-]+){0,3})"
+IS_HIRING_RX = r"\b([A-Z][A-Za-z0-9&\.\-]*(?:[ \t]+[A-Z][A-Za-z0-9&\.\-]*){0,3})\s+(?i:is|are)\s+(?i:hiring|looking\s+for)\b"
+AT_COMPANY_RX = r"\b(?:at|join)\b ([A-Z][a-zA-Z0-9\s&]+?)(?:\.|,|\n|$| hiring| is looking)"
+HIRING_AT_RX = r"(?i)\bhiring\s+(?:for\s+)?(?:[^.]{1,60}?\b)?at\s+([A-Z][A-Za-z0-9&\.\-]*(?:[ \t]+[A-Z][A-Za-z0-9&\.\-]*){0,3})\b"
+HIRING_FOR_RX = r"(?i)\b([A-Z][A-Za-z0-9&\.\-]*(?:[ \t]+[A-Z][A-Za-z0-9&\.\-]*){0,3})\s+hiring\s+for\b"
+EXACT_ROLE_RX = r"(?i)(chief\s+of\s+staff|founder['’]?s?\s+office|founders?\s+office|founder['’]?s?\s+associate|founder\s+associate|office\s+of\s+the\s+founder|data\s+scientist|data\s+science\s+associate|data\s+science\s+specialist|data\s+science\s+engineer|decision\s+scientist|applied\s+(?:data\s+scientist|scientist)|product\s+data\s+scientist|research\s+data\s+scientist|machine\s+learning\s+(?:data\s+scientist|scientist)|ml\s+scientist|junior\s+data\s+scientist|associate\s+data\s+scientist|data\s+science\s+intern|data\s+analyst|analytics\s+analyst|business\s+data\s+analyst|bi\s+analyst|business\s+intelligence\s+analyst|reporting\s+analyst|product\s+data\s+analyst|product\s+analyst|growth\s+data\s+analyst|marketing\s+data\s+analyst|operations\s+data\s+analyst|analytics\s+associate|financial\s+data\s+analyst|finance\s+data\s+analyst|risk\s+data\s+analyst|supply\s+chain\s+data\s+analyst|customer\s+data\s+analyst|revenue\s+data\s+analyst|commercial\s+data\s+analyst|data\s+analy(?:sis|tics)\s+analyst|data\s+analytics\s+specialist|junior\s+data\s+analyst|associate\s+data\s+analyst|business\s+analyst)\b"
+SENIORITY_RX = r"(?i)(senior|sr\.?|junior|jr\.?|lead|principal|staff)\s*$"
+MANAGER_CONTEXT_RX = r"(?i:reports?\s+(?:directly\s+)?to\s+|works?\s+(?:directly\s+)?with\s+|working\s+(?:directly\s+)?with\s+|will\s+report\s+(?:directly\s+)?to\s+|will\s+partner\s+with\s+|in\s+partnership\s+with\s+|reach\s+out\s+to\s+|contact\s+person:\s*|point\s+of\s+contact:\s*|hiring\s+manager:\s*|contact\s+)([A-Z][A-Za-z'\-]+(?:\s+[A-Z][A-Za-z'\-]+){1,2})"
+COMPANY_LIKE_RX = r"(?i)\b(?:LLP|Pvt|Private|Limited|Ltd|Inc|LLC|Corp|Co\.|&|and\s+Co)\b"
+NAMED_LEADER_RX = r"\b(?:my|our)\s+(?:co[\s\-]*founder|founder|ceo|chief\s+executive|managing\s+director)\s+([A-Z][a-zA-Z'\-]+(?:\s+[A-Z][a-zA-Z'\-]+){0,2})"
+SIGNATURE_RX = r"([A-Z][A-Za-z'\-]+(?:[ \t]+[A-Z][A-Za-z'\-]+){1,2})[ \t]*[|｜][ \t]*[^|\n]{2,60}?[ \t]*(?:\n|$)"
+SIGNOFF_RX = r"([A-Z][A-Za-z'\-]+(?:[ \t]+[A-Z][A-Za-z'\-]+){1,2})\s*\n\s*(?:(?:Sr\.?|Senior|Junior|Lead|Head|Chief|AVP|VP)\s+)?(?:HR|Human\s+Resources|Talent\s+Acquisition|Recruit(?:er|ment|ing)|People(?:\s+(?:Operations|Team|Ops))?|Hiring\s+Manager)[A-Za-z \t&\-]{0,30}"
+SIGNATURE_TITLE_RX = r"(?i)\b(?:talent|recruit(?:er|ment|ing)|human\s+resources|hr|hiring|people(?:\s+(?:team|ops|operations))?|staffing)\b"
+SIGNATURE_CONTACT_RX = r"@|\+?\d[\d\s\-]{7,}\d|📞|📧"
+#: Each word has a capital first and a small letter later.
+PROPER_NAME_RX = r"^(?:['’-]*[A-Z][A-Za-z'’\-]*[a-z][A-Za-z'’\-]*)(?: ['’-]*[A-Z][A-Za-z'’\-]*[a-z][A-Za-z'’\-]*){0,2}$"
+AUTHOR_HIRING = ["i'm hiring", "we're hiring", "i am hiring", "my team", "our team"]
+PROFILE_RX = r"https?://(?:www[.]|[a-z]{2,3}[.])?linkedin[.]com/in/[A-Za-z0-9_-]{2,}"

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from signalforge.functions import lexicon as L
 from signalforge.functions.dialect import Dialect
+from signalforge.operators import relations as R
 from signalforge.sources.posts import normalize
 
 Body = Callable[[Dialect], str]
@@ -40,13 +41,48 @@ column("src_activity_id", "raw_posts", "activity_id")
 add("src_flat_adapter", "raw_items", "SELECT ingest_seq, coalesce(nullif(post_url, ''), 'missing') AS url, coalesce(nullif(card_subtitle, ''), nullif(author_name, ''), 'Unclear') AS company, coalesce(nullif(card_experience, ''), 'Unclear') AS experience FROM raw_items")
 add("src_sheet_row", "sinks posts", "SELECT s.destination, p.post_url, p.author_name, p.text FROM sinks s JOIN posts p ON p.post_url = s.source_link")
 add("src_log_parse", "", lambda d: f"SELECT q AS source_query, CAST(sum(CAST(n AS BIGINT)) AS BIGINT) AS n FROM (SELECT {d.extract('line', 'query=([a-z]+)', 1)} AS q, {d.extract('line', 'n=([0-9]+)', 1)} AS n FROM (SELECT 'run query=' || event_type || ' n=' || CAST(user_id % 7 AS STRING) AS line FROM events) e) x WHERE q <> '' GROUP BY q")
-ROW = "final_company AS company_name, final_category AS major_category, exact_role, ctc, cold_email, CASE WHEN lower(manager_name) IN ('', 'unclear', 'n/a') THEN '' ELSE manager_name END AS hiring_manager_name, manager_link AS hiring_manager_linkedin, post_url AS source_link, substring(text, 1, 500) AS description, confidence, location, final_employment AS type, experience, market, llm_india AS india_relevance, post_date, geo_evidence AS classification_reason, CASE gate WHEN 'ACCEPT' THEN 'New' WHEN 'REVIEW' THEN 'Review' ELSE '' END AS status, google_form, apply_link"
-add("snk_row_build", "produced", f"SELECT {ROW} FROM produced")
+
+
+def key_points(d: Dialect) -> str:
+    """Up to four sentences that say most about role, company, hiring and details, in the text's order; none with an address."""
+    clean = d.replace(d.replace(d.replace(d.replace("x", "#[A-Za-z0-9_]+"), r"^\s*(?:[•*▪●○◦►✅❌🔹🔸📌📍💼🏢🎓⚡🤝📩📞🚀🔥⭐✓·0-9-]+[.)\s]*)+"), r"\s+", " "), r"^[ –—|•,;:-]+|[ –—|•,;:-]+$")
+    kept = d.filter(d.transform(d.filter(R.sentences(d, "text"), "x", f"NOT {d.has('x', '@')} AND NOT (google_form <> '' AND contains(x, google_form) AND length(trim(x)) < length(google_form) + 40)"), "x", clean), "x", "length(x) >= 25 AND length(x) <= 280")
+    score = f"(CASE WHEN {d.rx('x', L.ROLE_CUE_RX)} THEN 3 ELSE 0 END + CASE WHEN company_name <> 'Unclear' AND contains(lower(x), lower(company_name)) THEN 2 ELSE 0 END + CASE WHEN {d.rx('x', L.HIRING_CUE_RX)} THEN 1 ELSE 0 END + CASE WHEN {d.rx('x', L.DETAIL_CUE_RX)} THEN 1 ELSE 0 END)"
+    scored = d.filter(d.indexed(kept, "x", "nth", d.struct(low=f"0 - {score}", place="nth", s="x")), "y", "y.low < 0")
+    best = d.sort(d.transform(d.head(d.sort(scored), 4), "y", d.struct(place="y.place", s="y.s")))
+    bare = "trim(CASE WHEN google_form <> '' THEN replace(z.s, google_form, '') ELSE z.s END)"
+    return d.join(d.transform(best, "z", f"'• ' || {bare}"), "\n")
+
+
+def description(d: Dialect) -> str:
+    """The whole text on one line, without its e-mail addresses and form."""
+    bare = f"CASE WHEN google_form <> '' THEN replace(text, google_form, '') ELSE text END"
+    return f"trim({d.replace(d.replace(bare, L.EMAIL_RX), chr(92) + 's+', ' ')})"
+
+
+SENTINELS = "('', 'unclear', 'n/a', 'na', 'none', 'unknown', 'not available', 'not specified', 'not disclosed', 'undisclosed', '-')"
+
+
+def row(d: Dialect) -> str:
+    """The 23 cells of a stored row."""
+    cells = [
+        ("company_name", "final_company"), ("major_category", "final_category"), ("exact_role", "exact_role"), ("ctc", "ctc"), ("cold_email", "cold_email"),
+        ("hiring_manager_name", f"CASE WHEN lower(trim(manager_name)) IN {SENTINELS} THEN '' ELSE manager_name END"), ("hiring_manager_linkedin", "manager_link"),
+        ("source_link", "post_url"), ("description", description(d)), ("confidence", "confidence"), ("location", "location"), ("type", "final_employment"),
+        ("experience", "experience"), ("market", "market"), ("india_relevance", "llm_india"), ("post_date", "post_date"), ("scraped_at", "'2024-03-15T00:00:00+00:00'"),
+        ("classification_reason", "geo_evidence"), ("status", "status"), ("hiring_manager_evidence", "manager_evidence"), ("google_form", "google_form"), ("apply_link", "apply_link"), ("key_points", key_points(d)),
+    ]
+    return ", ".join(f"{value} AS {name}" for name, value in cells)
+
+
+add("snk_row_build", "produced", lambda d: f"SELECT {row(d)} FROM produced")
 add("snk_split_tab", "produced", f"SELECT destination, final_category, {N} AS n FROM produced GROUP BY destination, final_category")
 add("snk_existing_keys", "sinks", "SELECT source_link FROM sinks WHERE destination = 'MAIN' UNION SELECT source_link FROM sinks WHERE destination = 'DATA'")
-add("snk_write_production", "batch", "SELECT destination, post_url, final_category, gate FROM batch WHERE barrier = ''")
+add("snk_write_production", "batch", "SELECT destination, post_url, final_category, gate, disposition FROM batch WHERE barrier = ''")
 add("snk_write_counts", "batch", f"SELECT barrier, destination, {N} AS n FROM batch GROUP BY barrier, destination")
-add("snk_outcome", "batch", f"SELECT CASE WHEN {total('true')} = 0 THEN 'EMPTY' WHEN {total(chr(98) + 'arrier = ' + chr(39) * 2)} > 0 THEN 'SUCCESS' WHEN {total('barrier = ' + chr(39) + 'already stored' + chr(39))} = count(*) THEN 'DUPLICATE' ELSE 'EMPTY' END AS outcome FROM batch")
+add("snk_outcome", "batch", f"""SELECT barrier_run AS run, CASE WHEN {N} = 0 THEN 'EMPTY' WHEN max(outcome) = 'UNKNOWN' THEN 'UNKNOWN' WHEN {total("barrier = ''")} > 0 AND max(outcome) = 'DRY_RUN' THEN 'DRY_RUN'
+ WHEN {total("barrier = ''")} > 0 AND max(outcome) = 'FAILED' THEN 'FAILED' WHEN {total("barrier = ''")} > 0 THEN 'SUCCESS' WHEN max(outcome) = 'READ_FAILED' THEN 'READ_FAILED' WHEN {total("barrier IN ('already stored', 'duplicate in batch')")} > 0 THEN 'DUPLICATE' ELSE 'EMPTY' END AS outcome
+ FROM (SELECT *, source_query AS barrier_run, CASE WHEN source_query = 'query 3' THEN 'DRY_RUN' WHEN source_query = 'query 7' THEN 'UNKNOWN' WHEN source_query = 'query 11' THEN 'FAILED' WHEN source_query = 'query 13' THEN 'READ_FAILED' ELSE '' END AS outcome FROM batch) b GROUP BY barrier_run""")
 add("snk_reason_artifacts", "gated produced", "SELECT post_url, 'REJECT' AS disposition, reject_reason AS reason FROM gated WHERE reject_reason <> '' UNION ALL SELECT post_url, disposition, CASE WHEN hold_reasons <> '' THEN hold_reasons ELSE reasons END FROM produced")
 add("srv_leads", "produced", "SELECT post_url, final_company, exact_role, ingest_seq FROM produced WHERE disposition <> 'REJECT' ORDER BY ingest_seq DESC LIMIT 50")
 add("flt_rejudge", "gated", f"SELECT CASE WHEN reject_reason = '' THEN 'kept' ELSE 'dropped' END AS outcome, reject_reason, {N} AS n FROM gated GROUP BY 1, 2")
@@ -54,11 +90,11 @@ add("flt_market_legacy", "posts", lambda d: f"SELECT ingest_seq, CASE WHEN {d.rx
 
 # Text functions
 column("txt_normalize", "posts", "t")
-column("txt_normalize_documents", "posts", lambda d: normalize(d, "author_name"))
+add("txt_normalize_documents", "", lambda d: f"SELECT doc_id, {normalize(d, 'text')} AS value FROM documents")
 add("txt_fold_math", "posts", "SELECT ingest_seq, t, CAST(length(text) AS BIGINT) AS n_text, CAST(length(t) AS BIGINT) AS n_t FROM posts WHERE length(text) = length(t)")
 add("txt_ws_collapse", "", lambda d: f"SELECT doc_id, trim({d.replace('text', '[ \\t\\n]+', ' ')}) AS value FROM documents")
 column("txt_redact", "posts", lambda d: f"trim({d.replace(d.replace('text', L.EMAIL_RX, ''), ' +', ' ')})")
-column("txt_description", "posts", lambda d: f"trim({d.replace(d.replace(d.replace('text', L.EMAIL_RX, ''), 'https?://forms[.]gle/[^ ]+', ''), ' +', ' ')})")
+column("txt_description", "fields", description)
 column("txt_strip_url", "posts", lambda d: d.rtrim(d.extract("text", "https?://[^ ]+"), ".,;:!?*)]\"'"))
 add("txt_sentence_split", "", lambda d: f"SELECT doc_id, {d.size(d.split('text', '[.!?] +|' + chr(10) + '+'))} AS n_sentences FROM documents")
 column("txt_bullet_strip", "posts", lambda d: d.replace("text", r"(^|\n)[•*-]+ +", "$1"))
@@ -70,20 +106,38 @@ column("txt_city_match", "geo", "has_city")
 column("txt_count_labels", "posts", lambda d: d.count_rx("t", r"company\s*:"))
 column("txt_window_slice", "posts", "substring(text, greatest(1, instr(text, 'hiring') - 20), 60)")
 column("txt_sanitize_error", "raw_items", lambda d: f"substring({d.replace(d.replace('coalesce(error, ' + d.lit('call failed:  Bearer abc.DEF key=sk-12345') + ')', '(?i)bearer +[^ ]+', 'Bearer [redacted]'), '(?i)key=[^ ]+', 'key=[redacted]')}, 1, 300)")
-column("txt_hm_display", "fields", "CASE WHEN lower(trim(manager_name)) IN ('', 'unclear', 'n/a', 'none') THEN '' ELSE manager_name END")
+column("txt_hm_display", "fields", f"CASE WHEN lower(trim(manager_name)) IN {SENTINELS} THEN '' ELSE manager_name END")
 column("txt_names_match", "fields", "contains(' ' || lower(author_name) || ' ', ' ' || lower(company_name) || ' ') OR contains(' ' || lower(company_name) || ' ', ' ' || lower(author_name) || ' ')")
 column("txt_name_contains", "fields", lambda d: f"contains({d.replace('lower(author_name)', '[^a-z]', '')}, {d.replace('lower(company_name)', '[^a-z]', '')})")
 column("txt_profile_kind", "posters", "CASE WHEN person_profile THEN 'person' WHEN company_page THEN 'company' ELSE 'other' END")
 column("txt_domain", "fields", "lower(split_part(cold_email, '@', 2))")
 column("txt_quote_cap", "posts", lambda d: f"substring(trim({d.replace('text', '\\s+', ' ')}), 1, 300)")
 column("txt_snippet", "posts", "CASE WHEN instr(t, 'hiring') > 0 THEN substring(substring(text, greatest(1, instr(t, 'hiring') - 40), 100), 1, 160) ELSE '' END")
-add("txt_price_rank", "", "SELECT o_orderkey, CASE WHEN o_totalprice >= 300000 THEN CAST(95 AS BIGINT) WHEN o_totalprice >= 100000 THEN CAST(70 AS BIGINT) ELSE CAST(45 AS BIGINT) END AS score FROM orders")
+FUNDING = [("unicorn", "$1.2B"), ("series d", "$100M"), ("series c", "$45M"), ("series b", "$12M"), ("series a", "$5M"), ("pre-series a", "$800K"), ("seed", "$500K"), ("bootstrapped", "undisclosed")]
+
+
+def priority(d: Dialect) -> str:
+    """A start-up's priority from stage, amount, city and industry, 100 at most."""
+    digits = d.extract("amount", "[0-9]+(?:[.][0-9]+)?")
+    number = f"coalesce(TRY_CAST(nullif({digits}, '') AS DOUBLE), 0) * CASE WHEN {d.rx('amount', '(?i)m')} THEN 1000000 WHEN {d.rx('amount', '(?i)b')} THEN 1000000000 ELSE 1 END"
+    stage = d.case([(d.rx("stage", "unicorn|series d|series e|ipo"), "40"), (d.has("stage", "series c"), "35"), (d.has("stage", "series b"), "30"), (d.has("stage", "series a"), "25"), (d.has("stage", "pre-series"), "20"), (d.has("stage", "seed"), "15")], "5")
+    place, field = d.rx("lower(city)", "india|bengaluru|bangalore|mumbai|delhi|hyderabad|pune|chennai"), d.rx("lower(industry)", "ai|deeptech|fintech|healthtech|robotics")
+    return f"CAST(least(100, {stage} + CASE WHEN number >= 50000000 THEN 30 WHEN number >= 10000000 THEN 20 WHEN number >= 1000000 THEN 10 WHEN number > 0 THEN 5 ELSE 0 END + CASE WHEN {place} THEN 15 ELSE 0 END + CASE WHEN {field} THEN 10 ELSE 0 END) AS BIGINT)", number
+
+
+def startups(d: Dialect) -> str:
+    """A start-up for each supplier."""
+    pick = lambda i: d.case([(f"s_suppkey % {len(FUNDING)} = {k}", d.lit(v[i])) for k, v in enumerate(FUNDING)])
+    return f"SELECT s_suppkey, {pick(0)} AS stage, {pick(1)} AS amount, CASE WHEN s_suppkey % 3 = 0 THEN 'Bengaluru' WHEN s_suppkey % 3 = 1 THEN 'Berlin' ELSE n_name END AS city, CASE s_suppkey % 4 WHEN 0 THEN 'AI' WHEN 1 THEN 'FinTech' ELSE 'Logistics' END AS industry FROM supplier JOIN nation ON s_nationkey = n_nationkey"
+
+
+add("txt_price_rank", "", lambda d: f"SELECT s_suppkey, {priority(d)[0]} AS score FROM (SELECT *, {priority(d)[1]} AS number FROM ({startups(d)}) s) n")
 column("txt_valid_name", "posts", lambda d: d.rx("author_name", r"^[a-zA-Z0-9\s.&'-]{1,60}$"))
 
 # Gates: how many posts each one rejects, and what each sees by itself
 column("gate_employer_ctx", "signals", "employer_context")
-for gate, reason in (("internship", "internship"), ("pay_to_apply", "pay to apply"), ("seeker_sub", "job seeker phrase"), ("always_reject", "job seeker always"), ("seeker_rx", "job seeker pattern"), ("congrats", "congratulatory"), ("info", "informational"), ("role", "no target role"), ("data_entry", "data entry"), ("proximity", "signal too far"), ("first_person", "first person seeker"), ("aggregator", "aggregator"), ("company_labels", "company labels"), ("multi_employer", "several employers"), ("role_context", "role context"), ("data_context", "data context"), ("india", "india relevance")):
-    add(f"gate_{gate}", "gated", f"SELECT ingest_seq, post_url, reject_reason = '{reason}' AS rejected_here FROM gated")
+for gate, reason in (("internship", "internship"), ("pay_to_apply", "pay to apply"), ("seeker_sub", "job seeker phrase"), ("always_reject", "job seeker always"), ("seeker_rx", "job seeker pattern"), ("congrats", "congratulatory"), ("info", "informational"), ("role", "no target role"), ("data_entry", "data entry"), ("proximity", "signal too far"), ("no_signal", "no hiring signal"), ("first_person", "first person seeker"), ("aggregator", "aggregator"), ("company_labels", "company labels"), ("multi_employer", "several employers"), ("role_context", "role context"), ("data_context", "data context"), ("india", "india relevance")):
+    add(f"gate_{gate}", "gated", f"SELECT ingest_seq, post_url, reject_reason = '{reason}' OR reject_reason LIKE '{reason} (%' AS rejected_here FROM gated")
 add("gate_threshold", "fields", "SELECT ingest_seq, confidence, confidence >= 0.7 AS passes FROM fields WHERE reject_reason = ''")
 add("proj_invalid", "fields", "SELECT ingest_seq, CASE WHEN reject_reason = '' THEN company_name ELSE 'N/A' END AS company, CASE WHEN reject_reason = '' THEN text ELSE substring(text, 1, 100) || '...' END AS description, reject_reason FROM fields")
 
@@ -104,7 +158,7 @@ add("cls_availability", "decided", "SELECT ingest_seq, CASE WHEN evaluated THEN
 add("cls_verdict_for", "decided", "SELECT ingest_seq, CASE gate WHEN 'ACCEPT' THEN 'ACCEPT' WHEN 'REJECT' THEN 'REJECT' ELSE 'REVIEW' END AS verdict FROM decided")
 add("cls_field_verified", "fields", "SELECT ingest_seq, CASE WHEN cold_email = 'Not Available' THEN 'NOT_FOUND' WHEN contains(text, cold_email) THEN 'VERIFIED' ELSE 'PARTIALLY' END AS state FROM fields")
 add("cls_guessed_email", "fields", lambda d: f"SELECT ingest_seq, {d.isin('lower(split_part(cold_email, ' + d.lit('@') + ', 2))', L.PERSONAL_DOMAINS)} OR contains(split_part(cold_email, '@', 1), '.') AS guessed FROM fields WHERE cold_email <> 'Not Available'")
-add("cls_hm_tier", "fields", "SELECT ingest_seq, CASE WHEN manager_name <> '' AND manager_link <> '' THEN 'EXPLICIT' WHEN manager_name <> '' THEN 'INFERRED' ELSE 'NONE' END AS tier FROM fields")
+add("cls_hm_tier", "fields", "SELECT ingest_seq, manager_tier AS tier, manager_evidence FROM fields")
 add("lbl_resolution", "fields", "SELECT ingest_seq, 'company' AS field, company_name AS value, CASE WHEN job_card_company <> 'Unclear' THEN 'JOB_METADATA' WHEN company_name <> 'Unclear' THEN 'POST_TEXT' ELSE 'UNKNOWN' END AS state FROM fields UNION ALL SELECT ingest_seq, 'employment', employment_type, CASE WHEN employment_type = 'Unclear' THEN 'UNKNOWN' WHEN job_card_employment_type = employment_type THEN 'JOB_METADATA' ELSE 'POST_TEXT' END FROM fields UNION ALL SELECT ingest_seq, 'location', location, CASE WHEN location = 'Not Specified' THEN 'UNKNOWN' ELSE 'POST_TEXT' END FROM fields UNION ALL SELECT ingest_seq, 'manager', manager_name, CASE WHEN manager_name = '' THEN 'UNKNOWN' ELSE 'EXPLICIT' END FROM fields UNION ALL SELECT ingest_seq, 'email', cold_email, CASE WHEN cold_email = 'Not Available' THEN 'UNKNOWN' ELSE 'EXPLICIT' END FROM fields UNION ALL SELECT ingest_seq, 'role', exact_role, CASE WHEN exact_role = 'Unclear' THEN 'UNKNOWN' ELSE 'EXPLICIT' END FROM fields")
 add("lbl_pattern_evidence", "geo", "SELECT ingest_seq, substring(geo_evidence, 1, 120) AS evidence FROM geo")
 
@@ -114,7 +168,7 @@ column("geo_card_decision", "geo", "CASE card_says WHEN 'india' THEN 'india' WHE
 column("geo_market", "markets", "market")
 column("geo_location_field", "fields", "location")
 column("geo_canon", "fields", "CASE WHEN contains(location, 'Bengaluru') THEN 'Bengaluru, Karnataka, India' WHEN contains(location, 'Mumbai') THEN 'Mumbai, Maharashtra, India' WHEN contains(location, 'Pune') THEN 'Pune, Maharashtra, India' WHEN contains(location, 'Hyderabad') THEN 'Hyderabad, Telangana, India' WHEN location = 'Remote' AND is_india THEN 'Remote - India' ELSE location END")
-column("geo_in_location", "fields", lambda d: d.rx("lower(location)", r"\b(mumbai|pune|noida)\b"))
+column("geo_in_location", "fields", lambda d: d.rx("lower(location)", r"\b(?:" + "|".join(L.PLACE_NAMES) + r"|india)\b"))
 
 # Joins
 add("join_interval_prox", "gaps", "SELECT ingest_seq, gap, nearest_signal, nearest_role FROM gaps")
@@ -123,19 +177,41 @@ add("join_anti_prod_pre_llm", "gated sinks", "SELECT ingest_seq, post_url FROM g
 add("join_left_query", "raw_posts posts", lambda d: f"SELECT p.post_url, q.source_query FROM posts p LEFT JOIN (SELECT post_url, {d.arg_min('source_query', 'ingest_seq')} AS source_query FROM raw_posts GROUP BY post_url) q ON q.post_url = p.post_url")
 add("join_left_verdict", "gated decided", "SELECT g.ingest_seq, CASE WHEN d.ingest_seq IS NULL THEN 'MISS' WHEN NOT d.evaluated THEN 'RE-EVALUATE' WHEN d.gate = 'ACCEPT' THEN 'REHYDRATE' ELSE 'HIT' END AS action FROM gated g LEFT JOIN decided d ON d.ingest_seq = g.ingest_seq AND d.attempts > 0 WHERE g.reject_reason = ''")
 add("join_inner_index", "merged", "SELECT ingest_seq, post_url, gate FROM merged WHERE gate = 'ACCEPT'")
-add("join_left_before_after", "sinks gated", "SELECT s.source_link, coalesce(g.reject_reason, 'NOT_REPROCESSABLE') AS outcome FROM sinks s LEFT JOIN gated g ON g.post_url = s.source_link AND g.ingest_seq % 2 = 0")
+add("join_left_before_after", "sinks gated", "SELECT s.source_link, coalesce(g.reject_reason, 'NOT_REPROCESSABLE') AS outcome FROM (SELECT source_link FROM sinks UNION ALL SELECT 'https://www.linkedin.com/posts/gone-' || CAST(r_regionkey AS STRING) FROM region) s LEFT JOIN gated g ON g.post_url = s.source_link")
 add("join_legacy_lookup", "raw_posts", lambda d: f"SELECT r.ingest_seq, l.author_name AS legacy_author FROM raw_posts r LEFT JOIN (SELECT post_url, {d.arg_max('author_name', 'ingest_seq')} AS author_name FROM raw_posts GROUP BY post_url) l ON l.post_url = r.post_url")
-add("join_email_prov", "fields", "SELECT f.ingest_seq, f.cold_email, c.c_custkey FROM fields f JOIN customer c ON lower(f.cold_email) = lower('careers@acme.in') AND c.c_custkey = f.ingest_seq % 100")
-add("join_domain_fuzzy", "", lambda d: f"SELECT s.s_suppkey, p.page_id FROM supplier s JOIN pages p ON p.page_id = s.s_suppkey AND contains({d.replace('lower(p.url)', '[^a-z0-9]', '')}, {d.replace('lower(substring(s.s_name, 1, 3))', '[^a-z0-9]', '')})")
+add("join_email_prov", "fields", "SELECT f.ingest_seq, f.cold_email, e.provider, e.confidence FROM (SELECT * FROM fields WHERE cold_email <> 'Not Available') f JOIN (SELECT lower(cold_email) AS email, min(CASE WHEN job_card_company <> 'Unclear' THEN 'company_site' ELSE 'post_text' END) AS provider, max(confidence) AS confidence FROM fields WHERE cold_email <> 'Not Available' GROUP BY lower(cold_email)) e ON e.email = lower(f.cold_email)")
+def hosts(d: Dialect) -> str:
+    """The host and its main label of each page, without blocked and government hosts."""
+    label = d.replace("CASE WHEN host LIKE '%.co.%' THEN split_part(host, '.co.', 1) ELSE " + d.replace("host", r"(?:[.]example)?[.][a-z]+$") + " END", r"^.*[.]")
+    return f"SELECT page_id, host, {d.replace(label, '[^a-z0-9]')} AS label FROM (SELECT page_id, {d.replace('lower(split_part(split_part(url, ' + d.lit('//') + ', 2), ' + d.lit('/') + ', 1))', '^www[.]')} AS host FROM pages) h WHERE NOT {d.rx('host', '(?:linkedin|facebook|twitter|instagram|youtube|google)[.]com$|[.]gov([.][a-z]+)?$|[.]nic[.]in$|[.]edu$|[.]ac[.](?:in|uk)$')}"
+
+
+def fuzzy_domains(d: Dialect) -> str:
+    """Companies whose slug holds a host's label or is held by it, three letters at least: all pairs share a run of three
+    letters, so they are joined by such runs first, each label by its first run and by all, and then tested."""
+    grams = lambda x: d.transform(f"sequence(1, CAST(length({x}) AS INT) - 2)" if d.name == "spark" else f"range(1, CAST(length({x}) AS INT) - 1)", "i", f"substring({x}, i, 3)")
+    names = f"SELECT DISTINCT slug FROM (SELECT {d.replace('lower(company_name)', '[^a-z0-9]')} AS slug FROM fields WHERE company_name <> 'Unclear' UNION ALL SELECT {d.replace('lower(name)', '[^a-z0-9]')} FROM ({d.values([['Cheap Pills Pharma'], ['Spam Farm'], ['Therin'], ['Ththre Labs'], ['Th']], 'name')}) v) n WHERE length(slug) >= 3"
+    labels = f"SELECT DISTINCT label FROM ({hosts(d)}) h WHERE length(label) >= 3"
+    inside = f"SELECT c.slug, h.label FROM ({d.explode('(' + names + ') a', d.distinct(grams('slug')), 'slug', 'gram')}) c JOIN (SELECT label, substring(label, 1, 3) AS gram FROM ({labels}) l) h ON c.gram = h.gram WHERE contains(c.slug, h.label)"
+    around = f"SELECT c.slug, h.label FROM (SELECT slug, substring(slug, 1, 3) AS gram FROM ({names}) a) c JOIN ({d.explode('(' + labels + ') l', d.distinct(grams('label')), 'label', 'gram')}) h ON c.gram = h.gram WHERE contains(h.label, c.slug)"
+    return f"SELECT DISTINCT slug, label FROM ({inside} UNION ALL {around}) x"
+
+
+add("join_domain_fuzzy", "fields", fuzzy_domains)
 add("join_semi_frozen", "raw_posts", "SELECT ingest_seq, source_query FROM raw_posts WHERE source_query IN ('query 1', 'query 2', 'query 5')")
-add("join_row_pos", "posts", "SELECT a.rn, a.post_url = b.post_url AS same FROM (SELECT row_number() OVER (ORDER BY ingest_seq) AS rn, post_url FROM posts) a JOIN (SELECT row_number() OVER (ORDER BY ingest_seq) AS rn, post_url FROM posts WHERE ingest_seq > 0) b ON a.rn = b.rn")
+add("join_row_pos", "sinks posts", """SELECT a.destination, a.source_link, a.source_link = b.post_url AS same FROM (SELECT destination, source_link, row_number() OVER (PARTITION BY destination ORDER BY source_link) AS rn FROM sinks) a
+ JOIN (SELECT CASE WHEN ingest_seq % 2 = 0 THEN 'MAIN' ELSE 'DATA' END AS destination, post_url, row_number() OVER (PARTITION BY CASE WHEN ingest_seq % 2 = 0 THEN 'MAIN' ELSE 'DATA' END ORDER BY post_url) AS rn FROM posts WHERE ingest_seq % 9 = 0) b ON a.destination = b.destination AND a.rn = b.rn""")
 
 # Aggregations
-add("agg_funnel", "raw_items raw_posts posts gated produced", f"SELECT (SELECT {N} FROM raw_items) AS scraped, (SELECT {N} FROM raw_posts) AS usable, (SELECT {N} FROM posts) AS unique_posts, (SELECT {total('reject_reason = ' + chr(39) * 2)} FROM gated) AS candidates, (SELECT {total('reject_reason <> ' + chr(39) * 2)} FROM gated) AS excluded, (SELECT {total('gate = ' + chr(39) + 'ACCEPT' + chr(39))} FROM produced) AS accepted, (SELECT {total('gate = ' + chr(39) + 'REVIEW' + chr(39))} FROM produced) AS in_review, (SELECT {total('disposition = ' + chr(39) + 'HOLD' + chr(39))} FROM produced) AS held")
+add("agg_funnel", "raw_items weighed", f"""SELECT r.scraped, r.usable, w.* FROM (SELECT {N} AS scraped, {total("error IS NULL AND trim(text) <> '' AND post_url <> ''")} AS usable FROM raw_items) r CROSS JOIN
+ (SELECT {N} AS unique_posts, {total("reject_reason = ''")} AS candidates, {total("reject_reason <> ''")} AS excluded, {total("gate IS NOT NULL")} AS sent, {total("evaluated")} AS evaluated, {total("gate = 'ACCEPT'")} AS accepted, {total("gate = 'REVIEW'")} AS in_review,
+ {total("gate = 'REJECT'")} AS rejected, {total("llm_status = 'UNAVAILABLE'")} AS unavailable, {total("llm_status = 'ERROR'")} AS errors, {total("disposition = 'ELIGIBLE'")} AS eligible, {total("disposition = 'HOLD'")} AS held, {total("disposition = 'REJECT'")} AS refused,
+ {total("disposition = 'ELIGIBLE' AND destination = 'MAIN'")} AS to_main, {total("disposition = 'ELIGIBLE' AND destination = 'DATA'")} AS to_data, {total("cold_email <> 'Not Available'")} AS with_email, {total("manager_name <> ''")} AS with_manager FROM weighed) w""")
 add("agg_reason_hist", "gated", f"SELECT split_part(reject_reason, ' (', 1) AS reason, {N} AS n FROM gated WHERE reject_reason <> '' GROUP BY 1")
 add("agg_outcome_counts", "produced", f"SELECT disposition, {N} AS n FROM produced GROUP BY disposition")
 add("agg_query_yield", "raw_posts gated", f"SELECT r.source_query, {N} AS raw, {total('g.reject_reason = ' + chr(39) * 2)} AS candidates FROM raw_posts r LEFT JOIN gated g ON g.ingest_seq = r.ingest_seq GROUP BY r.source_query")
-add("agg_yield_status", "raw_posts", lambda d: f"SELECT coalesce(q, 'TOTAL') AS source_query, CAST(sum(n) AS BIGINT) AS n FROM (SELECT q.q, CAST(count(r.ingest_seq) AS BIGINT) AS n FROM ({d.values([[f'query {i}'] for i in range(0, 60, 3)], 'q')}) q LEFT JOIN raw_posts r ON r.source_query = q.q GROUP BY q.q) x GROUP BY ROLLUP (q)")
+add("agg_yield_status", "raw_posts", lambda d: f"""SELECT coalesce(q, 'TOTAL') AS source_query, CAST(sum(n) AS BIGINT) AS n, CASE WHEN q IS NULL THEN 'TOTAL' WHEN sum(n) > 0 THEN 'EXECUTED' ELSE 'ZERO_YIELD' END AS status
+ FROM (SELECT q.q, CAST(count(r.ingest_seq) AS BIGINT) AS n FROM ({d.values([[f'query {i}'] for i in range(50)], 'q')}) q LEFT JOIN raw_posts r ON r.source_query = q.q GROUP BY q.q) x GROUP BY ROLLUP (q)""")
 add("agg_category_rollup", "produced", f"SELECT coalesce(final_category, 'TOTAL') AS category, {N} AS n, {total('gate = ' + chr(39) + 'ACCEPT' + chr(39))} AS accepted, {total('disposition = ' + chr(39) + 'HOLD' + chr(39))} AS held, {total('cold_email <> ' + chr(39) + 'Not Available' + chr(39))} AS with_email, {total('company_name <> ' + chr(39) + 'Unclear' + chr(39))} AS with_company FROM produced GROUP BY ROLLUP (final_category)")
 add("agg_cohort_impact", "fields", f"SELECT CASE WHEN source_query < 'query 3' THEN 'A' ELSE 'B' END AS cohort, {N} AS n, round(avg(CASE WHEN company_name <> 'Unclear' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END), 6) AS company_known, round(avg(CASE WHEN manager_name <> '' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END), 6) AS manager_known FROM fields WHERE reject_reason = '' GROUP BY 1")
 add("agg_dq_report", "fields", f"SELECT {N} AS n, {total('company_name <> ' + chr(39) + 'Unclear' + chr(39))} AS company, {total('ctc <> ' + chr(39) + 'Not Disclosed' + chr(39))} AS ctc, {total('experience <> ' + chr(39) + 'Not Specified' + chr(39))} AS experience, {total('location <> ' + chr(39) + 'Not Specified' + chr(39))} AS location, {total('manager_name <> ' + chr(39) * 2)} AS manager, {total('apply_link <> ' + chr(39) * 2)} AS apply_link FROM fields WHERE reject_reason = ''")
@@ -145,7 +221,7 @@ add("agg_enrich_status", "fields", lambda d: f"SELECT e.status, CAST(count(f.ing
 add("agg_kpis", "produced", f"SELECT {N} AS total, {total('gate = ' + chr(39) + 'ACCEPT' + chr(39))} AS status_new, {total('cold_email <> ' + chr(39) + 'Not Available' + chr(39))} AS with_email FROM produced")
 add("agg_provider", "decided", f"SELECT provider, {N} AS attempted, {total('evaluated')} AS success, {total('llm_status = ' + chr(39) + 'UNAVAILABLE' + chr(39))} AS unavailable FROM decided GROUP BY provider")
 add("agg_destinations", "batch", f"SELECT destination, {N} AS n FROM batch WHERE barrier = '' GROUP BY destination")
-column("agg_distinct_employers", "posts", lambda d: d.size(d.distinct(d.all_rx("text", "([A-Z][a-z]+) (?:is|are) (?:hiring|recruiting)", 1))))
+column("agg_distinct_employers", "posts", lambda d: d.size(R.employers(d)))
 add("agg_best_contact", "fields", lambda d: f"SELECT author_name, {d.arg_max('cold_email', 'confidence', 'ingest_seq')} AS best_email FROM fields WHERE cold_email <> 'Not Available' GROUP BY author_name")
 add("agg_bool_all_any", "gated", "SELECT source_query, bool_and(has_city) AS all_city, bool_or(employer_context) AS any_employer FROM gated GROUP BY source_query")
 add("agg_hm_metrics", "fields", f"SELECT {total('manager_name <> ' + chr(39) * 2)} AS named, {total('manager_link <> ' + chr(39) * 2)} AS linked, {total('manager_name <> ' + chr(39) * 2 + ' AND lower(manager_name) = lower(author_name)')} AS is_author FROM fields")
@@ -154,12 +230,13 @@ add("agg_cost", "raw_posts", "SELECT CAST(count(DISTINCT source_query) AS BIGINT
 # Windows, dedup, sort, limit
 add("win_first_dedup", "posts", "SELECT ingest_seq, post_url FROM posts")
 add("win_batch_dedup", "batch", "SELECT ingest_seq, activity_id, copy_in_batch = 1 AS kept FROM batch")
-add("win_stable_order", "posters", "SELECT ingest_seq, sourcing_score, row_number() OVER (ORDER BY sourcing_score DESC, ingest_seq) AS place FROM posters")
-add("win_budget_stop", "decided", "SELECT ingest_seq, CASE WHEN failed_before = 0 THEN 'PROCESSED' ELSE 'PENDING' END AS state FROM (SELECT ingest_seq, CAST(coalesce(sum(CASE WHEN llm_status = 'UNAVAILABLE' AND attempts = 3 THEN 1 ELSE 0 END) OVER (PARTITION BY ingest_seq % 16 ORDER BY ingest_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS failed_before FROM decided) d")
-SCORES = " + ".join(f"CASE WHEN {{has}}(lower(s), '{w}') THEN {n} ELSE 0 END" for w, n in (("the", 3), ("ation", 2), ("der", 2), ("ing", 1)))
-add("win_topk_reorder", "", lambda d: f"WITH s AS (SELECT doc_id, i, s, {SCORES.format(has='contains')} AS score FROM (" + ("SELECT doc_id, posexplode(split(text, '[.] ')) AS (i, s) FROM documents" if d.name == "spark" else "SELECT doc_id, unnest(range(0, len(x))) AS i, unnest(x) AS s FROM (SELECT doc_id, regexp_split_to_array(text, '[.] ') AS x FROM documents) y") + ") z), k AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, i) AS r FROM s) SELECT doc_id, " + ("array_join(transform(array_sort(collect_list(struct(i, s))), x -> x.s), '|')" if d.name == "spark" else "array_to_string(list(s ORDER BY i), '|')") + " AS key_points FROM k WHERE r <= 4 GROUP BY doc_id")
+add("win_stable_order", "posters", """SELECT p.ingest_seq, p.sourcing_score, CAST(p.place + b.before AS BIGINT) AS place
+ FROM (SELECT ingest_seq, sourcing_score, part, row_number() OVER (PARTITION BY sourcing_score, part ORDER BY ingest_seq) AS place FROM (SELECT *, CAST(floor(ingest_seq / 10000) AS BIGINT) AS part FROM posters) x) p
+ JOIN (SELECT sourcing_score, part, coalesce(sum(n) OVER (ORDER BY sourcing_score DESC, part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM (SELECT sourcing_score, CAST(floor(ingest_seq / 10000) AS BIGINT) AS part, count(*) AS n FROM posters GROUP BY 1, 2) c) b ON p.sourcing_score = b.sourcing_score AND p.part = b.part""")
+add("win_budget_stop", "decided", "SELECT d.ingest_seq, CASE WHEN f.first_failure IS NULL OR d.ingest_seq <= f.first_failure THEN 'PROCESSED' ELSE 'PENDING' END AS state FROM decided d CROSS JOIN (SELECT min(CASE WHEN llm_status = 'UNAVAILABLE' AND attempts = 3 THEN ingest_seq END) AS first_failure FROM decided) f")
+column("win_topk_reorder", "fields", key_points, "key_points")
 add("win_best_per_key", "fields", lambda d: f"SELECT lower(cold_email) AS email, {d.arg_max('post_url', 'confidence', 'ingest_seq')} AS post_url, max(confidence) AS confidence FROM fields WHERE cold_email <> 'Not Available' GROUP BY lower(cold_email)")
-add("win_email_rank", "fields", lambda d: "SELECT ingest_seq, " + d.case([(f"split_part(lower(cold_email), '@', 1) LIKE '{m}%'", str(i)) for i, m in enumerate(L.MAILBOX_RANK)], "99") + " AS mailbox_rank FROM fields WHERE cold_email <> 'Not Available'")
+add("win_email_rank", "fields", lambda d: "SELECT ingest_seq, " + d.case([(f"split_part(lower(cold_email), '@', 1) = '{m}'", str(i)) for m, i in L.MAILBOX_RANKS.items()], "99") + " AS mailbox_rank FROM fields WHERE cold_email <> 'Not Available'")
 add("win_newest_first", "posts", "SELECT ingest_seq, post_url FROM posts ORDER BY ingest_seq DESC LIMIT 100")
 add("win_max_per_run", "produced", "SELECT ingest_seq, cold_email FROM produced WHERE cold_email <> 'Not Available' ORDER BY ingest_seq LIMIT 10")
 add("win_cum_attempts", "", "SELECT event_id, CAST(count(*) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS attempts FROM events")
@@ -169,10 +246,26 @@ add("lim_caps", "fields", lambda d: f"SELECT ingest_seq, substring(exact_role, 1
 # Scores, merge, routes
 column("scr_confidence", "fields", "confidence")
 column("scr_sourcing", "posters", "sourcing_score")
-_W = [("company_name <> 'Unclear'", 20), ("exact_role <> 'Unclear'", 20), ("cold_email <> 'Not Available'", 15), ("manager_name <> ''", 10), ("location <> 'Not Specified'", 10), ("ctc <> 'Not Disclosed'", 5), ("experience <> 'Not Specified'", 5), ("employment_type <> 'Unclear'", 5), ("apply_link <> ''", 10)]
-column("scr_enrichment", "fields", "CAST(least(100, " + " + ".join(f"CASE WHEN {c} THEN {w} ELSE 0 END" for c, w in _W) + ") AS DOUBLE) / 100")
-column("scr_data_quality", "fields", "round(CAST(" + " + ".join(f"CASE WHEN {c} THEN 10 ELSE 0 END" for c, _ in _W) + " AS DOUBLE) / 90, 2)")
-column("scr_evidence_complete", "fields", "round(CAST(" + " + ".join(f"CASE WHEN {c} THEN 1 ELSE 0 END" for c, _ in _W) + " AS DOUBLE) / 9, 3)")
+_KNOWN = {
+    "company": "company_name NOT IN ('Unclear', '', 'N/A')", "role": "exact_role NOT IN ('Unclear', '')", "location": "location NOT IN ('Not Specified', '')", "employment": "employment_type NOT IN ('Unclear', '')",
+    "experience": "experience NOT IN ('Not Specified', '')", "ctc": "ctc NOT IN ('Not Disclosed', '')", "source": "post_url <> ''", "manager": "manager_name <> ''", "link": "manager_link <> ''", "email": "cold_email <> 'Not Available'",
+    "india": "market <> ''", "current": "reject_reason = ''",
+}
+
+
+def points(weights: dict[str, int], more: str = "") -> str:
+    """Hundredths for what a post has."""
+    return "CAST(least(100, " + " + ".join(f"CASE WHEN {_KNOWN[k]} THEN {w} ELSE 0 END" for k, w in weights.items()) + more + ") AS DOUBLE) / 100"
+
+
+#: The weights of the two scores.
+ENRICHMENT = {"company": 20, "role": 20, "location": 12, "employment": 10, "experience": 8, "ctc": 8, "source": 10, "manager": 4, "email": 2}
+QUALITY = {"company": 15, "role": 15, "india": 15, "current": 10, "location": 8, "experience": 5, "ctc": 5, "manager": 4, "link": 4, "email": 4}
+EVIDENCE = ("company", "role", "location", "employment", "experience", "ctc", "manager", "email")
+_filled = "(" + " + ".join(f"CASE WHEN {_KNOWN[k]} THEN 1 ELSE 0 END" for k in EVIDENCE) + ")"
+column("scr_enrichment", "fields", points(ENRICHMENT))
+column("scr_data_quality", "fields", f"round({points(QUALITY, f" + CASE WHEN employment_type = 'Full-time' THEN 10 WHEN employment_type IN ('Unclear', 'Not Specified', '') THEN 5 ELSE 0 END + CAST(5 AS DOUBLE) * {_filled} / {len(EVIDENCE)}")}, 2)")
+column("scr_evidence_complete", "fields", "round(CAST(" + " + ".join(f"CASE WHEN {c} THEN 1 ELSE 0 END" for c in _KNOWN.values()) + f" AS DOUBLE) / {len(_KNOWN)}, 3)")
 column("scr_state_conf", "fields", "CASE WHEN job_card_company <> 'Unclear' THEN CAST(0.95 AS DOUBLE) WHEN company_name <> 'Unclear' THEN CAST(0.8 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END")
 add("gte_verdict", "decided", "SELECT ingest_seq, gate, reasons FROM decided")
 add("gte_status", "decided", "SELECT ingest_seq, CASE gate WHEN 'ACCEPT' THEN 'New' WHEN 'REVIEW' THEN 'Review' ELSE '' END AS status, llm_status FROM decided")
@@ -184,29 +277,32 @@ add("rte_post", "produced", "SELECT ingest_seq, CASE WHEN gate = 'REJECT' OR dis
 add("gte_barrier", "batch", "SELECT ingest_seq, barrier FROM batch")
 add("gte_enrich_status", "fields", "SELECT ingest_seq, CASE WHEN company_name = 'Unclear' OR exact_role = 'Unclear' THEN 'REVIEW' WHEN cold_email <> 'Not Available' THEN 'READY' WHEN is_india THEN 'READY_WITHOUT_CONTACT' ELSE 'REVIEW' END AS status FROM fields")
 add("gte_row_invariants", "produced", "SELECT ingest_seq, concat_ws('; ', CASE WHEN post_url = '' THEN 'no key' END, CASE WHEN confidence > 1 OR confidence < 0 THEN 'confidence' END, CASE WHEN destination = 'HOLD' THEN 'no route' END) AS violations FROM produced")
-add("gte_post_write", "batch sinks", f"SELECT 'no stored key twice' AS name, (SELECT {N} FROM batch b JOIN sinks s ON s.source_link = b.post_url WHERE b.barrier = '') = 0 AS ok UNION ALL SELECT 'one row a key', (SELECT {N} FROM (SELECT activity_id FROM batch WHERE barrier = '' GROUP BY activity_id HAVING count(*) > 1) x) = 0")
+add("gte_post_write", "batch sinks", lambda d: f"""SELECT 'no stored key twice' AS name, (SELECT {N} FROM batch b JOIN sinks s ON s.source_link = b.post_url WHERE b.barrier = '') = 0 AS ok UNION ALL SELECT 'one row a key', (SELECT {N} FROM (SELECT post_url FROM batch WHERE barrier = '' GROUP BY post_url HAVING count(*) > 1) x) = 0
+ UNION ALL SELECT 'every row passes the checks', (SELECT {N} FROM batch WHERE barrier = '' AND checks <> '') = 0 UNION ALL SELECT 'only eligible rows', (SELECT {N} FROM batch WHERE barrier = '' AND disposition <> 'ELIGIBLE') = 0
+ UNION ALL SELECT 'category in its table', (SELECT {N} FROM batch WHERE barrier = '' AND (destination = 'DATA') <> (final_category IN ('Data Analyst', 'Data Scientist'))) = 0 UNION ALL SELECT 'every row has a key', (SELECT {N} FROM batch WHERE barrier = '' AND coalesce(post_url, '') = '') = 0""")
 add("dsp_recovery", "decided", "SELECT ingest_seq, CASE WHEN evaluated THEN 'RECOVERED' WHEN NOT parsed THEN 'UNREADABLE' WHEN attempts >= 3 THEN 'BUDGET_SPENT' ELSE 'RETRY' END AS disposition FROM decided")
 
 # Extraction
-column("ext_emails", "fields", lambda d: d.join("real_emails", ","))
+column("ext_emails", "fields", lambda d: d.join(d.filter(d.indexed("real_emails", "x", "nth", f"CASE WHEN {d.place_in(d.transform('real_emails', 'y', 'lower(y)'), 'lower(x)')} = nth + 1 THEN x END"), "z", "z IS NOT NULL"), ","))
 column("ext_cold_email", "fields", "cold_email")
 column("ext_google_form", "fields", "google_form")
 column("ext_apply_link", "fields", "apply_link")
 column("ext_exact_role", "fields", "exact_role")
 column("ext_company", "fields", "company_name")
-column("ext_clean_company", "fields", lambda d: f"CASE WHEN length(company_name) < 40 AND NOT {d.isin('lower(company_name)', ['india', 'remote', 'global'])} THEN company_name ELSE 'Unclear' END")
-column("ext_join_company", "posts", lambda d: d.extract("text", r"[Jj]oin ([A-Z][A-Za-z]+(?: [A-Z][A-Za-z]+)?)", 1))
-column("ext_is_hiring", "posts", lambda d: d.extract("text", r"([A-Z][A-Za-z]+(?: [A-Z][A-Za-z]+)?) is hiring", 1))
+column("ext_clean_company", "fields", lambda d: R.first_of(d, R.companies(d, ["company_name"])))
+column("ext_join_company", "posts", lambda d: R.first_of(d, R.companies(d, [d.extract("text", L.JOIN_COMPANY_RX, 1)])))
+column("ext_is_hiring", "posts", lambda d: R.first_of(d, R.companies(d, [d.extract("text", L.IS_HIRING_RX, 1)])))
 column("ext_company_header", "posts", lambda d: d.extract("text", r"Company: ([A-Z][A-Za-z0-9]*)", 1))
 column("ext_company_resolve", "fields", "CASE WHEN job_card_company <> 'Unclear' THEN job_card_company || ' 0.95' WHEN company_name <> 'Unclear' THEN company_name || ' 0.85' ELSE 'Unclear 0' END")
 column("ext_ctc", "fields", "ctc")
 column("ext_experience", "fields", "experience")
 column("ext_employment", "fields", "employment_type")
-column("ext_hm_context", "fields", "manager_name")
-column("ext_named_founder", "posts", lambda d: d.extract("text", r"(?i:our|my) (?:founder|CEO),? ([A-Z][a-z]+)", 1))
+add("ext_hm_context", "fields", "SELECT ingest_seq, manager_context AS value, CASE WHEN manager_tier = 'CONTEXT' THEN manager_evidence ELSE '' END AS evidence FROM fields")
+column("ext_named_founder", "fields", "manager_founder")
+column("ext_signature", "fields", "manager_signature")
 column("ext_linkedin", "fields", "manager_link")
-add("ext_hm_cascade", "posters", "SELECT ingest_seq, CASE WHEN manager_name <> '' THEN manager_name WHEN person_profile AND poster_type = 'EMPLOYEE' THEN author_name ELSE 'Unclear' END AS manager FROM posters")
-add("ext_hm_resolve", "posters", "SELECT ingest_seq, CASE WHEN manager_name <> '' AND manager_link <> '' THEN CAST(0.9 AS DOUBLE) WHEN manager_name <> '' THEN CAST(0.8 AS DOUBLE) WHEN person_profile THEN CAST(0.75 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS confidence FROM posters")
+add("ext_hm_cascade", "fields", "SELECT ingest_seq, coalesce(nullif(manager_name, ''), 'Unclear') AS manager, manager_tier, manager_link, manager_evidence FROM fields")
+add("ext_hm_resolve", "fields", "SELECT ingest_seq, CASE manager_tier WHEN 'CONTEXT' THEN CAST(0.9 AS DOUBLE) WHEN 'FOUNDER' THEN CAST(0.85 AS DOUBLE) WHEN 'SIGNATURE' THEN CAST(0.8 AS DOUBLE) WHEN 'AUTHOR' THEN CAST(0.75 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS confidence FROM fields")
 column("ext_email_resolve", "fields", "CASE WHEN cold_email = 'Not Available' THEN 'NOT_FOUND' ELSE 'FOUND' END")
 column("ext_role_resolve", "fields", "CASE WHEN exact_role <> 'Unclear' THEN exact_role WHEN role_keyword <> '' THEN role_keyword ELSE 'Unclear' END")
 add("html_text", "", lambda d: f"SELECT page_id, trim({d.replace(d.replace(d.replace('html', '(?is)<(script|style|noscript|template)[^>]*>.*?</(script|style|noscript|template)>', ' '), '(?s)<[^>]*>', ' '), '[ \\t\\r\\n]+', ' ')}) AS visible FROM pages")
@@ -221,7 +317,7 @@ column("fn_role_source", "fields", "CASE WHEN exact_role <> 'Unclear' THEN exact
 add("set_union_keys", "sinks", "SELECT source_link FROM sinks WHERE destination = 'MAIN' UNION SELECT source_link FROM sinks WHERE destination = 'DATA'")
 add("set_intersect_tabs", "batch", "SELECT final_company FROM batch WHERE destination = 'MAIN' INTERSECT SELECT final_company FROM batch WHERE destination = 'DATA'")
 add("set_equal", "sinks posts", f"SELECT (SELECT {N} FROM (SELECT source_link FROM sinks EXCEPT SELECT post_url FROM posts) a) = 0 AS all_known, (SELECT {N} FROM (SELECT post_url FROM posts EXCEPT SELECT source_link FROM sinks) b) AS not_stored")
-add("set_zero_yield", "raw_posts gated", "SELECT DISTINCT source_query FROM raw_posts EXCEPT SELECT source_query FROM gated WHERE reject_reason = ''")
+add("set_zero_yield", "raw_posts gated", lambda d: f"SELECT q AS source_query FROM ({d.values([[f'query {i}'] for i in range(50)], 'q')}) a EXCEPT SELECT source_query FROM raw_posts UNION ALL (SELECT source_query FROM raw_posts EXCEPT SELECT source_query FROM gated WHERE reject_reason = '')")
 add("set_union_accept_review", "produced", "SELECT ingest_seq, gate FROM produced WHERE gate = 'ACCEPT' UNION ALL SELECT ingest_seq, gate FROM produced WHERE gate = 'REVIEW'")
 
 # Helpers, contacts, ledger, reports
@@ -239,9 +335,10 @@ column("snk_err_text", "posts", lambda d: f"substring({d.replace('text', '\\s+',
 add("rpt_stored_fields", "raw_items", "SELECT ingest_seq, coalesce(nullif(card_employment, ''), nullif(card_experience, ''), nullif(card_subtitle, ''), '') AS stored FROM raw_items")
 add("rpt_capture_audit", "gated", "SELECT ingest_seq, post_url, major_category, reject_reason FROM gated")
 add("rpt_gate_record", "produced", "SELECT ingest_seq, major_category, gate, disposition, destination, poster_type, sourcing_score, confidence, llm_confidence, market, location FROM produced")
-add("rpt_validate_contact", "produced", "SELECT * FROM (SELECT ingest_seq, cold_email, manager_name, row_number() OVER (ORDER BY ingest_seq) AS rn FROM produced WHERE gate <> 'REJECT') x WHERE rn BETWEEN 5 AND 24")
+add("rpt_validate_contact", "produced", "SELECT * FROM (SELECT ingest_seq, cold_email, manager_name, manager_tier, manager_evidence FROM produced WHERE gate <> 'REJECT' ORDER BY ingest_seq LIMIT 24) x ORDER BY ingest_seq DESC LIMIT 20")
 add("rpt_baseline_join", "gated sinks", "SELECT g.post_url, s.source_link IS NOT NULL AND g.reject_reason = '' AS recovered FROM gated g LEFT JOIN sinks s ON s.source_link = g.post_url")
-add("rpt_funnel_check", "raw_posts posts", f"SELECT (SELECT {N} FROM raw_posts) >= (SELECT {N} FROM posts) AS ok")
+add("rpt_funnel_check", "weighed", f"""SELECT {N} = {total("reject_reason = ''")} + {total("reject_reason <> ''")} AS gates_add_up, {total("gate IS NOT NULL")} = {total("gate = 'ACCEPT'")} + {total("gate = 'REVIEW'")} + {total("gate = 'REJECT'")} AS verdicts_add_up,
+ {total("gate IS NOT NULL")} = {total("disposition = 'ELIGIBLE'")} + {total("disposition = 'HOLD'")} + {total("disposition = 'REJECT'")} AS dispositions_add_up, {total("reject_reason = ''")} >= {total("gate IS NOT NULL")} AS no_verdict_from_nowhere FROM weighed""")
 add("led_compact", "raw_posts verdicts", lambda d: f"SELECT r.activity_id, {d.arg_max('v.llm_status', 'v.ingest_seq')} AS llm_status, CAST(max(v.ingest_seq) AS BIGINT) AS version FROM verdicts v JOIN raw_posts r ON r.ingest_seq = v.ingest_seq GROUP BY r.activity_id")
 add("led_select", "decided", "SELECT ingest_seq, attempts FROM decided WHERE NOT evaluated AND attempts < 3 ORDER BY ingest_seq LIMIT 200")
 add("led_throttle", "decided", "SELECT ingest_seq, CASE WHEN llm_status = 'UNAVAILABLE' THEN attempts + 1 ELSE CAST(0 AS BIGINT) END AS attempts, CASE WHEN llm_status = 'UNAVAILABLE' THEN 'RATE_LIMITED' ELSE '' END AS last_error FROM decided")

@@ -13,76 +13,132 @@ def q(d: Dialect, s: str) -> str:
     return d.lit(s)
 
 
+NEVER = "1000000000"
+#: Words of which each pattern of a family needs one: looked for first, as that is cheap.
+FO_FAMILY, DATA_FAMILY = ["founder", "chief"], ["analyst", "scientist", "analytics associate"]
+
+
 def signals(d: Dialect) -> str:
-    """Role, hiring and framing signals of each post's normalised text."""
+    """Role, hiring and framing signals of each post's normalised text.
+
+    Of data titles, conditional titles and framed fields the earliest in the text counts, of those the longest.
+    """
     t = "t"
-    first = d.extract(t, alternation(TITLES))  # the earliest title, of those the longest
-    ba = f"({d.has(t, 'business analyst')} AND {d.any_of(t, L.BUSINESS_ANALYST_EVIDENCE)} AND NOT {d.any_of(t, L.BUSINESS_ANALYST_NEGATIVE)})"
-    applied = f"({d.has(t, 'applied scientist')} AND {d.any_of(t, L.APPLIED_SCIENTIST_EVIDENCE)})"
-    science = d.isin("data_first", L.DATA_SCIENTIST)
-    return f"""SELECT *, CASE WHEN {science} OR (data_first = '' AND {applied}) THEN 'Data Scientist' WHEN data_first <> '' OR {ba} THEN 'Data Analyst' ELSE '' END AS data_category,
- CASE WHEN data_first <> '' THEN data_first WHEN {applied} THEN 'applied scientist' WHEN {ba} THEN 'business analyst' ELSE '' END AS data_keyword
- FROM (SELECT *, {d.first_word(t, L.FOUNDERS_OFFICE)} AS fo_keyword, {d.first_word(t, L.CHIEF_OF_STAFF)} AS cos_keyword, {first} AS data_first,
- {d.any_rx(t, L.EMPLOYER_STRONG_RX)} OR ({d.any_rx(t, L.EMPLOYER_SUPPORT_RX)} AND {d.rx(t, chr(92) + 'b(?:interested|share|refer)' + chr(92) + 's+.*' + chr(92) + 'bopening' + chr(92) + 'b')}) AS employer_context,
- {d.any_rx(t, L.FO_STRONG_RX)} AS fo_strong, {d.any_rx(t, L.FO_WEAK_RX)} AS fo_weak, {d.any_rx(t, L.DATA_STRONG_RX)} AS data_strong, {d.any_rx(t, L.DATA_WEAK_RX)} AS data_weak,
- {d.first_word(t, L.HIRING_SIGNALS)} AS hiring_signal, {d.first_word(t, L.VACANCY_LABELS)} AS vacancy_label FROM posts) p"""
+    analyst = f"{d.has(t, 'business analyst')} AND ({d.any_of(t, L.STRONG_DATA_EVIDENCE)} OR ({d.any_of(t, L.BUSINESS_ANALYST_EVIDENCE)} AND NOT {d.any_of(t, L.BUSINESS_ANALYST_NEGATIVE)}))"
+    applied = f"{d.has(t, 'applied scientist')} AND {d.any_of(t, L.APPLIED_SCIENTIST_EVIDENCE)}"
+    framed = f"data_strong AND field_first <> '' AND NOT {d.rx(t, L.FRAMED_OTHER_TITLE_RX)}"
+    at = lambda test, word: f"CASE WHEN {test} THEN instr(t, {word}) ELSE {NEVER} END"
+    keyword = d.case(
+        [
+            (f"title_at < {NEVER} AND title_at <= least(analyst_at, applied_at, field_at)", "data_first"),
+            (f"analyst_at < {NEVER} AND analyst_at <= least(applied_at, field_at)", q(d, "business analyst")),
+            (f"applied_at < {NEVER} AND applied_at <= field_at", q(d, "applied scientist")),
+            (f"field_at < {NEVER}", "field_first"),
+        ],
+        q(d, ""),
+    )
+    category = d.case([(d.isin("data_keyword", [*L.DATA_SCIENTIST, "applied scientist", "data science"]), q(d, "Data Scientist")), ("data_keyword <> ''", q(d, "Data Analyst"))], q(d, ""))
+    opening = d.rx(t, r"\b(?:interested|share|refer)\s+.*\bopening\b")
+    return f"""SELECT *, {category} AS data_category
+ FROM (SELECT *, {keyword} AS data_keyword
+ FROM (SELECT *, {at("data_first <> ''", "data_first")} AS title_at, {at(analyst, q(d, "business analyst"))} AS analyst_at, {at(applied, q(d, "applied scientist"))} AS applied_at,
+ {at(framed, "field_first")} AS field_at
+ FROM (SELECT *, {d.first_word(t, L.FOUNDERS_OFFICE)} AS fo_keyword, {d.first_word(t, L.CHIEF_OF_STAFF)} AS cos_keyword, {d.extract(t, alternation(TITLES))} AS data_first,
+ {d.extract(t, alternation(L.DATA_FIELDS))} AS field_first,
+ {d.any_rx(t, L.EMPLOYER_STRONG_RX)} OR ({d.any_rx(t, L.EMPLOYER_SUPPORT_RX)} AND {opening}) AS employer_context,
+ ({d.any_of(t, FO_FAMILY)} AND {d.any_rx(t, L.FO_STRONG_RX)}) AS fo_strong, {d.any_rx(t, L.FO_WEAK_RX)} AS fo_weak,
+ ({d.any_of(t, DATA_FAMILY)} AND {d.any_rx(t, L.DATA_STRONG_RX)}) AS data_strong, {d.any_rx(t, L.DATA_WEAK_RX)} AS data_weak,
+ {d.first_word(t, L.HIRING_SIGNALS)} AS hiring_signal, {d.first_word(t, L.VACANCY_LABELS)} AS vacancy_label FROM posts) p) a) k"""
 
 
 def roles(d: Dialect) -> str:
     """One role category a post; where both families are named, data wins only if it alone is framed as the vacancy."""
     fo = "(fo_keyword <> '' OR cos_keyword <> '')"
     data = f"(data_category <> '' AND (NOT {fo} OR (data_strong AND NOT fo_strong)))"
-    return f"""SELECT *, CASE WHEN {data} THEN data_category WHEN fo_keyword <> '' THEN 'Founder''s Office' WHEN cos_keyword <> '' THEN 'Chief of Staff' ELSE 'None' END AS major_category,
- CASE WHEN {data} THEN data_keyword WHEN fo_keyword <> '' THEN fo_keyword ELSE cos_keyword END AS role_keyword FROM signals""".replace("''s", "''s" if d.name == "checker" else "\\'s")
+    return f"""SELECT *, CASE WHEN {data} THEN data_category WHEN fo_keyword <> '' THEN {q(d, "Founder's Office")} WHEN cos_keyword <> '' THEN 'Chief of Staff' ELSE 'None' END AS major_category,
+ CASE WHEN {data} THEN data_keyword WHEN fo_keyword <> '' THEN fo_keyword ELSE cos_keyword END AS role_keyword FROM signals"""
 
 
-def occurrences(d: Dialect) -> str:
-    """Every place of every role keyword (kind 0) and hiring signal (kind 1): (ingest_seq, kind, ord, word, a, z)."""
-    terms = [(0, i, w) for i, w in enumerate([*L.FOUNDERS_OFFICE, *L.CHIEF_OF_STAFF, "data analyst", "data scientist"])] + [(1, i, w) for i, w in enumerate([*L.HIRING_SIGNALS, *L.VACANCY_LABELS])]
-    if d.name == "spark":
-        cut = "split(t, concat('\\\\Q', word, '\\\\E'), -1)"
-        place = "CAST(aggregate(slice(x, 1, i), 0, (acc, s) -> acc + length(s)) + (i - 1) * length(word) AS BIGINT)"
-        rows = "SELECT *, explode(sequence(1, size(x) - 1)) AS i FROM pieces"
-    else:
-        cut = "string_split(t, word)"
-        place = "CAST(list_sum(list_transform(x[1:i], lambda s: length(s))) + (i - 1) * length(word) AS BIGINT)"
-        rows = "SELECT *, unnest(range(1, len(x))) AS i FROM pieces"
-    return f"""SELECT ingest_seq, kind, ord, word, {place} AS a, {place} + length(word) AS z FROM (WITH terms AS ({d.values(terms, 'kind, ord, word')}), pieces AS (SELECT ingest_seq, kind, ord, word, {cut} AS x FROM posts JOIN terms ON instr(t, word) > 0) {rows}) o"""
+def near(d: Dialect) -> str:
+    """The least gap between the post's own role word and any hiring signal, and that signal.
+
+    Ties: the earliest role, then the first signal in list and place order. All places of a post are made and compared
+    within its row, so nothing is joined or moved.
+    """
+    signals = d.array([q(d, w) for w in [*L.HIRING_SIGNALS, *L.VACANCY_LABELS]])
+    one = d.struct(p="p", ord=d.place_in(signals, "w"), word="w")
+    found = f"flatten({d.transform(d.filter(signals, 'w', 'contains(t, w)'), 'w', d.transform(d.places('t', 'w'), 'p', one))})"
+    gap = "CAST(greatest(0, s.p - r - length(role_keyword), r - s.p - length(s.word)) AS BIGINT)"
+    pairs = f"flatten({d.transform('role_places', 'r', d.transform('signal_places', 's', d.struct(gap=gap, r='r', ord='s.ord', p='s.p', word='s.word')))})"
+    return f"""SELECT *, best.gap AS gap, best.word AS nearest_signal
+ FROM (SELECT *, CASE WHEN {d.size('signal_places')} > 0 THEN {d.get(d.sort(pairs), 0)} END AS best
+ FROM (SELECT *, CASE WHEN role_keyword <> '' THEN {d.places('t', 'role_keyword')} END AS role_places, CASE WHEN role_keyword <> '' THEN {found} END AS signal_places FROM roles) r) n"""
 
 
 def gaps(d: Dialect) -> str:
-    """The least gap between a role and a signal of a post, and the signal that gives it (ties: first in list and place order)."""
-    gap = "greatest(0, s.a - r.z, r.a - s.z)"
-    return f"""SELECT r.ingest_seq, CAST(min({gap}) AS BIGINT) AS gap, {d.arg_min('s.word', gap, 'r.a', 's.ord', 's.a')} AS nearest_signal, {d.arg_min('r.word', gap, 'r.a', 's.ord', 's.a')} AS nearest_role
- FROM occurrences r JOIN occurrences s ON r.ingest_seq = s.ingest_seq AND r.kind = 0 AND s.kind = 1 GROUP BY r.ingest_seq"""
+    """Posts with a role and a signal: the gap, the signal and the role."""
+    return "SELECT ingest_seq, gap, nearest_signal, role_keyword AS nearest_role FROM near WHERE gap IS NOT NULL"
+
+
+def _geo_marks(d: Dialect, col: str) -> tuple[str, str, str, str]:
+    """Decisive marker, place, company form, and a neighbouring country, in a text without misleading names."""
+    body = d.replace(col, L.GEO_TRAPS_RX, " ")
+    return d.extract(body, L.GEO_DECISIVE_RX, 1), d.extract(body, L.GEO_PLACES_RX, 1), d.extract(body, L.GEO_COMPANY_FORM_RX, 1), d.rx(body, L.GEO_NEIGHBOURS_RX)
 
 
 def geo(d: Dialect) -> str:
     """India or not, by the job card first and the text after it, with the evidence."""
-    body, card = d.replace("text", L.GEO_TRAPS_RX, " "), d.replace("job_card_location", L.GEO_TRAPS_RX, " ")
-    city = d.rx("t", r"(^|[^a-z])" + alternation([*L.INDIA_CITIES, *L.INDIA_STATES]) + r"(?:jobs?)?($|[^a-z])")
+    card = d.replace("job_card_location", L.GEO_TRAPS_RX, " ")
+    marker, place, form, neighbour = _geo_marks(d, "text")
+    city = d.rx("t", r"(^|[^a-z])" + alternation([c for c in L.INDIA_CITIES if "india" not in c]) + r"(?:jobs?)?($|[^a-z])")
+    evidence = d.case(
+        [
+            ("card_says = 'foreign'", "'job location outside India: ' || job_card_location"),
+            ("card_says = 'india'", "'job location: ' || job_card_location"),
+            ("job_card_location <> ''", "'job location not recognised as India: ' || job_card_location"),
+            ("geo_marker <> ''", "'marker: ' || trim(geo_marker)"),
+            ("geo_place <> ''", "'place: ' || trim(geo_place)"),
+            ("geo_form <> '' AND NOT geo_neighbour", "'company form: ' || trim(geo_form)"),
+        ],
+        "'none'",
+    )
     return f"""SELECT *, CASE WHEN job_card_location <> '' THEN card_says = 'india' ELSE geo_marker <> '' OR geo_place <> '' OR (geo_form <> '' AND NOT geo_neighbour) END AS is_india,
- CASE WHEN card_says = 'foreign' THEN 'job location outside India: ' || job_card_location WHEN card_says = 'india' THEN 'job location: ' || job_card_location WHEN job_card_location <> '' THEN 'job location not recognised as India: ' || job_card_location
-  WHEN geo_marker <> '' THEN 'marker: ' || trim(geo_marker) WHEN geo_place <> '' THEN 'place: ' || trim(geo_place) WHEN geo_form <> '' AND NOT geo_neighbour THEN 'company form: ' || trim(geo_form) ELSE 'none' END AS geo_evidence
+ {evidence} AS geo_evidence
  FROM (SELECT *, CASE WHEN job_card_location = '' THEN '' WHEN {d.rx(card, L.GEO_FOREIGN_RX)} THEN 'foreign' WHEN {d.rx(card, L.GEO_PLACES_RX)} THEN 'india' ELSE 'unknown' END AS card_says,
- {d.extract(body, L.GEO_DECISIVE_RX, 1)} AS geo_marker, {d.extract(body, L.GEO_PLACES_RX, 1)} AS geo_place, {d.extract(body, L.GEO_COMPANY_FORM_RX, 1)} AS geo_form, {d.rx(body, L.GEO_NEIGHBOURS_RX)} AS geo_neighbour,
- {city} OR {d.rx('t', chr(92) + 'bindia(?:n|s)?' + chr(92) + 'b')} AS has_city, {d.any_of('t', L.NON_INDIA)} OR {d.any_rx('t', L.NON_INDIA_RX)} AS has_foreign,
- {d.rx('t', '(remote|work from home|(^|[^a-z])wfh($|[^a-z]))')} AS has_remote, {d.rx('t', '(global|worldwide|international)')} AS has_global FROM roles) g"""
+ {marker} AS geo_marker, {place} AS geo_place, {form} AS geo_form, {neighbour} AS geo_neighbour,
+ {city} OR {d.rx('t', r'{b}india(?:n|s)?{b}|remote - india|remote india'.format(b=chr(92) + 'b'))} AS has_city,
+ {d.any_rx('t', [chr(92) + 'b' + alternation(L.NON_INDIA) + chr(92) + 'b', *L.NON_INDIA_RX])} AS has_foreign,
+ {d.rx('t', r'remote|(^|{s})wfh($|{s})'.format(s=chr(92) + 's'))} AS has_remote, {d.rx('t', 'global|worldwide')} AS has_global FROM near) g"""
 
 
 def markets(d: Dialect) -> str:
-    known = d.any_of("lower(author_name)", L.KNOWN_EMPLOYERS)
-    return f"""SELECT *, CASE WHEN card_says = 'foreign' THEN '' WHEN (has_city OR card_says = 'india') AND has_global THEN 'India + Global' WHEN (has_city OR card_says = 'india') AND has_remote THEN 'Remote - India' WHEN has_city OR card_says = 'india' THEN 'India' WHEN has_foreign THEN '' WHEN {known} THEN 'India' ELSE '' END AS market FROM geo"""
+    """The market of each post, '' where India is not established: card and text first, then author and card company, then known employers."""
+    known = d.rx("t", r"\b" + alternation(L.KNOWN_EMPLOYERS) + r"\b")
+    marker, place, form, neighbour = _geo_marks(d, "(lower(author_name) || ' ' || CASE WHEN job_card_company = 'Unclear' THEN '' ELSE lower(job_card_company) END)")
+    context = f"({marker} <> '' OR {place} <> '' OR ({form} <> '' AND NOT {neighbour}))"
+    here = "(has_city OR card_says = 'india')"
+    return f"""SELECT *, CASE WHEN card_says = 'foreign' THEN '' WHEN {here} AND (has_global OR has_foreign) THEN 'India + Global' WHEN {here} AND has_remote THEN 'Remote - India' WHEN {here} THEN 'India'
+ WHEN has_foreign THEN '' WHEN {context} OR {known} THEN 'India' ELSE '' END AS market FROM geo"""
+
+
+def employers(d: Dialect) -> str:
+    """The different names of which a text says that they hire: of a name that runs over a sentence's end, what follows it."""
+    name = d.replace(d.replace("x", r"^.*\.\s+", ""), r"\.+$", "")
+    names = d.transform(d.all_rx("text", L.EMPLOYER_SUBJECT_RX, 1), "x", f"lower(trim({d.replace(name, chr(92) + 's+', ' ')}))")
+    return d.distinct(d.filter(names, "x", f"x <> '' AND NOT {d.isin('x', L.MULTI_EMPLOYER_STOPWORDS)}"))
 
 
 def gated(d: Dialect) -> str:
     """The first gate that each post fails, in the order of the gates; '' for posts that pass."""
     t = "t"
-    distinct_subjects = f"({d.size(d.distinct(d.all_rx('text', '([A-Z][A-Za-z0-9]*) (?:[A-Z][A-Za-z0-9]* )?(?:is|are) (?:now |actively |currently )?(?:hiring|recruiting|looking)', 1)))})"
-    career = f"({d.count_rx(t, L.CAREER_OPPORTUNITIES_RX)} > {d.count_rx(t, L.CAREER_OPPORTUNITIES_RX + chr(92) + 's+(?:at|with|in)' + chr(92) + 'b')} AND NOT {d.rx(t, '(follow|subscrib|stay tuned|hiring updates|job updates|industry insights)')})"
     target = "major_category <> 'None'"
     data = "major_category IN ('Data Analyst', 'Data Scientist')"
-    entry = d.replace(t, r"\b(?:no|not|non)[- ]+data\s*entry\b", "")
+    entry = d.replace(t, L.NOT_DATA_ENTRY_RX, "")
+    seeker = f"{d.size(d.filter(d.all_rx(t, '(?:i am|i.m) looking for a ([^' + chr(92) + 'n]*)', 1), 'x', 'contains(x, role_keyword)'))} > 0"
+    # Of "career opportunities" one place outside a promotion is enough.
+    spaced = d.replace(t, r"career\s+opportunities", "career opportunities")
+    window = f"substring({spaced}, CAST(greatest(1, p - 119) AS INT), CAST(p - greatest(0, p - 120) + 100 AS INT))"
+    career = f"({d.has(t, 'career')} AND {d.size(d.filter(d.places(spaced, q(d, 'career opportunities')), 'p', 'NOT ' + d.rx(window, L.PROMO_RX)))} > 0)"
     gates = [
         (f"{d.rx(t, L.INTERNSHIP_RX)} AND NOT ({target})", "internship"),
         (d.any_rx(t, L.PAY_TO_APPLY_RX), "pay to apply"),
@@ -91,43 +147,119 @@ def gated(d: Dialect) -> str:
         (f"NOT employer_context AND {d.any_rx(t, L.JOB_SEEKER_RX)}", "job seeker pattern"),
         (d.any_of(t, L.CONGRATULATORY), "congratulatory"),
         (d.any_of(t, L.INFORMATIONAL), "informational"),
+        (f"NOT ({target}) AND {d.rx(t, r'(^|{s})fo($|{s})'.format(s=chr(92) + 's'))}", "no target role (fo without proof)"),
         (f"NOT ({target})", "no target role"),
-        (f"{data} AND {d.rx(entry, chr(92) + 'bdata' + chr(92) + 's*entry' + chr(92) + 'b')} AND NOT data_strong", "data entry"),
+        (f"{data} AND {d.rx(entry, L.DATA_ENTRY_RX)}", "data entry"),
         ("gap IS NULL", "no hiring signal"),
         ("gap > 300", "signal too far"),
-        (f"NOT employer_context AND {d.rx(t, '(i am|i.m) looking for an? .{0,60}role')}", "first person seeker"),
+        (f"NOT employer_context AND {seeker}", "first person seeker"),
         (d.any_rx(t, L.AGGREGATOR_RX), "aggregator"),
-        (career, "aggregator career opportunities"),
+        (career, "aggregator (career opportunities)"),
         (f"{d.count_rx(t, 'company' + chr(92) + 's*:')} >= 3", "company labels"),
-        (f"{distinct_subjects} >= 2", "several employers"),
+        (f"{d.size(employers(d))} >= 2", "several employers"),
         ("NOT fo_strong AND fo_weak", "role context"),
         (f"{data} AND NOT data_strong AND data_weak", "data context"),
-        ("market = ''", "india relevance"),
+        (f"{data} AND NOT data_strong AND {d.isin('role_keyword', [*L.DATA_FIELDS, 'business analyst'])}", "data context (not framed)"),
+        ("card_says = 'foreign'", "india relevance (job card)"),
+        ("market = '' AND has_foreign", "india relevance (abroad)"),
+        ("market = ''", "india relevance (unclear)"),
     ]
-    return f"SELECT *, {d.case([(c, q(d, r)) for c, r in gates], q(d, ''))} AS reject_reason FROM (SELECT m.*, g.gap, g.nearest_signal FROM markets m LEFT JOIN gaps g ON m.ingest_seq = g.ingest_seq) x"
+    return f"SELECT *, {d.case([(c, q(d, r)) for c, r in gates], q(d, ''))} AS reject_reason FROM markets"
+
+
+def sentences(d: Dialect, col: str) -> str:
+    """col cut after sentence ends and at line ends."""
+    return d.split(d.replace(col, r"([.!?])\s+", "$1" + chr(1)), chr(1) + r"|\n+")
+
+
+def first_of(d: Dialect, array: str, otherwise: str = "''") -> str:
+    return f"coalesce({d.get(array, 0)}, {otherwise})"
+
+
+def companies(d: Dialect, candidates: list[str]) -> str:
+    """The valid company names of some candidates, in order: leading capitalised words and connectors, not generic ones."""
+    connectors = "(?i:" + "|".join(L.NAME_CONNECTORS) + ")"
+    word = r"[^A-Za-z0-9 ]*[A-Z0-9][^ ]*"
+    one_line = f"trim({d.replace(d.replace('x', chr(92) + 'n' + '(?s:.*)$'), chr(92) + 's+', ' ')})"
+    kept = d.replace(d.extract(one_line, f"^{word}(?: (?:{word}|{connectors}))*"), f"(?: {connectors})+$")
+    cut = d.transform(d.filter(d.array(candidates), "x", "x <> '' AND length(x) < 40"), "x", d.replace(kept, r"^[.,:;!?\"']+|[.,:;!?\"']+$"))
+    generic = "^(?:[^a-z0-9]*(?:" + "|".join(L.GENERIC_DESCRIPTORS) + ")(?:[^a-z0-9]+|$))+$"
+    return d.filter(cut, "x", f"length(x) > 1 AND NOT {d.isin('lower(x)', [*L.NON_COMPANY, *L.PLACEHOLDER_COMPANIES])} AND NOT {d.rx('lower(x)', generic)}")
+
+
+def title_of(d: Dialect) -> tuple[str, str]:
+    """For the words after a role: the numbers of those that end the title, and the words before the first of them."""
+    stop = f"{d.isin('w', [',', ')', '(', '|', ':', ';'])} OR {d.rx('w', '^#|^http|://')} OR {d.rx('lower(w)', '^(?:lnkd.in|forms.gle|bit.ly|tinyurl.com)')} OR {d.rx('w', '^[0-9]+(?:[.][0-9]+)?(?:-?[0-9]+)?$')} OR {d.isin('lower(w)', ['lpa', 'inr', 'ctc', 'apply', 'applynow', 'please'])} OR (NOT {d.rx('w', '[A-Za-z0-9]')} AND (nth > 0 OR NOT {d.isin('w', ['-', '–', '—', '|', '/', ':'])}))"
+    stops = d.filter(d.indexed("tail_words", "w", "nth", f"CASE WHEN {stop} THEN nth END"), "x", "x IS NOT NULL")
+    tail = f"CASE WHEN title_stop = 1 AND {d.get('tail_words', 0)} = '-' THEN '' ELSE {d.replace(d.join(d.head('tail_words', 'title_stop'), ' '), '^[ ,:;]+|[ ,:;]+$')} END"
+    return stops, tail
 
 
 def fields(d: Dialect) -> str:
     """The fields extracted from each post's text and card, and the confidence in hundredths."""
-    mails = d.transform(d.all_rx("text", L.EMAIL_RX), "x", d.rtrim("x", ".,;:"))
-    real = d.filter("emails", "x", "NOT " + d.rx("lower(x)", "^(?:no-?reply|donotreply|noreply)"))
-    business = d.filter("real_emails", "x", "NOT " + d.isin("lower(split_part(x, '@', 2))", L.PERSONAL_DOMAINS))
+    mails = d.transform(d.all_rx("text", L.EMAIL_RX), "x", d.rtrim("x", ".,;:!?)]}'\""))
+    real = d.filter("emails", "x", f"NOT {d.isin('lower(split_part(x, ' + q(d, '@') + ', 1))', L.NON_CONTACT_LOCALS)}")
+    personal = d.rx("lower(split_part(x, '@', 2))", r"(?:^|\.)" + alternation(L.PERSONAL_DOMAINS) + "$")
+    around = "substring(text, CAST(greatest(1, instr(text, x) - 250) AS INT), CAST(least(instr(text, x) - 1, 250) + 80 AS INT))"
+    cold = f"coalesce({d.get('business_emails', 0)}, {d.get(d.filter('real_emails', 'x', d.rx(around, L.APPLICATION_PURPOSE_RX)), 0)}, 'Not Available')"
     ctc = d.extract("text", r"(?i)(₹?\d+[\-\s]?\d*\s*(?:LPA|lpa|Cr|cr|lakhs?|k|K)|CTC\s*[:=]?\s*₹?\d+)", 1)
     experience = d.extract("text", r"(?i)(\d+[\-\+]?\d*\s*(?:years?|yrs?|yr)|fresher|freshers welcome)", 1)
-    words = "coalesce({}, {})"
-    first = words.format(f"{d.get('business_emails', 0)}", d.get("real_emails", 0))
-    form = d.extract("text", r"https?://(?:docs\.google\.com/forms|forms\.gle)/[^\s]+", 0)
-    link = d.extract("text", r"(?i)(?:apply|application)[^.!?]{0,40}?(https?://[^\s]+)", 1)
-    kind = d.case([("job_card_employment_type NOT IN ('Unclear', 'job')", "job_card_employment_type"), (d.rx("t", "full[- ]time|permanent"), "'Full-time'"), (d.has("t", "contract"), "'Contract'"), (d.rx("t", "part[- ]time"), "'Part-time'"), (d.has("t", "internship"), "'Internship'"), (d.has("t", "freelance"), "'Freelance'"), (d.has("t", "temporary"), "'Temporary'")], "'Unclear'")
-    company = d.case([("job_card_company <> 'Unclear'", "job_card_company"), (d.rx("text", r"[A-Z][A-Za-z0-9]+(?: [A-Z][A-Za-z0-9]+)? is (?:hiring|recruiting)"), d.extract("text", r"([A-Z][A-Za-z0-9]+(?: [A-Z][A-Za-z0-9]+)?) is (?:hiring|recruiting)", 1)), (d.rx("text", r"\bCompany: [A-Z]"), d.extract("text", r"\bCompany: ([A-Z][A-Za-z0-9]*)", 1))], "'Unclear'")
-    found = d.sort(d.distinct(d.transform(d.all_rx("replace(t, 'bangalore', 'bengaluru')", r"\b" + alternation(L.INDIA_CITIES).replace("(?:", "(", 1) + r"(?:jobs?)?\b", 1), "x", d.title("x"))))
-    places = d.join("places", " / ")
-    score = "least(100, 60 + CASE WHEN gap <= 100 THEN 15 WHEN gap <= 300 THEN 10 ELSE 0 END + CASE WHEN market <> '' THEN 10 ELSE 0 END + CASE WHEN company_name <> 'Unclear' THEN 5 ELSE 0 END + CASE WHEN ctc <> 'Not Disclosed' THEN 5 ELSE 0 END + CASE WHEN cold_email <> 'Not Available' OR " + d.has("t", "dm") + " OR " + d.has("t", "apply") + " THEN 5 ELSE 0 END + CASE WHEN experience <> 'Not Specified' THEN 2 ELSE 0 END)"
-    role = d.extract("translate(text, '’', '" + ("''" if d.name == "checker" else "\\'") + "')", r"(?i)((?:(?:senior|sr\.?|junior|jr\.?|lead|principal|staff)\s+)?(?:chief\s+of\s+staff|founder'?s?\s+office(?:\s+associate)?|data\s+scientist|(?:bi|product|reporting|data|business)\s+analyst|applied\s+scientist)\b(?:\s+(?:intern|associate|lead|manager))?)", 1)
-    return f"""SELECT *, CAST({score} AS DOUBLE) / 100 AS confidence FROM (SELECT *, CASE WHEN location_raw <> '' THEN location_raw WHEN has_remote THEN 'Remote' ELSE 'Not Specified' END AS location, coalesce({first}, 'Not Available') AS cold_email
- FROM (SELECT *, {business} AS business_emails, {places} AS location_raw FROM (SELECT *, {real} AS real_emails, coalesce(nullif({ctc}, ''), 'Not Disclosed') AS ctc, coalesce(nullif({experience}, ''), 'Not Specified') AS experience, {form} AS google_form, CASE WHEN {form} <> '' THEN {form} ELSE {d.rtrim(link, '.,;:!?')} END AS apply_link, {kind} AS employment_type, {company} AS company_name, {found} AS places, coalesce(nullif({role}, ''), 'Unclear') AS exact_role,
- {d.extract('text', r'(?i)(?:reports to|contact) ([A-Z][a-z]+ [A-Z][a-z]+)', 1)} AS manager_name, {d.extract('text', r'https?://www[.]linkedin[.]com/in/[A-Za-z0-9-]+', 0)} AS manager_link
- FROM (SELECT *, {mails} AS emails FROM gated) a) b) c) f"""
+    form = d.rtrim(d.extract("text", L.GOOGLE_FORM_RX), L.URL_TAIL)
+    links = d.filter(d.transform(d.all_rx("text", L.URL_RX), "x", d.rtrim("x", L.URL_TAIL)), "x", f"NOT {d.has('lower(x)', 'linkedin.com')}")
+    before = "substring(text, CAST(greatest(1, instr(text, x) - 200) AS INT), CAST(least(instr(text, x) - 1, 200) AS INT))"
+    after = f"{d.replace('substring(text, CAST(instr(text, x) + length(x) AS INT), 120)', '(?s)[.!?].*$')}"
+    told = lambda window: d.get(d.filter("links", "x", d.rx(window, L.APPLY_CUE_RX)), 0)
+    kind = d.case(
+        [("job_card_employment_type NOT IN ('Unclear', 'job')", "job_card_employment_type"), (d.rx("t", "full-time|full time|permanent"), "'Full-time'"), (d.has("t", "contract"), "'Contract'"), (d.rx("t", "part-time|part time"), "'Part-time'"), (d.has("t", "internship"), "'Internship'"), (d.has("t", "freelance"), "'Freelance'"), (d.has("t", "temporary"), "'Temporary'")],
+        "'Unclear'",
+    )
+    hirers = d.filter(d.all_rx("text", L.IS_HIRING_RX, 1), "x", f"NOT {d.rx('x', '^(?:We|I|It|They|You|He|She|Who|What|Which|That)(?:[^A-Za-z]|$)')}")
+    named = companies(d, [d.extract("text", L.JOIN_COMPANY_RX, 1), first_of(d, hirers), d.extract("text", L.AT_COMPANY_RX, 1), d.extract("text", L.HIRING_AT_RX, 1), d.extract("text", L.HIRING_FOR_RX, 1)])
+    company = f"coalesce({d.get('named_companies', 0)}, {d.get(companies(d, [d.case([('job_card_company <> ' + q(d, 'Unclear'), 'job_card_company')], q(d, ''))]), 0)}, 'Unclear')"
+
+    named_in = lambda col: d.transform(d.all_rx(col, r"(?:^|[^a-z])" + alternation([c for c in L.INDIA_CITIES if "india" not in c]).replace("(?:", "(", 1) + r"(?:jobs?)?(?:$|[^a-z])", 1), "x", "replace(x, 'bangalore', 'bengaluru')")
+
+    def places(found: str) -> str:
+        """The names of the list, in its order, that the found ones are or hold. (Named twice, `found` is computed once a row.)"""
+        held = d.size(d.filter(found, "f", "contains(' ' || f || ' ', ' ' || c || ' ')"))
+        return f"CASE WHEN {d.size(found)} > 0 THEN {d.filter(d.array([q(d, c) for c in L.PLACE_NAMES]), 'c', f'{held} > 0')} ELSE {found} END"
+
+    cities = d.filter("all_places", "x", f"NOT {d.isin('x', L.INDIA_STATES)}")
+    shown = d.transform(f"CASE WHEN {d.size('all_places')} > 1 AND {d.size(cities)} > 0 THEN {cities} ELSE all_places END", "x", d.title("x"))
+    location = f"CASE WHEN {d.size('all_places')} > 0 THEN location_raw WHEN {d.size('card_places')} > 0 THEN {d.title(d.get('card_places', 0))} WHEN has_remote THEN 'Remote' ELSE 'Not Specified' END"
+    stops, tail = title_of(d)
+    role_at = "substring(text, CAST(instr(text, role_words) + length(role_words) AS INT))"
+    sentence = d.replace(d.replace(f"trim({role_at})", r"(?s)([.;:!?])\s.*$", "$1"), r"\.\s*$")
+    tail_text = f"trim({d.replace(sentence, r'(?s)(?:^|{s})(?:in|at|based{s}+in|located{s}+in|for|across|within)(?:{s}.*|$)'.format(s=chr(92) + 's'))})"
+    rank = d.extract("rtrim(substring(text, 1, CAST(greatest(0, instr(text, role_words) - 1) AS INT)))", L.SENIORITY_RX, 1)
+    good_tail = f"title_tail <> '' AND NOT {d.rx('title_tail', '(?i)^(?:is|are|we|apply|please|[0-9]|hiring|join|and)')}"
+    role = f"CASE WHEN role_words = '' THEN 'Unclear' ELSE rtrim(substring(trim({rank} || ' ' || role_words || CASE WHEN {good_tail} THEN ' ' || title_tail ELSE '' END), 1, 120)) END"
+    context = first_of(d, d.filter(d.transform(d.all_rx("text", L.MANAGER_CONTEXT_RX, 1), "x", d.replace("x", r"\s+", " ")), "x", f"length(x) > 3 AND x <> upper(x) AND NOT {d.rx('x', L.COMPANY_LIKE_RX)}"))
+    founder = d.extract("text", L.NAMED_LEADER_RX, 1)
+    # A signature block with what follows it; a sign-off at the end of the text with what stands around it.
+    blocks = d.filter(d.all_rx("text", "(" + L.SIGNATURE_RX + r"[\s\S]{0,120})", 1), "x", f"{d.rx(d.extract('x', '[|｜]([^|' + chr(92) + 'n]*)', 1), L.SIGNATURE_TITLE_RX)} AND {d.rx(d.replace('x', '^[^' + chr(92) + 'n]*'), L.SIGNATURE_CONTACT_RX)} AND {d.rx(d.extract('x', L.SIGNATURE_RX, 1), L.PROPER_NAME_RX)}")
+    ends = d.filter(d.all_rx("substring(text, CAST(greatest(1, length(text) - 599) AS INT))", r"([\s\S]{0,60}?" + L.SIGNOFF_RX + r"[\s\S]{0,140})", 1), "x", f"{d.rx('x', L.SIGNATURE_CONTACT_RX)} AND {d.rx(d.extract('x', L.SIGNOFF_RX, 1), L.PROPER_NAME_RX)}")
+    # Most texts have neither a bar nor a sign-off line; the wide patterns run on the others only.
+    blocks = f"CASE WHEN {d.rx('text', '[|｜]')} THEN {blocks} END"
+    ends = f"CASE WHEN {d.has('text', chr(10))} AND {d.rx('text', L.SIGNOFF_RX)} THEN {ends} END"
+    signed = f"coalesce({d.extract(d.get(blocks, 0), L.SIGNATURE_RX, 1)}, {d.extract(d.get(ends, 0), L.SIGNOFF_RX, 1)}, '')"
+    author = f"CASE WHEN contains(lower(author_profile_url), '/in/') AND NOT contains(lower(author_profile_url), '/company/') AND {d.any_of('t', L.AUTHOR_HIRING)} THEN author_name ELSE '' END"
+    tier = d.case([("manager_context <> ''", "'CONTEXT'"), ("manager_founder <> ''", "'FOUNDER'"), ("manager_signature <> ''", "'SIGNATURE'"), ("manager_author <> ''", "'AUTHOR'")], "'NONE'")
+    own_link = first_of(d, d.filter(d.transform(d.filter(sentences(d, "text"), "x", "contains(x, manager_context)"), "x", d.extract("x", L.PROFILE_RX)), "x", "x <> ''"))
+    link = d.case([("manager_tier = 'CONTEXT'", own_link), ("manager_tier = 'AUTHOR'", "author_profile_url")], "''")
+    evidence = d.case([("manager_tier = 'CONTEXT'", "manager_context"), ("manager_tier = 'FOUNDER'", "'named in post: ' || manager_founder"), ("manager_tier = 'SIGNATURE'", "'recruiter signature in post: ' || manager_signature"), ("manager_tier = 'AUTHOR'", "'author states hiring side: ' || " + d.first_word("t", L.AUTHOR_HIRING))], "''")
+    one = lambda test, n: f"CASE WHEN {test} THEN {n} ELSE 0 END"
+    score = f"least(100, 60 + CASE WHEN gap <= 100 THEN 15 WHEN gap <= 300 THEN 10 ELSE 0 END + {one('market <> ' + q(d, ''), 10)} + {one('company_name <> ' + q(d, 'Unclear'), 5)} + {one('ctc <> ' + q(d, 'Not Disclosed'), 5)} + {one('cold_email <> ' + q(d, 'Not Available') + ' OR ' + d.has('t', 'dm') + ' OR ' + d.has('t', 'apply'), 5)} + {one('experience <> ' + q(d, 'Not Specified'), 2)})"
+    return f"""SELECT *, CAST({score} AS DOUBLE) / 100 AS confidence, {link} AS manager_link, {evidence} AS manager_evidence
+ FROM (SELECT *, {tier} AS manager_tier, coalesce(nullif(manager_context, ''), nullif(manager_founder, ''), nullif(manager_signature, ''), manager_author) AS manager_name,
+ {location} AS location, {cold} AS cold_email, {company} AS company_name, {role} AS exact_role,
+ CASE WHEN google_form <> '' THEN google_form ELSE coalesce({told(before)}, {told(after)}, '') END AS apply_link
+ FROM (SELECT *, {d.filter('real_emails', 'x', 'NOT ' + personal)} AS business_emails, {d.join(shown, ' / ')} AS location_raw, {tail} AS title_tail
+ FROM (SELECT *, {real} AS real_emails, CAST(least(8, coalesce({d.get(stops, 0)}, 8)) AS INT) AS title_stop
+ FROM (SELECT *, {mails} AS emails, {d.split(tail_text, chr(92) + 's+')} AS tail_words, {places('found_in_text')} AS all_places, {places('found_in_card')} AS card_places, {named} AS named_companies, {links} AS links,
+ coalesce(nullif(trim({ctc}), ''), 'Not Disclosed') AS ctc, coalesce(nullif(trim({experience}), ''), 'Not Specified') AS experience, {form} AS google_form, {kind} AS employment_type,
+ {context} AS manager_context, {founder} AS manager_founder, {signed} AS manager_signature, {author} AS manager_author
+ FROM (SELECT *, {d.extract('text', L.EXACT_ROLE_RX, 1)} AS role_words, {named_in('t')} AS found_in_text, {named_in('lower(job_card_location)')} AS found_in_card FROM gated) a) b) c) e) f"""
 
 
 def posters(d: Dialect) -> str:
@@ -162,25 +294,68 @@ def decided(d: Dialect) -> str:
     return f"""SELECT *, CASE WHEN NOT parsed OR llm_status <> 'OK' THEN 'REVIEW' WHEN reasons <> '' THEN 'REJECT' WHEN llm_confidence < 0.9 OR llm_employment IN ('Contract', 'Part-time', 'Freelance', 'Temporary') OR decision <> 'ACCEPT' THEN 'REVIEW' ELSE 'ACCEPT' END AS gate, parsed AND llm_status = 'OK' AS evaluated FROM (SELECT *, {reasons} AS reasons FROM judged) j"""
 
 
+def flow(d: Dialect) -> str:
+    """Every post, with its verdict where it passed the gates; a verdict's field wins where it says something, else the text's."""
+    return """SELECT p.*, v.gate, v.evaluated, v.reasons, v.llm_status, v.provider, v.attempts, v.llm_confidence, v.llm_india,
+ CASE WHEN v.evaluated AND v.llm_category <> 'None' THEN v.llm_category ELSE p.major_category END AS final_category,
+ CASE WHEN v.evaluated AND v.llm_company <> 'Unclear' AND contains(lower(p.text), lower(v.llm_company)) THEN v.llm_company ELSE p.company_name END AS final_company,
+ CASE WHEN v.evaluated AND v.llm_employment <> 'Unclear' THEN v.llm_employment ELSE p.employment_type END AS final_employment
+ FROM posters p LEFT JOIN decided v ON p.ingest_seq = v.ingest_seq AND p.reject_reason = ''"""
+
+
+def weighed(d: Dialect) -> str:
+    """Every post with the production gate: ELIGIBLE, HOLD or REJECT with its reasons, its status and its table; null where no verdict was asked for."""
+    hold = [
+        (d.isin("lower(final_company)", L.MISSING_COMPANY), "company not evidenced"),
+        ("manager_name = ''", "hiring manager unverified"),
+        ("poster_type = 'UNKNOWN'", "unrecognised source"),
+        (f"poster_type = 'AGENCY' AND {d.rx('text', L.UNDISCLOSED_RX)}", "undisclosed client"),
+        (f"{d.isin('lower(exact_role)', L.MISSING_ROLE)} OR {d.rx('substring(text, 1, 400)', L.VAGUE_ROLE_RX)}", "role missing or vague"),
+        ("llm_india = 'Unclear'", "india not established"),
+        (f"{d.size(d.split('trim(text)', chr(92) + 's+'))} > 600", "description too long"),
+    ]
+    reasons = "concat_ws('; ', " + ", ".join(f"CASE WHEN {c} THEN '{r}' END" for c, r in hold) + ")"
+    return f"""SELECT *, CASE WHEN gate IS NULL THEN NULL WHEN gate <> 'ACCEPT' OR NOT evaluated THEN 'HOLD' WHEN llm_confidence < 0.6 OR poster_type IN ('AGGREGATOR', 'JOB_ADVERTISING_PAGE') THEN 'REJECT' WHEN hold_reasons <> '' THEN 'HOLD' ELSE 'ELIGIBLE' END AS disposition,
+ CASE gate WHEN 'ACCEPT' THEN 'New' WHEN 'REVIEW' THEN 'Review' ELSE '' END AS status,
+ CASE WHEN final_category IN ('Data Analyst', 'Data Scientist') THEN 'DATA' WHEN final_category = 'None' THEN 'HOLD' ELSE 'MAIN' END AS destination FROM (SELECT *, {reasons} AS hold_reasons FROM flow) m"""
+
+
 def merged(d: Dialect) -> str:
-    """Posts that pass the gates with their verdicts; a verdict's field wins where it says something, else the text's."""
-    return """SELECT p.*, v.gate, v.evaluated, v.reasons, v.llm_status, v.provider, v.attempts, v.llm_confidence, v.llm_india, CASE WHEN v.evaluated AND v.llm_category <> 'None' THEN v.llm_category ELSE p.major_category END AS final_category,
- CASE WHEN v.evaluated AND v.llm_company <> 'Unclear' AND contains(lower(p.text), lower(v.llm_company)) THEN v.llm_company ELSE p.company_name END AS final_company, CASE WHEN v.evaluated AND v.llm_employment <> 'Unclear' THEN v.llm_employment ELSE p.employment_type END AS final_employment
- FROM posters p JOIN decided v ON p.ingest_seq = v.ingest_seq WHERE p.reject_reason = ''"""
+    """Posts that pass the gates, with their verdicts."""
+    return "SELECT * FROM flow WHERE gate IS NOT NULL"
 
 
 def produced(d: Dialect) -> str:
-    """The production gate: ELIGIBLE, HOLD or REJECT with its reasons, and the table that the row belongs to."""
-    hold = [(d.isin("lower(final_company)", L.MISSING_COMPANY), "company not evidenced"), ("manager_name = ''", "hiring manager unverified"), ("poster_type = 'UNKNOWN'", "unrecognised source"), (f"poster_type = 'AGENCY' AND {d.rx('text', L.UNDISCLOSED_RX)}", "undisclosed client"), (f"{d.isin('lower(exact_role)', L.MISSING_ROLE)} OR {d.rx('substring(text, 1, 400)', L.VAGUE_ROLE_RX)}", "role missing or vague"), ("llm_india = 'Unclear'", "india not established")]
-    reasons = "concat_ws('; ', " + ", ".join(f"CASE WHEN {c} THEN '{r}' END" for c, r in hold) + ")"
-    return f"""SELECT *, CASE WHEN gate <> 'ACCEPT' OR NOT evaluated THEN 'HOLD' WHEN llm_confidence < 0.6 OR poster_type IN ('AGGREGATOR', 'JOB_ADVERTISING_PAGE') THEN 'REJECT' WHEN hold_reasons <> '' THEN 'HOLD' ELSE 'ELIGIBLE' END AS disposition,
- CASE WHEN final_category IN ('Data Analyst', 'Data Scientist') THEN 'DATA' WHEN final_category = 'None' THEN 'HOLD' ELSE 'MAIN' END AS destination FROM (SELECT *, {reasons} AS hold_reasons FROM merged) m"""
+    """Posts that pass the gates, through the production gate."""
+    return "SELECT * FROM weighed WHERE gate IS NOT NULL"
+
+
+def barrier(d: Dialect, row: str = "") -> str:
+    """Why a row must not be written, '' if nothing speaks against it: the eight checks, each from the row alone."""
+    missing = ["unclear", "n/a", "na", "none", "unknown", "", "undisclosed", "our client", "confidential", "stealth"]
+    low = lambda c: f"lower(trim({row}{c}))"
+    checks = [
+        (f"{row}destination NOT IN ('MAIN', 'DATA')", "non-production destination"),
+        (d.isin(low("status"), ["review", "reject", "rejected", "hold", "unavailable", "error", "not_run", "malformed", ""]), "status blocked"),
+        (f"{row}llm_confidence < 0.6", "confidence under 0.60"),
+        (f"{row}llm_status <> 'OK' OR NOT {row}evaluated", "verdict not evaluated"),
+        (d.isin(low("final_company"), missing), "company missing"),
+        (d.isin(low("manager_name"), missing), "hiring manager missing"),
+        (d.isin(low("exact_role"), missing), "role missing"),
+        (f"({row}destination = 'DATA') <> ({row}final_category IN ('Data Analyst', 'Data Scientist'))", "category in the wrong table"),
+    ]
+    return d.case([(c, q(d, r)) for c, r in checks], q(d, ""))
 
 
 def batch(d: Dialect) -> str:
-    """A write batch: accepted rows, the first of each address, with what keeps each from being written ('' if nothing)."""
-    return """SELECT *, CASE WHEN copy_in_batch > 1 THEN 'duplicate in batch' WHEN destination = 'HOLD' THEN 'no destination' WHEN EXISTS (SELECT 1 FROM sinks s WHERE s.source_link = r.post_url) THEN 'already stored' ELSE '' END AS barrier
- FROM (SELECT *, row_number() OVER (PARTITION BY activity_id ORDER BY ingest_seq) AS copy_in_batch FROM produced WHERE gate IN ('ACCEPT', 'REVIEW')) r"""
+    """A write batch with what keeps each row from being written ('' if nothing).
+
+    Rows are gated again first: only eligible ones go on. Then one address is written once, the eight checks must pass,
+    and addresses that either table already holds are left alone.
+    """
+    return f"""SELECT *, CASE WHEN disposition <> 'ELIGIBLE' THEN 'not eligible' WHEN copy_in_batch > 1 THEN 'duplicate in batch' WHEN checks <> '' THEN checks
+ WHEN EXISTS (SELECT 1 FROM sinks s WHERE s.source_link = r.post_url) THEN 'already stored' ELSE '' END AS barrier
+ FROM (SELECT *, {barrier(d)} AS checks, row_number() OVER (PARTITION BY post_url, disposition = 'ELIGIBLE' ORDER BY ingest_seq) AS copy_in_batch FROM produced) r"""
 
 
 #: Each relation and what it reads.
@@ -192,17 +367,19 @@ RELATIONS = {
     "sinks": (P.sinks, ("posts",)),
     "signals": (signals, ("posts",)),
     "roles": (roles, ("signals",)),
-    "occurrences": (occurrences, ("posts",)),
-    "gaps": (gaps, ("occurrences",)),
-    "geo": (geo, ("roles",)),
+    "near": (near, ("roles",)),
+    "gaps": (gaps, ("near",)),
+    "geo": (geo, ("near",)),
     "markets": (markets, ("geo",)),
-    "gated": (gated, ("markets", "gaps")),
+    "gated": (gated, ("markets",)),
     "fields": (fields, ("gated",)),
     "posters": (posters, ("fields",)),
     "judged": (judged, ("verdicts",)),
     "decided": (decided, ("judged",)),
-    "merged": (merged, ("posters", "decided")),
-    "produced": (produced, ("merged",)),
+    "flow": (flow, ("posters", "decided")),
+    "merged": (merged, ("flow",)),
+    "weighed": (weighed, ("flow",)),
+    "produced": (produced, ("weighed",)),
     "batch": (batch, ("produced", "sinks")),
 }
 

@@ -19,7 +19,9 @@ OPENERS = [
 ROLES = ["Chief of Staff", "Founder’s Office Associate", "Senior Data Analyst", "Data Scientist - NLP", "Business Analyst (SQL, Power BI)", "Software Engineer", "Chief of Staff Intern", "Applied Scientist, machine learning", "BI Analyst", "Founder's Office", "Data Entry Operator", "Product Analyst", "𝗖𝗵𝗶𝗲𝗳 𝗼𝗳 𝗦𝘁𝗮𝗳𝗳"]
 PLACES = ["Bangalore", "Mumbai, India", "London", "Remote", "Hyderabad", "Delhi NCR, work from home", "Singapore", "Pune – hybrid", "the Indian Ocean", "Noida", "Dhaka"]
 TERMS = ["CTC 18 LPA, 2-4 years experience.", "5+ years.", "Freshers welcome. Full-time.", "", "Contract, 3 yrs, ₹25 LPA.", "Part-time, 10-12 LPA.", "Internship."]
-CONTACTS = ["Send your CV to careers@acme.in or priya.k@gmail.com.", "DM Priya to apply.", "Apply here: https://forms.gle/AbC123xyz.", "Apply via https://jobs.acme.com/apply?id=7 today!", "Share with friends.", "Mail no-reply@acme.com, then hr@beta.co.", "Reports to Anita Rao. https://www.linkedin.com/in/anita-rao", "Interested? Contact me to apply."]
+CONTACTS = ["Send your CV to careers@acme.in or priya.k@gmail.com.", "DM Priya to apply.", "Apply here: https://forms.gle/AbC123xyz.", "Apply via https://jobs.acme.com/apply?id=7 today!", "Share with friends.", "Mail no-reply@acme.com, then hr@beta.co.", "Reports to Anita Rao. https://www.linkedin.com/in/anita-rao", "Interested? Contact me to apply.",
+    "Pooja Rani | Manager - Talent Acquisition\npooja@zylo.in", "You will work with our CEO Jane Doe at Zylo Tech. Share your resume at jane.doe@gmail.com", "Full-time. Reports to Rahul Verma, Head of Analytics.\nVignesh Chandrasekar\nSr HR Executive\nvignesh@beta.co",
+]
 AUTHORS = [("Priya Sharma", "https://www.linkedin.com/in/priya-sharma?x=1"), ("Acme Labs", "https://www.linkedin.com/company/acme-labs"), ("CareerJobs India", "https://www.linkedin.com/company/careerjobs"), ("Steve Jobs", "https://www.linkedin.com/in/steve-jobs"), ("Talent Recruiters Pvt Ltd", "https://www.linkedin.com/company/talent-recruiters")]
 CARDS = ["Bengaluru, Karnataka, India", "", "Austin, Texas, United States", "Hyderabad, Sindh, Pakistan", "Remote", "Noida, Uttar Pradesh, India (On-site)"]
 
