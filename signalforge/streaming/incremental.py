@@ -15,9 +15,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+#: Stored keys lie in so many folders by their hash; a batch reads those of its own keys only.
+BUCKETS = 64
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir, or a private one where that is unset."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="stream-")
+    """A new folder below spark.checkpoint.dir; a session in one process, as in tests, may do without that setting."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="stream-")
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
@@ -28,19 +36,21 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def append_new(target: str, key: str, order: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function: the first row of each key that the target does not hold yet is appended."""
+    """A foreachBatch function: the first row of each key that the target does not hold yet is appended.
+
+    The target is partitioned by a bucket of the key, so that a batch is joined with the folders of its own buckets, not
+    with all that was ever stored. A batch that is run again, whether it was written or not, finds its keys there.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         first = batch.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(order))).filter("_n = 1").drop("_n")
+        first = first.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int"))
         if exists(spark, target):
-            stored = spark.read.parquet(target)
-            if not stored.filter(F.col("batch_no") == number).isEmpty():
-                # A retry of a batch that was written: what it wrote is already there.
-                first = first.join(stored.select(key), key, "left_anti")
-            else:
-                first = first.join(stored.select(key).distinct(), key, "left_anti")
-        first.withColumn("batch_no", F.lit(number)).write.mode("append").parquet(target)
+            met = [r["bucket"] for r in first.select("bucket").distinct().collect()]  # BUCKETS at most
+            stored = spark.read.parquet(target).filter(F.col("bucket").isin(met)).select("bucket", key)
+            first = first.join(stored, ["bucket", key], "left_anti")
+        first.withColumn("batch_no", F.lit(number)).write.mode("append").partitionBy("bucket").parquet(target)
 
     return write
 
