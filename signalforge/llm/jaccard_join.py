@@ -3,7 +3,8 @@
 1. Each text becomes the set of its 5-word shingle hashes; equal sets form a class, and only classes are joined.
 2. Every class is dealt to the blocks of its prefix shingles: under one total order of all shingles, two sets with
    100 * |both| >= 80 * |either| share one of their first n - ceil(0.8 n) + 1 shingles. Any fixed order will do; shingles
-   seen to be frequent while scanning come last, so that passages which many texts share seldom make a block.
+   seen to be frequent while scanning come last, so that passages which many texts share seldom make a block. A block is
+   cut where sizes differ too much for a link.
 3. Of each block the class of least id is compared with the others first, then, of blocks that still hold several
    components, the class that meets most others: these verified links make first components.
 4. Every block that holds several components, of two members or of thousands, is joined by a signature tree: leaves are
@@ -31,12 +32,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, maybe_broadcast, shingle_sets, slices, table
+from .common import cut, maybe_broadcast, mix, shingle_sets, slices, table
 from .components import connected
 
 PERCENT = 80
 #: A bitmap has BITS_EACH bits for each shingle, rounded up to a power of two, within LEAST_BITS and MOST_BITS.
-LEAST_BITS, BITS_EACH, MOST_BITS = 512, 4, 1 << 16
+LEAST_BITS, BITS_EACH, MOST_BITS = 512, 4, 1 << 14
 BLOCK = 2048
 #: A shingle is frequent if slices (of SLICE shingles) that hold it at least twice hold it FREQUENT times together; at most
 #: MAX_FREQUENT, the most frequent, are put last.
@@ -124,36 +125,43 @@ def postings(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "shingle long, cls long, n int")
 
 
-def shared_blocks(posted: DataFrame) -> DataFrame:
-    """Members of blocks of two or more classes: (shingle, cls, n, head, second), the block's two least classes."""
-    names = ("shingle", "cls", "n", "head", "second")
+def shared_blocks(posted: DataFrame, percent: int) -> DataFrame:
+    """Members of blocks of two or more classes: (block, cls, n, head, second, head_n), head and second being its first two.
+
+    The classes of a shingle are taken in order of size and cut where the next one is too large for a link with the one
+    before: classes on two sides of such a cut cannot be linked, so every part is a block of its own.
+    """
+    names = ("block", "cls", "n", "head", "second", "head_n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.zeros(0, k) for k in ("int64", "int64", "int32")]  # the first row of a block, until the second comes
-        last = None  # shingle, class, head, second
+        last = None  # shingle, class, size, head, second, head's size
         for b in batches:
             s, c, n = (np.r_[h, b.column(i).to_numpy(zero_copy_only=False)] for i, h in enumerate(held))
-            if last is not None and len(s):
-                fresh = np.r_[s[0] != last[0] or c[0] != last[1], (s[1:] != s[:-1]) | (c[1:] != c[:-1])]
-            else:
-                fresh = np.r_[True, (s[1:] != s[:-1]) | (c[1:] != c[:-1])][: len(s)]
-            s, c, n = s[fresh], c[fresh], n[fresh]
+            fresh = np.r_[last is None or s[0] != last[0] or c[0] != last[1], (s[1:] != s[:-1]) | (c[1:] != c[:-1])] if len(s) else np.zeros(0, bool)
+            s, c, n = s[fresh], c[fresh], n[fresh].astype("int64")
             if not len(s):
                 continue
-            old = last is not None and s[0] == last[0]
-            start = np.r_[not old, s[1:] != s[:-1]]
+            old = last is not None and s[0] == last[0] and percent * n[0] <= 100 * last[2]
+            start = np.r_[not old, (s[1:] != s[:-1]) | (percent * n[1:] > 100 * n[:-1])]
             at = np.maximum.accumulate(np.where(start, np.arange(len(s)), -1))
             after = np.minimum(at + 1, len(s) - 1)
-            second = np.where(at >= 0, c[after], last[3] if old else 0)
-            head = np.where(at >= 0, c[np.maximum(at, 0)], last[2] if old else 0)
-            alone = (at >= 0) & ((after == at) | (s[after] != s))  # the first row of a block, with none after it here
+            alone = (at >= 0) & ((after == at) | start[after])  # the first row of a block, with none after it here
+            of = lambda x, k: np.where(at >= 0, x[np.maximum(at, 0)], last[k] if old else 0)
+            head, head_n, second = of(c, 3), of(n, 5), np.where(at >= 0, c[after], last[4] if old else 0)
+            block = mix(s.view("uint64") ^ mix(head.astype("int64").view("uint64"))).view("int64")
             wait = alone & (np.arange(len(s)) == len(s) - 1)
-            held = [x[wait] for x in (s, c, n)]
-            last = None if wait.any() else (s[-1], c[-1], head[-1], second[-1])
+            held = [s[wait], c[wait], n[wait].astype("int32")]
+            last = None if wait.any() else (s[-1], c[-1], n[-1], head[-1], second[-1], head_n[-1])
             keep = ~alone
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep].astype("int32" if k == "n" else "int64")) for k, x in zip(names, (s, c, n, head, second))], names)
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep].astype("int32" if k in ("n", "head_n") else "int64")) for k, x in zip(names, (block, c, n, head, second, head_n))], names)
+
+    return posted.repartition("shingle").sortWithinPartitions("shingle", "n", "cls").mapInArrow(run, "block long, cls long, n int, head long, second long, head_n int")
+
 
-    return posted.repartition("shingle").sortWithinPartitions("shingle", "cls").mapInArrow(run, "shingle long, cls long, n int, head long, second long")
+def alike(n: str, m: str, percent: int) -> Column:
+    """Whether sets of these sizes can be linked."""
+    return (100 * F.col(n) >= percent * F.col(m)) & (100 * F.col(m) >= percent * F.col(n))
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
@@ -186,11 +194,11 @@ def most_shared(bits: np.ndarray, n: np.ndarray, bits2: np.ndarray, n2: np.ndarr
 
 
 def possible(pairs: DataFrame, names: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose sizes and bitmaps allow a link."""
+    """The pairs (a, b) of classes whose bitmaps allow a link."""
     own = names.select("cls", "n", "bits")
     sized = pairs.join(own.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a")), "a")
     sized = sized.join(own.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b")), "b")
-    sized = sized.filter((100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a"))).select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+    sized = sized.select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -352,20 +360,21 @@ def mixed_groups(blocks: DataFrame, comps: DataFrame) -> DataFrame:
 
     Texts that share a passage or most of a text meet in many blocks of nearly the same members; as one block they meet once.
     """
-    labelled = blocks.join(maybe_broadcast(comps), blocks["cls"] == comps["node"], "left").select("shingle", "cls", "n", F.coalesce("component", "cls").alias("comp"), F.xxhash64("head", "second").alias("block"))
-    mixed = labelled.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).filter("lo <> hi").select("shingle", "size")
-    return labelled.join(mixed, "shingle").groupBy("block", "cls", "n", "comp").agg(F.sum("size").alias("met"))
+    labelled = blocks.join(maybe_broadcast(comps), blocks["cls"] == comps["node"], "left").select("block", "cls", "n", F.coalesce("component", "cls").alias("comp"), F.xxhash64("head", "second").alias("to"))
+    mixed = labelled.groupBy("block").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).filter("lo <> hi").select("block", "size")
+    return labelled.join(mixed, "block").groupBy(F.col("to").alias("block"), "cls", "n", "comp").agg(F.sum("size").alias("met"))
 
 
-def hub_pairs(groups: DataFrame) -> DataFrame:
+def hub_pairs(groups: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of the member of each block that met most others, here and elsewhere, and members in other components.
 
     Of many near copies of one text, the one with the fewest edits meets most and links with most.
     """
     weights = groups.groupBy("cls").agg(F.sum("met").alias("met"))
     weighed = groups.drop("met").join(weights, "cls")
-    hubs = weighed.groupBy("block").agg(F.max(F.struct("met", "cls", "comp")).alias("hub")).select("block", F.col("hub.cls").alias("hub"), F.col("hub.comp").alias("hub_comp"))
-    return groups.join(hubs, "block").filter("comp <> hub_comp").select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
+    hubs = weighed.groupBy("block").agg(F.max(F.struct("met", "cls", "comp", "n")).alias("h")).select("block", F.col("h.cls").alias("hub"), F.col("h.comp").alias("hub_comp"), F.col("h.n").alias("hub_n"))
+    met = groups.join(hubs, "block").filter((F.col("comp") != F.col("hub_comp")) & alike("n", "hub_n", percent))
+    return met.select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
 
 
 def across_components(names: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
@@ -394,15 +403,13 @@ def linked_classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame,
     frequent = np.sort(often.toPandas()["cls"].to_numpy("int64").view("uint64"))
     # One row stands for its class: the one of least doc_id (null last) and text key.
     known = rows.filter("n_shingles > 0")
-    least = known.groupBy("cls").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("m"), F.max("n_shingles").alias("n"))
-    least = least.select("cls", F.col("m.doc_id").alias("id"), F.col("m.key").alias("key"), "n")
-    own = known.select(F.col("cls").alias("c"), F.col("doc_id").alias("d"), F.col("key").alias("k"), "bits")
-    names = cut(least.join(own, (F.col("cls") == F.col("c")) & F.col("id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k"))).select("cls", "id", "key", "n", "bits").dropDuplicates(["cls"]))
-    blocks = cut(shared_blocks(postings(docs, frequent, percent)))
-    first = blocks.filter("cls <> head").select(F.col("head").alias("a"), F.col("cls").alias("b")).distinct()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "n_shingles", "bits")).alias("m")
+    names = cut(known.groupBy("cls").agg(first).select("cls", F.col("m.doc_id").alias("id"), "m.key", F.col("m.n_shingles").alias("n"), "m.bits"))
+    blocks = cut(shared_blocks(postings(docs, frequent, percent), percent))
+    first = blocks.filter((F.col("cls") != F.col("head")) & alike("n", "head_n", percent)).select(F.col("head").alias("a"), F.col("cls").alias("b")).distinct()
     links = cut(verified(docs, names, possible(first, names, percent), percent))
     groups = cut(mixed_groups(blocks, cut(connected(links))))
-    links = cut(links.unionByName(verified(docs, names, possible(hub_pairs(groups), names, percent), percent)))
+    links = cut(links.unionByName(verified(docs, names, possible(hub_pairs(groups, percent), names, percent), percent)))
     comps = maybe_broadcast(cut(connected(links)))
     groups = groups.join(comps, groups["cls"] == comps["node"], "left").select("block", "cls", "n", F.coalesce("component", "comp").alias("comp"))
     return rows.drop("bits"), names, links.unionByName(verified(docs, names, across_components(names, groups, percent), percent))
