@@ -107,6 +107,10 @@ class Dialect:
     def split(self, col: str, pattern: str) -> str:
         return f"split({col}, {self.lit(pattern)})"
 
+    def without(self, *columns: str) -> str:
+        """All columns but these."""
+        return f"* EXCEPT ({', '.join(columns)})"
+
     def explode(self, table: str, array: str, columns: str, alias: str) -> str:
         return f"SELECT {columns}, explode({array}) AS {alias} FROM {table}"
 
@@ -194,6 +198,9 @@ class Checker(Dialect):
     def split(self, col: str, pattern: str) -> str:
         return f"regexp_split_to_array({col}, {self.lit(pattern)})"
 
+    def without(self, *columns: str) -> str:
+        return f"* EXCLUDE ({', '.join(columns)})"
+
     def explode(self, table: str, array: str, columns: str, alias: str) -> str:
         return f"SELECT {columns}, unnest({array}) AS {alias} FROM {table}"
 

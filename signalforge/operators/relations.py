@@ -195,7 +195,12 @@ def title_of(d: Dialect) -> tuple[str, str]:
     return stops, tail
 
 
-def fields(d: Dialect) -> str:
+def passing(d: Dialect) -> str:
+    """Every post, with its text only where it passed the gates: what follows looks at no rejected text."""
+    return f"SELECT {d.without('text', 't')}, CASE WHEN reject_reason = '' THEN text ELSE '' END AS text, CASE WHEN reject_reason = '' THEN t ELSE '' END AS t FROM gated"
+
+
+def fields(d: Dialect, source: str = "gated") -> str:
     """The fields extracted from each post's text and card, and the confidence in hundredths."""
     mails = d.transform(d.all_rx("text", L.EMAIL_RX), "x", d.rtrim("x", ".,;:!?)]}'\""))
     real = d.filter("emails", "x", f"NOT {d.isin('lower(split_part(x, ' + q(d, '@') + ', 1))', L.NON_CONTACT_LOCALS)}")
@@ -259,21 +264,21 @@ def fields(d: Dialect) -> str:
  FROM (SELECT *, {mails} AS emails, {d.split(tail_text, chr(92) + 's+')} AS tail_words, {places('found_in_text')} AS all_places, {places('found_in_card')} AS card_places, {named} AS named_companies, {links} AS links,
  coalesce(nullif(trim({ctc}), ''), 'Not Disclosed') AS ctc, coalesce(nullif(trim({experience}), ''), 'Not Specified') AS experience, {form} AS google_form, {kind} AS employment_type,
  {context} AS manager_context, {founder} AS manager_founder, {signed} AS manager_signature, {author} AS manager_author
- FROM (SELECT *, {d.extract('text', L.EXACT_ROLE_RX, 1)} AS role_words, {named_in('t')} AS found_in_text, {named_in('lower(job_card_location)')} AS found_in_card FROM gated) a) b) c) e) f"""
+ FROM (SELECT *, {d.extract('text', L.EXACT_ROLE_RX, 1)} AS role_words, {named_in('t')} AS found_in_text, {named_in('lower(job_card_location)')} AS found_in_card FROM {source}) a) b) c) e) f"""
 
 
-def posters(d: Dialect) -> str:
+def posters(d: Dialect, source: str = "fields") -> str:
     """What kind of author posted, and the sourcing score."""
     ad, lead = d.rx("author_name", L.AD_RX), d.rx("split_part(trim(author_name), ' ', 1)", L.AD_RX)
     person = "(contains(lower(author_profile_url), '/in/') AND NOT contains(lower(author_profile_url), '/company/'))"
     page = "contains(lower(author_profile_url), '/company/')"
-    aggregator = d.any_rx("text", L.AGGREGATOR_RX, "(?i)")
+    aggregator = d.any_rx("t", L.AGGREGATOR_RX)
     agency = f"({d.rx('author_name', L.AGENCY_RX)} OR {d.rx('text', L.CLIENT_RX)})"
     same = f"(lower(author_name) = lower(company_name) OR contains(' ' || lower(author_name) || ' ', ' ' || lower(company_name) || ' '))"
     kind = d.case([("aggregator_text", "'AGGREGATOR'"), ("ad_poster", "'JOB_ADVERTISING_PAGE'"), (f"company_page AND {same} AND NOT {d.isin('lower(company_name)', L.MISSING_COMPANY)}", "'DIRECT_COMPANY'"), ("company_page AND agency", "'AGENCY'"), ("company_page", "'JOB_ADVERTISING_PAGE'"), ("agency", "'AGENCY'"), (f"person_profile AND manager_name <> '' AND lower(manager_name) = lower(author_name) AND {d.rx('text', L.POSTER_SINGULAR_RX)}", "'HIRING_MANAGER'"), (f"person_profile AND {d.rx('text', L.RECRUITER_RX)}", "'RECRUITER_FOR_COMPANY'"), (f"person_profile AND ({d.rx('text', L.POSTER_PLURAL_RX)} OR {d.rx('text', L.POSTER_SINGULAR_RX)})", "'EMPLOYEE'")], "'UNKNOWN'")
     one = lambda c, n: f"CASE WHEN {c} THEN {n} ELSE 0 END"
     score = f"CASE WHEN {d.rx('text', L.SINGULAR_VOICE_RX)} THEN 2 WHEN {d.rx('text', L.PLURAL_VOICE_RX)} THEN 1 ELSE 0 END + {one('person_profile OR company_page', 1)} + {one(d.rx('text', L.NAMED_CUE_RX), 1)} - {one('aggregator_text', 3)} - {one('ad_poster', 3)} - {one('agency', 2)}"
-    return f"""SELECT *, {kind} AS poster_type, CAST({score} AS BIGINT) AS sourcing_score FROM (SELECT *, {aggregator} AS aggregator_text, {ad} AND ({lead} OR {page} OR (NOT {person} AND {d.rx('author_name', L.GENERIC_MODIFIERS_RX)})) AS ad_poster, {agency} AS agency, {person} AS person_profile, {page} AS company_page FROM fields) p"""
+    return f"""SELECT *, {kind} AS poster_type, CAST({score} AS BIGINT) AS sourcing_score FROM (SELECT *, {aggregator} AS aggregator_text, {ad} AND ({lead} OR {page} OR (NOT {person} AND {d.rx('author_name', L.GENERIC_MODIFIERS_RX)})) AS ad_poster, {agency} AS agency, {person} AS person_profile, {page} AS company_page FROM {source}) p"""
 
 
 def judged(d: Dialect) -> str:
@@ -300,7 +305,7 @@ def flow(d: Dialect) -> str:
  CASE WHEN v.evaluated AND v.llm_category <> 'None' THEN v.llm_category ELSE p.major_category END AS final_category,
  CASE WHEN v.evaluated AND v.llm_company <> 'Unclear' AND contains(lower(p.text), lower(v.llm_company)) THEN v.llm_company ELSE p.company_name END AS final_company,
  CASE WHEN v.evaluated AND v.llm_employment <> 'Unclear' THEN v.llm_employment ELSE p.employment_type END AS final_employment
- FROM posters p LEFT JOIN decided v ON p.ingest_seq = v.ingest_seq AND p.reject_reason = ''"""
+ FROM passing_posters p LEFT JOIN decided v ON p.ingest_seq = v.ingest_seq AND p.reject_reason = ''"""
 
 
 def weighed(d: Dialect) -> str:
@@ -376,7 +381,10 @@ RELATIONS = {
     "posters": (posters, ("fields",)),
     "judged": (judged, ("verdicts",)),
     "decided": (decided, ("judged",)),
-    "flow": (flow, ("posters", "decided")),
+    "passing": (passing, ("gated",)),
+    "passing_fields": (lambda d: fields(d, "passing"), ("passing",)),
+    "passing_posters": (lambda d: posters(d, "passing_fields"), ("passing_fields",)),
+    "flow": (flow, ("passing_posters", "decided")),
     "merged": (merged, ("flow",)),
     "weighed": (weighed, ("flow",)),
     "produced": (produced, ("weighed",)),
