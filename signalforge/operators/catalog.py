@@ -349,3 +349,37 @@ add("ops_preflight", "sinks", f"SELECT destination, {N} AS n, CAST(count(DISTINC
 add("inc_retry_budget", "decided", f"SELECT attempts, {total('NOT evaluated AND attempts < 3')} AS retryable, {N} AS n FROM decided GROUP BY attempts")
 add("inc_ttl_cache", "", "SELECT user_id, max(ts) AS last_seen, max(ts) >= TIMESTAMP '2024-01-24 00:00:00' AS fresh FROM events GROUP BY user_id")
 add("fn_json_props", "", lambda d: f"SELECT event_id, TRY_CAST({d.json('props', 'k')} AS BIGINT) AS k FROM events")
+
+# Outreach, search results, budgets, guards
+REAL_EMAIL = "^[^@\\s]+@[^@\\s]+[.][A-Za-z]{2,}$"
+PLACEHOLDERS = ["", "-", "na", "n/a", "none", "not available", "tbd"]
+
+
+def real_email(d: Dialect, col: str) -> str:
+    return f"(NOT {d.isin(f'lower(trim({col}))', PLACEHOLDERS)} AND {d.rx(f'trim({col})', REAL_EMAIL)})"
+
+
+column("out_real_email", "fields", lambda d: real_email(d, "cold_email"))
+add("out_candidates", "produced", lambda d: f"SELECT ingest_seq, final_company, exact_role, manager_name, trim(cold_email) AS email, post_url FROM produced WHERE lower(status) = 'new' AND {real_email(d, 'cold_email')}")
+add("out_send", "produced", lambda d: f"SELECT ingest_seq, trim(cold_email) AS recipient, 'Contacted' AS next_status FROM produced WHERE lower(status) = 'new' AND {real_email(d, 'cold_email')} ORDER BY ingest_seq LIMIT 10")
+
+
+def search_results(d: Dialect) -> str:
+    """Title and unwrapped address of each result link of composed result pages, five a page at most."""
+    page = "'<div><a rel=\"x\" class=\"result__a\" href=\"//duckduckgo.com/l/?uddg=' || replace(replace(url, ':', '%3A'), '/', '%2F') || '&rut=1\"><b>Page</b> ' || CAST(page_id AS STRING) || '</a><a class=\"result__a\" href=\"' || url || '\">Direct</a></div>'"
+    links = d.all_rx("result_page", r'class="result__a"[^>]*href="([^"]+)"[^>]*>', 1)
+    titles = d.all_rx("result_page", r'class="result__a"[^>]*>(.*?)</a>', 1)
+    target = f"CASE WHEN contains(x, 'uddg=') THEN replace(replace(split_part(split_part(x, 'uddg=', 2), '&', 1), '%3A', ':'), '%2F', '/') ELSE x END"
+    return f"SELECT page_id, {d.join(d.transform(d.head(links, 5), 'x', target), '|')} AS urls, {d.join(d.transform(d.head(titles, 5), 'x', 'trim(' + d.replace('x', '<[^>]+>') + ')'), '|')} AS titles FROM (SELECT page_id, url, {page} AS result_page FROM pages) p"
+
+
+add("cnt_search_parse", "", search_results)
+add("inc_request_budget", "", "SELECT event_id, CASE WHEN requests > 20 THEN 'OVER_BUDGET' WHEN found_before > 0 THEN 'STOPPED_EARLY' ELSE 'SENT' END AS state FROM (SELECT event_id, CAST(count(*) OVER w AS BIGINT) AS requests, CAST(coalesce(sum(CASE WHEN value > 95 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS found_before FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)) e")
+add("inc_run_lock", "", "SELECT event_id, CASE WHEN before IS NULL OR ts >= before + INTERVAL 15 MINUTES THEN 'RUN' ELSE 'SKIPPED' END AS state FROM (SELECT event_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events) e")
+add("ops_spend", "decided", f"SELECT provider, CAST(sum(attempts) AS BIGINT) AS calls, round(CAST(sum(attempts) AS DOUBLE) * 0.00155, 6) AS spent, CAST(sum(attempts) AS DOUBLE) * 0.00155 >= 5.0 AS refused FROM decided GROUP BY provider")
+add("gte_run_guard", "produced", f"SELECT mode, live, CASE WHEN live AND NOT gated AND NOT allowed THEN 'GATE_REQUIRED' WHEN live THEN 'WRITE' ELSE 'DRY_RUN' END AS outcome, CASE WHEN live AND (gated OR allowed) THEN (SELECT {N} FROM produced WHERE NOT gated OR disposition = 'ELIGIBLE') ELSE 0 END AS n FROM (VALUES ('gated', true, true, false), ('legacy', true, false, false), ('maintenance', true, false, true), ('dry', false, false, false)) AS m(mode, live, gated, allowed)")
+add("snk_retry", "decided", "SELECT ingest_seq, attempts, CASE WHEN llm_status <> 'UNAVAILABLE' THEN 'DONE' WHEN attempts < 4 THEN 'RETRY' ELSE 'GIVE_UP' END AS action, CASE WHEN llm_status = 'UNAVAILABLE' AND attempts < 4 THEN 5 * (attempts + 1) ELSE CAST(0 AS BIGINT) END AS wait_seconds FROM decided")
+add("llm_keys", "decided", "SELECT ingest_seq, provider, CASE WHEN llm_status = 'UNAVAILABLE' THEN 'key' || CAST((attempts + 1) % 3 AS STRING) ELSE 'key' || CAST(attempts % 3 AS STRING) END AS next_key, llm_status = 'UNAVAILABLE' AS rotated FROM decided")
+add("llm_chain", "decided", "SELECT ingest_seq, CASE WHEN evaluated THEN provider WHEN attempts < 2 THEN provider WHEN provider = 'provider0' THEN 'provider1' WHEN provider = 'provider1' THEN 'provider2' ELSE 'none' END AS next_provider FROM decided")
+add("rec_guard", "decided", f"SELECT CASE WHEN count(DISTINCT provider) > 1 THEN 'REFUSED' ELSE 'OK' END AS outcome, CAST(count(DISTINCT provider) AS BIGINT) AS providers, {N} AS n FROM decided WHERE NOT evaluated")
+add("fn_json_dumps", "posts", lambda d: "SELECT ingest_seq, " + ("to_json(named_struct('url', post_url, 'n', ingest_seq, 'ok', ingest_seq % 2 = 0))" if d.name == "spark" else "CAST(json_object('url', post_url, 'n', ingest_seq, 'ok', ingest_seq % 2 = 0) AS VARCHAR)") + " AS json FROM posts")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from signalforge.functions.dialect import TABLES, Checker, Dialect
-from signalforge.operators import frames
+from signalforge.operators import files, frames
 from signalforge.operators.catalog import CATALOG
 from signalforge.operators.relations import assemble
 from signalforge.streaming import incremental
@@ -29,12 +29,12 @@ def sql_query(name: str) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {name: sql_query(name) for name in CATALOG} | frames.queries() | incremental.queries()
+    return {name: sql_query(name) for name in CATALOG} | frames.queries() | files.queries() | incremental.queries()
 
 
 def oracle_sql() -> dict[str, str]:
     check = Checker()
-    return {name: assemble(check, body(check), needs) for name, (needs, body) in CATALOG.items()} | frames.oracle_sql() | incremental.oracle_sql()
+    return {name: assemble(check, body(check), needs) for name, (needs, body) in CATALOG.items()} | frames.oracle_sql() | files.oracle_sql() | incremental.oracle_sql()
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
