@@ -24,6 +24,18 @@ def total(condition: str) -> str:
     return f"CAST(count(CASE WHEN {condition} THEN 1 END) AS BIGINT)"
 
 
+def share(condition: str) -> str:
+    """The mean of a condition, to three digits."""
+    return f"round(avg(CASE WHEN {condition} THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END), 3)"
+
+
+#: What a post can lack, and how its column says so.
+LACKS = {
+    "company": "company_name = 'Unclear'", "role": "exact_role = 'Unclear'", "location": "location = 'Not Specified'", "employment": "employment_type = 'Unclear'", "experience": "experience = 'Not Specified'", "ctc": "ctc = 'Not Disclosed'",
+    "manager": "manager_name = ''", "manager_link": "manager_link = ''", "manager_evidence": "manager_evidence = ''", "email": "cold_email = 'Not Available'", "apply_link": "apply_link = ''", "google_form": "google_form = ''", "market": "market = ''",
+}
+
+
 def column(name: str, relation: str, value: Body | str, alias: str = "value") -> None:
     """A query of one computed column over a relation of posts."""
     add(name, relation, lambda d: f"SELECT ingest_seq, {value(d) if callable(value) else value} AS {alias} FROM {relation}")
@@ -93,18 +105,18 @@ column("txt_normalize", "posts", "t")
 add("txt_normalize_documents", "", lambda d: f"SELECT doc_id, {normalize(d, 'text')} AS value FROM documents")
 add("txt_fold_math", "posts", "SELECT ingest_seq, t, CAST(length(text) AS BIGINT) AS n_text, CAST(length(t) AS BIGINT) AS n_t FROM posts WHERE length(text) = length(t)")
 add("txt_ws_collapse", "", lambda d: f"SELECT doc_id, trim({d.replace('text', '[ \\t\\n]+', ' ')}) AS value FROM documents")
-column("txt_redact", "posts", lambda d: f"trim({d.replace(d.replace('text', L.EMAIL_RX, ''), ' +', ' ')})")
+column("txt_redact", "fields", lambda d: f"trim({d.replace(d.replace('text', L.EMAIL_RX + '|' + L.URL_RX), chr(92) + 's+', ' ')})")
 column("txt_description", "fields", description)
 column("txt_strip_url", "posts", lambda d: d.rtrim(d.extract("text", "https?://[^ ]+"), ".,;:!?*)]\"'"))
-add("txt_sentence_split", "", lambda d: f"SELECT doc_id, {d.size(d.split('text', '[.!?] +|' + chr(10) + '+'))} AS n_sentences FROM documents")
+add("txt_sentence_split", "", lambda d: f"SELECT doc_id, {d.size(R.sentences(d, 'text'))} AS n_sentences, {R.first_of(d, R.sentences(d, 'text'))} AS first_sentence FROM documents")
 column("txt_bullet_strip", "posts", lambda d: d.replace("text", r"(^|\n)[•*-]+ +", "$1"))
 column("txt_hashtag_strip", "posts", lambda d: f"trim({d.replace('text', '#[A-Za-z0-9_]+', '')})")
 column("txt_token_in", "posts", lambda d: d.rx("t", r"(^|\s)fo($|\s)"))
 column("txt_contains_any", "signals", "hiring_signal")
-column("txt_regex_any", "posts", lambda d: d.extract("t", r"\b(?:hiring|recruiting|seeking)\s+\w+", 0))
+column("txt_regex_any", "posts", lambda d: d.case([(d.any_rx("t", L.PAY_TO_APPLY_RX), "'pay'"), (d.any_rx("t", L.ALWAYS_REJECT_RX), "'seeker'"), (d.any_rx("t", L.AGGREGATOR_RX), "'aggregator'"), (d.any_rx("t", L.EMPLOYER_STRONG_RX), "'employer'")], "''"))
 column("txt_city_match", "geo", "has_city")
 column("txt_count_labels", "posts", lambda d: d.count_rx("t", r"company\s*:"))
-column("txt_window_slice", "posts", "substring(text, greatest(1, instr(text, 'hiring') - 20), 60)")
+column("txt_window_slice", "near", "CASE WHEN gap IS NULL THEN '' ELSE substring(text, CAST(greatest(1, instr(t, nearest_signal) - 120) AS INT), CAST(least(instr(t, nearest_signal) - 1, 120) + length(nearest_signal) + 80 AS INT)) END")
 column("txt_sanitize_error", "raw_items", lambda d: f"substring({d.replace(d.replace('coalesce(error, ' + d.lit('call failed:  Bearer abc.DEF key=sk-12345') + ')', '(?i)bearer +[^ ]+', 'Bearer [redacted]'), '(?i)key=[^ ]+', 'key=[redacted]')}, 1, 300)")
 column("txt_hm_display", "fields", f"CASE WHEN lower(trim(manager_name)) IN {SENTINELS} THEN '' ELSE manager_name END")
 column("txt_names_match", "fields", "contains(' ' || lower(author_name) || ' ', ' ' || lower(company_name) || ' ') OR contains(' ' || lower(company_name) || ' ', ' ' || lower(author_name) || ' ')")
@@ -112,7 +124,7 @@ column("txt_name_contains", "fields", lambda d: f"contains({d.replace('lower(aut
 column("txt_profile_kind", "posters", "CASE WHEN person_profile THEN 'person' WHEN company_page THEN 'company' ELSE 'other' END")
 column("txt_domain", "fields", "lower(split_part(cold_email, '@', 2))")
 column("txt_quote_cap", "posts", lambda d: f"substring(trim({d.replace('text', '\\s+', ' ')}), 1, 300)")
-column("txt_snippet", "posts", "CASE WHEN instr(t, 'hiring') > 0 THEN substring(substring(text, greatest(1, instr(t, 'hiring') - 40), 100), 1, 160) ELSE '' END")
+column("txt_snippet", "near", lambda d: f"CASE WHEN role_keyword = '' THEN '' ELSE substring(trim({d.replace('substring(text, CAST(greatest(1, instr(t, role_keyword) - 40) AS INT), 160)', chr(92) + 's+', ' ')}), 1, 160) END")
 FUNDING = [("unicorn", "$1.2B"), ("series d", "$100M"), ("series c", "$45M"), ("series b", "$12M"), ("series a", "$5M"), ("pre-series a", "$800K"), ("seed", "$500K"), ("bootstrapped", "undisclosed")]
 
 
@@ -139,7 +151,7 @@ column("gate_employer_ctx", "signals", "employer_context")
 for gate, reason in (("internship", "internship"), ("pay_to_apply", "pay to apply"), ("seeker_sub", "job seeker phrase"), ("always_reject", "job seeker always"), ("seeker_rx", "job seeker pattern"), ("congrats", "congratulatory"), ("info", "informational"), ("role", "no target role"), ("data_entry", "data entry"), ("proximity", "signal too far"), ("no_signal", "no hiring signal"), ("first_person", "first person seeker"), ("aggregator", "aggregator"), ("company_labels", "company labels"), ("multi_employer", "several employers"), ("role_context", "role context"), ("data_context", "data context"), ("india", "india relevance")):
     add(f"gate_{gate}", "gated", f"SELECT ingest_seq, post_url, reject_reason = '{reason}' OR reject_reason LIKE '{reason} (%' AS rejected_here FROM gated")
 add("gate_threshold", "fields", "SELECT ingest_seq, confidence, confidence >= 0.7 AS passes FROM fields WHERE reject_reason = ''")
-add("proj_invalid", "fields", "SELECT ingest_seq, CASE WHEN reject_reason = '' THEN company_name ELSE 'N/A' END AS company, CASE WHEN reject_reason = '' THEN text ELSE substring(text, 1, 100) || '...' END AS description, reject_reason FROM fields")
+add("proj_invalid", "fields", "SELECT ingest_seq, post_url, author_name, post_date, " + ", ".join(f"CASE WHEN reject_reason = '' THEN {c} ELSE 'N/A' END AS {a}" for a, c in (("company", "company_name"), ("role", "exact_role"), ("ctc", "ctc"), ("email", "cold_email"), ("place", "location"), ("kind", "employment_type"), ("market", "market"))) + ", CASE WHEN reject_reason = '' THEN text ELSE substring(text, 1, 100) || '...' END AS description, reject_reason FROM fields")
 
 # Classification
 column("cls_fo_cos", "signals", "CASE WHEN fo_keyword <> '' THEN fo_keyword ELSE cos_keyword END")
@@ -156,7 +168,7 @@ add("cls_write_error", "", lambda d: "SELECT event_id, CASE WHEN " + d.rx("msg",
 add("cls_old_record", "decided", "SELECT ingest_seq, CASE WHEN NOT parsed THEN 'MALFORMED' WHEN llm_status <> 'OK' THEN llm_status ELSE 'EVALUATED' END AS old_status FROM decided")
 add("cls_availability", "decided", "SELECT ingest_seq, CASE WHEN evaluated THEN 'RECOVERED' WHEN attempts >= 3 THEN 'EXHAUSTED' ELSE 'RETRY' END AS state FROM decided")
 add("cls_verdict_for", "decided", "SELECT ingest_seq, CASE gate WHEN 'ACCEPT' THEN 'ACCEPT' WHEN 'REJECT' THEN 'REJECT' ELSE 'REVIEW' END AS verdict FROM decided")
-add("cls_field_verified", "fields", "SELECT ingest_seq, CASE WHEN cold_email = 'Not Available' THEN 'NOT_FOUND' WHEN contains(text, cold_email) THEN 'VERIFIED' ELSE 'PARTIALLY' END AS state FROM fields")
+add("cls_field_verified", "fields", "SELECT ingest_seq, field, value, CASE WHEN value = '' THEN 'NOT_FOUND' WHEN contains(lower(text), lower(value)) THEN 'VERIFIED' ELSE 'PARTIALLY' END AS state, CASE WHEN value = '' THEN CAST(0 AS DOUBLE) WHEN contains(lower(text), lower(value)) THEN CAST(0.9 AS DOUBLE) ELSE CAST(0.5 AS DOUBLE) END AS confidence FROM (" + " UNION ALL ".join(f"SELECT ingest_seq, text, '{f}' AS field, CASE WHEN {LACKS[f]} THEN '' ELSE {c} END AS value FROM fields" for f, c in (("company", "company_name"), ("role", "exact_role"), ("location", "location"), ("ctc", "ctc"), ("experience", "experience"), ("manager", "manager_name"), ("email", "cold_email"), ("apply_link", "apply_link"))) + ") x")
 add("cls_guessed_email", "fields", lambda d: f"SELECT ingest_seq, {d.isin('lower(split_part(cold_email, ' + d.lit('@') + ', 2))', L.PERSONAL_DOMAINS)} OR contains(split_part(cold_email, '@', 1), '.') AS guessed FROM fields WHERE cold_email <> 'Not Available'")
 add("cls_hm_tier", "fields", "SELECT ingest_seq, manager_tier AS tier, manager_evidence FROM fields")
 add("lbl_resolution", "fields", "SELECT ingest_seq, 'company' AS field, company_name AS value, CASE WHEN job_card_company <> 'Unclear' THEN 'JOB_METADATA' WHEN company_name <> 'Unclear' THEN 'POST_TEXT' ELSE 'UNKNOWN' END AS state FROM fields UNION ALL SELECT ingest_seq, 'employment', employment_type, CASE WHEN employment_type = 'Unclear' THEN 'UNKNOWN' WHEN job_card_employment_type = employment_type THEN 'JOB_METADATA' ELSE 'POST_TEXT' END FROM fields UNION ALL SELECT ingest_seq, 'location', location, CASE WHEN location = 'Not Specified' THEN 'UNKNOWN' ELSE 'POST_TEXT' END FROM fields UNION ALL SELECT ingest_seq, 'manager', manager_name, CASE WHEN manager_name = '' THEN 'UNKNOWN' ELSE 'EXPLICIT' END FROM fields UNION ALL SELECT ingest_seq, 'email', cold_email, CASE WHEN cold_email = 'Not Available' THEN 'UNKNOWN' ELSE 'EXPLICIT' END FROM fields UNION ALL SELECT ingest_seq, 'role', exact_role, CASE WHEN exact_role = 'Unclear' THEN 'UNKNOWN' ELSE 'EXPLICIT' END FROM fields")
@@ -212,20 +224,20 @@ add("agg_outcome_counts", "produced", f"SELECT disposition, {N} AS n FROM produc
 add("agg_query_yield", "raw_posts gated", f"SELECT r.source_query, {N} AS raw, {total('g.reject_reason = ' + chr(39) * 2)} AS candidates FROM raw_posts r LEFT JOIN gated g ON g.ingest_seq = r.ingest_seq GROUP BY r.source_query")
 add("agg_yield_status", "raw_posts", lambda d: f"""SELECT coalesce(q, 'TOTAL') AS source_query, CAST(sum(n) AS BIGINT) AS n, CASE WHEN q IS NULL THEN 'TOTAL' WHEN sum(n) > 0 THEN 'EXECUTED' ELSE 'ZERO_YIELD' END AS status
  FROM (SELECT q.q, CAST(count(r.ingest_seq) AS BIGINT) AS n FROM ({d.values([[f'query {i}'] for i in range(50)], 'q')}) q LEFT JOIN raw_posts r ON r.source_query = q.q GROUP BY q.q) x GROUP BY ROLLUP (q)""")
-add("agg_category_rollup", "produced", f"SELECT coalesce(final_category, 'TOTAL') AS category, {N} AS n, {total('gate = ' + chr(39) + 'ACCEPT' + chr(39))} AS accepted, {total('disposition = ' + chr(39) + 'HOLD' + chr(39))} AS held, {total('cold_email <> ' + chr(39) + 'Not Available' + chr(39))} AS with_email, {total('company_name <> ' + chr(39) + 'Unclear' + chr(39))} AS with_company FROM produced GROUP BY ROLLUP (final_category)")
-add("agg_cohort_impact", "fields", f"SELECT CASE WHEN source_query < 'query 3' THEN 'A' ELSE 'B' END AS cohort, {N} AS n, round(avg(CASE WHEN company_name <> 'Unclear' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END), 6) AS company_known, round(avg(CASE WHEN manager_name <> '' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END), 6) AS manager_known FROM fields WHERE reject_reason = '' GROUP BY 1")
-add("agg_dq_report", "fields", f"SELECT {N} AS n, {total('company_name <> ' + chr(39) + 'Unclear' + chr(39))} AS company, {total('ctc <> ' + chr(39) + 'Not Disclosed' + chr(39))} AS ctc, {total('experience <> ' + chr(39) + 'Not Specified' + chr(39))} AS experience, {total('location <> ' + chr(39) + 'Not Specified' + chr(39))} AS location, {total('manager_name <> ' + chr(39) * 2)} AS manager, {total('apply_link <> ' + chr(39) * 2)} AS apply_link FROM fields WHERE reject_reason = ''")
-add("agg_missing_rate", "fields", "SELECT round(avg(CASE WHEN company_name = 'Unclear' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END), 3) AS company, round(avg(CASE WHEN ctc = 'Not Disclosed' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END), 3) AS ctc, round(avg(CASE WHEN location = 'Not Specified' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END), 3) AS location FROM fields")
-add("agg_fp_flags", "produced", f"SELECT {total('agency')} AS agency, {total('ad_poster')} AS ads, {total('aggregator_text')} AS aggregators FROM produced WHERE gate = 'ACCEPT'")
+add("agg_category_rollup", "produced", f"SELECT coalesce(final_category, 'TOTAL') AS category, {N} AS n, {total("gate = 'ACCEPT'")} AS accepted, {total("gate = 'REVIEW'")} AS in_review, {total("gate = 'REJECT'")} AS rejected, {total("disposition = 'ELIGIBLE'")} AS eligible, {total("disposition = 'HOLD'")} AS held, {total("disposition = 'REJECT'")} AS refused, {total("cold_email <> 'Not Available'")} AS with_email, {total("company_name <> 'Unclear'")} AS with_company, {total("manager_name <> ''")} AS with_manager FROM produced GROUP BY ROLLUP (final_category)")
+add("agg_cohort_impact", "weighed", f"SELECT CASE WHEN source_query < 'query 3' THEN 'A' ELSE 'B' END AS cohort, {N} AS n, {total("reject_reason = ''")} AS candidates, {total("gate = 'ACCEPT'")} AS accepted, {total("disposition = 'ELIGIBLE'")} AS eligible, {share("company_name <> 'Unclear'")} AS company_known, {share("manager_name <> ''")} AS manager_known FROM weighed GROUP BY 1")
+add("agg_dq_report", "fields", f"SELECT CASE WHEN reject_reason = '' THEN 'after' ELSE 'before' END AS stage, {N} AS n, " + ", ".join(f"{total(f'NOT ({c})')} AS {k}, {total(c)} AS no_{k}" for k, c in LACKS.items()) + " FROM fields GROUP BY 1")
+add("agg_missing_rate", "fields", "SELECT " + ", ".join(f"{share(c)} AS {k}" for k, c in LACKS.items()) + " FROM fields")
+add("agg_fp_flags", "produced", f"SELECT {total('agency')} AS agency, {total('ad_poster')} AS ads, {total('aggregator_text')} AS aggregators, {total("poster_type = 'UNKNOWN'")} AS unknown_posters, {total("manager_name = ''")} AS no_manager, {total("company_name = 'Unclear'")} AS no_company, {total("exact_role = 'Unclear'")} AS no_role, {total('llm_confidence < 0.6')} AS unsure FROM produced WHERE gate = 'ACCEPT'")
 add("agg_enrich_status", "fields", lambda d: f"SELECT e.status, CAST(count(f.ingest_seq) AS BIGINT) AS n FROM ({d.values([['READY'], ['READY_WITHOUT_CONTACT'], ['REVIEW'], ['UNUSED']], 'status')}) e LEFT JOIN (SELECT ingest_seq, CASE WHEN company_name = 'Unclear' OR exact_role = 'Unclear' THEN 'REVIEW' WHEN cold_email <> 'Not Available' THEN 'READY' WHEN is_india THEN 'READY_WITHOUT_CONTACT' ELSE 'REVIEW' END AS status FROM fields) f ON f.status = e.status GROUP BY e.status")
 add("agg_kpis", "produced", f"SELECT {N} AS total, {total('gate = ' + chr(39) + 'ACCEPT' + chr(39))} AS status_new, {total('cold_email <> ' + chr(39) + 'Not Available' + chr(39))} AS with_email FROM produced")
-add("agg_provider", "decided", f"SELECT provider, {N} AS attempted, {total('evaluated')} AS success, {total('llm_status = ' + chr(39) + 'UNAVAILABLE' + chr(39))} AS unavailable FROM decided GROUP BY provider")
+add("agg_provider", "decided", f"SELECT provider, {N} AS attempted, {total('evaluated')} AS success, {total("llm_status = 'UNAVAILABLE'")} AS unavailable, {total("llm_status = 'ERROR'")} AS errors, {total("llm_status = 'UNAVAILABLE' AND attempts < 3")} AS rate_limited, {total('attempts = 0')} AS cache_hits FROM decided GROUP BY provider")
 add("agg_destinations", "batch", f"SELECT destination, {N} AS n FROM batch WHERE barrier = '' GROUP BY destination")
 column("agg_distinct_employers", "posts", lambda d: d.size(R.employers(d)))
 add("agg_best_contact", "fields", lambda d: f"SELECT author_name, {d.arg_max('cold_email', 'confidence', 'ingest_seq')} AS best_email FROM fields WHERE cold_email <> 'Not Available' GROUP BY author_name")
 add("agg_bool_all_any", "gated", "SELECT source_query, bool_and(has_city) AS all_city, bool_or(employer_context) AS any_employer FROM gated GROUP BY source_query")
-add("agg_hm_metrics", "fields", f"SELECT {total('manager_name <> ' + chr(39) * 2)} AS named, {total('manager_link <> ' + chr(39) * 2)} AS linked, {total('manager_name <> ' + chr(39) * 2 + ' AND lower(manager_name) = lower(author_name)')} AS is_author FROM fields")
-add("agg_cost", "raw_posts", "SELECT CAST(count(DISTINCT source_query) AS BIGINT) AS queries, round(CAST(count(DISTINCT source_query) AS DOUBLE) * 10 * 0.00155, 6) AS cost FROM raw_posts")
+add("agg_hm_metrics", "fields", f"SELECT manager_tier, {N} AS n, {total("manager_name <> ''")} AS named, {total("manager_link <> ''")} AS linked, {total("manager_name <> '' AND lower(manager_name) = lower(author_name)")} AS is_author FROM fields GROUP BY manager_tier")
+add("agg_cost", "raw_posts", "SELECT CAST(count(DISTINCT source_query) AS BIGINT) AS queries, round(CAST(count(DISTINCT source_query) AS DOUBLE) * greatest(max(wanted), 10) * 0.00155, 6) AS cost, CAST(count(DISTINCT source_query) AS DOUBLE) * greatest(max(wanted), 10) * 0.00155 > 5.0 AS over_budget FROM (SELECT source_query, 4 AS wanted FROM raw_posts) r")
 
 # Windows, dedup, sort, limit
 add("win_first_dedup", "posts", "SELECT ingest_seq, post_url FROM posts")
@@ -241,7 +253,7 @@ add("win_newest_first", "posts", "SELECT ingest_seq, post_url FROM posts ORDER B
 add("win_max_per_run", "produced", "SELECT ingest_seq, cold_email FROM produced WHERE cold_email <> 'Not Available' ORDER BY ingest_seq LIMIT 10")
 add("win_cum_attempts", "", "SELECT event_id, CAST(count(*) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS attempts FROM events")
 add("win_latest_verdict", "raw_posts verdicts", lambda d: f"SELECT r.post_url, {d.arg_max('v.verdict_json', 'v.ingest_seq')} AS verdict FROM verdicts v JOIN raw_posts r ON r.ingest_seq = v.ingest_seq GROUP BY r.post_url")
-add("lim_caps", "fields", lambda d: f"SELECT ingest_seq, substring(exact_role, 1, 120) AS role, substring(text, 1, 400) AS reason, {d.size(d.split('text', ' +'))} <= 600 AS short_enough FROM fields")
+add("lim_caps", "fields", lambda d: f"SELECT ingest_seq, substring(exact_role, 1, 120) AS role, substring(text, 1, 400) AS reason, substring(manager_evidence, 1, 160) AS evidence, substring(company_name, 1, 40) AS company, {d.size(d.split('trim(text)', chr(92) + 's+'))} <= 600 AS short_enough FROM fields")
 
 # Scores, merge, routes
 column("scr_confidence", "fields", "confidence")
@@ -269,14 +281,14 @@ column("scr_evidence_complete", "fields", "round(CAST(" + " + ".join(f"CASE WHEN
 column("scr_state_conf", "fields", "CASE WHEN job_card_company <> 'Unclear' THEN CAST(0.95 AS DOUBLE) WHEN company_name <> 'Unclear' THEN CAST(0.8 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END")
 add("gte_verdict", "decided", "SELECT ingest_seq, gate, reasons FROM decided")
 add("gte_status", "decided", "SELECT ingest_seq, CASE gate WHEN 'ACCEPT' THEN 'New' WHEN 'REVIEW' THEN 'Review' ELSE '' END AS status, llm_status FROM decided")
-add("mrg_enriched_post", "merged", "SELECT ingest_seq, final_category, final_company, final_employment FROM merged")
+add("mrg_enriched_post", "merged", "SELECT ingest_seq, final_category, final_company, final_employment, exact_role, location, ctc, experience, market, cold_email, apply_link, google_form, manager_name, manager_link, manager_evidence, confidence, llm_confidence, llm_india, gate, llm_status FROM merged")
 add("gte_production", "produced", "SELECT ingest_seq, disposition, hold_reasons, poster_type FROM produced")
 add("rte_final_category", "produced", "SELECT ingest_seq, final_category FROM produced")
 add("rte_category", "produced", "SELECT ingest_seq, destination FROM produced")
 add("rte_post", "produced", "SELECT ingest_seq, CASE WHEN gate = 'REJECT' OR disposition = 'REJECT' THEN 'REJECT' WHEN disposition = 'HOLD' THEN 'HOLD' ELSE destination END AS route FROM produced")
 add("gte_barrier", "batch", "SELECT ingest_seq, barrier FROM batch")
 add("gte_enrich_status", "fields", "SELECT ingest_seq, CASE WHEN company_name = 'Unclear' OR exact_role = 'Unclear' THEN 'REVIEW' WHEN cold_email <> 'Not Available' THEN 'READY' WHEN is_india THEN 'READY_WITHOUT_CONTACT' ELSE 'REVIEW' END AS status FROM fields")
-add("gte_row_invariants", "produced", "SELECT ingest_seq, concat_ws('; ', CASE WHEN post_url = '' THEN 'no key' END, CASE WHEN confidence > 1 OR confidence < 0 THEN 'confidence' END, CASE WHEN destination = 'HOLD' THEN 'no route' END) AS violations FROM produced")
+add("gte_row_invariants", "produced", "SELECT ingest_seq, concat_ws('; ', CASE WHEN post_url = '' THEN 'no key' END, CASE WHEN confidence > 1 OR confidence < 0 THEN 'confidence' END, CASE WHEN destination = 'HOLD' THEN 'no route' END, CASE WHEN disposition = 'ELIGIBLE' AND gate <> 'ACCEPT' THEN 'eligible without acceptance' END, CASE WHEN disposition = 'ELIGIBLE' AND manager_name = '' THEN 'eligible without manager' END, CASE WHEN reject_reason <> '' THEN 'rejected post' END, CASE WHEN manager_link LIKE '%/company/%' THEN 'company page as manager' END) AS violations FROM produced")
 add("gte_post_write", "batch sinks", lambda d: f"""SELECT 'no stored key twice' AS name, (SELECT {N} FROM batch b JOIN sinks s ON s.source_link = b.post_url WHERE b.barrier = '') = 0 AS ok UNION ALL SELECT 'one row a key', (SELECT {N} FROM (SELECT post_url FROM batch WHERE barrier = '' GROUP BY post_url HAVING count(*) > 1) x) = 0
  UNION ALL SELECT 'every row passes the checks', (SELECT {N} FROM batch WHERE barrier = '' AND checks <> '') = 0 UNION ALL SELECT 'only eligible rows', (SELECT {N} FROM batch WHERE barrier = '' AND disposition <> 'ELIGIBLE') = 0
  UNION ALL SELECT 'category in its table', (SELECT {N} FROM batch WHERE barrier = '' AND (destination = 'DATA') <> (final_category IN ('Data Analyst', 'Data Scientist'))) = 0 UNION ALL SELECT 'every row has a key', (SELECT {N} FROM batch WHERE barrier = '' AND coalesce(post_url, '') = '') = 0""")
@@ -293,7 +305,7 @@ column("ext_clean_company", "fields", lambda d: R.first_of(d, R.companies(d, ["c
 column("ext_join_company", "posts", lambda d: R.first_of(d, R.companies(d, [d.extract("text", L.JOIN_COMPANY_RX, 1)])))
 column("ext_is_hiring", "posts", lambda d: R.first_of(d, R.companies(d, [d.extract("text", L.IS_HIRING_RX, 1)])))
 column("ext_company_header", "posts", lambda d: d.extract("text", r"Company: ([A-Z][A-Za-z0-9]*)", 1))
-column("ext_company_resolve", "fields", "CASE WHEN job_card_company <> 'Unclear' THEN job_card_company || ' 0.95' WHEN company_name <> 'Unclear' THEN company_name || ' 0.85' ELSE 'Unclear 0' END")
+add("ext_company_resolve", "fields", "SELECT ingest_seq, company_name, CASE WHEN company_name = 'Unclear' THEN CAST(0 AS DOUBLE) WHEN lower(company_name) = lower(job_card_company) THEN CAST(0.95 AS DOUBLE) WHEN contains(text, company_name) THEN CAST(0.85 AS DOUBLE) WHEN lower(author_name) = lower(company_name) THEN CAST(0.8 AS DOUBLE) ELSE CAST(0.7 AS DOUBLE) END AS confidence FROM fields")
 column("ext_ctc", "fields", "ctc")
 column("ext_experience", "fields", "experience")
 column("ext_employment", "fields", "employment_type")
@@ -304,7 +316,7 @@ column("ext_linkedin", "fields", "manager_link")
 add("ext_hm_cascade", "fields", "SELECT ingest_seq, coalesce(nullif(manager_name, ''), 'Unclear') AS manager, manager_tier, manager_link, manager_evidence FROM fields")
 add("ext_hm_resolve", "fields", "SELECT ingest_seq, CASE manager_tier WHEN 'CONTEXT' THEN CAST(0.9 AS DOUBLE) WHEN 'FOUNDER' THEN CAST(0.85 AS DOUBLE) WHEN 'SIGNATURE' THEN CAST(0.8 AS DOUBLE) WHEN 'AUTHOR' THEN CAST(0.75 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS confidence FROM fields")
 column("ext_email_resolve", "fields", "CASE WHEN cold_email = 'Not Available' THEN 'NOT_FOUND' ELSE 'FOUND' END")
-column("ext_role_resolve", "fields", "CASE WHEN exact_role <> 'Unclear' THEN exact_role WHEN role_keyword <> '' THEN role_keyword ELSE 'Unclear' END")
+column("ext_role_resolve", "fields", "CASE WHEN exact_role <> 'Unclear' AND length(exact_role) >= 4 THEN exact_role WHEN length(role_keyword) >= 4 THEN role_keyword ELSE 'Unclear' END")
 add("html_text", "", lambda d: f"SELECT page_id, trim({d.replace(d.replace(d.replace('html', '(?is)<(script|style|noscript|template)[^>]*>.*?</(script|style|noscript|template)>', ' '), '(?s)<[^>]*>', ' '), '[ \\t\\r\\n]+', ' ')}) AS visible FROM pages")
 add("html_mailto", "", lambda d: f"SELECT page_id, {d.join(d.all_rx('html', 'href=.mailto:([^?>' + chr(34) + chr(39) + ']+)', 1), ',')} AS mails FROM pages")
 add("html_emails", "", lambda d: f"SELECT page_id, {d.join(d.sort(d.distinct(d.transform(d.all_rx('html', L.EMAIL_RX), 'x', 'lower(x)'))), ',')} AS emails FROM pages")
@@ -328,13 +340,13 @@ add("cnt_domain_resolve", "", "SELECT page_id, coalesce(nullif(split_part(split_
 add("cnt_candidate_pages", "", lambda d: "SELECT page_id, 'https://' || domain || path AS candidate FROM (" + d.explode("(SELECT page_id, split_part(split_part(url, '//', 2), '/', 1) AS domain FROM pages) p", d.array(["''", "'/careers'", "'/jobs'", "'/contact'", "'/about'"]), "page_id, domain", "path") + ") x")
 add("cnt_status", "", lambda d: f"SELECT page_id, CASE WHEN {d.rx('html', L.EMAIL_RX)} THEN 'FOUND' WHEN url <> '' THEN 'PARTIAL' ELSE 'NOT_FOUND' END AS status FROM pages")
 add("llm_order", "", lambda d: f"SELECT {d.join(d.filter(d.array([d.lit(x) for x in ('groq', 'gemini', 'other')]), 'x', d.isin('x', ['groq', 'gemini'])), ',')} AS chain")
-add("rec_diff_fields", "merged", "SELECT * FROM (SELECT ingest_seq, 'category' AS field, major_category AS old_value, final_category AS new_value FROM merged UNION ALL SELECT ingest_seq, 'company', company_name, final_company FROM merged UNION ALL SELECT ingest_seq, 'employment', employment_type, final_employment FROM merged) x WHERE old_value <> new_value")
+add("rec_diff_fields", "merged decided", "SELECT * FROM (SELECT ingest_seq, 'category' AS field, major_category AS old_value, final_category AS new_value FROM merged UNION ALL SELECT ingest_seq, 'company', company_name, final_company FROM merged UNION ALL SELECT ingest_seq, 'employment', employment_type, final_employment FROM merged UNION ALL SELECT ingest_seq, 'india', market, llm_india FROM merged UNION ALL SELECT ingest_seq, 'confidence', CAST(CAST(round(confidence * 100) AS BIGINT) AS STRING), CAST(CAST(round(llm_confidence * 100) AS BIGINT) AS STRING) FROM merged) x WHERE old_value <> new_value")
 add("rec_markers", "decided", "SELECT ingest_seq, contains(lower(concat_ws(' ', llm_status, provider)), 'unavailable') AS failed, provider AS hint FROM decided")
-add("fmt_enrichment_row", "fields", "SELECT ingest_seq, company_name, exact_role, location, ctc, experience, employment_type, cold_email, apply_link FROM fields")
+add("fmt_enrichment_row", "fields", lambda d: f"SELECT {row(d).replace('final_company', 'company_name').replace('final_category', 'major_category').replace('final_employment', 'employment_type').replace('llm_india AS', 'market AS').replace('status AS status', chr(39) + 'New' + chr(39) + ' AS status')}, ingest_seq FROM fields WHERE reject_reason = ''")
 column("snk_err_text", "posts", lambda d: f"substring({d.replace('text', '\\s+', ' ')}, 1, 300)")
 add("rpt_stored_fields", "raw_items", "SELECT ingest_seq, coalesce(nullif(card_employment, ''), nullif(card_experience, ''), nullif(card_subtitle, ''), '') AS stored FROM raw_items")
 add("rpt_capture_audit", "gated", "SELECT ingest_seq, post_url, major_category, reject_reason FROM gated")
-add("rpt_gate_record", "produced", "SELECT ingest_seq, major_category, gate, disposition, destination, poster_type, sourcing_score, confidence, llm_confidence, market, location FROM produced")
+add("rpt_gate_record", "weighed", "SELECT ingest_seq, post_url, activity_id, author_name, author_profile_url, post_date, source_query, major_category, role_keyword, data_category, data_keyword, fo_keyword, cos_keyword, employer_context, fo_strong, fo_weak, data_strong, data_weak, hiring_signal, nearest_signal, gap, card_says, is_india, geo_evidence, market, reject_reason, gate, reasons, llm_status, llm_confidence, provider, attempts, final_category, final_company, final_employment, poster_type, sourcing_score, confidence, hold_reasons, disposition, destination, status, location FROM weighed")
 add("rpt_validate_contact", "produced", "SELECT * FROM (SELECT ingest_seq, cold_email, manager_name, manager_tier, manager_evidence FROM produced WHERE gate <> 'REJECT' ORDER BY ingest_seq LIMIT 24) x ORDER BY ingest_seq DESC LIMIT 20")
 add("rpt_baseline_join", "gated sinks", "SELECT g.post_url, s.source_link IS NOT NULL AND g.reject_reason = '' AS recovered FROM gated g LEFT JOIN sinks s ON s.source_link = g.post_url")
 add("rpt_funnel_check", "weighed", f"""SELECT {N} = {total("reject_reason = ''")} + {total("reject_reason <> ''")} AS gates_add_up, {total("gate IS NOT NULL")} = {total("gate = 'ACCEPT'")} + {total("gate = 'REVIEW'")} + {total("gate = 'REJECT'")} AS verdicts_add_up,
