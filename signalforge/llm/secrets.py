@@ -1,6 +1,7 @@
 """Operator 4: secret scan with a random forest that removes false positives.
 
-Candidates: runs of 16 or more key characters, values assigned to a secret's name, and private key blocks. For each the
+Candidates: runs of 16 or more key characters, values assigned to a secret's name (which may be part of a longer name),
+passwords in addresses, and private key blocks. For each the
 forest sees its length, entropy, character classes and transitions, how far dictionary pieces cover it, whether it lies in
 a path or address, and the neighbouring words. Candidates that the forest takes for secrets are replaced by a mark.
 
@@ -37,7 +38,8 @@ OTHER_WORDS = ("commit", "sha", "sha1", "sha256", "md5", "checksum", "hash", "di
 PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "github_pat_", "glpat-", "xoxb-", "xoxp-", "sk_live_", "rk_live_", "sk-", "AIza", "eyJ", "npm_", "hf_")
 CANDIDATE = re.compile(
     r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]*+-----END [A-Z ]{0,40}PRIVATE KEY-----"
-    r"|(?i:(?:password|passwd|pwd|secret|api_?key|token)[\"']?\s{0,3}[:=]\s{0,3}[\"']?)(?P<value>(?!-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----)[^\s\"'<>]{8,}+)"
+    r"|://[^\s:/@\"'<>]{0,64}:(?P<cred>[^\s:/@\"'<>]{6,})@"
+    r"|(?i:(?<![a-z0-9_-])[a-z0-9_-]*?(?:password|passwd|pwd|secret|api_?key|access_?key|private_?key|token)[a-z0-9_-]{0,16}[\"']?\s{0,3}[:=]\s{0,3}[\"']?)(?P<value>(?!-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----)[^\s\"'<>]{8,}+)"
     r"|(?P<run>[A-Za-z0-9+/_=-]{16,})"
 )
 AROUND = 48
@@ -172,6 +174,14 @@ def example_findings(n: int = 4000, seed: int = 11, pieces: Sequence[str] = ())
             head = f'{name} = "' if kind < 2 else f"{name}: " if kind == 2 else f"{name}=" if kind == 3 else pick(["Authorization: Bearer ", "export API_KEY="])
             if value.startswith(PREFIXES) and rng.random() < 0.3:
                 head = ""
+            if i % 5 == 0:  # passwords that people choose, named or in an address
+                value = pick([pick(words) + chars(digits, int(rng.integers(1, 5))) + pick(words), pick(words).capitalize() + chars(mixed, 4) + chars("!#$%", 1), chars(mixed, int(rng.integers(8, 16)))])
+                if len(value) < 8:
+                    value += chars(digits, 8 - len(value))
+                if i % 10 == 5:
+                    out.append((f"{before} {pick(['postgres', 'https', 'redis', 'mysql', 'ftp'])}://{pick(words)}:", value, f"@{pick(words)}/{after}", 1))
+                    continue
+                head = pick(["password: ", "password=", "passwd = ", 'pwd: "', "my password: ", "DB_PASSWORD="])
             out.append((f"{before} {head}", value, ('" ' if head.endswith('"') else " ") + after, 1))
         else:
             k = int(rng.integers(8))
@@ -191,7 +201,7 @@ def example_findings(n: int = 4000, seed: int = 11, pieces: Sequence[str] = ())
             elif k == 5:
                 value = chars(digits, int(rng.integers(16, 20)))
             elif k == 6:
-                value, head = pick(["your_api_key_here_please", "x" * 24, "changeme-changeme", "example_token_example", "A" * 20, "0" * 32, "insert-your-token-here", "=" * 20, "-" * 30, "_" * 18]), pick([" token = ", " api_key: ", " "])
+                value, head = pick(["your_api_key_here_please", "x" * 24, "changeme-changeme", "example_token_example", "A" * 20, "0" * 32, "insert-your-token-here", "changeme", "yourpassword", "password", "required", "forgotten", "=" * 20, "-" * 30, "_" * 18]), pick([" token = ", " api_key: ", " password: ", " "])
             else:
                 value = "".join(pick(words).capitalize() for _ in range(6))[:60] + "Factory"
             out.append((before + head, value, tail + after, 0))
