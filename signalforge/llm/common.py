@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +44,13 @@ def shared_folder(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like cut, as a Parquet table in the shared folder: for many narrow rows, of which a checkpoint takes several times the disk."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def maybe_broadcast(small: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a materialised narrow table for broadcasting if it has at most `bound` rows, else leave the join to a shuffle."""
     return F.broadcast(small) if small.limit(bound + 1).count() <= bound else small

@@ -505,4 +505,8 @@ def test_recall_and_precision_of_secrets():
         total[label] += 1
         hit[label] += any(s >= secrets.ACCEPT and x < z and y > a for x, y, s in secrets.find(model, [text])[0])
     recall, precision = hit[1] / total[1], hit[1] / max(1, hit[0] + hit[1])
+    for text, secret in (("my password: hunter2secret ok", "hunter2secret"), ("see postgres://u:S3cr3tPw0rd99@host/db", "S3cr3tPw0rd99"), ("auth_token=8433386cf9a9b29519756edeba98a525620ae820", "8433386cf9a9b29519756edeba98a525620ae820")):
+        assert secrets.redacted(text, secrets.find(model, [text])[0]) == text.replace(secret, secrets.MARK)
+    for text in ("password: required for all", "at https://example.com/a/b:8080/x@y", "the token = value is", "nothing here but words"):
+        assert secrets.redacted(text, secrets.find(model, [text])[0]) == text
     assert recall > 0.97 and precision > 0.97, (recall, precision)
