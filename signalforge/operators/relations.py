@@ -14,6 +14,14 @@ def q(d: Dialect, s: str) -> str:
 
 
 NEVER = "1000000000"
+
+
+def employer_context(d: Dialect) -> str:
+    """Whether a text speaks for an employer, not for someone who seeks work."""
+    opening = d.rx("t", r"\b(?:interested|share|refer)\s+.*\bopening\b")
+    return f"({d.any_rx('t', L.EMPLOYER_STRONG_RX)} OR ({d.any_rx('t', L.EMPLOYER_SUPPORT_RX)} AND {opening}))"
+
+
 #: Words of which each pattern of a family needs one: looked for first, as that is cheap.
 FO_FAMILY, DATA_FAMILY = ["founder", "chief"], ["analyst", "scientist", "analytics associate"]
 
@@ -38,14 +46,13 @@ def signals(d: Dialect) -> str:
         q(d, ""),
     )
     category = d.case([(d.isin("data_keyword", [*L.DATA_SCIENTIST, "applied scientist", "data science"]), q(d, "Data Scientist")), ("data_keyword <> ''", q(d, "Data Analyst"))], q(d, ""))
-    opening = d.rx(t, r"\b(?:interested|share|refer)\s+.*\bopening\b")
     return f"""SELECT *, {category} AS data_category
  FROM (SELECT *, {keyword} AS data_keyword
  FROM (SELECT *, {at("data_first <> ''", "data_first")} AS title_at, {at(analyst, q(d, "business analyst"))} AS analyst_at, {at(applied, q(d, "applied scientist"))} AS applied_at,
  {at(framed, "field_first")} AS field_at
  FROM (SELECT *, {d.first_word(t, L.FOUNDERS_OFFICE)} AS fo_keyword, {d.first_word(t, L.CHIEF_OF_STAFF)} AS cos_keyword, {d.extract(t, alternation(TITLES))} AS data_first,
  {d.extract(t, alternation(L.DATA_FIELDS))} AS field_first,
- {d.any_rx(t, L.EMPLOYER_STRONG_RX)} OR ({d.any_rx(t, L.EMPLOYER_SUPPORT_RX)} AND {opening}) AS employer_context,
+ {employer_context(d)} AS employer_context,
  ({d.any_of(t, FO_FAMILY)} AND {d.any_rx(t, L.FO_STRONG_RX)}) AS fo_strong, {d.any_rx(t, L.FO_WEAK_RX)} AS fo_weak,
  ({d.any_of(t, DATA_FAMILY)} AND {d.any_rx(t, L.DATA_STRONG_RX)}) AS data_strong, {d.any_rx(t, L.DATA_WEAK_RX)} AS data_weak,
  {d.first_word(t, L.HIRING_SIGNALS)} AS hiring_signal, {d.first_word(t, L.VACANCY_LABELS)} AS vacancy_label FROM posts) p) a) k"""
@@ -129,7 +136,10 @@ def employers(d: Dialect) -> str:
 
 
 def gated(d: Dialect) -> str:
-    """The first gate that each post fails, in the order of the gates; '' for posts that pass."""
+    """The first gate that each post fails, in the order of the gates; '' for posts that pass.
+
+    Patterns that few posts reach stand in the gates themselves, so that they are not run on all posts as columns would be.
+    """
     t = "t"
     target = "major_category <> 'None'"
     data = "major_category IN ('Data Analyst', 'Data Scientist')"
@@ -144,7 +154,7 @@ def gated(d: Dialect) -> str:
         (d.any_rx(t, L.PAY_TO_APPLY_RX), "pay to apply"),
         (d.any_of(t, L.JOB_SEEKER), "job seeker phrase"),
         (d.any_rx(t, L.ALWAYS_REJECT_RX), "job seeker always"),
-        (f"NOT employer_context AND {d.any_rx(t, L.JOB_SEEKER_RX)}", "job seeker pattern"),
+        (f"{d.any_rx(t, L.JOB_SEEKER_RX)} AND NOT {employer_context(d)}", "job seeker pattern"),
         (d.any_of(t, L.CONGRATULATORY), "congratulatory"),
         (d.any_of(t, L.INFORMATIONAL), "informational"),
         (f"NOT ({target}) AND {d.rx(t, r'(^|{s})fo($|{s})'.format(s=chr(92) + 's'))}", "no target role (fo without proof)"),
@@ -152,13 +162,13 @@ def gated(d: Dialect) -> str:
         (f"{data} AND {d.rx(entry, L.DATA_ENTRY_RX)}", "data entry"),
         ("gap IS NULL", "no hiring signal"),
         ("gap > 300", "signal too far"),
-        (f"NOT employer_context AND {seeker}", "first person seeker"),
+        (f"{seeker} AND NOT {employer_context(d)}", "first person seeker"),
         (d.any_rx(t, L.AGGREGATOR_RX), "aggregator"),
         (career, "aggregator (career opportunities)"),
         (f"{d.count_rx(t, 'company' + chr(92) + 's*:')} >= 3", "company labels"),
         (f"{d.size(employers(d))} >= 2", "several employers"),
-        ("NOT fo_strong AND fo_weak", "role context"),
-        (f"{data} AND NOT data_strong AND data_weak", "data context"),
+        (f"NOT fo_strong AND {d.any_rx(t, L.FO_WEAK_RX)}", "role context"),
+        (f"{data} AND NOT data_strong AND {d.any_rx(t, L.DATA_WEAK_RX)}", "data context"),
         (f"{data} AND NOT data_strong AND {d.isin('role_keyword', [*L.DATA_FIELDS, 'business analyst'])}", "data context (not framed)"),
         ("card_says = 'foreign'", "india relevance (job card)"),
         ("market = '' AND has_foreign", "india relevance (abroad)"),
