@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
-MAX_STEPS = 60
-
 
 def _both(edges: DataFrame) -> DataFrame:
     return edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -23,7 +21,7 @@ def connected(edges: DataFrame) -> DataFrame:
     """From undirected edges (a, b) of longs: (node, component), component being the least node; nodes without edges absent."""
     edges = cut(edges.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None
-    for _ in range(MAX_STEPS):
+    while True:  # each step lowers labels, so it ends; chains halve, so it ends after a logarithm of steps
         # Large star: a node's greater neighbours go to the least of its neighbours and itself.
         both = _both(edges)
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
