@@ -13,6 +13,7 @@ from .fuzzy_passages import op10_fuzzy_passages
 from .jaccard_join import op1_ngram_jaccard_join
 from .language import op8_language_id
 from .mixing import OP2_SQL, op2_mixing_curriculum
+from .periodic import op13_periodic_runs
 from .quality import op3_quality_outliers
 from .secrets import op4_secret_scan
 from .suffix_dedup import op6_suffix_dedup
@@ -30,6 +31,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_token_attribution": op9_token_attribution,
         "op10_fuzzy_passages": op10_fuzzy_passages,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
