@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .attribution import op9_token_attribution
 from .chat import op5_chat_windows
 from .contamination import op7_benchmark_contamination
+from .exact_dedup import OP12_SQL, op12_exact_dedup
 from .fuzzy_passages import op10_fuzzy_passages
 from .jaccard_join import op1_ngram_jaccard_join
 from .language import op8_language_id
@@ -31,9 +32,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_token_attribution": op9_token_attribution,
         "op10_fuzzy_passages": op10_fuzzy_passages,
+        "op12_exact_dedup": op12_exact_dedup,
         "op13_periodic_runs": op13_periodic_runs,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing_curriculum": OP2_SQL}
+    return {"op2_mixing_curriculum": OP2_SQL, "op12_exact_dedup": OP12_SQL}
