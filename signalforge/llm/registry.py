@@ -13,6 +13,7 @@ from .exact_dedup import OP12_SQL, op12_exact_dedup
 from .fuzzy_passages import op10_fuzzy_passages
 from .jaccard_join import op1_ngram_jaccard_join
 from .language import op8_language_id
+from .merkle import OP11_SQL, op11_merkle_manifest
 from .mixing import OP2_SQL, op2_mixing_curriculum
 from .periodic import op13_periodic_runs
 from .quality import op3_quality_outliers
@@ -32,10 +33,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_token_attribution": op9_token_attribution,
         "op10_fuzzy_passages": op10_fuzzy_passages,
+        "op11_merkle_manifest": op11_merkle_manifest,
         "op12_exact_dedup": op12_exact_dedup,
         "op13_periodic_runs": op13_periodic_runs,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing_curriculum": OP2_SQL, "op12_exact_dedup": OP12_SQL}
+    return {"op2_mixing_curriculum": OP2_SQL, "op11_merkle_manifest": OP11_SQL, "op12_exact_dedup": OP12_SQL}
