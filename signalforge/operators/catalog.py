@@ -276,7 +276,16 @@ QUALITY = {"company": 15, "role": 15, "india": 15, "current": 10, "location": 8,
 EVIDENCE = ("company", "role", "location", "employment", "experience", "ctc", "manager", "email")
 _filled = "(" + " + ".join(f"CASE WHEN {_KNOWN[k]} THEN 1 ELSE 0 END" for k in EVIDENCE) + ")"
 column("scr_enrichment", "fields", points(ENRICHMENT))
-column("scr_data_quality", "fields", f"round({points(QUALITY, f" + CASE WHEN employment_type = 'Full-time' THEN 10 WHEN employment_type IN ('Unclear', 'Not Specified', '') THEN 5 ELSE 0 END + CAST(5 AS DOUBLE) * {_filled} / {len(EVIDENCE)}")}, 2)")
+
+
+def data_quality(d: Dialect) -> str:
+    """Hundredths counted in whole eighths, as the evidence share of 5 points is a multiple of 5/8, and rounded half up once."""
+    whole = " + ".join(f"CASE WHEN {_KNOWN[k]} THEN {w} ELSE 0 END" for k, w in QUALITY.items())
+    kind = "CASE WHEN employment_type = 'Full-time' THEN 10 WHEN employment_type IN ('Unclear', 'Not Specified', '') THEN 5 ELSE 0 END"
+    return f"CAST(floor((least(800, 8 * ({whole} + {kind}) + 5 * {_filled}) + 4) / 8) AS DOUBLE) / 100"
+
+
+column("scr_data_quality", "fields", data_quality)
 column("scr_evidence_complete", "fields", "round(CAST(" + " + ".join(f"CASE WHEN {c} THEN 1 ELSE 0 END" for c in _KNOWN.values()) + f" AS DOUBLE) / {len(_KNOWN)}, 3)")
 column("scr_state_conf", "fields", "CASE WHEN job_card_company <> 'Unclear' THEN CAST(0.95 AS DOUBLE) WHEN company_name <> 'Unclear' THEN CAST(0.8 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END")
 add("gte_verdict", "decided", "SELECT ingest_seq, gate, reasons FROM decided")

@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalforge.functions.dialect import TABLES, Checker, Dialect
+from signalforge.functions.dialect import Checker, Dialect
 from signalforge.operators.relations import assemble
+from signalforge.plans.store import relation
 from signalforge.sources import files
-from signalforge.streaming.incremental import shared_folder
+from signalforge.sources.shared import shared_folder
 
 POSTS = "SELECT ingest_seq, post_url, text, author_name, source_query FROM raw_posts"
 KEPT = "SELECT ingest_seq, post_url, major_category, market FROM gated WHERE reject_reason = ''"
@@ -22,11 +23,7 @@ def _sql(d: Dialect, body: str, *needs: str) -> str:
 
 
 def _rows(spark: SparkSession, sf_dir: str, body: str, *needs: str) -> DataFrame:
-    text = _sql(Dialect(), body, *needs)
-    for t in TABLES:
-        if t in text:
-            spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
-    return spark.sql(text)
+    return relation(spark, sf_dir, body, needs)
 
 
 def src_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,8 @@ from signalforge.functions.dialect import Dialect, alternation
 from signalforge.sources import posts as P
 
 TITLES = [*L.DATA_ANALYST, *L.DATA_SCIENTIST]
+#: The hiring terms to which a role must be near.
+SIGNALS = [*L.HIRING_SIGNALS, *L.VACANCY_LABELS]
 
 
 def q(d: Dialect, s: str) -> str:
@@ -70,9 +72,12 @@ def near(d: Dialect) -> str:
     """The least gap between the post's own role word and any hiring signal, and that signal.
 
     Ties: the earliest role, then the first signal in list and place order. All places of a post are made and compared
-    within its row, so nothing is joined or moved.
+    within its row, so nothing is joined or moved. Spark finds the places of all signals by one automaton; the checking
+    engine makes all pairs of places in SQL.
     """
-    signals = d.array([q(d, w) for w in [*L.HIRING_SIGNALS, *L.VACANCY_LABELS]])
+    if d.name == "spark":
+        return "SELECT * EXCEPT (best), best.gap AS gap, best.term AS nearest_signal FROM (SELECT *, nearest_term(t, role_keyword) AS best FROM roles) n"
+    signals = d.array([q(d, w) for w in SIGNALS])
     one = d.struct(p="p", ord=d.place_in(signals, "w"), word="w")
     found = f"flatten({d.transform(d.filter(signals, 'w', 'contains(t, w)'), 'w', d.transform(d.places('t', 'w'), 'p', one))})"
     gap = "CAST(greatest(0, s.p - r - length(role_keyword), r - s.p - length(s.word)) AS BIGINT)"
@@ -402,15 +407,16 @@ RELATIONS = {
 }
 
 
-def assemble(d: Dialect, body: str, needs: tuple[str, ...]) -> str:
-    """body with the relations that it needs, each once, in order."""
+def assemble(d: Dialect, body: str, needs: tuple[str, ...], given: tuple[str, ...] = ()) -> str:
+    """body with the relations that it needs, each once, in order; those given are tables already."""
     order: list[str] = []
 
     def add(name: str) -> None:
+        if name in given or name in order:
+            return
         for x in RELATIONS[name][1]:
             add(x)
-        if name not in order:
-            order.append(name)
+        order.append(name)
 
     for name in needs:
         add(name)

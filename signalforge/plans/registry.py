@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from signalforge.functions.dialect import TABLES, Checker, Dialect
+from signalforge.functions.dialect import Checker, Dialect
 from signalforge.operators import files, frames
 from signalforge.operators.catalog import CATALOG
 from signalforge.operators.relations import assemble
+from signalforge.plans.store import relation
 from signalforge.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,14 +19,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def sql_query(name: str) -> Query:
     needs, body = CATALOG[name]
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        text = assemble(Dialect(), body(Dialect()), needs)
-        for t in TABLES:
-            if t in text:
-                spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
-        return spark.sql(text)
-
-    return run
+    return lambda spark, sf_dir: relation(spark, sf_dir, body(Dialect()), needs)
 
 
 def queries() -> dict[str, Query]:

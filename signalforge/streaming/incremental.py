@@ -7,34 +7,18 @@ replayed batch writes nothing twice; the stored batch number guards against a ba
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from signalforge.sources.shared import exists, shared_folder
+
 
 #: Stored keys lie in so many folders by their hash; a batch reads those of its own keys only.
 BUCKETS = 64
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir; a session in one process, as in tests, may do without that setting."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="stream-")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def append_new(target: str, key: str, order: str) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function: the first row of each key that the target does not hold yet is appended.
 
