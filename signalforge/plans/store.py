@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from signalforge.functions.dialect import TABLES, Dialect
 from signalforge.functions.terms import nearest_term
@@ -20,7 +21,7 @@ from signalforge.sources.shared import shared_folder
 #: The links that are stored, and the column that each is partitioned by, if any.
 STORED = {"gated": "passes", "fields": None, "posters": None, "passing_posters": None, "decided": None, "weighed": None, "batch": None}
 
-_paths: dict[tuple[str, str, str], str] = {}
+_paths: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 def tables_of(sql: str) -> list[str]:
@@ -56,8 +57,9 @@ def ensure(spark: SparkSession, sf_dir: str, name: str) -> None:
         rows, part = relation(spark, sf_dir, R.RELATIONS[name][0](Dialect()), R.RELATIONS[name][1], name in ENDS), STORED[name]
         writer = rows.withColumn(part, rows["reject_reason"] == "").write.partitionBy(part) if part else rows.write
         writer.parquet(path)
-        _paths[key] = path
-    spark.read.parquet(_paths[key]).createOrReplaceTempView(name)
+        _paths[key] = path, rows.schema.add(part, "boolean") if part else rows.schema
+    path, schema = _paths[key]
+    spark.read.schema(schema).parquet(path).createOrReplaceTempView(name)
 
 
 #: Stored relations that filter, or join by, what the one below them derives: that one is stored first.
