@@ -289,6 +289,7 @@ column("scr_data_quality", "fields", data_quality)
 column("scr_evidence_complete", "fields", "round(CAST(" + " + ".join(f"CASE WHEN {c} THEN 1 ELSE 0 END" for c in _KNOWN.values()) + f" AS DOUBLE) / {len(_KNOWN)}, 3)")
 column("scr_state_conf", "fields", "CASE WHEN job_card_company <> 'Unclear' THEN CAST(0.95 AS DOUBLE) WHEN company_name <> 'Unclear' THEN CAST(0.8 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END")
 add("gte_verdict", "decided", "SELECT ingest_seq, gate, reasons FROM decided")
+add("llm_malformed", "judged", "SELECT ingest_seq, malformed FROM judged WHERE NOT parsed")
 add("gte_status", "decided", "SELECT ingest_seq, CASE gate WHEN 'ACCEPT' THEN 'New' WHEN 'REVIEW' THEN 'Review' ELSE '' END AS status, llm_status FROM decided")
 add("mrg_enriched_post", "merged", "SELECT ingest_seq, final_category, final_company, final_employment, exact_role, location, ctc, experience, market, cold_email, apply_link, google_form, manager_name, manager_link, manager_evidence, confidence, llm_confidence, llm_india, gate, llm_status FROM merged")
 add("gte_production", "produced", "SELECT ingest_seq, disposition, hold_reasons, poster_type FROM produced")
@@ -348,7 +349,17 @@ add("cnt_discover", "fields", "SELECT company_name, min(post_url) AS first_post
 add("cnt_domain_resolve", "", "SELECT page_id, coalesce(nullif(split_part(split_part(url, '//', 2), '/', 1), ''), 'none') AS domain FROM pages")
 add("cnt_candidate_pages", "", lambda d: "SELECT page_id, 'https://' || domain || path AS candidate FROM (" + d.explode("(SELECT page_id, split_part(split_part(url, '//', 2), '/', 1) AS domain FROM pages) p", d.array(["''", "'/careers'", "'/jobs'", "'/contact'", "'/about'"]), "page_id, domain", "path") + ") x")
 add("cnt_status", "", lambda d: f"SELECT page_id, CASE WHEN {d.rx('html', L.EMAIL_RX)} THEN 'FOUND' WHEN url <> '' THEN 'PARTIAL' ELSE 'NOT_FOUND' END AS status FROM pages")
-add("llm_order", "", lambda d: f"SELECT {d.join(d.filter(d.array([d.lit(x) for x in ('groq', 'gemini', 'other')]), 'x', d.isin('x', ['groq', 'gemini'])), ',')} AS chain")
+
+
+def provider_order(d: Dialect) -> str:
+    """For each state and number of attempts, the providers in order of their first verdict, each once, known ones only."""
+    gather = "collect_list" if d.name == "spark" else "list"
+    met = d.transform(d.sort(f"{gather}({d.struct(first='first', provider='provider')})"), "x", "x.provider")
+    known = d.filter("met", "x", d.isin("x", ["provider0", "provider2"]))
+    return f"SELECT llm_status, attempts, {d.join(known, ',')} AS chain FROM (SELECT llm_status, attempts, {met} AS met FROM (SELECT llm_status, attempts, provider, min(ingest_seq) AS first FROM verdicts GROUP BY 1, 2, 3) f GROUP BY 1, 2) g"
+
+
+add("llm_order", "verdicts", provider_order)
 add("rec_diff_fields", "merged decided", "SELECT * FROM (SELECT ingest_seq, 'category' AS field, major_category AS old_value, final_category AS new_value FROM merged UNION ALL SELECT ingest_seq, 'company', company_name, final_company FROM merged UNION ALL SELECT ingest_seq, 'employment', employment_type, final_employment FROM merged UNION ALL SELECT ingest_seq, 'india', market, llm_india FROM merged UNION ALL SELECT ingest_seq, 'confidence', CAST(CAST(round(confidence * 100) AS BIGINT) AS STRING), CAST(CAST(round(llm_confidence * 100) AS BIGINT) AS STRING) FROM merged) x WHERE old_value <> new_value")
 add("rec_markers", "decided", "SELECT ingest_seq, contains(lower(concat_ws(' ', llm_status, provider)), 'unavailable') AS failed, provider AS hint FROM decided")
 add("fmt_enrichment_row", "fields", lambda d: f"SELECT {row(d).replace('final_company', 'company_name').replace('final_category', 'major_category').replace('final_employment', 'employment_type').replace('llm_india AS', 'market AS').replace('status AS status', chr(39) + 'New' + chr(39) + ' AS status')}, ingest_seq FROM fields WHERE reject_reason = ''")
@@ -399,8 +410,5 @@ add("inc_request_budget", "", "SELECT event_id, CASE WHEN requests > 20 THEN 'OV
 add("inc_run_lock", "", "SELECT event_id, CASE WHEN before IS NULL OR ts >= before + INTERVAL 15 MINUTES THEN 'RUN' ELSE 'SKIPPED' END AS state FROM (SELECT event_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events) e")
 add("ops_spend", "decided", f"SELECT provider, CAST(sum(attempts) AS BIGINT) AS calls, round(CAST(sum(attempts) AS DOUBLE) * 0.00155, 6) AS spent, CAST(sum(attempts) AS DOUBLE) * 0.00155 >= 5.0 AS refused FROM decided GROUP BY provider")
 add("gte_run_guard", "produced", f"SELECT mode, live, CASE WHEN live AND NOT gated AND NOT allowed THEN 'GATE_REQUIRED' WHEN live THEN 'WRITE' ELSE 'DRY_RUN' END AS outcome, CASE WHEN live AND (gated OR allowed) THEN (SELECT {N} FROM produced WHERE NOT gated OR disposition = 'ELIGIBLE') ELSE 0 END AS n FROM (VALUES ('gated', true, true, false), ('legacy', true, false, false), ('maintenance', true, false, true), ('dry', false, false, false)) AS m(mode, live, gated, allowed)")
-add("snk_retry", "decided", "SELECT ingest_seq, attempts, CASE WHEN llm_status <> 'UNAVAILABLE' THEN 'DONE' WHEN attempts < 4 THEN 'RETRY' ELSE 'GIVE_UP' END AS action, CASE WHEN llm_status = 'UNAVAILABLE' AND attempts < 4 THEN 5 * (attempts + 1) ELSE CAST(0 AS BIGINT) END AS wait_seconds FROM decided")
-add("llm_keys", "decided", "SELECT ingest_seq, provider, CASE WHEN llm_status = 'UNAVAILABLE' THEN 'key' || CAST((attempts + 1) % 3 AS STRING) ELSE 'key' || CAST(attempts % 3 AS STRING) END AS next_key, llm_status = 'UNAVAILABLE' AS rotated FROM decided")
-add("llm_chain", "decided", "SELECT ingest_seq, CASE WHEN evaluated THEN provider WHEN attempts < 2 THEN provider WHEN provider = 'provider0' THEN 'provider1' WHEN provider = 'provider1' THEN 'provider2' ELSE 'none' END AS next_provider FROM decided")
 add("rec_guard", "decided", f"SELECT CASE WHEN count(DISTINCT provider) > 1 THEN 'REFUSED' ELSE 'OK' END AS outcome, CAST(count(DISTINCT provider) AS BIGINT) AS providers, {N} AS n FROM decided WHERE NOT evaluated")
 add("fn_json_dumps", "posts", lambda d: "SELECT ingest_seq, " + ("to_json(named_struct('url', post_url, 'n', ingest_seq, 'ok', ingest_seq % 2 = 0))" if d.name == "spark" else "CAST(json_object('url', post_url, 'n', ingest_seq, 'ok', ingest_seq % 2 = 0) AS VARCHAR)") + " AS json FROM posts")

@@ -296,15 +296,38 @@ def posters(d: Dialect, source: str = "fields") -> str:
     return f"""SELECT *, {kind} AS poster_type, CAST({score} AS BIGINT) AS sourcing_score FROM (SELECT *, {aggregator} AS aggregator_text, {ad} AND ({lead} OR {page} OR (NOT {person} AND {d.rx('author_name', L.GENERIC_MODIFIERS_RX)})) AS ad_poster, {agency} AS agency, {person} AS person_profile, {page} AS company_page FROM {source}) p"""
 
 
+#: What a verdict is made of. Values are read as text, since numbers and flags may come as either.
+VERDICT_FIELDS = ["decision", "confidence", "is_current_job", "is_genuine_hiring", "is_aggregator", "major_category", "india_relevance", "employment_type", "company", "reason"]
+
+
 def judged(d: Dialect) -> str:
-    """Verdicts parsed and coerced: unknown values take their defaults, numbers may be text, confidence stays in [0, 1]."""
-    safe = "CASE WHEN verdict_json LIKE '{\"%' THEN verdict_json ELSE '{}' END"
-    j = lambda k: d.json("safe_json", k)
+    """Verdicts parsed and coerced: unknown values take their defaults, numbers may be text, confidence stays in [0, 1].
+
+    Each text is parsed once, by a schema; one that is no object keeps its text in `malformed`.
+    """
+    if d.name == "spark":
+        schema = ", ".join(f"{f} STRING" for f in [*VERDICT_FIELDS, "malformed"])
+        read = f"from_json(verdict_json, '{schema}', map('mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', 'malformed'))"
+        source = f"SELECT *, CASE WHEN found.malformed IS NULL THEN found END AS v, found IS NOT NULL AND found.malformed IS NULL AS parsed FROM (SELECT *, {read} AS found FROM verdicts) r"
+        j = lambda k: f"v.{k}"
+    else:
+        source = "SELECT *, CASE WHEN json_valid(verdict_json) THEN verdict_json ELSE '{}' END AS safe_json, coalesce(json_valid(verdict_json), false) AS parsed FROM verdicts"
+        j = lambda k: d.json("safe_json", k)
     flag = lambda k, v: f"coalesce({j(k)}, '{v}') = 'true'"
     inside = lambda k, options, other: d.case([(d.isin(j(k), options), j(k))], q(d, other))
-    return f"""SELECT ingest_seq, llm_status, provider, attempts, verdict_json LIKE '{{"%' AS parsed, upper(coalesce({j('decision')}, 'REVIEW')) AS decision, least(1.0, greatest(0.0, coalesce(TRY_CAST({j('confidence')} AS DOUBLE), 0.0))) AS llm_confidence, {flag('is_current_job', 'true')} AS is_current, {flag('is_genuine_hiring', 'true')} AS is_genuine, {flag('is_aggregator', 'false')} AS llm_aggregator,
- {inside('major_category', ["Founder's Office", 'Chief of Staff', 'Data Analyst', 'Data Scientist'], 'None')} AS llm_category, {inside('india_relevance', ['India', 'Remote - India', 'India + Global'], 'Unclear')} AS llm_india, {inside('employment_type', ['Full-time', 'Contract', 'Part-time', 'Internship', 'Freelance', 'Temporary'], 'Unclear')} AS llm_employment, coalesce(nullif({j('company')}, ''), 'Unclear') AS llm_company, substring(trim({d.replace(f"coalesce({j('reason')}, '')", ' +', ' ')}), 1, 300) AS llm_reason
- FROM (SELECT *, {safe} AS safe_json FROM verdicts) v"""
+    columns = [
+        ("ingest_seq", "ingest_seq"), ("llm_status", "llm_status"), ("provider", "provider"), ("attempts", "attempts"), ("parsed", "parsed"),
+        ("malformed", "CASE WHEN parsed THEN '' ELSE verdict_json END"),
+        ("decision", f"upper(coalesce({j('decision')}, 'REVIEW'))"),
+        ("llm_confidence", f"least(1.0, greatest(0.0, coalesce(TRY_CAST({j('confidence')} AS DOUBLE), 0.0)))"),
+        ("is_current", flag("is_current_job", "true")), ("is_genuine", flag("is_genuine_hiring", "true")), ("llm_aggregator", flag("is_aggregator", "false")),
+        ("llm_category", inside("major_category", ["Founder's Office", "Chief of Staff", "Data Analyst", "Data Scientist"], "None")),
+        ("llm_india", inside("india_relevance", ["India", "Remote - India", "India + Global"], "Unclear")),
+        ("llm_employment", inside("employment_type", ["Full-time", "Contract", "Part-time", "Internship", "Freelance", "Temporary"], "Unclear")),
+        ("llm_company", f"coalesce(nullif({j('company')}, ''), 'Unclear')"),
+        ("llm_reason", f"substring(trim({d.replace(f"coalesce({j('reason')}, '')", ' +', ' ')}), 1, 300)"),
+    ]
+    return "SELECT " + ", ".join(f"{value} AS {name}" for name, value in columns) + f" FROM ({source}) v"
 
 
 def decided(d: Dialect) -> str:
