@@ -373,13 +373,11 @@ add("rpt_funnel_check", "weighed", f"""SELECT {N} = {total("reject_reason = ''")
  {total("gate IS NOT NULL")} = {total("disposition = 'ELIGIBLE'")} + {total("disposition = 'HOLD'")} + {total("disposition = 'REJECT'")} AS dispositions_add_up, {total("reject_reason = ''")} >= {total("gate IS NOT NULL")} AS no_verdict_from_nowhere FROM weighed""")
 add("led_compact", "raw_posts verdicts", lambda d: f"SELECT r.activity_id, {d.arg_max('v.llm_status', 'v.ingest_seq')} AS llm_status, CAST(max(v.ingest_seq) AS BIGINT) AS version FROM verdicts v JOIN raw_posts r ON r.ingest_seq = v.ingest_seq GROUP BY r.activity_id")
 add("led_select", "decided", "SELECT ingest_seq, attempts FROM decided WHERE NOT evaluated AND attempts < 3 ORDER BY ingest_seq LIMIT 200")
-add("led_throttle", "decided", "SELECT ingest_seq, CASE WHEN llm_status = 'UNAVAILABLE' THEN attempts + 1 ELSE CAST(0 AS BIGINT) END AS attempts, CASE WHEN llm_status = 'UNAVAILABLE' THEN 'RATE_LIMITED' ELSE '' END AS last_error FROM decided")
 add("led_breaker", "", "SELECT event_type, CAST(sum(CASE WHEN open_before > 0 THEN 1 ELSE 0 END) AS BIGINT) AS avoided, CAST(count(*) AS BIGINT) AS calls FROM (SELECT event_type, coalesce(max(CASE WHEN value > 50 THEN 1 ELSE 0 END) OVER (PARTITION BY event_type, user_id ORDER BY ts, event_id ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), 0) AS open_before FROM events) e GROUP BY event_type")
 add("led_tranche", "decided", "SELECT ingest_seq FROM decided WHERE NOT evaluated ORDER BY ingest_seq LIMIT 3")
 add("led_rehydrate", "decided", "SELECT ingest_seq, gate, llm_category, llm_confidence FROM decided WHERE parsed")
 add("ops_preflight", "sinks", f"SELECT destination, {N} AS n, CAST(count(DISTINCT source_link) AS BIGINT) AS keys FROM sinks GROUP BY destination")
 add("inc_retry_budget", "decided", f"SELECT attempts, {total('NOT evaluated AND attempts < 3')} AS retryable, {N} AS n FROM decided GROUP BY attempts")
-add("inc_ttl_cache", "", "SELECT user_id, max(ts) AS last_seen, max(ts) >= TIMESTAMP '2024-01-24 00:00:00' AS fresh FROM events GROUP BY user_id")
 add("fn_json_props", "", lambda d: f"SELECT event_id, TRY_CAST({d.json('props', 'k')} AS BIGINT) AS k FROM events")
 
 # Outreach, search results, budgets, guards

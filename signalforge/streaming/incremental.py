@@ -43,7 +43,7 @@ def run_available(stream: DataFrame, write: Callable[[DataFrame, int], None], ch
     stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{sf_dir}/events.parquet"
     batch = spark.read.parquet(path)
     reader = spark.readStream.schema(batch.schema).option("maxFilesPerTrigger", 1)
@@ -55,15 +55,27 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def inc_idempotent_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first event of each user and type, appended once, though the stream is replayed from its start."""
     target = shared_folder(spark, "sink")
-    stream = _events(spark, sf_dir).withColumn("key", F.concat_ws("/", "user_id", "event_type"))
+    stream = event_stream(spark, sf_dir).withColumn("key", F.concat_ws("/", "user_id", "event_type"))
     for _ in range(2):
         run_available(stream, append_new(target, "key", "event_id"), shared_folder(spark, "state"))
     return spark.read.parquet(target).select("key", "event_id")
 
 
+def once_within(stream: DataFrame, keys: list[str], late: str = "24 hours") -> DataFrame:
+    """Each event once, though it may come again while it is not older than `late`; what comes later than that is dropped.
+
+    The state holds the keys of that span only, however long the stream runs.
+    """
+    return stream.withWatermark("ts", late).dropDuplicatesWithinWatermark(keys)
+
+
 def inc_pull_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events of the last day before the newest one."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    """Events of the last day before the newest one, from a stream that brings each event twice."""
+    path = shared_folder(spark, "pull")
+    stream = event_stream(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    twice = once_within(stream.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))), ["event_id"])
+    twice.writeStream.format("parquet").option("path", path).option("checkpointLocation", shared_folder(spark, "pull-state")).trigger(availableNow=True).start().awaitTermination()
+    events = spark.read.schema(twice.schema).parquet(path)
     newest = events.agg(F.max("ts").alias("newest"))
     return events.join(F.broadcast(newest), F.col("ts") > F.col("newest") - F.expr("INTERVAL 24 HOURS")).select("event_id", "user_id", "event_type")
 
