@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from signalforge.functions import lexicon as L
 from signalforge.functions.dialect import Dialect
+from signalforge.operators import recovery
 from signalforge.operators import relations as R
 from signalforge.sources.posts import normalize
 
@@ -92,9 +93,6 @@ add("snk_split_tab", "produced", f"SELECT destination, final_category, {N} AS n
 add("snk_existing_keys", "sinks", "SELECT source_link FROM sinks WHERE destination = 'MAIN' UNION SELECT source_link FROM sinks WHERE destination = 'DATA'")
 add("snk_write_production", "batch", "SELECT destination, post_url, final_category, gate, disposition FROM batch WHERE barrier = ''")
 add("snk_write_counts", "batch", f"SELECT barrier, destination, {N} AS n FROM batch GROUP BY barrier, destination")
-add("snk_outcome", "batch", f"""SELECT barrier_run AS run, CASE WHEN {N} = 0 THEN 'EMPTY' WHEN max(outcome) = 'UNKNOWN' THEN 'UNKNOWN' WHEN {total("barrier = ''")} > 0 AND max(outcome) = 'DRY_RUN' THEN 'DRY_RUN'
- WHEN {total("barrier = ''")} > 0 AND max(outcome) = 'FAILED' THEN 'FAILED' WHEN {total("barrier = ''")} > 0 THEN 'SUCCESS' WHEN max(outcome) = 'READ_FAILED' THEN 'READ_FAILED' WHEN {total("barrier IN ('already stored', 'duplicate in batch')")} > 0 THEN 'DUPLICATE' ELSE 'EMPTY' END AS outcome
- FROM (SELECT *, source_query AS barrier_run, CASE WHEN source_query = 'query 3' THEN 'DRY_RUN' WHEN source_query = 'query 7' THEN 'UNKNOWN' WHEN source_query = 'query 11' THEN 'FAILED' WHEN source_query = 'query 13' THEN 'READ_FAILED' ELSE '' END AS outcome FROM batch) b GROUP BY barrier_run""")
 add("snk_reason_artifacts", "gated produced", "SELECT post_url, 'REJECT' AS disposition, reject_reason AS reason FROM gated WHERE reject_reason <> '' UNION ALL SELECT post_url, disposition, CASE WHEN hold_reasons <> '' THEN hold_reasons ELSE reasons END FROM produced")
 add("srv_leads", "produced", "SELECT post_url, final_company, exact_role, ingest_seq FROM produced WHERE disposition <> 'REJECT' ORDER BY ingest_seq DESC LIMIT 50")
 add("flt_rejudge", "gated", f"SELECT CASE WHEN reject_reason = '' THEN 'kept' ELSE 'dropped' END AS outcome, reject_reason, {N} AS n FROM gated GROUP BY 1, 2")
@@ -165,8 +163,8 @@ ERR = [("unauthorized|401|invalid api key", "AUTH"), ("429|rate limit|too many",
 ERRS = ["401 unauthorized", "HTTP 429 too many requests", "getaddrinfo failed", "read timed out", "certificate verify failed", "boom"]
 add("cls_llm_error", "", lambda d: "SELECT event_id, " + d.case([(d.rx("lower(msg)", p), d.lit(k)) for p, k in ERR], d.lit("PROVIDER_ERROR")) + " AS kind FROM (SELECT event_id, " + d.case([(f"event_id % 6 = {i}", d.lit(m)) for i, m in enumerate(ERRS)]) + " AS msg FROM events) e")
 add("cls_write_error", "", lambda d: "SELECT event_id, CASE WHEN " + d.rx("msg", "timed out|429|getaddrinfo") + " THEN 'UNKNOWN' ELSE 'FAILED' END AS outcome FROM (SELECT event_id, " + d.case([(f"event_id % 6 = {i}", d.lit(m)) for i, m in enumerate(ERRS)]) + " AS msg FROM events) e")
-add("cls_old_record", "decided", "SELECT ingest_seq, CASE WHEN NOT parsed THEN 'MALFORMED' WHEN llm_status <> 'OK' THEN llm_status ELSE 'EVALUATED' END AS old_status FROM decided")
-add("cls_availability", "decided", "SELECT ingest_seq, CASE WHEN evaluated THEN 'RECOVERED' WHEN attempts >= 3 THEN 'EXHAUSTED' ELSE 'RETRY' END AS state FROM decided")
+add("cls_old_record", "raw_items weighed", lambda d: recovery.old_records(d, description(d)))
+add("cls_availability", "raw_items weighed", lambda d: f"SELECT ingest_seq, availability FROM ({recovery.recovery(d, description(d))}) r")
 add("cls_verdict_for", "decided", "SELECT ingest_seq, CASE gate WHEN 'ACCEPT' THEN 'ACCEPT' WHEN 'REJECT' THEN 'REJECT' ELSE 'REVIEW' END AS verdict FROM decided")
 add("cls_field_verified", "fields", "SELECT ingest_seq, field, value, CASE WHEN value = '' THEN 'NOT_FOUND' WHEN contains(lower(text), lower(value)) THEN 'VERIFIED' ELSE 'PARTIALLY' END AS state, CASE WHEN value = '' THEN CAST(0 AS DOUBLE) WHEN contains(lower(text), lower(value)) THEN CAST(0.9 AS DOUBLE) ELSE CAST(0.5 AS DOUBLE) END AS confidence FROM (" + " UNION ALL ".join(f"SELECT ingest_seq, text, '{f}' AS field, CASE WHEN {LACKS[f]} THEN '' ELSE {c} END AS value FROM fields" for f, c in (("company", "company_name"), ("role", "exact_role"), ("location", "location"), ("ctc", "ctc"), ("experience", "experience"), ("manager", "manager_name"), ("email", "cold_email"), ("apply_link", "apply_link"))) + ") x")
 add("cls_guessed_email", "fields", lambda d: f"SELECT ingest_seq, {d.isin('lower(split_part(cold_email, ' + d.lit('@') + ', 2))', L.PERSONAL_DOMAINS)} OR contains(split_part(cold_email, '@', 1), '.') AS guessed FROM fields WHERE cold_email <> 'Not Available'")
@@ -302,7 +300,7 @@ add("gte_row_invariants", "produced", "SELECT ingest_seq, concat_ws('; ', CASE W
 add("gte_post_write", "batch sinks", lambda d: f"""SELECT 'no stored key twice' AS name, (SELECT {N} FROM batch b JOIN sinks s ON s.source_link = b.post_url WHERE b.barrier = '') = 0 AS ok UNION ALL SELECT 'one row a key', (SELECT {N} FROM (SELECT post_url FROM batch WHERE barrier = '' GROUP BY post_url HAVING count(*) > 1) x) = 0
  UNION ALL SELECT 'every row passes the checks', (SELECT {N} FROM batch WHERE barrier = '' AND checks <> '') = 0 UNION ALL SELECT 'only eligible rows', (SELECT {N} FROM batch WHERE barrier = '' AND disposition <> 'ELIGIBLE') = 0
  UNION ALL SELECT 'category in its table', (SELECT {N} FROM batch WHERE barrier = '' AND (destination = 'DATA') <> (final_category IN ('Data Analyst', 'Data Scientist'))) = 0 UNION ALL SELECT 'every row has a key', (SELECT {N} FROM batch WHERE barrier = '' AND coalesce(post_url, '') = '') = 0""")
-add("dsp_recovery", "decided", "SELECT ingest_seq, CASE WHEN evaluated THEN 'RECOVERED' WHEN NOT parsed THEN 'UNREADABLE' WHEN attempts >= 3 THEN 'BUDGET_SPENT' ELSE 'RETRY' END AS disposition FROM decided")
+add("dsp_recovery", "raw_items weighed", lambda d: recovery.recovery(d, description(d)))
 
 # Extraction
 column("ext_emails", "fields", lambda d: d.join(d.filter(d.indexed("real_emails", "x", "nth", f"CASE WHEN {d.place_in(d.transform('real_emails', 'y', 'lower(y)'), 'lower(x)')} = nth + 1 THEN x END"), "z", "z IS NOT NULL"), ","))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from signalforge.functions.dialect import Checker, Dialect
-from signalforge.operators import calls, files, frames, searches
+from signalforge.operators import calls, files, frames, searches, writes
 from signalforge.operators.catalog import CATALOG
 from signalforge.operators.relations import assemble
 from signalforge.plans.store import relation
@@ -23,12 +23,12 @@ def sql_query(name: str) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {name: sql_query(name) for name in CATALOG} | frames.queries() | files.queries() | searches.queries() | calls.queries() | incremental.queries() | ledger.queries()
+    return {name: sql_query(name) for name in CATALOG} | frames.queries() | files.queries() | searches.queries() | calls.queries() | writes.queries() | incremental.queries() | ledger.queries()
 
 
 def oracle_sql() -> dict[str, str]:
     check = Checker()
-    return {name: assemble(check, body(check), needs) for name, (needs, body) in CATALOG.items()} | frames.oracle_sql() | files.oracle_sql() | searches.oracle_sql() | calls.oracle_sql() | incremental.oracle_sql() | ledger.oracle_sql()
+    return {name: assemble(check, body(check), needs) for name, (needs, body) in CATALOG.items()} | frames.oracle_sql() | files.oracle_sql() | searches.oracle_sql() | calls.oracle_sql() | writes.oracle_sql() | incremental.oracle_sql() | ledger.oracle_sql()
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
