@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from signalforge.functions import lexicon as L
 from signalforge.functions.dialect import Dialect
-from signalforge.operators import recovery
+from signalforge.operators import recovery, resolution
 from signalforge.operators import relations as R
 from signalforge.sources.posts import normalize
 
@@ -169,7 +169,7 @@ add("cls_verdict_for", "decided", "SELECT ingest_seq, CASE gate WHEN 'ACCEPT' TH
 add("cls_field_verified", "fields", "SELECT ingest_seq, field, value, CASE WHEN value = '' THEN 'NOT_FOUND' WHEN contains(lower(text), lower(value)) THEN 'VERIFIED' ELSE 'PARTIALLY' END AS state, CASE WHEN value = '' THEN CAST(0 AS DOUBLE) WHEN contains(lower(text), lower(value)) THEN CAST(0.9 AS DOUBLE) ELSE CAST(0.5 AS DOUBLE) END AS confidence FROM (" + " UNION ALL ".join(f"SELECT ingest_seq, text, '{f}' AS field, CASE WHEN {LACKS[f]} THEN '' ELSE {c} END AS value FROM fields" for f, c in (("company", "company_name"), ("role", "exact_role"), ("location", "location"), ("ctc", "ctc"), ("experience", "experience"), ("manager", "manager_name"), ("email", "cold_email"), ("apply_link", "apply_link"))) + ") x")
 add("cls_guessed_email", "fields", lambda d: f"SELECT ingest_seq, {d.isin('lower(split_part(cold_email, ' + d.lit('@') + ', 2))', L.PERSONAL_DOMAINS)} OR contains(split_part(cold_email, '@', 1), '.') AS guessed FROM fields WHERE cold_email <> 'Not Available'")
 add("cls_hm_tier", "fields", "SELECT ingest_seq, manager_tier AS tier, manager_evidence FROM fields")
-add("lbl_resolution", "fields", "SELECT ingest_seq, 'company' AS field, company_name AS value, CASE WHEN job_card_company <> 'Unclear' THEN 'JOB_METADATA' WHEN company_name <> 'Unclear' THEN 'POST_TEXT' ELSE 'UNKNOWN' END AS state FROM fields UNION ALL SELECT ingest_seq, 'employment', employment_type, CASE WHEN employment_type = 'Unclear' THEN 'UNKNOWN' WHEN job_card_employment_type = employment_type THEN 'JOB_METADATA' ELSE 'POST_TEXT' END FROM fields UNION ALL SELECT ingest_seq, 'location', location, CASE WHEN location = 'Not Specified' THEN 'UNKNOWN' ELSE 'POST_TEXT' END FROM fields UNION ALL SELECT ingest_seq, 'manager', manager_name, CASE WHEN manager_name = '' THEN 'UNKNOWN' ELSE 'EXPLICIT' END FROM fields UNION ALL SELECT ingest_seq, 'email', cold_email, CASE WHEN cold_email = 'Not Available' THEN 'UNKNOWN' ELSE 'EXPLICIT' END FROM fields UNION ALL SELECT ingest_seq, 'role', exact_role, CASE WHEN exact_role = 'Unclear' THEN 'UNKNOWN' ELSE 'EXPLICIT' END FROM fields")
+add("lbl_resolution", "fields", resolution.resolved)
 add("lbl_pattern_evidence", "geo", "SELECT ingest_seq, substring(geo_evidence, 1, 120) AS evidence FROM geo")
 
 # Geography
@@ -285,7 +285,7 @@ def data_quality(d: Dialect) -> str:
 
 column("scr_data_quality", "fields", data_quality)
 column("scr_evidence_complete", "fields", "round(CAST(" + " + ".join(f"CASE WHEN {c} THEN 1 ELSE 0 END" for c in _KNOWN.values()) + f" AS DOUBLE) / {len(_KNOWN)}, 3)")
-column("scr_state_conf", "fields", "CASE WHEN job_card_company <> 'Unclear' THEN CAST(0.95 AS DOUBLE) WHEN company_name <> 'Unclear' THEN CAST(0.8 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END")
+add("scr_state_conf", "fields", lambda d: f"SELECT ingest_seq, field, confidence FROM ({resolution.resolved(d)}) r")
 add("gte_verdict", "decided", "SELECT ingest_seq, gate, reasons FROM decided")
 add("llm_malformed", "judged", "SELECT ingest_seq, malformed FROM judged WHERE NOT parsed")
 add("gte_status", "decided", "SELECT ingest_seq, CASE gate WHEN 'ACCEPT' THEN 'New' WHEN 'REVIEW' THEN 'Review' ELSE '' END AS status, llm_status FROM decided")
@@ -313,7 +313,7 @@ column("ext_clean_company", "fields", lambda d: R.first_of(d, R.companies(d, ["c
 column("ext_join_company", "posts", lambda d: R.first_of(d, R.companies(d, [d.extract("text", L.JOIN_COMPANY_RX, 1)])))
 column("ext_is_hiring", "posts", lambda d: R.first_of(d, R.companies(d, [d.extract("text", L.IS_HIRING_RX, 1)])))
 column("ext_company_header", "posts", lambda d: d.extract("text", r"Company: ([A-Z][A-Za-z0-9]*)", 1))
-add("ext_company_resolve", "fields", "SELECT ingest_seq, company_name, CASE WHEN company_name = 'Unclear' THEN CAST(0 AS DOUBLE) WHEN lower(company_name) = lower(job_card_company) THEN CAST(0.95 AS DOUBLE) WHEN contains(text, company_name) THEN CAST(0.85 AS DOUBLE) WHEN lower(author_name) = lower(company_name) THEN CAST(0.8 AS DOUBLE) ELSE CAST(0.7 AS DOUBLE) END AS confidence FROM fields")
+add("ext_company_resolve", "fields", lambda d: f"SELECT ingest_seq, value AS company_name, state, evidence, confidence, detail AS employer FROM ({resolution.resolved(d)}) r WHERE field = 'company'")
 column("ext_ctc", "fields", "ctc")
 column("ext_experience", "fields", "experience")
 column("ext_employment", "fields", "employment_type")
@@ -322,9 +322,9 @@ column("ext_named_founder", "fields", "manager_founder")
 column("ext_signature", "fields", "manager_signature")
 column("ext_linkedin", "fields", "manager_link")
 add("ext_hm_cascade", "fields", "SELECT ingest_seq, coalesce(nullif(manager_name, ''), 'Unclear') AS manager, manager_tier, manager_link, manager_evidence FROM fields")
-add("ext_hm_resolve", "fields", "SELECT ingest_seq, CASE manager_tier WHEN 'CONTEXT' THEN CAST(0.9 AS DOUBLE) WHEN 'FOUNDER' THEN CAST(0.85 AS DOUBLE) WHEN 'SIGNATURE' THEN CAST(0.8 AS DOUBLE) WHEN 'AUTHOR' THEN CAST(0.75 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS confidence FROM fields")
+add("ext_hm_resolve", "fields", lambda d: f"SELECT ingest_seq, value AS manager, state, evidence, confidence, detail AS relation FROM ({resolution.resolved(d)}) r WHERE field = 'hiring_manager'")
 column("ext_email_resolve", "fields", "CASE WHEN cold_email = 'Not Available' THEN 'NOT_FOUND' ELSE 'FOUND' END")
-column("ext_role_resolve", "fields", "CASE WHEN exact_role <> 'Unclear' AND length(exact_role) >= 4 THEN exact_role WHEN length(role_keyword) >= 4 THEN role_keyword ELSE 'Unclear' END")
+add("ext_role_resolve", "fields", lambda d: f"SELECT ingest_seq, value AS role, state, evidence, confidence FROM ({resolution.resolved(d)}) r WHERE field = 'role'")
 add("html_text", "", lambda d: f"SELECT page_id, trim({d.replace(d.replace(d.replace('html', '(?is)<(script|style|noscript|template)[^>]*>.*?</(script|style|noscript|template)>', ' '), '(?s)<[^>]*>', ' '), '[ \\t\\r\\n]+', ' ')}) AS visible FROM pages")
 add("html_mailto", "", lambda d: f"SELECT page_id, {d.join(d.all_rx('html', 'href=.mailto:([^?>' + chr(34) + chr(39) + ']+)', 1), ',')} AS mails FROM pages")
 add("html_emails", "", lambda d: f"SELECT page_id, {d.join(d.sort(d.distinct(d.transform(d.all_rx('html', L.EMAIL_RX), 'x', 'lower(x)'))), ',')} AS emails FROM pages")

@@ -74,6 +74,11 @@ def stored_needs(needs: tuple[str, ...]) -> list[str]:
     return list(dict.fromkeys(out))
 
 
+def register_functions(spark: SparkSession) -> None:
+    """Make the functions known that the SQL of relations calls."""
+    spark.udf.register("nearest_term", nearest_term(R.SIGNALS))
+
+
 def relation(spark: SparkSession, sf_dir: str, body: str, needs: tuple[str, ...], filters: bool | None = None) -> DataFrame:
     """The rows of an SQL text over some relations.
 
@@ -90,7 +95,7 @@ def relation(spark: SparkSession, sf_dir: str, body: str, needs: tuple[str, ...]
             given.append(name)
         else:
             todo += stored_needs(R.RELATIONS[name][1])
-    spark.udf.register("nearest_term", nearest_term(R.SIGNALS))
+    register_functions(spark)
     text = R.assemble(Dialect(), body, needs, tuple(given))
     view_tables(spark, sf_dir, text)
     return spark.sql(text)

@@ -1,10 +1,13 @@
 import pytest
 from pyspark.sql import SparkSession
 
+from signalforge.plans.store import register_functions
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "4g").config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints"))).getOrCreate()
     session.sparkContext.setLogLevel("FATAL")
+    register_functions(session)
     yield session
     session.stop()
