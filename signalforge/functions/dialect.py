@@ -81,6 +81,10 @@ class Dialect:
     def distinct(self, array: str) -> str:
         return f"array_distinct({array})"
 
+    def chain(self, first: str, second: str) -> str:
+        """The elements of one array, then those of another."""
+        return f"concat({first}, {second})"
+
     def sort(self, array: str) -> str:
         return f"array_sort({array})"
 
@@ -175,6 +179,9 @@ class Checker(Dialect):
     def distinct(self, array: str) -> str:
         return f"list_distinct({array})"
 
+    def chain(self, first: str, second: str) -> str:
+        return f"list_concat({first}, {second})"
+
     def sort(self, array: str) -> str:
         return f"list_sort({array})"
 

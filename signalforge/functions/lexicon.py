@@ -114,7 +114,6 @@ AGGREGATOR_RX = [
     r"\btop\s+(?:jobs?|roles?|positions?)\s+in\b",
     r"\bfind\s+here\s*:\s*https?://",
 ]
-CAREER_OPPORTUNITIES_RX = r"\bcareer\s+opportunities\b"
 PAY_TO_APPLY_RX = [r"\bapplication\s+fee\b", r"\bregistration\s+fee\b", r"\btraining\s+fee\b", r"\bsecurity\s+deposit\b", r"\bprocessing\s+fee\b", r"\bpay\s+to\s+apply\b", r"\bpaid\s+placement\b", r"\bguaranteed\s+placement\b", r"\b100\s*%\s+placement\b", r"\bguaranteed\s+job\b", r"\bpayment\s+required\s+before\s+joining\b", r"\bpaid\s+certification\s+sold\s+as\s+internship\b", r"\bcourse\s+disguised\s+as\s+internship\b", r"\binternship\s+requires\s+payment\b", r"\bfunding\s+required\b"]
 MULTI_EMPLOYER_STOPWORDS = ["we", "we're", "i", "i'm", "it", "they", "you", "he", "she", "india", "bangalore", "bengaluru", "mumbai", "delhi", "hyderabad", "pune", "chennai", "now", "our", "this", "that"]
 _FO = r"(?:founder'?s\s+office|chief\s+of\s+staff)"
@@ -225,3 +224,21 @@ SIGNATURE_CONTACT_RX = r"@|\+?\d[\d\s\-]{7,}\d|📞|📧"
 PROPER_NAME_RX = r"^(?:['’-]*[A-Z][A-Za-z'’\-]*[a-z][A-Za-z'’\-]*)(?: ['’-]*[A-Z][A-Za-z'’\-]*[a-z][A-Za-z'’\-]*){0,2}$"
 AUTHOR_HIRING = ["i'm hiring", "we're hiring", "i am hiring", "my team", "our team"]
 PROFILE_RX = r"https?://(?:www[.]|[a-z]{2,3}[.])?linkedin[.]com/in/[A-Za-z0-9_-]{2,}"
+
+#: Names of places in a text, in the order in which they are looked for, and how each place is written.
+CANONICAL_PLACES = [
+    ("bangalore", "Bengaluru, Karnataka, India"), ("bengaluru", "Bengaluru, Karnataka, India"), ("gurgaon", "Gurugram, Haryana, India"), ("gurugram", "Gurugram, Haryana, India"), ("noida", "Noida, Uttar Pradesh, India"),
+    ("delhi", "New Delhi, India"), ("new delhi", "New Delhi, India"), ("mumbai", "Mumbai, Maharashtra, India"), ("bombay", "Mumbai, Maharashtra, India"), ("hyderabad", "Hyderabad, Telangana, India"), ("pune", "Pune, Maharashtra, India"),
+    ("chennai", "Chennai, Tamil Nadu, India"), ("kolkata", "Kolkata, West Bengal, India"), ("ahmedabad", "Ahmedabad, Gujarat, India"), ("jaipur", "Jaipur, Rajasthan, India"), ("tirupur", "Tirupur, Tamil Nadu, India"), ("tiruppur", "Tirupur, Tamil Nadu, India"), ("tirpur", "Tirupur, Tamil Nadu, India"),
+]
+#: Words that show that remote work may be done from India.
+REMOTE_INDIA_MARKS = ["india", "noida", "bangalore", "bengaluru", "mumbai", "pune", "hyderabad", "chennai", "delhi", "gurgaon", "gurugram", "lpa", "inr", "rupees", "lakh", "kolkata"]
+#: Parts of an address that tell the kind of a page, in the order in which they are looked for; its source and tier.
+PAGE_KINDS = [
+    ("careers", ["/careers", "/career", "/join", "/jobs", "/hiring", "/work-with-us", "/job", "/vacanc", "/position"], "company_careers_page", 1),
+    ("contact", ["/contact", "/contacts", "/contact-us", "/enquiry"], "company_contact_page", 1),
+    ("about", ["/team", "/people", "/about", "/leadership"], "company_site_page", 2),
+    ("site", [], "company_website", 2),
+]
+#: Pages of a company's site that may name a contact.
+CONTACT_PATHS = ["/careers", "/jobs", "/join", "/hiring", "/contact", "/contact-us", "/about", "/team"]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from signalforge.functions import lexicon as L
 from signalforge.functions.dialect import Dialect
-from signalforge.operators import recovery, resolution
+from signalforge.operators import contacts, recovery, resolution
 from signalforge.operators import relations as R
 from signalforge.sources.posts import normalize
 
@@ -94,7 +94,8 @@ add("snk_existing_keys", "sinks", "SELECT source_link FROM sinks WHERE destinati
 add("snk_write_production", "batch", "SELECT destination, post_url, final_category, gate, disposition FROM batch WHERE barrier = ''")
 add("snk_write_counts", "batch", f"SELECT barrier, destination, {N} AS n FROM batch GROUP BY barrier, destination")
 add("snk_reason_artifacts", "gated produced", "SELECT post_url, 'REJECT' AS disposition, reject_reason AS reason FROM gated WHERE reject_reason <> '' UNION ALL SELECT post_url, disposition, CASE WHEN hold_reasons <> '' THEN hold_reasons ELSE reasons END FROM produced")
-add("srv_leads", "produced", "SELECT post_url, final_company, exact_role, ingest_seq FROM produced WHERE disposition <> 'REJECT' ORDER BY ingest_seq DESC LIMIT 50")
+add("srv_leads", "produced", f"""SELECT r.*, k.total, k.status_new, k.with_email FROM (SELECT ingest_seq, post_url, final_company, exact_role, cold_email, status FROM produced WHERE disposition <> 'REJECT' AND trim(post_url || final_company || exact_role) <> '' ORDER BY ingest_seq DESC LIMIT 200) r
+ CROSS JOIN (SELECT {N} AS total, {total("lower(status) = 'new'")} AS status_new, {total("contains(cold_email, '@')")} AS with_email FROM produced WHERE disposition <> 'REJECT' AND trim(post_url || final_company || exact_role) <> '') k""")
 add("flt_rejudge", "gated", f"SELECT CASE WHEN reject_reason = '' THEN 'kept' ELSE 'dropped' END AS outcome, reject_reason, {N} AS n FROM gated GROUP BY 1, 2")
 add("flt_market_legacy", "posts", lambda d: f"SELECT ingest_seq, CASE WHEN {d.rx('t', 'remote|wfh|work from home')} THEN 'Remote - India' ELSE 'India' END AS market FROM posts")
 
@@ -158,7 +159,7 @@ column("cls_conflict", "roles", "major_category")
 column("cls_poster", "posters", "poster_type")
 column("cls_ad_poster", "posters", "ad_poster")
 column("cls_agency", "posters", "agency")
-add("cls_page_kind", "", "SELECT page_id, CASE WHEN contains(lower(url), 'career') OR contains(lower(url), 'jobs') THEN 'careers' WHEN contains(lower(url), 'contact') THEN 'contact' WHEN contains(lower(url), 'about') THEN 'about' ELSE 'site' END AS kind FROM pages")
+add("cls_page_kind", "", contacts.page_kinds)
 ERR = [("unauthorized|401|invalid api key", "AUTH"), ("429|rate limit|too many", "RATE_LIMITED"), ("getaddrinfo|name resolution", "DNS"), ("timed? ?out", "TIMEOUT"), ("certificate|ssl|tls", "TLS")]
 ERRS = ["401 unauthorized", "HTTP 429 too many requests", "getaddrinfo failed", "read timed out", "certificate verify failed", "boom"]
 add("cls_llm_error", "", lambda d: "SELECT event_id, " + d.case([(d.rx("lower(msg)", p), d.lit(k)) for p, k in ERR], d.lit("PROVIDER_ERROR")) + " AS kind FROM (SELECT event_id, " + d.case([(f"event_id % 6 = {i}", d.lit(m)) for i, m in enumerate(ERRS)]) + " AS msg FROM events) e")
@@ -177,7 +178,7 @@ add("geo_is_india", "geo", "SELECT ingest_seq, is_india, geo_evidence FROM geo")
 column("geo_card_decision", "geo", "CASE card_says WHEN 'india' THEN 'india' WHEN 'foreign' THEN 'not_india' END")
 column("geo_market", "markets", "market")
 column("geo_location_field", "fields", "location")
-column("geo_canon", "fields", "CASE WHEN contains(location, 'Bengaluru') THEN 'Bengaluru, Karnataka, India' WHEN contains(location, 'Mumbai') THEN 'Mumbai, Maharashtra, India' WHEN contains(location, 'Pune') THEN 'Pune, Maharashtra, India' WHEN contains(location, 'Hyderabad') THEN 'Hyderabad, Telangana, India' WHEN location = 'Remote' AND is_india THEN 'Remote - India' ELSE location END")
+column("geo_canon", "fields", contacts.canonical_place)
 column("geo_in_location", "fields", lambda d: d.rx("lower(location)", r"\b(?:" + "|".join(L.PLACE_NAMES) + r"|india)\b"))
 
 # Joins
@@ -220,8 +221,10 @@ add("agg_funnel", "raw_items weighed", f"""SELECT r.scraped, r.usable, w.* FROM
 add("agg_reason_hist", "gated", f"SELECT split_part(reject_reason, ' (', 1) AS reason, {N} AS n FROM gated WHERE reject_reason <> '' GROUP BY 1")
 add("agg_outcome_counts", "produced", f"SELECT disposition, {N} AS n FROM produced GROUP BY disposition")
 add("agg_query_yield", "raw_posts gated", f"SELECT r.source_query, {N} AS raw, {total('g.reject_reason = ' + chr(39) * 2)} AS candidates FROM raw_posts r LEFT JOIN gated g ON g.ingest_seq = r.ingest_seq GROUP BY r.source_query")
-add("agg_yield_status", "raw_posts", lambda d: f"""SELECT coalesce(q, 'TOTAL') AS source_query, CAST(sum(n) AS BIGINT) AS n, CASE WHEN q IS NULL THEN 'TOTAL' WHEN sum(n) > 0 THEN 'EXECUTED' ELSE 'ZERO_YIELD' END AS status
- FROM (SELECT q.q, CAST(count(r.ingest_seq) AS BIGINT) AS n FROM ({d.values([[f'query {i}'] for i in range(50)], 'q')}) q LEFT JOIN raw_posts r ON r.source_query = q.q GROUP BY q.q) x GROUP BY ROLLUP (q)""")
+#: The searches that a run is set up with: one for each size of parts; some find nothing.
+CONFIGURED = "SELECT DISTINCT 'query ' || CAST(p_size AS STRING) AS source_query FROM part"
+add("agg_yield_status", "raw_posts", f"""SELECT coalesce(q, 'TOTAL') AS source_query, CAST(sum(n) AS BIGINT) AS n, CASE WHEN q IS NULL THEN 'TOTAL' WHEN sum(n) > 0 THEN 'EXECUTED' ELSE 'ZERO_YIELD' END AS status
+ FROM (SELECT coalesce(c.source_query, r.source_query) AS q, coalesce(r.n, 0) AS n FROM ({CONFIGURED}) c FULL OUTER JOIN (SELECT source_query, count(*) AS n FROM raw_posts GROUP BY source_query) r ON r.source_query = c.source_query) x GROUP BY ROLLUP (q)""")
 add("agg_category_rollup", "produced", f"SELECT coalesce(final_category, 'TOTAL') AS category, {N} AS n, {total("gate = 'ACCEPT'")} AS accepted, {total("gate = 'REVIEW'")} AS in_review, {total("gate = 'REJECT'")} AS rejected, {total("disposition = 'ELIGIBLE'")} AS eligible, {total("disposition = 'HOLD'")} AS held, {total("disposition = 'REJECT'")} AS refused, {total("cold_email <> 'Not Available'")} AS with_email, {total("company_name <> 'Unclear'")} AS with_company, {total("manager_name <> ''")} AS with_manager FROM produced GROUP BY ROLLUP (final_category)")
 add("agg_cohort_impact", "weighed", f"SELECT CASE WHEN source_query < 'query 3' THEN 'A' ELSE 'B' END AS cohort, {N} AS n, {total("reject_reason = ''")} AS candidates, {total("gate = 'ACCEPT'")} AS accepted, {total("disposition = 'ELIGIBLE'")} AS eligible, {share("company_name <> 'Unclear'")} AS company_known, {share("manager_name <> ''")} AS manager_known FROM weighed GROUP BY 1")
 add("agg_dq_report", "fields", f"SELECT CASE WHEN reject_reason = '' THEN 'after' ELSE 'before' END AS stage, {N} AS n, " + ", ".join(f"{total(f'NOT ({c})')} AS {k}, {total(c)} AS no_{k}" for k, c in LACKS.items()) + " FROM fields GROUP BY 1")
@@ -327,8 +330,8 @@ column("ext_email_resolve", "fields", "CASE WHEN cold_email = 'Not Available' TH
 add("ext_role_resolve", "fields", lambda d: f"SELECT ingest_seq, value AS role, state, evidence, confidence FROM ({resolution.resolved(d)}) r WHERE field = 'role'")
 add("html_text", "", lambda d: f"SELECT page_id, trim({d.replace(d.replace(d.replace('html', '(?is)<(script|style|noscript|template)[^>]*>.*?</(script|style|noscript|template)>', ' '), '(?s)<[^>]*>', ' '), '[ \\t\\r\\n]+', ' ')}) AS visible FROM pages")
 add("html_mailto", "", lambda d: f"SELECT page_id, {d.join(d.all_rx('html', 'href=.mailto:([^?>' + chr(34) + chr(39) + ']+)', 1), ',')} AS mails FROM pages")
-add("html_emails", "", lambda d: f"SELECT page_id, {d.join(d.sort(d.distinct(d.transform(d.all_rx('html', L.EMAIL_RX), 'x', 'lower(x)'))), ',')} AS emails FROM pages")
-add("fn_compose_message", "produced", "SELECT ingest_seq, 'Application for ' || exact_role || ' at ' || final_company AS subject FROM produced")
+add("html_emails", "", contacts.page_emails)
+add("fn_compose_message", "produced", contacts.message)
 column("fn_location_from_reason", "geo", lambda d: d.title(f"lower({d.extract('geo_evidence', 'job location: ([A-Za-z]+)', 1)})"))
 column("fn_na_placeholder", "fields", "CASE WHEN lower(company_name) IN ('', 'n/a', 'unclear') THEN 'Not Available' ELSE company_name END")
 column("fn_role_source", "fields", "CASE WHEN exact_role <> 'Unclear' THEN exact_role ELSE substring(text, 1, 200) END")
@@ -337,7 +340,7 @@ column("fn_role_source", "fields", "CASE WHEN exact_role <> 'Unclear' THEN exact
 add("set_union_keys", "sinks", "SELECT source_link FROM sinks WHERE destination = 'MAIN' UNION SELECT source_link FROM sinks WHERE destination = 'DATA'")
 add("set_intersect_tabs", "batch", "SELECT final_company FROM batch WHERE destination = 'MAIN' INTERSECT SELECT final_company FROM batch WHERE destination = 'DATA'")
 add("set_equal", "sinks posts", f"SELECT (SELECT {N} FROM (SELECT source_link FROM sinks EXCEPT SELECT post_url FROM posts) a) = 0 AS all_known, (SELECT {N} FROM (SELECT post_url FROM posts EXCEPT SELECT source_link FROM sinks) b) AS not_stored")
-add("set_zero_yield", "raw_posts gated", lambda d: f"SELECT q AS source_query FROM ({d.values([[f'query {i}'] for i in range(50)], 'q')}) a EXCEPT SELECT source_query FROM raw_posts UNION ALL (SELECT source_query FROM raw_posts EXCEPT SELECT source_query FROM gated WHERE reject_reason = '')")
+add("set_zero_yield", "raw_posts gated", f"SELECT source_query FROM ({CONFIGURED}) a EXCEPT SELECT source_query FROM raw_posts UNION ALL (SELECT source_query FROM raw_posts EXCEPT SELECT source_query FROM gated WHERE reject_reason = '')")
 add("set_union_accept_review", "produced", "SELECT ingest_seq, gate FROM produced WHERE gate = 'ACCEPT' UNION ALL SELECT ingest_seq, gate FROM produced WHERE gate = 'REVIEW'")
 
 # Helpers, contacts, ledger, reports
@@ -345,7 +348,7 @@ column("ext_clean_candidate2", "fields", lambda d: f"CASE WHEN {d.isin('lower(co
 column("ext_is_person", "posters", lambda d: f"person_profile AND {d.rx('author_name', '^[A-Z][a-z]+ [A-Z][a-z]+$')}")
 add("cnt_discover", "fields", "SELECT company_name, min(post_url) AS first_post FROM fields WHERE company_name <> 'Unclear' GROUP BY company_name")
 add("cnt_domain_resolve", "", "SELECT page_id, coalesce(nullif(split_part(split_part(url, '//', 2), '/', 1), ''), 'none') AS domain FROM pages")
-add("cnt_candidate_pages", "", lambda d: "SELECT page_id, 'https://' || domain || path AS candidate FROM (" + d.explode("(SELECT page_id, split_part(split_part(url, '//', 2), '/', 1) AS domain FROM pages) p", d.array(["''", "'/careers'", "'/jobs'", "'/contact'", "'/about'"]), "page_id, domain", "path") + ") x")
+add("cnt_candidate_pages", "", contacts.candidate_pages)
 add("cnt_status", "", lambda d: f"SELECT page_id, CASE WHEN {d.rx('html', L.EMAIL_RX)} THEN 'FOUND' WHEN url <> '' THEN 'PARTIAL' ELSE 'NOT_FOUND' END AS status FROM pages")
 
 

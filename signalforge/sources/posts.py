@@ -6,6 +6,8 @@ so on, so every combination occurs. Repeated addresses, tracking parameters and
 
 from __future__ import annotations
 
+import unicodedata
+
 from signalforge.functions.dialect import Dialect
 
 OPENERS = [
@@ -56,8 +58,9 @@ def raw_posts(d: Dialect) -> str:
  FROM raw_items WHERE error IS NULL AND trim(text) <> '' AND post_url <> ''"""
 
 
-FANCY = "".join(chr(0x1D400 + i) for i in range(26)) + "".join(chr(0x1D41A + i) for i in range(26)) + "".join(chr(0x1D5D4 + i) for i in range(52))
-PLAIN = "abcdefghijklmnopqrstuvwxyz" * 4
+#: Mathematical letters and digits, and what they stand for: all of their block whose compatibility form is one ASCII character.
+_FOLDED = [(c, f.lower()) for c in map(chr, range(0x1D400, 0x1D800)) if len(f := unicodedata.normalize("NFKC", c)) == 1 and f.isascii()]
+FANCY, PLAIN = ("".join(x) for x in zip(*_FOLDED))
 
 
 def posts(d: Dialect) -> str:
