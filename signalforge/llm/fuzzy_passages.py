@@ -9,7 +9,8 @@
 4. A chain is aligned as a whole: the gaps between its seeds and MARGIN words beyond its ends by longest common
    subsequences, of gaps over GAP_MOST words only the MARGIN words at either end. If the alignment as a whole has LEAST
    words or more and IDENTITY of them matched, it is a passage in both texts; else of all its stretches that have, the
-   best-scoring one is, and what lies on either side of it is searched again.
+   best-scoring one is, and what lies on either side of it is searched again. Chains that cannot reach LEAST words of which IDENTITY
+   are matched, whatever their seeds' gaps and margins match, are not aligned.
 
 A class is known by a 64-bit hash of its text; words are aligned by 32-bit hashes.
 
@@ -261,56 +262,71 @@ def stretches(docs: DataFrame, names: DataFrame, wanted: DataFrame) -> DataFrame
     return texts.mapInArrow(run, "cls long, start int, end int, data binary").dropDuplicates(["cls", "start", "end"])
 
 
-def common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+Pairs = list[tuple[int, int]]
+
+
+def lcs_rows(a: list[int], b: list[int]) -> list[int]:
+    """Rows of bits (Hyyro): row k has, among its lowest j bits, a zero for each word that the last k words of a and the last j of b have in common."""
+    places: dict[int, int] = {}
+    for k, w in enumerate(reversed(b)):
+        places[w] = places.get(w, 0) | 1 << k
+    full = (1 << len(b)) - 1
+    row, rows = full, [full]
+    for w in reversed(a):
+        if met := row & places.get(w, 0):
+            row = ((row + met) | (row - met)) & full
+        rows.append(row)
+    return rows
+
+
+def common(a: list[int], b: list[int]) -> Pairs:
     """The pairs (place in a, place in b) of a longest common subsequence of two short word rows, early ones preferred."""
     n = min(len(a), len(b))
-    same = np.flatnonzero(a[:n] == b[:n])
+    same = [k for k in range(n) if a[k] == b[k]]
     if len(same) == n or (len(a) == len(b) and len(same) * 2 >= n):
-        return np.c_[same, same]
-    if not np.isin(a, b).any():
-        return np.zeros((0, 2), "int64")
-    rows = [np.zeros(len(b) + 1, "int64")]  # rows[k][j]: the length over the last k words of a and the last j of b
-    for w in a[::-1]:
-        row = rows[-1].copy()
-        row[1:] = np.maximum(row[1:], rows[-1][:-1] + (b[::-1] == w))
-        rows.append(np.maximum.accumulate(row))
+        return [(k, k) for k in same]
+    rows = lcs_rows(a, b)
+    left = len(b) - rows[-1].bit_count()
     out, i, j = [], 0, 0
-    while i < len(a) and j < len(b) and (left := rows[len(a) - i][len(b) - j]):
+    while left:  # the words that a[i:] and b[j:] have in common
         if a[i] == b[j]:
             out.append((i, j))
-            i, j = i + 1, j + 1
-        elif rows[len(a) - i - 1][len(b) - j] == left:
-            i += 1
+            i, j, left = i + 1, j + 1, left - 1
         else:
-            j += 1
-    return np.array(out, "int64").reshape(-1, 2)
+            rest = len(b) - j
+            if rest - (rows[len(a) - i - 1] & ((1 << rest) - 1)).bit_count() == left:
+                i += 1
+            else:
+                j += 1
+    return out
 
 
-def in_gap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def in_gap(a: list[int], b: list[int]) -> Pairs:
     """The pairs of words matched in a gap between seeds; of a long gap, near its ends."""
-    if not len(a) or not len(b):
-        return np.zeros((0, 2), "int64")
+    if not a or not b:
+        return []
     if max(len(a), len(b)) <= GAP_MOST:
         return common(a, b)
     head = common(a[:MARGIN], b[:MARGIN])
-    i, j = head[-1] + 1 if len(head) else (0, 0)
-    tail = common(a[i:][::-1][:MARGIN], b[j:][::-1][:MARGIN])[::-1]
-    return np.r_[head, np.array([len(a) - 1, len(b) - 1]) - tail]
+    i, j = (head[-1][0] + 1, head[-1][1] + 1) if head else (0, 0)
+    tail = common(a[i:][::-1][:MARGIN], b[j:][::-1][:MARGIN])
+    return head + [(len(a) - 1 - p, len(b) - 1 - q) for p, q in reversed(tail)]
 
 
 def align(a: np.ndarray, a_start: int, b: np.ndarray, b_start: int, places: np.ndarray) -> np.ndarray:
     """The pairs (place in the first text, place in the second) of matched words, increasing in both."""
-    i, j = places[:, 0] - a_start, places[:, 1] - b_start
-    x, y = int(i[0]), int(j[0])
-    out = [np.array([x - 1, y - 1]) - common(a[:x][::-1], b[:y][::-1])[::-1]]
-    for p, q in zip(i.tolist(), j.tolist()):
+    a, b = a.tolist(), b.tolist()
+    seeded = [(p - a_start, q - b_start) for p, q in places.tolist()]
+    x, y = seeded[0]
+    out = [(x - 1 - p, y - 1 - q) for p, q in reversed(common(a[:x][::-1], b[:y][::-1]))]
+    for p, q in seeded:
         if p > x or q > y:
-            out.append(in_gap(a[x : max(x, p)], b[y : max(y, q)]) + np.array([x, y]))
+            out += [(x + k, y + m) for k, m in in_gap(a[x : max(x, p)], b[y : max(y, q)])]
         new = max(0, min(p + SEED - max(x, p), q + SEED - max(y, q)))
-        out.append(np.c_[np.arange(p + SEED - new, p + SEED), np.arange(q + SEED - new, q + SEED)])
+        out += zip(range(p + SEED - new, p + SEED), range(q + SEED - new, q + SEED))
         x, y = max(x, p + SEED), max(y, q + SEED)
-    out.append(common(a[x : x + MARGIN], b[y : y + MARGIN]) + np.array([x, y]))
-    return np.concatenate(out) + np.array([a_start, b_start])
+    out += [(x + k, y + m) for k, m in common(a[x : x + MARGIN], b[y : y + MARGIN])]
+    return np.array(out, "int64").reshape(-1, 2) + np.array([a_start, b_start])
 
 
 def best_stretch(pairs: np.ndarray) -> tuple[int, int] | None:
@@ -352,6 +368,21 @@ def good_stretches(pairs: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
             waiting += [part[:p], part[q + 1 :]]
 
 
+def can_hold(a: np.ndarray, a_start: int, b: np.ndarray, b_start: int, places: np.ndarray) -> bool:
+    """False only if the chain's alignment has no passage: the words from its first seed to its last, and what both margins
+    can match, are too few."""
+    (x, y), (v, w) = places[0] - (a_start, b_start), places[-1] + (SEED - a_start, SEED - b_start)
+    need = int(np.ceil(IDENTITY * LEAST - 1e-9)) - min(v - x, w - y)
+    if need <= 0:
+        return True
+    before, after = (a[:x].tolist(), b[:y].tolist()), (a[v : v + MARGIN].tolist(), b[w : w + MARGIN].tolist())
+    met = [sum(map(set(q).__contains__, p)) for p, q in (before, after)]
+    if sum(met) < need:
+        return False
+    need -= len(before[1]) - lcs_rows(*before)[-1].bit_count()
+    return need <= 0 or (met[1] >= need and len(after[1]) - lcs_rows(*after)[-1].bit_count() >= need)
+
+
 def passages(chain_rows: DataFrame, data: DataFrame) -> DataFrame:
     """(cls, start, end) of accepted passages, for both texts of each chain."""
     side = lambda s: data.select(F.col("cls").alias(f"{s}_cls"), F.col("start").alias(f"{s}_start"), F.col("end").alias(f"{s}_end"), F.col("data").alias(f"{s}_data"))
@@ -361,7 +392,10 @@ def passages(chain_rows: DataFrame, data: DataFrame) -> DataFrame:
         for b in batches:
             rows = []
             for ac, a0, bc, b0, places, x, y in zip(*(c.to_pylist() for c in b.columns)):
-                pairs = align(np.frombuffer(x, "uint32"), a0, np.frombuffer(y, "uint32"), b0, np.frombuffer(places, "int32").reshape(-1, 2))
+                chain = np.frombuffer(x, "uint32"), a0, np.frombuffer(y, "uint32"), b0, np.frombuffer(places, "int32").reshape(-1, 2)
+                if not can_hold(*chain):
+                    continue
+                pairs = align(*chain)
                 for s, e, t, f in good_stretches(pairs):
                     rows += [(ac, s, e), (bc, t, f)]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(3)], ["cls", "start", "end"])
