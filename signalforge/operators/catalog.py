@@ -346,10 +346,25 @@ add("set_union_accept_review", "produced", "SELECT ingest_seq, gate FROM produce
 # Helpers, contacts, ledger, reports
 column("ext_clean_candidate2", "fields", lambda d: f"CASE WHEN {d.isin('lower(company_name)', ['we', 'our', 'us', 'the team', 'unclear'])} OR company_name = lower(company_name) THEN '' ELSE company_name END")
 column("ext_is_person", "posters", lambda d: f"person_profile AND {d.rx('author_name', '^[A-Z][a-z]+ [A-Z][a-z]+$')}")
-add("cnt_discover", "fields", "SELECT company_name, min(post_url) AS first_post FROM fields WHERE company_name <> 'Unclear' GROUP BY company_name")
-add("cnt_domain_resolve", "", "SELECT page_id, coalesce(nullif(split_part(split_part(url, '//', 2), '/', 1), ''), 'none') AS domain FROM pages")
+
+
+def discovered(d: Dialect) -> str:
+    """Each resolvable company once, with the first site whose name fits, its best public address, a status and a confidence.
+
+    Sites and addresses are those of the table of pages, which stands for what a search and a fetch would bring.
+    """
+    names = f"SELECT company_name, slug, min(post_url) AS first_post FROM (SELECT company_name, post_url, {d.replace('lower(company_name)', '[^a-z0-9]')} AS slug FROM fields WHERE NOT {d.isin('lower(company_name)', L.MISSING_COMPANY)}) n GROUP BY company_name, slug"
+    sites = f"SELECT f.slug, {d.arg_min('h.host', 'h.page_id')} AS host FROM ({fuzzy_domains(d)}) f JOIN ({hosts(d)}) h ON h.label = f.label GROUP BY f.slug"
+    mails = f"SELECT h.host, {d.arg_max('m.best', 'm.confidence', '0 - m.page_id')} AS best, max(m.confidence) AS confidence FROM ({contacts.page_emails(d)}) m JOIN ({hosts(d)}) h ON h.page_id = m.page_id WHERE m.best <> '' GROUP BY h.host"
+    status = "CASE WHEN m.best IS NOT NULL THEN 'FOUND' WHEN s.host IS NOT NULL THEN 'PARTIAL' ELSE 'NOT_FOUND' END"
+    return f"""SELECT c.company_name, c.first_post, coalesce(s.host, '') AS domain, coalesce(m.best, '') AS email, {status} AS status, greatest(coalesce(m.confidence, CAST(0 AS DOUBLE)), CASE WHEN s.host IS NULL THEN CAST(0 AS DOUBLE) ELSE CAST(0.85 AS DOUBLE) END) AS confidence
+ FROM ({names}) c LEFT JOIN ({sites}) s ON s.slug = c.slug LEFT JOIN ({mails}) m ON m.host = s.host"""
+
+
+add("cnt_discover", "fields", discovered)
+add("cnt_domain_resolve", "fields", lambda d: f"SELECT company_name, domain, CASE WHEN domain = '' THEN CAST(0 AS DOUBLE) ELSE CAST(0.85 AS DOUBLE) END AS confidence FROM ({discovered(d)}) x")
 add("cnt_candidate_pages", "", contacts.candidate_pages)
-add("cnt_status", "", lambda d: f"SELECT page_id, CASE WHEN {d.rx('html', L.EMAIL_RX)} THEN 'FOUND' WHEN url <> '' THEN 'PARTIAL' ELSE 'NOT_FOUND' END AS status FROM pages")
+add("cnt_status", "fields", lambda d: f"SELECT status, {N} AS companies, max(confidence) AS best FROM ({discovered(d)}) x GROUP BY status")
 
 
 def provider_order(d: Dialect) -> str:
