@@ -376,7 +376,27 @@ def provider_order(d: Dialect) -> str:
 
 
 add("llm_order", "verdicts", provider_order)
-add("rec_diff_fields", "merged decided", "SELECT * FROM (SELECT ingest_seq, 'category' AS field, major_category AS old_value, final_category AS new_value FROM merged UNION ALL SELECT ingest_seq, 'company', company_name, final_company FROM merged UNION ALL SELECT ingest_seq, 'employment', employment_type, final_employment FROM merged UNION ALL SELECT ingest_seq, 'india', market, llm_india FROM merged UNION ALL SELECT ingest_seq, 'confidence', CAST(CAST(round(confidence * 100) AS BIGINT) AS STRING), CAST(CAST(round(llm_confidence * 100) AS BIGINT) AS STRING) FROM merged) x WHERE old_value <> new_value")
+
+
+def changed_fields(d: Dialect) -> str:
+    """The nine compared fields and the confidence of each post that was judged: as they were known from its card before, as they are now, and why."""
+    hundredths = lambda c: f"CAST(CAST(round({c} * 100) AS BIGINT) AS STRING)"
+    literal = "'literal in the post'"
+    rows = [
+        ("company", "job_card_company", "final_company", "CASE WHEN final_company <> company_name THEN 'named by the verdict' ELSE '' END"),
+        ("role", "coalesce(nullif(role_keyword, ''), 'Unclear')", "exact_role", "'verbatim title in post'"),
+        ("location", "coalesce(nullif(job_card_location, ''), 'Not Specified')", "location", "geo_evidence"),
+        ("employment_type", "job_card_employment_type", "final_employment", "''"),
+        ("experience", "CASE WHEN job_card_experience = 'Unclear' THEN 'Not Specified' ELSE job_card_experience END", "experience", "''"),
+        ("hiring_manager", "'Unclear'", "coalesce(nullif(manager_name, ''), 'Unclear')", "manager_evidence"),
+        ("apply_link", "''", "apply_link", literal), ("google_form", "''", "google_form", literal), ("email", "'Not Available'", "cold_email", literal),
+        ("confidence", hundredths("confidence"), f"CASE WHEN evaluated THEN {hundredths('llm_confidence')} ELSE '' END", "CASE WHEN evaluated THEN 'model evaluated' ELSE 'not evaluated' END"),
+    ]
+    made = d.array([d.struct(field=f"'{f}'", old=o, new=n, why=f"substring({w}, 1, 200)") for f, o, n, w in rows])
+    return f"SELECT ingest_seq, c.field AS field, c.old AS old_value, c.new AS new_value, c.why AS reason FROM ({d.explode('merged', made, 'ingest_seq', 'c')}) x WHERE c.old <> c.new"
+
+
+add("rec_diff_fields", "merged", changed_fields)
 add("rec_markers", "decided", "SELECT ingest_seq, contains(lower(concat_ws(' ', llm_status, provider)), 'unavailable') AS failed, provider AS hint FROM decided")
 add("fmt_enrichment_row", "fields", lambda d: f"SELECT {row(d).replace('final_company', 'company_name').replace('final_category', 'major_category').replace('final_employment', 'employment_type').replace('llm_india AS', 'market AS').replace('status AS status', chr(39) + 'New' + chr(39) + ' AS status')}, ingest_seq FROM fields WHERE reject_reason = ''")
 column("snk_err_text", "posts", lambda d: f"substring({d.replace('text', '\\s+', ' ')}, 1, 300)")
