@@ -3,7 +3,8 @@
 `open_table` makes a table that is absent (only when live), and refuses one whose columns are not the expected ones in their
 order. `CheckedAppend` is a Spark data source that writes: every task stages its rows in a file of its own and tells the
 driver how many; the driver's commit names all staged files in one manifest, and a reader sees what manifests name. A task
-that fails makes Spark abort, which removes the staged files; a commit whose end is not known leaves them.
+that fails makes Spark abort, which removes the run's staged files (one that a cancelled task was still writing may stay; no
+manifest names it); a commit whose end is not known leaves them.
 
 `write_production` gives one outcome for a batch: EMPTY, DRY_RUN, READ_FAILED, DUPLICATE, SUCCESS, FAILED or UNKNOWN. Reads of
 stored keys are tried again; appends are made once.

@@ -9,8 +9,8 @@ from signalforge.plans import registry
 from signalforge.sources.posts import normalize
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("nation", "customer", "supplier", "orders", "events", "documents", "pages")
-SAMPLE = ("agg_funnel", "agg_reason_hist", "join_interval_prox", "geo_market", "ext_cold_email", "gte_verdict", "gte_production", "snk_write_counts", "agg_category_rollup", "agg_yield_status", "win_topk_reorder", "set_zero_yield", "inc_verdict_cache", "inc_idempotent_sink")
+TABLES = ("nation", "customer", "supplier", "part", "orders", "events", "documents", "pages")
+SAMPLE = ("agg_funnel", "agg_reason_hist", "join_interval_prox", "geo_market", "ext_cold_email", "gte_verdict", "gte_production", "snk_write_counts", "agg_category_rollup", "agg_yield_status", "win_topk_reorder", "set_zero_yield", "inc_verdict_cache", "inc_idempotent_sink", "inc_ttl_cache", "led_throttle", "llm_chain", "src_bulk_search", "snk_outcome", "snk_row_build", "snk_reason_artifacts", "win_max_per_run", "scr_data_quality", "dsp_recovery", "lbl_resolution")
 
 
 @pytest.fixture(scope="module")
