@@ -5,16 +5,18 @@
    100 * |both| >= 80 * |either| share one of their first n - ceil(0.8 n) + 1 shingles. Any fixed order will do; shingles
    seen to be frequent while scanning come last, so that passages which many texts share seldom make a block. A block is
    cut where sizes differ too much for a link.
-3. Of each block the class of least id is compared with the others first, then, of blocks that still hold several
-   components, the class that meets most others: these verified links make first components.
-4. Every block that holds several components, of two members or of thousands, is joined by a signature tree: leaves are
-   bitmaps of the classes' sets, nodes hold the OR and AND of their bitmaps and the ranges of their sizes, and a dual
-   traversal drops pairs of nodes whose greatest possible overlap is too small, or which lie in one component. The trees
-   of many blocks are built and walked together, as a forest. Surviving pairs are verified on whole sets.
+3. All candidates come from signature trees: leaves are bitmaps of the classes' sets, nodes hold the OR and AND of their
+   bitmaps and the ranges of their sizes, and a dual traversal drops pairs of nodes whose greatest possible overlap is too
+   small, or which lie in one component. The trees of many blocks are built and walked together, as a forest. Surviving
+   pairs are verified on whole sets.
+4. The trees are walked three times. First the members of all blocks of a head, its class of least size and id, are one
+   tree, walked against the head alone; then, of blocks that still hold several components, that of the class that meets
+   most others is. The links that these give make components. At last every block that still holds several components, of
+   two members or of thousands, is walked against itself, and pairs within a component are dropped.
 5. Components are joined up. A pair that was never verified is either in one component already or cannot be a link, so no
    link that matters is lost and no group of near copies is expanded into all pairs.
 
-Blocks over BLOCK members are cut into parts, and every pair of parts is a tree of its own.
+Blocks over BLOCK members are cut into parts, and every pair of parts, or a part and its centre, are trees of their own.
 
 Defined cases: null text or no words: empty set, linked with nothing, component its own id. Fewer than five words: one
 shingle. Rows with one doc_id are one node. Null doc_id: n_shingles and null component. Ties: the least id. Very long
@@ -188,32 +190,6 @@ def sets_of(docs: DataFrame, wanted: DataFrame, names: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "cls long, data binary").dropDuplicates(["cls"])
 
 
-def most_shared(bits: np.ndarray, n: np.ndarray, bits2: np.ndarray, n2: np.ndarray) -> np.ndarray:
-    """The greatest overlap that sets of these bitmaps and sizes can have: a bit of one that the other lacks is a shingle that is not shared."""
-    return np.minimum(n - np.bitwise_count(bits & ~bits2).sum(axis=1, dtype="int64"), n2 - np.bitwise_count(bits2 & ~bits).sum(axis=1, dtype="int64"))
-
-
-def possible(pairs: DataFrame, names: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose bitmaps allow a link."""
-    own = names.select("cls", "n", "bits")
-    sized = pairs.join(own.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a")), "a")
-    sized = sized.join(own.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b")), "b")
-    sized = sized.select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x, y = (b.column(c).to_pylist() for c in ("bits_a", "bits_b"))
-            n, m = (b.column(c).to_numpy(zero_copy_only=False).astype("int64") for c in ("n_a", "n_b"))
-            widths, good = np.array([min(len(s), len(t)) for s, t in zip(x, y)], "int64"), np.zeros(len(x), bool)
-            for w in np.unique(widths).tolist():
-                at = np.flatnonzero(widths == w)
-                most = most_shared(folded([x[i] for i in at], w), n[at], folded([y[i] for i in at], w), m[at])
-                good[at] = (100 + percent) * most >= percent * (n[at] + m[at])
-            yield b.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return sized.mapInArrow(run, "a long, b long")
-
-
 def verified(docs: DataFrame, names: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes that are links."""
     pairs = cut(pairs)
@@ -374,7 +350,18 @@ def hub_pairs(groups: DataFrame, percent: int) -> DataFrame:
     weighed = groups.drop("met").join(weights, "cls")
     hubs = weighed.groupBy("block").agg(F.max(F.struct("met", "cls", "comp", "n")).alias("h")).select("block", F.col("h.cls").alias("hub"), F.col("h.comp").alias("hub_comp"), F.col("h.n").alias("hub_n"))
     met = groups.join(hubs, "block").filter((F.col("comp") != F.col("hub_comp")) & alike("n", "hub_n", percent))
-    return met.select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
+    return met.select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
+
+
+def star_candidates(stars: DataFrame, names: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) of stars (a = centre, b = member): the tree of a centre's members walked against the centre."""
+    large = maybe_broadcast(cut(stars.groupBy("a").agg(F.count("*").alias("size")).filter(F.col("size") > BLOCK).select(F.col("a").alias("centre"), F.ceil(F.col("size") / F.lit(BLOCK)).cast("int").alias("parts"))))
+    dealt = stars.join(large, stars["a"] == large["centre"], "left").withColumn("part", F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1))).cast("int"))
+    block = F.xxhash64("a", "part").alias("block")
+    members = dealt.select(block, F.lit(1).alias("side"), F.col("b").alias("cls"))
+    centres = dealt.select(block, F.lit(2).alias("side"), F.col("a").alias("cls")).distinct()
+    rows = members.unionByName(centres).join(names.select("cls", "n", F.col("bits").alias("data")), "cls")
+    return block_candidates(rows.withColumn("comp", F.col("cls")), percent)
 
 
 def across_components(names: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
@@ -407,9 +394,9 @@ def linked_classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame,
     names = cut(known.groupBy("cls").agg(first).select("cls", F.col("m.doc_id").alias("id"), "m.key", F.col("m.n_shingles").alias("n"), "m.bits"))
     blocks = cut(shared_blocks(postings(docs, frequent, percent), percent))
     first = blocks.filter((F.col("cls") != F.col("head")) & alike("n", "head_n", percent)).select(F.col("head").alias("a"), F.col("cls").alias("b")).distinct()
-    links = cut(verified(docs, names, possible(first, names, percent), percent))
+    links = cut(verified(docs, names, star_candidates(first, names, percent), percent))
     groups = cut(mixed_groups(blocks, cut(connected(links))))
-    links = cut(links.unionByName(verified(docs, names, possible(hub_pairs(groups, percent), names, percent), percent)))
+    links = cut(links.unionByName(verified(docs, names, star_candidates(hub_pairs(groups, percent), names, percent), percent)))
     comps = maybe_broadcast(cut(connected(links)))
     groups = groups.join(comps, groups["cls"] == comps["node"], "left").select("block", "cls", "n", F.coalesce("component", "comp").alias("comp"))
     return rows.drop("bits"), names, links.unionByName(verified(docs, names, across_components(names, groups, percent), percent))
