@@ -37,9 +37,9 @@ OTHER_WORDS = ("commit", "sha", "sha1", "sha256", "md5", "checksum", "hash", "di
 #: Beginnings of well-known key formats.
 PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "github_pat_", "glpat-", "xoxb-", "xoxp-", "sk_live_", "rk_live_", "sk-", "AIza", "eyJ", "npm_", "hf_")
 CANDIDATE = re.compile(
-    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]*+-----END [A-Z ]{0,40}PRIVATE KEY-----"
-    r"|://[^\s:/@\"'<>]{0,64}:(?P<cred>[^\s:/@\"'<>]{6,})@"
-    r"|(?i:(?<![a-z0-9_-])[a-z0-9_-]*?(?:password|passwd|pwd|secret|api_?key|access_?key|private_?key|token)[a-z0-9_-]{0,16}[\"']?\s{0,3}[:=]\s{0,3}[\"']?)(?P<value>(?!-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----)[^\s\"'<>]{8,}+)"
+    r"-----BEGIN [A-Z ]*?PRIVATE KEY-----[A-Za-z0-9+/=\s]*+-----END [A-Z ]*?PRIVATE KEY-----"
+    r"|://[^\s:/@\"'<>]*+:(?P<cred>[^\s:/@\"'<>]{6,}+)@"
+    r"|(?i:(?<![a-z0-9_-])(?=[a-z0-9_-]*?(?:password|passwd|pwd|secret|api_?key|access_?key|private_?key|token))[a-z0-9_-]++[\"']?\s*+[:=]\s*+[\"']?)(?P<value>(?!-----BEGIN [A-Z ]*?PRIVATE KEY-----)[^\s\"'<>]{8,}+)"
     r"|(?P<run>[A-Za-z0-9+/_=-]{16,})"
 )
 AROUND = 48
@@ -84,7 +84,7 @@ def features(lexicon: Lexicon, before: str, value: str, after: str) -> list[floa
     steps = [lexicon.transitions[a, b] for a, b in zip(codes, codes[1:])]
     classes = [0 if c.isdigit() else 1 if c.islower() else 2 if c.isupper() else 3 for c in value]
     near = re.split(r"[^a-z0-9_-]+", before.lower())[-4:]
-    close = "".join(before[-4:].split())
+    close = "".join(before.split())[-4:]
     share = lambda k: classes.count(k) / n
     return [
         min(n, 400),
