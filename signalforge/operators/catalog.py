@@ -14,6 +14,10 @@ Body = Callable[[Dialect], str]
 CATALOG: dict[str, tuple[tuple[str, ...], Body]] = {}
 
 
+#: The relations that a query's SQL for Spark reads, where they differ.
+SPARK_NEEDS = {"join_left_verdict": ("gated", "asked_decided")}
+
+
 def add(name: str, needs: str, body: Body | str) -> None:
     CATALOG[name] = (tuple(needs.split()), body if callable(body) else lambda d: body)
 
@@ -186,7 +190,7 @@ add("join_interval_prox", "gaps", "SELECT ingest_seq, gap, nearest_signal, neare
 add("join_anti_sink", "posts sinks", "SELECT ingest_seq, post_url FROM posts p WHERE NOT EXISTS (SELECT 1 FROM sinks s WHERE s.source_link = p.post_url)")
 add("join_anti_prod_pre_llm", "gated sinks", "SELECT ingest_seq, post_url FROM gated g WHERE reject_reason = '' AND NOT EXISTS (SELECT 1 FROM sinks s WHERE s.source_link = g.post_url)")
 add("join_left_query", "raw_posts posts", lambda d: f"SELECT p.post_url, q.source_query FROM posts p LEFT JOIN (SELECT post_url, {d.arg_min('source_query', 'ingest_seq')} AS source_query FROM raw_posts GROUP BY post_url) q ON q.post_url = p.post_url")
-add("join_left_verdict", "gated decided", "SELECT g.ingest_seq, CASE WHEN d.ingest_seq IS NULL THEN 'MISS' WHEN NOT d.evaluated THEN 'RE-EVALUATE' WHEN d.gate = 'ACCEPT' THEN 'REHYDRATE' ELSE 'HIT' END AS action FROM gated g LEFT JOIN decided d ON d.ingest_seq = g.ingest_seq AND d.attempts > 0 WHERE g.reject_reason = ''")
+add("join_left_verdict", "gated decided", lambda d: f"SELECT g.ingest_seq, CASE WHEN d.ingest_seq IS NULL THEN 'MISS' WHEN NOT d.evaluated THEN 'RE-EVALUATE' WHEN d.gate = 'ACCEPT' THEN 'REHYDRATE' ELSE 'HIT' END AS action FROM gated g LEFT JOIN {R.asked(d)} d ON d.ingest_seq = g.ingest_seq AND d.attempts > 0 WHERE g.reject_reason = ''")
 add("join_inner_index", "merged", "SELECT ingest_seq, post_url, gate FROM merged WHERE gate = 'ACCEPT'")
 add("join_left_before_after", "sinks gated", "SELECT s.source_link, coalesce(g.reject_reason, 'NOT_REPROCESSABLE') AS outcome FROM (SELECT source_link FROM sinks UNION ALL SELECT 'https://www.linkedin.com/posts/gone-' || CAST(r_regionkey AS STRING) FROM region) s LEFT JOIN gated g ON g.post_url = s.source_link")
 add("join_legacy_lookup", "raw_posts", lambda d: f"SELECT r.ingest_seq, l.author_name AS legacy_author FROM raw_posts r LEFT JOIN (SELECT post_url, {d.arg_max('author_name', 'ingest_seq')} AS author_name FROM raw_posts GROUP BY post_url) l ON l.post_url = r.post_url")
@@ -340,7 +344,15 @@ column("fn_role_source", "fields", "CASE WHEN exact_role <> 'Unclear' THEN exact
 add("set_union_keys", "sinks", "SELECT source_link FROM sinks WHERE destination = 'MAIN' UNION SELECT source_link FROM sinks WHERE destination = 'DATA'")
 add("set_intersect_tabs", "batch", "SELECT final_company FROM batch WHERE destination = 'MAIN' INTERSECT SELECT final_company FROM batch WHERE destination = 'DATA'")
 add("set_equal", "sinks posts", f"SELECT (SELECT {N} FROM (SELECT source_link FROM sinks EXCEPT SELECT post_url FROM posts) a) = 0 AS all_known, (SELECT {N} FROM (SELECT post_url FROM posts EXCEPT SELECT source_link FROM sinks) b) AS not_stored")
-add("set_zero_yield", "raw_posts gated", f"SELECT source_query FROM ({CONFIGURED}) a EXCEPT SELECT source_query FROM raw_posts UNION ALL (SELECT source_query FROM raw_posts EXCEPT SELECT source_query FROM gated WHERE reject_reason = '')")
+
+
+def zero_yield(d: Dialect) -> str:
+    """Queries without posts, and those of whose posts none passed. Spark joins each side of EXCEPT row by row, so it is given the few names only."""
+    names = "SELECT DISTINCT source_query" if d.name == "spark" else "SELECT source_query"
+    return f"SELECT source_query FROM ({CONFIGURED}) a EXCEPT {names} FROM raw_posts UNION ALL ({names} FROM raw_posts EXCEPT {names} FROM gated WHERE reject_reason = '')"
+
+
+add("set_zero_yield", "raw_posts gated", zero_yield)
 add("set_union_accept_review", "produced", "SELECT ingest_seq, gate FROM produced WHERE gate = 'ACCEPT' UNION ALL SELECT ingest_seq, gate FROM produced WHERE gate = 'REVIEW'")
 
 # Helpers, contacts, ledger, reports

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,14 +46,32 @@ class Visible(HTMLParser):
         return " ".join("".join(parser.parts).split())
 
 
-def text_with_links(pages: DataFrame) -> DataFrame:
-    """(page_id, visible) of pages (page_id, html). Null html: empty text."""
+#: Bytes of HTML that are parsed at once: a batch may hold thousands of pages.
+PIECE = 1 << 20
+
+
+def pieces(batch: pa.RecordBatch, column: str, most: int = PIECE) -> Iterator[pa.RecordBatch]:
+    """A batch as runs of whole rows of about `most` bytes of a column; a longer row is a run of its own."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    start = held = 0
+    for k, size in enumerate(sizes):
+        if held and held + size > most:
+            yield batch.slice(start, k - start)
+            start, held = k, 0
+        held += size
+    if start < batch.num_rows:
+        yield batch.slice(start)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("page_id"), pa.array([Visible.of(h) for h in b.column("html").to_pylist()], pa.string())], ["page_id", "visible"])
 
-    return pages.select("page_id", "html").mapInArrow(run, "page_id long, visible string")
+def visible_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for b in pieces(batch, "html"):
+            yield pa.RecordBatch.from_arrays([b.column("page_id"), pa.array([Visible.of(h.as_py()) for h in b.column("html")], pa.string())], ["page_id", "visible"])
+
+
+def text_with_links(pages: DataFrame) -> DataFrame:
+    """(page_id, visible) of pages (page_id, html), in pieces of bounded size. Null html: empty text."""
+    return pages.select("page_id", "html").mapInArrow(visible_texts, "page_id long, visible string")
 
 
 def html_text_links(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,11 +59,18 @@ def _marked(d: Dialect, text: str, marks: list[str]) -> str:
 
 
 def recoverable(d: Dialect, derived: str) -> str:
-    """Every item that arrived first under its address, and those without text, with what recovery asks of it."""
-    return f"""SELECT i.ingest_seq, trim(coalesce(i.text, '')) <> '' AS has_text, coalesce(w.reject_reason, '') = '' AS passes, coalesce(w.reject_reason, '') AS gate_reason, coalesce(w.evaluated, false) AS evaluated,
+    """Every item that arrived first under its address, and those without text, with what recovery asks of it.
+
+    Spark joins numbers and a flag, not the texts of all items.
+    """
+    has_text = "trim(coalesce(i.text, '')) <> ''"
+    items, found, blank = "raw_items", has_text, "trim(coalesce(i.text, '')) = ''"
+    if d.name == "spark":
+        items, found, blank = f"(SELECT ingest_seq, error, post_url, {has_text} AS has_text FROM raw_items i)", "i.has_text", "NOT i.has_text"
+    return f"""SELECT i.ingest_seq, {found} AS has_text, coalesce(w.reject_reason, '') = '' AS passes, coalesce(w.reject_reason, '') AS gate_reason, coalesce(w.evaluated, false) AS evaluated,
  CASE WHEN w.evaluated THEN 'OK' WHEN w.llm_status = 'OK' THEN 'UNAVAILABLE' ELSE coalesce(w.llm_status, 'NOT_RUN') END AS llm_status, coalesce(w.llm_status = 'OK' AND NOT w.evaluated, false) AS broken, coalesce(w.gate, '') AS decision, coalesce(w.attempts, 0) AS prior, coalesce(w.reasons, '') AS reasons,
  coalesce(w.provider, '') AS provider, coalesce(w.confidence, 0) AS confidence, coalesce(w.exact_input, true) AS exact_input
- FROM raw_items i LEFT JOIN (SELECT *, text = {derived} AS exact_input FROM weighed) w ON w.ingest_seq = i.ingest_seq WHERE i.error IS NULL AND i.post_url <> '' AND (w.ingest_seq IS NOT NULL OR trim(coalesce(i.text, '')) = '')"""
+ FROM {items} i LEFT JOIN (SELECT *, text = {derived} AS exact_input FROM weighed) w ON w.ingest_seq = i.ingest_seq WHERE i.error IS NULL AND i.post_url <> '' AND (w.ingest_seq IS NOT NULL OR {blank})"""
 
 
 def recovery(d: Dialect, derived: str) -> str:

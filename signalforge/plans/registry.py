@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from signalforge.functions.dialect import Checker, Dialect
 from signalforge.operators import calls, files, frames, searches, writes
-from signalforge.operators.catalog import CATALOG
+from signalforge.operators.catalog import CATALOG, SPARK_NEEDS
 from signalforge.operators.relations import assemble
 from signalforge.plans.store import relation
 from signalforge.streaming import incremental, ledger
@@ -19,7 +19,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def sql_query(name: str) -> Query:
     needs, body = CATALOG[name]
 
-    return lambda spark, sf_dir: relation(spark, sf_dir, body(Dialect()), needs)
+    return lambda spark, sf_dir: relation(spark, sf_dir, body(Dialect()), SPARK_NEEDS.get(name, needs))
 
 
 def queries() -> dict[str, Query]:

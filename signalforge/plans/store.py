@@ -19,7 +19,7 @@ from signalforge.operators import relations as R
 from signalforge.sources.shared import shared_folder
 
 #: The links that are stored, and the column that each is partitioned by, if any.
-STORED = {"gated": "passes", "fields": None, "posters": None, "passing_posters": None, "decided": None, "weighed": None, "batch": None}
+STORED = {"firsts": None, "gated": "passes", "fields": None, "posters": None, "passing_posters": None, "decided": None, "asked_decided": None, "weighed": None, "batch": None}
 
 _paths: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
@@ -54,7 +54,7 @@ def ensure(spark: SparkSession, sf_dir: str, name: str) -> None:
     key = _key(spark, sf_dir, name)
     if key not in _paths:
         path = shared_folder(spark, name)
-        rows, part = relation(spark, sf_dir, R.RELATIONS[name][0](Dialect()), R.RELATIONS[name][1], name in ENDS), STORED[name]
+        rows, part = relation(spark, sf_dir, *R.link(Dialect(), name), name in ENDS), STORED[name]
         writer = rows.withColumn(part, rows["reject_reason"] == "").write.partitionBy(part) if part else rows.write
         writer.parquet(path)
         _paths[key] = path, rows.schema.add(part, "boolean") if part else rows.schema
@@ -63,14 +63,17 @@ def ensure(spark: SparkSession, sf_dir: str, name: str) -> None:
 
 
 #: Stored relations that filter, or join by, what the one below them derives: that one is stored first.
-ENDS = ("batch", "passing_posters")
+ENDS = ("batch", "passing_posters", "asked_decided")
+
+#: Stored relations that every query reads as tables, also one that does not filter: in one plan, what is below them would be made twice.
+ALWAYS = ("firsts", "asked_decided")
 
 
 def stored_needs(needs: tuple[str, ...]) -> list[str]:
     """The stored relations that a query meets first, going down from what it needs."""
     out: list[str] = []
     for name in needs:
-        out += [name] if name in STORED else stored_needs(R.RELATIONS[name][1])
+        out += [name] if name in STORED else stored_needs(R.link(Dialect(), name)[1])
     return list(dict.fromkeys(out))
 
 
@@ -83,18 +86,18 @@ def relation(spark: SparkSession, sf_dir: str, body: str, needs: tuple[str, ...]
     """The rows of an SQL text over some relations.
 
     A text that filters reads stored relations, which are computed if need be. One that does not filter reads them where they
-    are there already; else it is one plan with the relations, so that columns that it does not name are not computed.
+    are there already; else it is one plan with the relations but ALWAYS, so that columns that it does not name are not computed.
     """
     if filters is None:
-        filters = re.search(r"\b(?:WHERE|HAVING|EXISTS)\b|(?<!CROSS )\bJOIN\b", body) is not None or any("WHERE" in R.RELATIONS[n][0](Dialect()) for n in needs if n not in STORED)
+        filters = re.search(r"\b(?:WHERE|HAVING|EXISTS)\b|(?<!CROSS )\bJOIN\b", body) is not None or any("WHERE" in R.link(Dialect(), n)[0] for n in needs if n not in STORED)
     given, todo = [], stored_needs(needs)
     while todo:
         name = todo.pop()
-        if filters or _key(spark, sf_dir, name) in _paths:
+        if filters or name in ALWAYS or _key(spark, sf_dir, name) in _paths:
             ensure(spark, sf_dir, name)
             given.append(name)
         else:
-            todo += stored_needs(R.RELATIONS[name][1])
+            todo += stored_needs(R.link(Dialect(), name)[1])
     register_functions(spark)
     text = R.assemble(Dialect(), body, needs, tuple(given))
     view_tables(spark, sf_dir, text)
