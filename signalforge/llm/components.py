@@ -37,3 +37,14 @@ def connected(edges: DataFrame) -> DataFrame:
         before = now
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return stars.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+def joined(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, component) after more links (a, b): the labels that links meet are joined up, not all edges anew."""
+    for side in ("a", "b"):
+        named = comps.withColumnsRenamed({"node": "at", "component": "label"})
+        links = links.join(named, links[side] == named["at"], "left").withColumn(side, F.coalesce("label", side)).drop("at", "label")
+    more = cut(connected(links))
+    named = more.withColumnsRenamed({"node": "at", "component": "label"})
+    old = comps.join(named, comps["component"] == named["at"], "left").select("node", F.coalesce("label", "component").alias("component"))
+    return cut(old.unionByName(more.join(comps, "node", "left_anti")))

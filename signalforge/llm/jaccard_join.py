@@ -35,11 +35,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, maybe_broadcast, mix, shingle_sets, slices, table
-from .components import connected
+from .components import connected, joined
 
 PERCENT = 80
 #: A bitmap has BITS_EACH bits for each shingle, rounded up to a power of two, within LEAST_BITS and MOST_BITS.
-LEAST_BITS, BITS_EACH, MOST_BITS = 512, 4, 1 << 14
+LEAST_BITS, BITS_EACH, MOST_BITS = 512, 16, 1 << 14
 BLOCK = 2048
 #: A shingle is frequent if slices (of SLICE shingles) that hold it at least twice hold it FREQUENT times together; at most
 #: MAX_FREQUENT, the most frequent, are put last.
@@ -379,9 +379,14 @@ def text_key(text: Column) -> Column:
 
 
 def linked_classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(doc_id, key, cls, n_shingles) of each row of docs (doc_id, text); (cls, id, n, bits) of each class; links (a, b) of classes.
+    """Rows and classes as of class_components; links (a, b) of classes, which join all that links join but are not all links."""
+    rows, names, links, _ = class_components(docs, percent)
+    return rows, names, links
 
-    The links join every two classes that links join at all, but are not all links.
+
+def class_components(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(doc_id, key, cls, n_shingles) of each row of docs (doc_id, text); (cls, id, n, times, bits) of each class, of `times` rows;
+    links (a, b) of classes; (node, component) of each class that links join to others.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     scanned = cut(classes_and_frequent(docs.withColumn("key", text_key(F.col("text")))))
@@ -391,27 +396,37 @@ def linked_classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame,
     # One row stands for its class: the one of least doc_id (null last) and text key.
     known = rows.filter("n_shingles > 0")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "n_shingles", "bits")).alias("m")
-    names = cut(known.groupBy("cls").agg(first).select("cls", F.col("m.doc_id").alias("id"), "m.key", F.col("m.n_shingles").alias("n"), "m.bits"))
+    names = cut(known.groupBy("cls").agg(first, F.count("*").alias("times")).select("cls", F.col("m.doc_id").alias("id"), "m.key", F.col("m.n_shingles").alias("n"), "times", "m.bits"))
     blocks = cut(shared_blocks(postings(docs, frequent, percent), percent))
     first = blocks.filter((F.col("cls") != F.col("head")) & alike("n", "head_n", percent)).select(F.col("head").alias("a"), F.col("cls").alias("b")).distinct()
     links = cut(verified(docs, names, star_candidates(first, names, percent), percent))
-    groups = cut(mixed_groups(blocks, cut(connected(links))))
-    links = cut(links.unionByName(verified(docs, names, star_candidates(hub_pairs(groups, percent), names, percent), percent)))
-    comps = maybe_broadcast(cut(connected(links)))
-    groups = groups.join(comps, groups["cls"] == comps["node"], "left").select("block", "cls", "n", F.coalesce("component", "comp").alias("comp"))
-    return rows.drop("bits"), names, links.unionByName(verified(docs, names, across_components(names, groups, percent), percent))
+    comps = cut(connected(links))
+    groups = cut(mixed_groups(blocks, comps))
+    more = cut(verified(docs, names, star_candidates(hub_pairs(groups, percent), names, percent), percent))
+    comps = joined(comps, more)
+    labels = maybe_broadcast(comps)
+    groups = groups.join(labels, groups["cls"] == labels["node"], "left").select("block", "cls", "n", F.coalesce("component", "comp").alias("comp"))
+    last = cut(verified(docs, names, across_components(names, groups, percent), percent))
+    return rows.drop("bits"), names, links.unionByName(more).unionByName(last), joined(comps, last)
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of docs (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows, names, links = linked_classes(docs.filter("doc_id IS NOT NULL"), percent)
-    # Classes are joined to documents: every document is linked to the least document of its class.
-    known, named = rows.filter("n_shingles > 0"), names.select("cls", F.col("id").alias("rep"))
-    edges = links.join(named.withColumnsRenamed({"cls": "a", "rep": "ra"}), "a").join(named.withColumnsRenamed({"cls": "b", "rep": "rb"}), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-    repeated = known.join(named, "cls").filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    final = cut(connected(edges.unionByName(repeated)))
-    out = rows.join(maybe_broadcast(final), rows["doc_id"] == final["node"], "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    rows, names, _, comps = class_components(docs.filter("doc_id IS NOT NULL"), percent)
+    known, empty = rows.filter("n_shingles > 0"), rows.filter("n_shingles = 0")
+    # Rows of one doc_id are one node: its classes are linked.
+    classes = cut(known.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).filter("a <> b"))
+    if not classes.isEmpty():
+        comps = joined(comps, known.join(classes.select("doc_id", "a"), "doc_id").select("a", F.col("cls").alias("b")).filter("a <> b").distinct())
+    # Of a component counts the least document of its classes; classes of one row that nothing is linked to need no label.
+    linked = names.select("cls", "id").join(comps, names["cls"] == comps["node"]).select("cls", "id", "component")
+    least = linked.groupBy("component").agg(F.min("id").alias("label"))
+    alone = names.filter("times > 1").select("cls", F.col("id").alias("label")).join(comps, names["cls"] == comps["node"], "left_anti")
+    labels = cut(linked.join(least, "component").select("cls", "label").unionByName(alone)).withColumnRenamed("cls", "of")
+    found = known.join(maybe_broadcast(labels), known["cls"] == labels["of"], "left").select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"))
+    same = found.join(empty.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "component_id").distinct()
+    out = found.unionByName(empty.join(same, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
     nameless = classes_and_frequent(docs.filter("doc_id IS NULL").withColumn("key", text_key(F.col("text")))).filter("kind = 0")
     return out.unionByName(nameless.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id")))
 
@@ -422,8 +437,7 @@ def one_of_each_group(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     Of the rows whose texts are joined by links one stays: that of least doc_id (null last) and text key, whole rows that
     are repeated counting once. Rows of one doc_id with unlike texts are judged each by its own text. Rows without words stay.
     """
-    rows, _, links = linked_classes(docs, percent)
-    comps = cut(connected(links))
+    rows, _, _, comps = class_components(docs, percent)
     grouped = rows.filter("n_shingles > 0").join(maybe_broadcast(comps), rows["cls"] == comps["node"], "left").select("doc_id", "key", F.coalesce("component", "cls").alias("g"))
     keys = grouped.groupBy("g", "doc_id", "key").agg(F.count("*").alias("times"))
     first = grouped.groupBy("g").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("m"))
