@@ -12,7 +12,10 @@
 4. The trees are walked three times. First the members of all blocks of a head, its class of least size and id, are one
    tree, walked against the head alone; then, of blocks that still hold several components, that of the class that meets
    most others is. The links that these give make components. At last every block that still holds several components, of
-   two members or of thousands, is walked against itself, and pairs within a component are dropped.
+   two members or of thousands, is walked against itself, and pairs within a component are dropped. This walk gives some
+   of its pairs first, fewer than members, which join all that all of them join. Once these are verified, the classes of
+   pairs left out, where components still differ, are walked with their sets: pairs are verified where they meet, and only
+   links that join what is apart are given. So no walk gives more pairs than it has members.
 5. Components are joined up. A pair that was never verified is either in one component already or cannot be a link, so no
    link that matters is lost and no group of near copies is expanded into all pairs.
 
@@ -44,8 +47,8 @@ BLOCK = 2048
 #: A shingle is frequent if slices (of SLICE shingles) that hold it at least twice hold it FREQUENT times together; at most
 #: MAX_FREQUENT, the most frequent, are put last.
 FREQUENT, MAX_FREQUENT, SLICE = 8, 1_000_000, 2_000_000
-#: Blocks are joined together up to FOREST bytes of bitmaps.
-FOREST = 4 << 20
+#: Blocks are joined together up to FOREST bytes of bitmaps; blocks with whole sets are cut into parts of about PART bytes.
+FOREST, PART = 4 << 20, 32 << 20
 SEEN = 500_000
 
 
@@ -190,6 +193,12 @@ def sets_of(docs: DataFrame, wanted: DataFrame, names: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "cls long, data binary").dropDuplicates(["cls"])
 
 
+def linked(a: bytes, b: bytes, percent: int) -> bool:
+    s, t = np.frombuffer(a, "uint64"), np.frombuffer(b, "uint64")
+    shared = len(s) + len(t) - len(np.union1d(s, t))
+    return 100 * shared >= percent * (len(s) + len(t) - shared)
+
+
 def verified(docs: DataFrame, names: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes that are links."""
     pairs = cut(pairs)
@@ -200,12 +209,7 @@ def verified(docs: DataFrame, names: DataFrame, pairs: DataFrame, percent: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x, y = (c.to_pylist() for c in (b.column("set_a"), b.column("set_b")))
-            good = []
-            for s, t in zip(x, y):
-                s, t = np.frombuffer(s, "uint64"), np.frombuffer(t, "uint64")
-                shared = len(s) + len(t) - len(np.union1d(s, t))
-                good.append(100 * shared >= percent * (len(s) + len(t) - shared))
+            good = [linked(s, t, percent) for s, t in zip(*(b.column(c).to_pylist() for c in ("set_a", "set_b")))]
             yield b.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return both.mapInArrow(run, "a long, b long")
@@ -280,8 +284,33 @@ class SignatureForest:
         return i, j
 
 
+class Joined:
+    """Which nodes the pairs given so far have joined."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = x = self.up.get(y, y)
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        """Whether the two were apart; now they are not."""
+        x, y = self.root(x), self.root(y)
+        self.up[x] = y
+        return x != y
+
+
 def block_candidates(members: DataFrame, percent: int) -> DataFrame:
-    """members (block, side, cls, n, comp, data), side 0 for a block with itself, 1 and 2 for two parts of one: candidate pairs (a, b)."""
+    """members (block, side, cls, n, comp, data), side 0 for a block with itself, 1 and 2 for two parts of one: candidate pairs (a, b).
+
+    With a column `spare`, each task gives pairs only as long as they join classes that are apart; both classes of a pair left
+    out are given as pairs with themselves. With a column `whole`, the class's set, pairs between components are verified at
+    once, and a task gives only links, as long as they join components that are apart.
+    """
+    spare, whole = ("spare" in members.columns), ("whole" in members.columns)
+    names = ["block", "side", "cls", "n", "comp", "data", *["whole"] * whole]
 
     def pairs(left: tuple, right: tuple, width: int, itself: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         if len(left[0]) and len(right[0]):
@@ -304,29 +333,45 @@ def block_candidates(members: DataFrame, percent: int) -> DataFrame:
             yield from pairs(own[1], wider[2], w, False)
             yield from pairs(wider[1], own[2], w, False)
 
-    def fresh(rows: list[tuple], seen: set) -> Iterator[pa.RecordBatch]:
+    def chosen(a: int, b: int, seen: set, apart: Joined, of: dict) -> list[tuple[int, int]]:
+        """What is given of a candidate pair."""
+        if spare and not apart.join(a, b):
+            new = [(c, c) for c in (a, b) if (c, c) not in seen]
+            seen.update(new)
+            return new
+        if whole and apart.root(of[a][0]) == apart.root(of[b][0]):
+            return []
+        seen.add((a, b))
+        if whole:
+            if not linked(of[a][1], of[b][1], percent):
+                return []
+            apart.join(of[a][0], of[b][0])
+        return [(a, b)]
+
+    def fresh(rows: list[tuple], seen: set, apart: Joined) -> Iterator[pa.RecordBatch]:
+        of = {r[2]: (r[4], r[6]) for r in rows} if whole else {}
         for x, y in candidates(rows) if len(rows) > 1 else ():
-            x, y = np.minimum(x, y), np.maximum(x, y)
-            new = []
-            for pair in zip(x.tolist(), y.tolist()):
-                new.append(pair not in seen)
-                seen.add(pair)
-            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"]).filter(pa.array(new, pa.bool_()))
+            given = []
+            for pair in zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist()):
+                if pair not in seen:
+                    given += chosen(*pair, seen, apart, of)
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in given], pa.int64()) for i in range(2)], ["a", "b"])
             if len(seen) > SEEN:  # only saves rows: repeats are removed later too
                 seen.clear()
+                apart.up.clear()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, size, seen = [], 0, set()
+        rows, size, seen, apart = [], 0, set(), Joined()
         for b in batches:
-            for row in zip(*(b.column(c).to_pylist() for c in ("block", "side", "cls", "n", "comp", "data"))):
+            for row in zip(*(b.column(c).to_pylist() for c in names)):
                 if size > FOREST and row[0] != rows[-1][0]:
-                    yield from fresh(rows, seen)
+                    yield from fresh(rows, seen, apart)
                     rows, size = [], 0
                 rows.append(row)
-                size += len(row[5]) + 200
-        yield from fresh(rows, seen)
+                size += sum(map(len, row[5:])) + 200
+        yield from fresh(rows, seen, apart)
 
-    ordered = members.repartition("block").sortWithinPartitions("block").select("block", "side", "cls", "n", "comp", "data")
+    ordered = members.repartition("block").sortWithinPartitions("block").select(*names)
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -365,13 +410,33 @@ def star_candidates(stars: DataFrame, names: DataFrame, percent: int) -> DataFra
 
 
 def across_components(names: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs between different components from groups (block, cls, n, comp)."""
-    sizes = groups.groupBy("block").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("block", "size")
-    rows = groups.join(sizes, "block").withColumn("parts", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")).withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
+    """Pairs from groups (block, cls, n, comp) that join all classes which candidates between different components join; a
+    class of a candidate that is left out is also paired with itself."""
+    rows = in_parts(groups, F.ceil(F.col("size") / F.lit(BLOCK)))
+    return block_candidates(rows.join(names.select("cls", F.col("bits").alias("data")), "cls").withColumn("spare", F.lit(True)), percent)
+
+
+def rest_across(docs: DataFrame, names: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Links from groups (block, cls, n, comp) that join all components which links between members of a block join."""
+    rows = cut(in_parts(groups, F.ceil(F.greatest(F.col("size") / F.lit(BLOCK), 8 * F.col("total") / F.lit(PART)))))
+    sets = sets_of(docs, rows.select("cls").distinct(), names).withColumnRenamed("data", "whole")
+    return block_candidates(rows.join(names.select("cls", F.col("bits").alias("data")), "cls").join(sets, "cls"), percent)
+
+
+def in_parts(groups: DataFrame, parts: Column) -> DataFrame:
+    """(block, cls, n, comp, side) of the blocks of groups (block, cls, n, comp) with several components, cut into parts: every
+    part with itself and every pair of parts is a block. `parts` is over size, the members, and total, their sets' sizes."""
+    sizes = groups.groupBy("block").agg(F.count("*").alias("size"), F.sum("n").alias("total"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
+    rows = groups.join(sizes.select("block", parts.cast("int").alias("parts")), "block").withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     lo, hi = F.least("part", "other"), F.greatest("part", "other")
-    rows = rows.select(F.xxhash64("block", lo, hi).alias("block"), "cls", "n", "comp", F.when(lo == hi, 0).when(F.col("part") == lo, 1).otherwise(2).alias("side"))
-    return block_candidates(rows.join(names.select("cls", F.col("bits").alias("data")), "cls"), percent)
+    return rows.select(F.xxhash64("block", lo, hi).alias("block"), "cls", "n", "comp", F.when(lo == hi, 0).when(F.col("part") == lo, 1).otherwise(2).alias("side"))
+
+
+def relabelled(groups: DataFrame, comps: DataFrame) -> DataFrame:
+    """groups (block, cls, n, comp) with the components of now."""
+    labels = maybe_broadcast(comps)
+    return groups.join(labels, groups["cls"] == labels["node"], "left").select("block", "cls", "n", F.coalesce("component", "comp").alias("comp"))
 
 
 def text_key(text: Column) -> Column:
@@ -404,10 +469,15 @@ def class_components(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFram
     groups = cut(mixed_groups(blocks, comps))
     more = cut(verified(docs, names, star_candidates(hub_pairs(groups, percent), names, percent), percent))
     comps = joined(comps, more)
-    labels = maybe_broadcast(comps)
-    groups = groups.join(labels, groups["cls"] == labels["node"], "left").select("block", "cls", "n", F.coalesce("component", "comp").alias("comp"))
-    last = cut(verified(docs, names, across_components(names, groups, percent), percent))
-    return rows.drop("bits"), names, links.unionByName(more).unionByName(last), joined(comps, last)
+    groups = relabelled(groups, comps)
+    pairs = cut(across_components(names, groups, percent))
+    some = cut(verified(docs, names, pairs.filter("a <> b"), percent))
+    comps, links = joined(comps, some), links.unionByName(more).unionByName(some)
+    unseen = pairs.filter("a = b").select(F.col("a").alias("cls"))
+    if not unseen.isEmpty():
+        last = cut(rest_across(docs, names, relabelled(groups.join(maybe_broadcast(unseen), "cls", "left_semi"), comps), percent))
+        comps, links = joined(comps, last), links.unionByName(last)
+    return rows.drop("bits"), names, links, comps
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
