@@ -279,6 +279,17 @@ def lcs_rows(a: list[int], b: list[int]) -> list[int]:
     return rows
 
 
+def shared_words(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
+    """Both rows of words without words that the other lacks."""
+    both = set(a).intersection(b)
+    return ([w for w in a if w in both], [w for w in b if w in both]) if both else ([], [])
+
+
+def lcs_length(a: list[int], b: list[int]) -> int:
+    """The length of a longest common subsequence."""
+    return len(b) - lcs_rows(a, b)[-1].bit_count() if a != b else len(a)
+
+
 def common(a: list[int], b: list[int]) -> Pairs:
     """The pairs (place in a, place in b) of a longest common subsequence of two short word rows, early ones preferred."""
     n = min(len(a), len(b))
@@ -375,12 +386,12 @@ def can_hold(a: np.ndarray, a_start: int, b: np.ndarray, b_start: int, places: n
     need = int(np.ceil(IDENTITY * LEAST - 1e-9)) - min(v - x, w - y)
     if need <= 0:
         return True
-    before, after = (a[:x].tolist(), b[:y].tolist()), (a[v : v + MARGIN].tolist(), b[w : w + MARGIN].tolist())
-    met = [sum(map(set(q).__contains__, p)) for p, q in (before, after)]
-    if sum(met) < need:
+    before, after = shared_words(a[:x].tolist(), b[:y].tolist()), shared_words(a[v : v + MARGIN].tolist(), b[w : w + MARGIN].tolist())
+    most = min(map(len, after))
+    if min(map(len, before)) + most < need:
         return False
-    need -= len(before[1]) - lcs_rows(*before)[-1].bit_count()
-    return need <= 0 or (met[1] >= need and len(after[1]) - lcs_rows(*after)[-1].bit_count() >= need)
+    need -= lcs_length(*before)
+    return need <= 0 or (most >= need and lcs_length(*after) >= need)
 
 
 def passages(chain_rows: DataFrame, data: DataFrame) -> DataFrame:
