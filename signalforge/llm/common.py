@@ -19,6 +19,9 @@ WORD_RX = r"[^\x20\x09-\x0D]+"
 #: Rows up to which an id-like table is sent to all executors (16 to 64 MB); beyond it the same join is shuffled.
 BROADCAST_ROWS = 2_000_000
 
+#: Narrow tables of at most FEW_ROWS rows are dealt to FEW_TASKS tasks, however many a shuffle has.
+FEW_ROWS, FEW_TASKS = 200_000, 8
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -44,6 +47,12 @@ def shared_folder(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def packed(df: DataFrame) -> DataFrame:
+    """Like cut; of at most FEW_ROWS rows in FEW_TASKS partitions, so that steps on them start no tasks and make no files for next to nothing."""
+    df = cut(df)
+    return df.coalesce(FEW_TASKS) if df.limit(FEW_ROWS + 1).count() <= FEW_ROWS else df
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Like cut, as a Parquet table in the shared folder: for many narrow rows, of which a checkpoint takes several times the disk."""
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"

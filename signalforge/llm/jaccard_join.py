@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, maybe_broadcast, mix, shingle_sets, slices, table
+from .common import cut, maybe_broadcast, mix, packed, shingle_sets, slices, table
 from .components import connected, joined
 
 PERCENT = 80
@@ -183,7 +183,7 @@ def folded(maps: list[bytes], width: int) -> np.ndarray:
 
 def sets_of(docs: DataFrame, wanted: DataFrame, names: DataFrame) -> DataFrame:
     """(cls, data) of the wanted classes: their sets, made anew from one text of each class."""
-    ids = cut(wanted.join(names.select("cls", "id", "key"), "cls"))
+    ids = packed(wanted.join(names.select("cls", "id", "key"), "cls"))
     texts = docs.join(maybe_broadcast(ids), docs["doc_id"].eqNullSafe(ids["id"]) & (text_key(docs["text"]) == ids["key"])).select("cls", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,7 +201,7 @@ def linked(a: bytes, b: bytes, percent: int) -> bool:
 
 def verified(docs: DataFrame, names: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes that are links."""
-    pairs = cut(pairs)
+    pairs = packed(pairs)
     wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
     sets = cut(sets_of(docs, wanted, names))
     left = pairs.join(sets.withColumnsRenamed({"cls": "b", "data": "set_b"}), "b")
@@ -400,7 +400,8 @@ def hub_pairs(groups: DataFrame, percent: int) -> DataFrame:
 
 def star_candidates(stars: DataFrame, names: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs (a, b) of stars (a = centre, b = member): the tree of a centre's members walked against the centre."""
-    large = maybe_broadcast(cut(stars.groupBy("a").agg(F.count("*").alias("size")).filter(F.col("size") > BLOCK).select(F.col("a").alias("centre"), F.ceil(F.col("size") / F.lit(BLOCK)).cast("int").alias("parts"))))
+    stars = packed(stars)
+    large = maybe_broadcast(packed(stars.groupBy("a").agg(F.count("*").alias("size")).filter(F.col("size") > BLOCK).select(F.col("a").alias("centre"), F.ceil(F.col("size") / F.lit(BLOCK)).cast("int").alias("parts"))))
     dealt = stars.join(large, stars["a"] == large["centre"], "left").withColumn("part", F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1))).cast("int"))
     block = F.xxhash64("a", "part").alias("block")
     members = dealt.select(block, F.lit(1).alias("side"), F.col("b").alias("cls"))
@@ -418,7 +419,7 @@ def across_components(names: DataFrame, groups: DataFrame, percent: int) -> Data
 
 def rest_across(docs: DataFrame, names: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Links from groups (block, cls, n, comp) that join all components which links between members of a block join."""
-    rows = cut(in_parts(groups, F.ceil(F.greatest(F.col("size") / F.lit(BLOCK), 8 * F.col("total") / F.lit(PART)))))
+    rows = packed(in_parts(groups, F.ceil(F.greatest(F.col("size") / F.lit(BLOCK), 8 * F.col("total") / F.lit(PART)))))
     sets = sets_of(docs, rows.select("cls").distinct(), names).withColumnRenamed("data", "whole")
     return block_candidates(rows.join(names.select("cls", F.col("bits").alias("data")), "cls").join(sets, "cls"), percent)
 
@@ -462,20 +463,20 @@ def class_components(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFram
     known = rows.filter("n_shingles > 0")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "n_shingles", "bits")).alias("m")
     names = cut(known.groupBy("cls").agg(first, F.count("*").alias("times")).select("cls", F.col("m.doc_id").alias("id"), "m.key", F.col("m.n_shingles").alias("n"), "times", "m.bits"))
-    blocks = cut(shared_blocks(postings(docs, frequent, percent), percent))
+    blocks = packed(shared_blocks(postings(docs, frequent, percent), percent))
     first = blocks.filter((F.col("cls") != F.col("head")) & alike("n", "head_n", percent)).select(F.col("head").alias("a"), F.col("cls").alias("b")).distinct()
-    links = cut(verified(docs, names, star_candidates(first, names, percent), percent))
-    comps = cut(connected(links))
-    groups = cut(mixed_groups(blocks, comps))
-    more = cut(verified(docs, names, star_candidates(hub_pairs(groups, percent), names, percent), percent))
+    links = packed(verified(docs, names, star_candidates(first, names, percent), percent))
+    comps = packed(connected(links))
+    groups = packed(mixed_groups(blocks, comps))
+    more = packed(verified(docs, names, star_candidates(hub_pairs(groups, percent), names, percent), percent))
     comps = joined(comps, more)
     groups = relabelled(groups, comps)
-    pairs = cut(across_components(names, groups, percent))
-    some = cut(verified(docs, names, pairs.filter("a <> b"), percent))
+    pairs = packed(across_components(names, groups, percent))
+    some = packed(verified(docs, names, pairs.filter("a <> b"), percent))
     comps, links = joined(comps, some), links.unionByName(more).unionByName(some)
     unseen = pairs.filter("a = b").select(F.col("a").alias("cls"))
     if not unseen.isEmpty():
-        last = cut(rest_across(docs, names, relabelled(groups.join(maybe_broadcast(unseen), "cls", "left_semi"), comps), percent))
+        last = packed(rest_across(docs, names, relabelled(groups.join(maybe_broadcast(unseen), "cls", "left_semi"), comps), percent))
         comps, links = joined(comps, last), links.unionByName(last)
     return rows.drop("bits"), names, links, comps
 
@@ -486,14 +487,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows, names, _, comps = class_components(docs.filter("doc_id IS NOT NULL"), percent)
     known, empty = rows.filter("n_shingles > 0"), rows.filter("n_shingles = 0")
     # Rows of one doc_id are one node: its classes are linked.
-    classes = cut(known.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).filter("a <> b"))
+    classes = packed(known.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).filter("a <> b"))
     if not classes.isEmpty():
         comps = joined(comps, known.join(classes.select("doc_id", "a"), "doc_id").select("a", F.col("cls").alias("b")).filter("a <> b").distinct())
     # Of a component counts the least document of its classes; classes of one row that nothing is linked to need no label.
     linked = names.select("cls", "id").join(comps, names["cls"] == comps["node"]).select("cls", "id", "component")
     least = linked.groupBy("component").agg(F.min("id").alias("label"))
     alone = names.filter("times > 1").select("cls", F.col("id").alias("label")).join(comps, names["cls"] == comps["node"], "left_anti")
-    labels = cut(linked.join(least, "component").select("cls", "label").unionByName(alone)).withColumnRenamed("cls", "of")
+    labels = packed(linked.join(least, "component").select("cls", "label").unionByName(alone)).withColumnRenamed("cls", "of")
     found = known.join(maybe_broadcast(labels), known["cls"] == labels["of"], "left").select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"))
     same = found.join(empty.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "component_id").distinct()
     out = found.unionByName(empty.join(same, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
@@ -511,15 +512,15 @@ def one_of_each_group(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     grouped = rows.filter("n_shingles > 0").join(maybe_broadcast(comps), rows["cls"] == comps["node"], "left").select("doc_id", "key", F.coalesce("component", "cls").alias("g"))
     keys = grouped.groupBy("g", "doc_id", "key").agg(F.count("*").alias("times"))
     first = grouped.groupBy("g").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("m"))
-    judged = cut(keys.join(first, "g").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "times", (F.col("doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("key") == F.col("m.key"))).alias("stays")))
+    judged = packed(keys.join(first, "g").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "times", (F.col("doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("key") == F.col("m.key"))).alias("stays")))
 
     def meets(keys: DataFrame):
         return docs["doc_id"].cast("long").eqNullSafe(keys["_id"]) & (text_key(docs["text"].cast("string")) == keys["_key"])
 
     gone, twice = judged.filter("NOT stays").select("_id", "_key"), judged.filter("stays AND times > 1").select("_id", "_key")
-    plain = cut(gone.unionByName(twice))
+    plain = packed(gone.unionByName(twice))
     once = docs.join(maybe_broadcast(plain), meets(plain), "left_anti")
-    several = maybe_broadcast(cut(twice))
+    several = maybe_broadcast(packed(twice))
     again = docs.join(several, meets(several)).dropDuplicates(["_id", "_key"]).select(*[docs[c] for c in docs.columns])
     return once.unionByName(again)
 
