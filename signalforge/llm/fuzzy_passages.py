@@ -37,6 +37,8 @@ GAP_COST, FEWEST = 0.03, 2
 MARGIN, GAP_MOST = 30, 96
 RUN, RUN_SPAN = 4, 48
 LEAST, IDENTITY = 40, 0.8
+#: Bytes of aligned chains that a task keeps.
+KNOWN = 32 << 20
 
 
 def seeds(docs: DataFrame) -> DataFrame:
@@ -211,35 +213,56 @@ def chains(x: np.ndarray, y: np.ndarray, cost: float = GAP_COST) -> list[list[in
 CHAINS = "a_cls long, a_start int, a_end int, b_cls long, b_start int, b_end int, places binary"
 
 
-def chained(matched: DataFrame) -> DataFrame:
-    """Chains between pairs of classes, with the stretches of words to align."""
+def pairs_chain(x: np.ndarray, y: np.ndarray, cost: float = GAP_COST) -> np.ndarray:
+    """Whether the two matches in each row of x and y are a chain, as `chains` finds it."""
+    gained = 1 + cost * (x[:, 0] + y[:, 0]) - cost * (x[:, 1] + y[:, 1])
+    return (x[:, 0] < x[:, 1]) & (y[:, 0] < y[:, 1]) & (gained > 0)
 
-    def emit(key: tuple, x: list, y: list) -> Iterator[tuple]:
-        x, y = np.array(x), np.array(y)
-        for c in chains(x, y):
-            i, j = x[c], y[c]
-            yield key[0], max(0, int(i[0]) - MARGIN), int(i[-1]) + SEED + MARGIN, key[1], max(0, int(j[0]) - MARGIN), int(j[-1]) + SEED + MARGIN, np.c_[i, j].astype("int32").tobytes()
 
-    def batch(rows: list[tuple]) -> pa.RecordBatch:
-        types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], [c.split()[0] for c in CHAINS.split(", ")])
+def chained(matched: DataFrame) -> DataFrame:
+    """Chains between pairs of classes, with the stretches of words to align; places are relative to these stretches.
+
+    Most pairs have one match, which is no chain, or two: those are judged together.
+    """
+    names = [c.split()[0] for c in CHAINS.split(", ")]
+    side = lambda cls, first, last: (cls, np.maximum(0, first - MARGIN), last + SEED + MARGIN)
+
+    def batch(c: np.ndarray, hc: np.ndarray, places: list[np.ndarray]) -> pa.RecordBatch:
+        """Of chains with their matches (place in c, place in hc)."""
+        first, last = (np.array([p[k] for p in places], "int64").reshape(-1, 2) for k in (0, -1))
+        columns = *side(c, first[:, 0], last[:, 0]), *side(hc, first[:, 1], last[:, 1])
+        starts = np.c_[columns[1], columns[4]]
+        own = [(p - s).astype("int32").tobytes() for p, s in zip(places, starts)]
+        types = (pa.int64(), pa.int32(), pa.int32()) * 2
+        return pa.RecordBatch.from_arrays([*(pa.array(x, t) for x, t in zip(columns, types)), pa.array(own, pa.binary())], names)
+
+    def found(c: np.ndarray, p: np.ndarray, hc: np.ndarray, hp: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[pa.RecordBatch]:
+        at = start[end - start == 2]
+        two = np.c_[at, at + 1]
+        two = two[pairs_chain(p[two], hp[two])]
+        if len(two):
+            yield batch(c[two[:, 0]], hc[two[:, 0]], list(np.stack([p[two], hp[two]], axis=2)))
+        rows, places = [], []
+        for a, b in zip(start[end - start > 2].tolist(), end[end - start > 2].tolist()):
+            x, y = p[a:b], hp[a:b]
+            for chain in chains(x, y):
+                rows.append(a)
+                places.append(np.c_[x[chain], y[chain]])
+        if rows:
+            yield batch(c[rows], hc[rows], places)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, x, y, out = None, [], [], []
+        held = [np.zeros(0, "int64")] * 4  # the pair that the next batch may go on with
         for b in batches:
-            for c, p, hc, hp in zip(*(b.column(n).to_pylist() for n in ("cls", "place", "head_cls", "head_place"))):
-                if (c, hc) != key:
-                    if len(x) >= FEWEST:
-                        out += emit(key, x, y)
-                    key, x, y = (c, hc), [], []
-                x.append(p)
-                y.append(hp)
-            if len(out) > 2000:
-                yield batch(out)
-                out = []
-        if len(x) >= FEWEST:
-            out += emit(key, x, y)
-        yield batch(out)
+            if not b.num_rows:
+                continue
+            rows = [np.r_[h, b.column(n).to_numpy(zero_copy_only=False)] for h, n in zip(held, ("cls", "place", "head_cls", "head_place"))]
+            c, hc = rows[0], rows[2]
+            start = np.flatnonzero(np.r_[True, (c[1:] != c[:-1]) | (hc[1:] != hc[:-1])])
+            yield from found(*rows, start[:-1], start[1:])
+            held = [x[start[-1] :] for x in rows]
+        if len(held[0]):
+            yield from found(*held, np.array([0]), np.array([len(held[0])]))
 
     return matched.repartition("cls", "head_cls").sortWithinPartitions("cls", "head_cls", "place", "head_place").mapInArrow(run, CHAINS)
 
@@ -394,24 +417,38 @@ def can_hold(a: np.ndarray, a_start: int, b: np.ndarray, b_start: int, places: n
     return need <= 0 or (most >= need and lcs_length(*after) >= need)
 
 
+def aligned(places: bytes, a: bytes, b: bytes) -> list[tuple[int, int, int, int]]:
+    """The passages of a chain, in words of its two stretches."""
+    chain = np.frombuffer(a, "uint32"), 0, np.frombuffer(b, "uint32"), 0, np.frombuffer(places, "int32").reshape(-1, 2)
+    return list(good_stretches(align(*chain))) if can_hold(*chain) else []
+
+
+def spans_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cls, start, end) of the passages of chains (a_cls, a_start, b_cls, b_start, places, a_data, b_data), for both texts.
+
+    Chains of the same words and places, as of boilerplate in many texts, are aligned once in a task while KNOWN bytes hold them.
+    """
+    known, size = {}, 0
+    for b in batches:
+        rows = []
+        for ac, a0, bc, b0, *chain in zip(*(c.to_pylist() for c in b.columns)):
+            key = tuple(chain)
+            if (spans := known.get(key)) is None:
+                spans = aligned(*chain)
+                if (own := sum(map(len, key)) + 300) < KNOWN // 1000:  # texts repeat short passages; long ones seldom, as a whole
+                    if (size := size + own) > KNOWN:
+                        known, size = {}, own
+                    known[key] = spans
+            for s, e, t, f in spans:
+                rows += [(ac, a0 + s, a0 + e), (bc, b0 + t, b0 + f)]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(3)], ["cls", "start", "end"])
+
+
 def passages(chain_rows: DataFrame, data: DataFrame) -> DataFrame:
     """(cls, start, end) of accepted passages, for both texts of each chain."""
     side = lambda s: data.select(F.col("cls").alias(f"{s}_cls"), F.col("start").alias(f"{s}_start"), F.col("end").alias(f"{s}_end"), F.col("data").alias(f"{s}_data"))
     both = chain_rows.join(side("a"), ["a_cls", "a_start", "a_end"]).join(side("b"), ["b_cls", "b_start", "b_end"]).select("a_cls", "a_start", "b_cls", "b_start", "places", "a_data", "b_data")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for ac, a0, bc, b0, places, x, y in zip(*(c.to_pylist() for c in b.columns)):
-                chain = np.frombuffer(x, "uint32"), a0, np.frombuffer(y, "uint32"), b0, np.frombuffer(places, "int32").reshape(-1, 2)
-                if not can_hold(*chain):
-                    continue
-                pairs = align(*chain)
-                for s, e, t, f in good_stretches(pairs):
-                    rows += [(ac, s, e), (bc, t, f)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(3)], ["cls", "start", "end"])
-
-    return both.mapInArrow(run, "cls long, start long, end long").distinct()
+    return both.mapInArrow(spans_of, "cls long, start long, end long").distinct()
 
 
 def fuzzy_passages(docs: DataFrame) -> DataFrame:
